@@ -1,6 +1,6 @@
 """Registered queries by subject."""
 
-from . import interval_queries, read_queries  # noqa: F401
+from . import interval_queries, read_queries, variant_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -285,8 +285,9 @@ def _(s):
 
 def kmer_rows(k: int, cols: str = "colour", source: str = "reads") -> str:
     """CTE ``km`` with every k-mer of every text."""
-    return f"""chars AS (SELECT {cols}, string_split(seq, '') AS c FROM {source}),
-      km AS (SELECT {cols}, unnest(list_transform(range(1, len(c) - {k} + 2), lambda i: array_to_string(c[i : i + {k - 1}], ''))) AS kmer FROM chars WHERE len(c) >= {k})"""
+    return f"""chars AS (SELECT {cols}, name AS nm, unnest(string_split(seq, '')) AS ch, generate_subscripts(string_split(seq, ''), 1) AS i FROM {source}),
+      km AS (SELECT * FROM (SELECT {cols}, string_agg(ch, '') OVER w AS kmer, count(*) OVER w AS filled FROM chars
+        WINDOW w AS (PARTITION BY nm ORDER BY i ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)) WHERE filled = {k})"""
 
 
 @query("kmer_count", f"WITH {kmer_rows(21)} SELECT n, count(*) AS kmers FROM (SELECT kmer, count(*) AS n FROM km GROUP BY kmer) GROUP BY n")

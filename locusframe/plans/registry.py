@@ -47,6 +47,12 @@ VIEWS = {
         concat('ctg', l_partkey) AS contig, CAST(l_quantity AS BIGINT)*1000 AS comp_length, l_orderkey AS ord FROM lineitem""",
     "sv": """SELECT concat('chr', p_partkey % 5 + 1) AS chrom, p_partkey*50 AS start_pos, p_partkey*50 + 100 + p_size*20 AS end_pos,
         concat('BNG', p_partkey) AS name, CASE WHEN p_partkey % 3 = 0 THEN 'DEL' ELSE 'INS' END AS svtype, p_size % 7 AS num_samples FROM part""",
+    "vcf": """SELECT chrom, pos, concat('v', pos) AS id,
+        CASE vtype WHEN 'del' THEN concat('A', repeat('G', CAST(vlen AS INTEGER))) ELSE 'A' END AS ref,
+        CASE WHEN vtype = 'ins' THEN concat('A', repeat('C', CAST(vlen AS INTEGER))) WHEN vtype = 'del' THEN 'A' WHEN depth % 7 = 0 THEN 'T,G' ELSE 'T' END AS alt,
+        CAST(qual AS DOUBLE) AS qual, CASE WHEN depth % 11 = 1 THEN 'PASS;dn' WHEN depth % 13 = 2 THEN 'dp' ELSE 'PASS' END AS filter,
+        concat('DP=', depth, ';LEN=', vlen, ';TYPE=', CASE vtype WHEN 'snv' THEN 'snp' ELSE vtype END) AS info, 'GT:GQ:DP' AS format,
+        concat(gt, ':', depth, '.5:', depth) AS call, sample FROM calls""",
 }
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -84,7 +90,11 @@ class Source:
 
 def oracle_text(sql: str) -> str:
     """Put the views the text names in front of it as common table expressions."""
-    used = [f"{v} AS ({q})" for v, q in VIEWS.items() if re.search(rf"\b(?:FROM|JOIN) {v}\b", sql)]
+    named = lambda text: [v for v in VIEWS if re.search(rf"\b(?:FROM|JOIN) {v}\b", text)]
+    wanted = set(named(sql))
+    for v in list(wanted):
+        wanted.update(named(VIEWS[v]))
+    used = [f"{v} AS ({VIEWS[v]})" for v in VIEWS if v in wanted]
     if not used:
         return sql
     head = sql.lstrip()
