@@ -53,6 +53,19 @@ VIEWS = {
         CAST(qual AS DOUBLE) AS qual, CASE WHEN depth % 11 = 1 THEN 'PASS;dn' WHEN depth % 13 = 2 THEN 'dp' ELSE 'PASS' END AS filter,
         concat('DP=', depth, ';LEN=', vlen, ';TYPE=', CASE vtype WHEN 'snv' THEN 'snp' ELSE vtype END) AS info, 'GT:GQ:DP' AS format,
         concat(gt, ':', depth, '.5:', depth) AS call, sample FROM calls""",
+    "pieces": """SELECT object, CASE WHEN l_partkey % 2 = 0 THEN concat(contig, '_subseq_', ord, ':', ord + comp_length) ELSE contig END AS comp_name, 'W' AS comp_type,
+        comp_length, ord FROM (SELECT *, CAST(replace(contig, 'ctg', '') AS BIGINT) AS l_partkey FROM agp) x""",
+    "contig_aln": """SELECT concat('ctg', CAST(start_pos / 50 AS BIGINT)) AS contig, CASE chrom WHEN 'chr3' THEN 'chrUn_x' WHEN 'chr4' THEN 'chrX' WHEN 'chr5' THEN 'chrY_r' ELSE chrom END AS chrom,
+        start_pos, end_pos, mapq FROM aln""",
+    "layout": """SELECT concat('Super-Scaffold_', ok) AS scaffold, concat('ctg', ok, '_', ln) AS contig, ln AS ord, len AS length, ok,
+        CAST(coalesce(sum(len + 50) OVER (PARTITION BY ok ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_pos,
+        CAST(sum(len + 50) OVER (PARTITION BY ok) AS BIGINT) AS scaffold_length
+        FROM (SELECT l_orderkey AS ok, l_linenumber AS ln, CAST(max(l_quantity) AS BIGINT)*20 AS len FROM lineitem GROUP BY l_orderkey, l_linenumber) x""",
+    "scf_aln": """SELECT scaffold, contig, ord AS order_number, concat('chr', (ok + CASE WHEN ok % 17 = 0 THEN ord % 2 ELSE 0 END) % 5 + 1) AS chrom, at AS start_pos,
+        at + CASE WHEN ok % 13 = 0 THEN 10 ELSE length END AS end_pos, CAST(ok % 7 * 10 AS INTEGER) AS mapq, CASE WHEN (ok + ord) % 4 < 2 THEN '+' ELSE '-' END AS strand,
+        CASE WHEN ok % 2 = 0 THEN 'HiFi' ELSE 'CLR' END AS tech, concat('S', ok % 8) AS sample
+        FROM (SELECT *, ok * 100 + CASE WHEN ok % 3 = 0 THEN scaffold_length - start_pos - length ELSE start_pos END + CASE WHEN ok % 7 = 0 AND ord = 2 THEN 50000 ELSE 0 END
+          + CASE WHEN ok % 11 = 0 THEN ord * 4000 ELSE 0 END AS at FROM layout) y""",
 }
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -91,9 +104,12 @@ class Source:
 def oracle_text(sql: str) -> str:
     """Put the views the text names in front of it as common table expressions."""
     named = lambda text: [v for v in VIEWS if re.search(rf"\b(?:FROM|JOIN) {v}\b", text)]
-    wanted = set(named(sql))
-    for v in list(wanted):
-        wanted.update(named(VIEWS[v]))
+    wanted, todo = set(), named(sql)
+    while todo:
+        v = todo.pop()
+        if v not in wanted:
+            wanted.add(v)
+            todo += named(VIEWS[v])
     used = [f"{v} AS ({VIEWS[v]})" for v in VIEWS if v in wanted]
     if not used:
         return sql
