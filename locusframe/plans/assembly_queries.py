@@ -271,7 +271,7 @@ FRACTIONS = f"""{PER_ASSEMBLY}, win AS (SELECT chrom, w * 2000 AS start_pos, lea
 
 @query(
     "pseudo_read_density",
-    f"""WITH {FRACTIONS}, g AS (SELECT chrom, start_pos, end_pos, tech, round_even(sum(cbp) / (count(*) * (end_pos - start_pos)), 3) AS mean_fraction, round(quantile_cont(cbp, 0.5) / (end_pos - start_pos), 6) AS median_fraction FROM fr GROUP BY ALL)
+    f"""WITH {FRACTIONS}, g AS (SELECT chrom, start_pos, end_pos, tech, round_even(sum(cbp) / (count(*) * (end_pos - start_pos)), 3) AS mean_fraction, round(quantile_cont(cbp, 0.5) / (end_pos - start_pos), 6) AS median_fraction FROM fr GROUP BY chrom, start_pos, end_pos, tech)
       SELECT * FROM g WHERE mean_fraction > 0""",
 )
 def _(s):

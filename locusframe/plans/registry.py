@@ -61,11 +61,11 @@ VIEWS = {
         CAST(coalesce(sum(len + 50) OVER (PARTITION BY ok ORDER BY ln ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_pos,
         CAST(sum(len + 50) OVER (PARTITION BY ok) AS BIGINT) AS scaffold_length
         FROM (SELECT l_orderkey AS ok, l_linenumber AS ln, CAST(max(l_quantity) AS BIGINT)*20 AS len FROM lineitem GROUP BY l_orderkey, l_linenumber) x""",
-    "scf_aln": """SELECT scaffold, contig, ord AS order_number, concat('chr', (ok + CASE WHEN ok % 17 = 0 THEN ord % 2 ELSE 0 END) % 5 + 1) AS chrom, at AS start_pos,
-        at + CASE WHEN ok % 13 = 0 THEN 10 ELSE length END AS end_pos, CAST(ok % 7 * 10 AS INTEGER) AS mapq, CASE WHEN (ok + ord) % 4 < 2 THEN '+' ELSE '-' END AS strand,
+    "scf_aln": """SELECT scaffold, contig, ord AS order_number, concat('chr', (ok + CASE WHEN ok % 17 = 0 THEN ord % 2 ELSE 0 END) % 5 + 1) AS chrom, spot AS start_pos,
+        spot + CASE WHEN ok % 13 = 0 THEN 10 ELSE length END AS end_pos, CAST(ok % 7 * 10 AS INTEGER) AS mapq, CASE WHEN (ok + ord) % 4 < 2 THEN '+' ELSE '-' END AS strand,
         CASE WHEN ok % 2 = 0 THEN 'HiFi' ELSE 'CLR' END AS tech, concat('S', ok % 8) AS sample
         FROM (SELECT *, ok * 100 + CASE WHEN ok % 3 = 0 THEN scaffold_length - start_pos - length ELSE start_pos END + CASE WHEN ok % 7 = 0 AND ord = 2 THEN 50000 ELSE 0 END
-          + CASE WHEN ok % 11 = 0 THEN ord * 4000 ELSE 0 END AS at FROM layout) y""",
+          + CASE WHEN ok % 11 = 0 THEN ord * 4000 ELSE 0 END AS spot FROM layout) y""",
 }
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",

@@ -211,8 +211,8 @@ PLACE = f"""rw AS (SELECT *, end_pos - start_pos AS len, start_pos + (end_pos -
   w2 AS (SELECT scaffold, any_value(mid2) AS mid2, {_sums('2', 'mid2')} FROM a2 WHERE mid2 IS NOT NULL GROUP BY scaffold),
   fd AS (SELECT w1.scaffold, CASE WHEN f1 > 0 AND r1 > 0 THEN mid1 WHEN f2 > 0 AND r2 > 0 THEN mid2 END AS c, CASE WHEN f1 > 0 AND r1 > 0 THEN r1 > f1 ELSE r2 > f2 END AS rev FROM w1 JOIN sn USING (scaffold) LEFT JOIN w2 USING (scaffold)),
   us AS (SELECT wk.*, c, rev, coalesce(end_pos > c - CASE WHEN rev THEN right5 ELSE left5 END AND start_pos < c + CASE WHEN rev THEN left5 ELSE right5 END, false) AS used FROM wk JOIN fd USING (scaffold)),
-  od AS (SELECT scaffold, order_number, min(start_pos) AS at FROM us WHERE used GROUP BY ALL),
-  ol AS (SELECT scaffold, list(order_number ORDER BY at) AS seen FROM od GROUP BY scaffold),
+  od AS (SELECT scaffold, order_number, min(start_pos) AS spot FROM us WHERE used GROUP BY ALL),
+  ol AS (SELECT scaffold, list(order_number ORDER BY spot) AS seen FROM od GROUP BY scaffold),
   ur AS (SELECT scaffold, min(start_pos) AS lo, max(end_pos) AS hi, sum(len) AS bp, count(*) FILTER (strand = '+') AS plus, count(*) FILTER (strand = '-') AS minus, any_value(c) AS c, any_value(rev) AS rev FROM us WHERE used GROUP BY scaffold),
   rs AS (SELECT ur.scaffold, CASE WHEN seen = orders OR seen = list_reverse(orders) THEN 'high' ELSE 'medium' END AS conf, CASE WHEN seen = orders THEN '+' WHEN seen = list_reverse(orders) THEN '-' WHEN plus >= minus THEN '+' ELSE '-' END AS st,
     least(lo, c - CASE WHEN rev THEN rgt ELSE lft END) AS slo, greatest(hi, c + CASE WHEN rev THEN lft ELSE rgt END) AS shi FROM ur JOIN ol USING (scaffold) JOIN p5 USING (scaffold) WHERE bp >= nogap * 0.5),
