@@ -202,6 +202,7 @@ def gff_to_regions(gff: DataFrame, chroms: DataFrame, min_length: int = 31) -> D
     short_type = F.coalesce(_lookup(REGION_TYPES, F.col("type")), F.col("type"))
     start = (F.col("start") - 1).cast("long")
     ident = F.regexp_extract("attributes", "ENS[A-Z0-9]+", 0)
+    gff = gff.select("seqid", "type", "start", "end", "score", "strand", "attributes")
     rows = gff.join(matched, "seqid", "left").select("*", start.alias(START), F.col("end").cast("long").alias(END), short_type.alias("region_type"))
     long_enough = F.col(END) - F.col(START) >= min_length
     skip = F.when(~long_enough, "short").when(F.col("target").isNull(), "unmatched")

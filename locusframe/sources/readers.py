@@ -199,7 +199,7 @@ def read_key_value(spark: SparkSession, path, keys: Sequence[str], numeric: dict
 
 def report_lines(spark: SparkSession, path) -> DataFrame:
     """(file, line from 1, text) of small report files, each read whole."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "text")).withColumn("line", F.col("line") + 1)
 
 

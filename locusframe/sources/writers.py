@@ -15,7 +15,8 @@ def scratch_path(spark: SparkSession) -> str:
 
 
 def _tsv(df: DataFrame):
-    return df.write.option("sep", "\t").option("quote", "").option("escapeQuotes", False).option("emptyValue", "").mode("errorifexists")
+    # a comment mark other than # keeps the writer from quoting a header that starts with it
+    return df.write.option("sep", "\t").option("quote", "").option("escapeQuotes", False).option("emptyValue", "").option("comment", "\u0001").mode("errorifexists")
 
 
 def write_bed(df: DataFrame, path: str, null: str = "") -> None:
