@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import base_count, chromosome_rank
 from .distribution import n50, quantiles, top_n_per_group
+from .lineage import written_once
 from .overlap import covered_bp, overlap_join
 from .sweep import (
     BLOCK, END, START, complement, edges_to_regions, interval_events, merge_intervals, next_in_order,
@@ -142,7 +143,7 @@ def break_regions(aln: DataFrame, sizes: DataFrame, width: int = 100_000, assemb
     """
     from .sweep import make_windows
 
-    gaps = complement(aln, sizes, by=assembly)
+    gaps = written_once(complement(aln, sizes, by=assembly))  # read for the windows and for the regions
     windows = break_windows(make_windows(sizes, width), gaps, assembly)
     regions = filter_chroms(uncovered(gaps, windows.where(~F.col("is_break"))), chroms)
     length = (F.col(END) - F.col(START)).cast("string")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from .graph import ensure_checkpoint_dir
+from .lineage import written_once
 from .overlap import coverage_counts
 from .sweep import END, START, disjoin
 
@@ -114,8 +114,7 @@ def loh_clusters(features: DataFrame, k: int, columns: Sequence[str], label: str
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    ensure_checkpoint_dir(features.sparkSession)
-    features = features.checkpoint()  # every iteration reads the features again
+    features = written_once(features)  # every iteration reads the features again
     usable = features.where(" and ".join(f"{c} is not null" for c in columns))
     vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(usable)
     model = KMeans(k=k, seed=seed, maxIter=500, tol=1e-4, featuresCol="_v", predictionCol="_p").fit(vectors)
@@ -156,8 +155,7 @@ def break_regression(df: DataFrame, features: Sequence[str], target: str, depths
     from pyspark.ml.regression import GBTRegressor
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    ensure_checkpoint_dir(df.sparkSession)
-    rows = df.select(*features, F.col(target).alias("label")).dropna().checkpoint()  # read once per fold and tree
+    rows = written_once(df.select(*features, F.col(target).alias("label")).dropna())  # read once per fold and tree
     data = VectorAssembler(inputCols=list(features), outputCol="features").transform(rows)
     gbt = GBTRegressor(maxIter=iterations, stepSize=0.1, subsamplingRate=0.75, seed=seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).build()

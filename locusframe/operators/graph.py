@@ -2,37 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; a temporary one only where none is set (single-machine runs)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="locusframe-"))
+from .lineage import written_once
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100) -> DataFrame:
     """Rows (node, component) for every node with an edge; the component is its least node.
 
     Each round takes the least label among the neighbours and then the label of
-    that label, so chains shrink fast. A round is checkpointed, and the loop ends
-    when nothing changes.
+    that label, so chains shrink fast. The labels of a round are written once, and
+    the loop ends when nothing changes.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
     both = edges.select(F.col(src).alias("node"), F.col(dst).alias("other"))
     both = both.unionByName(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct().checkpoint()
-    labels = both.groupBy("node").agg(F.min("other").alias("_m")).select("node", F.least("node", "_m").alias("component")).checkpoint()
+    labels = written_once(both.groupBy("node").agg(F.min("other").alias("_m")).select("node", F.least("node", "_m").alias("component")))
     for _ in range(max_rounds):
         near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("_near"))
         step = labels.join(near, "node").select("node", "component", F.least("component", "_near").alias("_low"))
         jump = labels.select(F.col("node").alias("_low"), F.col("component").alias("_jump"))
         moved = step.join(jump, "_low").select("node", F.least("_low", "_jump").alias("component"), (F.least("_low", "_jump") != F.col("component")).alias("_moved"))
-        moved = moved.checkpoint()
+        moved = written_once(moved)
         labels = moved.drop("_moved")
         if moved.where("_moved").isEmpty():
             return labels

@@ -51,7 +51,9 @@ def kmers(seqs: DataFrame, k: int, canonical_form: bool = False, alphabet: str |
     only k-mers made of its characters count.
     """
     unit = f"[{alphabet}]" if alphabet else "."
-    pieces = sequence_chunks(seqs, overlap=k - 1)
+    # k-mers are k times the text, so the text is spread first: one file or one long sequence must not hold them all
+    tasks = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = sequence_chunks(seqs, overlap=k - 1).repartition(tasks)
     found = F.explode(F.regexp_extract_all("seq", F.lit(f"(?s)(?=({unit}{{{k}}}))"), F.lit(1)))
     out = pieces.select(*[c for c in seqs.columns if c != "seq"], found.alias("kmer"))
     return out.withColumn("kmer", canonical(F.col("kmer"))) if canonical_form else out

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import base_count, strand_code
 from .graph import connected_components
+from .lineage import written_once
 from .overlap import overlap_join
 from .sweep import END, START, running_sums
 
@@ -148,7 +149,7 @@ def classify_breaks(view: DataFrame, pieces: DataFrame, chroms: DataFrame) -> Da
     scaffolds in order of first appearance. Counts that do not add up are an error.
     """
     groups = pieces.where("in_scaffold").groupBy("contig", F.col("object").alias("scaffold")).agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = groups.join(chroms.select("scaffold", "chrom"), "scaffold", "left")
+    groups = written_once(groups.join(chroms.select("scaffold", "chrom"), "scaffold", "left"))  # counted in three ways below
     head = F.struct("first", "scaffold")
     # the usual case, one remaining break per further scaffold, pairs the first scaffold with each other one
     per = groups.groupBy("contig").agg(F.sum("n").alias("_p"), F.count(F.lit(1)).alias("_m"), F.min_by("chrom", head).alias("_chrom"))
@@ -292,9 +293,9 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
         weighted.alias("mid1"), F.count(F.lit(1)).alias("n"), F.countDistinct("contig").alias("contigs"), F.countDistinct("chrom").alias("chroms"),
         F.max_by("mid", F.struct(F.col("len") * F.col("mapq"), -F.col(START))).alias("best_mid"),
     )
-    facts = seen.join(plan, key)
-    work = rows.join(facts.where("chroms = 1"), key)
-    first = _window_sums(work, key, "mid1", "1").withColumn("ok1", (F.col("f1") > 0) & (F.col("r1") > 0))
+    facts = written_once(seen.join(plan, key))  # one row per scaffold
+    work = rows.join(facts.where("chroms = 1").drop("orders"), key)
+    first = written_once(_window_sums(work, key, "mid1", "1").withColumn("ok1", (F.col("f1") > 0) & (F.col("r1") > 0)))
 
     # distance of each block to all others of its scaffold, only where the first window failed
     again = work.join(first.where(~F.col("ok1")).select(*key), key)
@@ -316,11 +317,11 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
         *key, F.when(F.col("ok1"), F.col("mid1")).when(ok2, F.col("mid2")).alias("centre_at"),
         F.when(F.col("ok1"), F.col("r1") > F.col("f1")).otherwise(F.col("r2") > F.col("f2")).alias("reverse"),
     )
-    work = work.join(found, key)
+    found = written_once(found.join(facts.drop("mid1", "n", "contigs", "chroms", "best_mid"), key))
     swap = lambda a, b: F.when(F.col("reverse"), F.col(b)).otherwise(F.col(a))
     used = (F.col(END) > F.col("centre_at") - swap("left5", "right5")) & (F.col(START) < F.col("centre_at") + swap("right5", "left5"))
-    work = work.withColumn("used", F.coalesce(used, F.lit(False)))
-    per_order = work.where("used").groupBy(*key, "order_number").agg(
+    marked = rows.join(found.select(*key, "centre_at", "reverse", "left5", "right5"), key, "left").withColumn("used", F.coalesce(used, F.lit(False)))
+    per_order = marked.where("used").groupBy(*key, "order_number").agg(
         F.min(F.struct("chrom", START, END)).alias("at"), F.min(START).alias("lo"), F.max(END).alias("hi"), F.sum("len").alias("bp"),
         F.sum(F.when(F.col("strand") == "+", 1).otherwise(0)).alias("plus"), F.sum(F.when(F.col("strand") == "-", 1).otherwise(0)).alias("minus"),
     )
@@ -328,7 +329,7 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
         F.transform(F.array_sort(F.collect_list(F.struct("at", "order_number"))), lambda x: x["order_number"]).alias("seen_orders"),
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bp").alias("bp"), F.sum("plus").alias("plus"), F.sum("minus").alias("minus"),
     )
-    result = result.join(facts.select(*key, "orders", "left", "right", "nogap"), key).join(found, key).where("bp >= nogap * 0.5")
+    result = result.join(found, key).where("bp >= nogap * 0.5")
     forward = F.col("seen_orders") == F.col("orders")
     backward = F.col("seen_orders") == F.reverse("orders")
     result = result.select(
@@ -336,9 +337,8 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
         F.when(forward, "+").when(backward, "-").when(F.col("plus") >= F.col("minus"), "+").otherwise("-").alias("_strand"),
         F.least(F.col("lo"), F.col("centre_at") - swap("left", "right")).alias("_lo"), F.greatest(F.col("hi"), F.col("centre_at") + swap("right", "left")).alias("_hi"),
     )
-    marked = rows.join(work.select(*key, "chrom", START, END, "contig", "order_number", "used").distinct(), [*key, "chrom", START, END, "contig", "order_number"], "left")
     marked = marked.join(result, key, "left")
-    placed = F.coalesce(F.col("used"), F.lit(False)) & F.col("_conf").isNotNull()
+    placed = F.col("used") & F.col("_conf").isNotNull()
     return marked.select(
         *aln.columns, F.when(placed, F.col("_conf")).otherwise("low").alias("loc_confidence"), F.when(placed, F.col("_strand")).otherwise(".").alias("scaffold_strand"),
         F.when(placed, F.col("_lo")).otherwise(-1).cast("long").alias("scaffold_start"), F.when(placed, F.col("_hi")).otherwise(-1).cast("long").alias("scaffold_end"),

@@ -62,7 +62,11 @@ def running_sums(
     row per (keys, position).
     """
     by = list(by)
-    rows = rows.withColumn("_block", position_block(pos, block)).repartition(*by, "_block")
+    rows = rows.withColumn("_block", position_block(pos, block))
+    # stated here, where the two uses below share it; the join would add it to one of them only
+    # and Spark would run the shuffle twice
+    rows = rows.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in [*by, "_block"]]))
+    rows = rows.repartition(*by, "_block")
     inside, across = W.partitionBy(*by, "_block").orderBy(pos), W.partitionBy(*by).orderBy("_block")
     upto, onward = inside.rowsBetween(W.unboundedPreceding, W.currentRow), inside.rowsBetween(W.currentRow, W.unboundedFollowing)
     before, after = across.rowsBetween(W.unboundedPreceding, -1), across.rowsBetween(1, W.unboundedFollowing)
@@ -145,21 +149,20 @@ def at_both_ends(
     by = list(by)
     sums = sorted(set(at_start) | set(at_end))
     every = [*sums, *lasts, *nexts]
-    points = a.select(*by, F.explode(F.array(F.col(START).cast("long"), F.col(END).cast("long"))).alias("pos")).select(
-        *by, "pos", *[F.lit(None).cast("long").alias(m) for m in every], F.lit(1).alias("_asked")
-    )
-    rows = events.select(*by, "pos", *[F.col(m).cast("long").alias(m) for m in every], F.lit(0).alias("_asked")).unionByName(points)
+    where = [*by, START, END]
+    ends = F.array(*[F.struct(F.lit(side).alias("side"), F.col(c).cast("long").alias("pos")) for side, c in (("s", START), ("e", END))])
+    points = a.select(*where).distinct().select(*where, F.explode(ends).alias("p")).select(*where, "p.*")
+    asked = points.select(*by, "pos", *[F.lit(None).cast("long").alias(m) for m in every], F.lit(1).alias("_asked"))
+    rows = events.select(*by, "pos", *[F.col(m).cast("long").alias(m) for m in every], F.lit(0).alias("_asked")).unionByName(asked)
     rows = sum_by_position(rows, by, sums, lasts=[*lasts, "_asked"], nexts=nexts).fillna(0, sums)
     run = running_sums(rows, by, sums, block=block, lasts=lasts, nexts=nexts).where("_asked = 1")
-    out = a
-    for side, col, cols in (
-        ("s", START, {**{f"cum_{m}": m for m in at_start}, **{f"last_{m}": m for m in lasts}}),
-        ("e", END, {**{f"cum_{m}": m for m in at_end}, **{f"first_{m}": m for m in nexts}}),
-    ):
-        here = run.select(*[F.col(k).alias(f"_{k}") for k in by], F.col("pos").alias("_pos"), *[F.col(c).alias(f"{side}_{m}") for c, m in cols.items()])
-        on = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in by]) & (F.col(col) == F.col("_pos"))
-        out = out.join(here, on).drop(*[f"_{k}" for k in by], "_pos")
-    return out
+    wanted = [("s", f"cum_{m}", m) for m in at_start] + [("s", f"last_{m}", m) for m in lasts]
+    wanted += [("e", f"cum_{m}", m) for m in at_end] + [("e", f"first_{m}", m) for m in nexts]
+    run = run.select(*by, "pos", *sorted({c for _, c, _ in wanted}))
+    values = points.join(run, [*by, "pos"]).groupBy(*where).agg(
+        *[F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{m}") for side, c, m in wanted]
+    )
+    return a.join(values, where)
 
 
 # --- region algebra ---------------------------------------------------------

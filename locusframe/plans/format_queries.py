@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cleaning
+from ..operators.lineage import scratch_path
 from ..operators.sweep import union_all
 from ..sources import readers, writers
 from .registry import query
 
 
 def stored(s, df, write=writers.write_lines, **options) -> str:
-    path = writers.scratch_path(s.spark)
+    path = scratch_path(s.spark)
     write(df, path, **options)
     return path
 
@@ -186,7 +187,7 @@ def _(s):
 
 def per_file(s, df, key: str) -> str:
     """One text file per key value, named by it."""
-    path = writers.scratch_path(s.spark)
+    path = scratch_path(s.spark)
     df.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.struct("i", "value"))).getField("value"), "\n").alias("value")).select(key, "value").write.partitionBy(key).text(path)
     return path
 
@@ -195,7 +196,7 @@ def per_file(s, df, key: str) -> str:
 def _(s):
     sums = s.aln.groupBy("sample").agg(F.count(F.lit(1)).alias("num_rows"), F.sum(F.col("end_pos") - F.col("start_pos")).alias("total_bp"), F.round(F.avg("mapq"), 3).alias("pct_mapq"))
     rows = sums.select("sample", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.concat_ws("\t", F.lit(c), F.col(c).cast("string")).alias("value")) for i, c in enumerate(["num_rows", "total_bp", "pct_mapq"])])).alias("x")).select("sample", "x.*")
-    path = writers.scratch_path(s.spark)
+    path = scratch_path(s.spark)
     rows.repartition("sample").select("sample", "value").write.partitionBy("sample").text(path)
     parts = [readers.read_key_value(s.spark, f"{path}/sample=S{i}", ["num_rows", "total_bp", "pct_mapq"]).withColumn("sample", F.lit(f"S{i}")) for i in range(8)]
     return union_all(parts).drop("file")
@@ -211,7 +212,7 @@ def report_files(s):
         F.concat(F.lit("Aligned.Bases   "), F.col("n").cast("string"), F.lit("(100.00%)   "), F.col("p").cast("string"), F.lit("("), pct, F.lit("%)")),
         F.lit("[Alignments]"), F.concat(F.lit("AvgIdentity   "), pct, F.lit("   "), F.col("m").cast("string")), F.concat(F.lit("genes   "), F.col("n").cast("string"), F.lit(" + "), F.col("p").cast("string"), F.lit(" part")),
     )
-    path = writers.scratch_path(s.spark)
+    path = scratch_path(s.spark)
     sums.repartition("sample").select("sample", text.alias("value")).write.partitionBy("sample").text(path)
     return path
 
