@@ -32,7 +32,7 @@ def read_statistics(reads: DataFrame) -> DataFrame:
     """Histograms (kind, key, n): read lengths, bases, GC in 1 % bins (the last one includes 1), and the read count."""
     profile = read_profile(reads)
     base_cols = [c for c in profile.columns if c.startswith("n_")]
-    gc_bin = (F.least(F.floor(F.col("gc") * 100 + 1e-9), F.lit(99)) + 1).cast("string")
+    gc_bin = F.when(F.col("gc").isNotNull(), (F.least(F.floor(F.col("gc") * 100 + 1e-9), F.lit(99)) + 1).cast("string"))
     once = F.lit(1).cast("long")
     items = [F.struct(F.lit("length").alias("kind"), F.col("length").cast("string").alias("key"), once.alias("n"))]
     items += [F.struct(F.lit("gc_bin").alias("kind"), F.coalesce(gc_bin, F.lit("none")).alias("key"), once.alias("n"))]
