@@ -11,7 +11,7 @@ from .distribution import n50, quantiles, top_n_per_group
 from .lineage import written_once
 from .overlap import covered_bp, overlap_join
 from .sweep import (
-    BLOCK, END, START, complement, edges_to_regions, interval_events, merge_intervals, next_in_order,
+    BLOCK, END, START, complement, edges_to_regions, interval_events, merge_intervals, next_in_order, own_shuffle,
     running_sums, sum_by_position, uncovered, union_all,
 )
 
@@ -320,7 +320,7 @@ def region_sequences(regions: DataFrame, chunks: DataFrame, chunk: int) -> DataF
     hits = overlap_join(regions.select(*key).distinct(), spans, width=chunk)
     lo = F.greatest(START, f"{START}_b")
     piece = F.substring("seq_b", (lo - F.col(f"{START}_b") + 1).cast("int"), F.col("bp").cast("int"))
-    pieces = hits.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(lo.alias("at"), piece.alias("s")))).alias("p"))
+    pieces = hits.groupBy(*own_shuffle(key)).agg(F.array_sort(F.collect_list(F.struct(lo.alias("at"), piece.alias("s")))).alias("p"))
     return regions.join(pieces.select(*key, F.array_join(F.transform("p", lambda x: x["s"]), "").alias("seq")), key, "left")
 
 

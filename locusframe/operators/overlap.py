@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .sweep import BLOCK, END, START, at_both_ends, edges_to_regions, interval_events, state_edges
+from .sweep import BLOCK, END, START, at_both_ends, edges_to_regions, interval_events, own_shuffle, state_edges
 
 # A set of n rows is listed n + (its bases / WIDTH) times; choose a width near
 # the typical length of the longer side.
@@ -162,8 +162,8 @@ def map_mean(a: DataFrame, b: DataFrame, score: str = "score", min_frac: float =
     """Mean of ``b.score`` over rows that cover at least ``min_frac`` of ``a``; NULL without any."""
     key = ["chrom", START, END]
     hits = overlap_join(a.select(*key).distinct(), b.select(*key, score), min_frac=min_frac)
-    means = hits.groupBy(*key).agg(F.round(F.avg(f"{score}_b"), digits).alias("mean_score"))
-    return a.join(means, key, "left")
+    means = hits.groupBy(*own_shuffle(key)).agg(F.round(F.avg(f"{score}_b"), digits).alias("mean_score"))
+    return a.join(means.drop("_own"), key, "left")
 
 
 def region_average(
@@ -206,9 +206,11 @@ def padded_lookup(a: DataFrame, b: DataFrame, pad: int = 100_000, ident: str = "
     wide = a.withColumn("_s", F.col(START)).withColumn("_e", F.col(END))
     wide = wide.withColumn(START, F.greatest(F.col(START) - pad, F.lit(0))).withColumn(END, F.col(END) + pad)
     hits = overlap_join(wide.select("chrom", START, END, "_s", "_e").distinct(), b.select("chrom", START, END, ident))
-    found = hits.groupBy("chrom", F.col("_s").alias(START), F.col("_e").alias(END)).agg(
+    hits = hits.select("chrom", F.col("_s").alias("_1"), F.col("_e").alias("_2"), f"{ident}_b", f"{START}_b", f"{END}_b")
+    found = hits.groupBy(*own_shuffle(["chrom", "_1", "_2"])).agg(
         F.array_sort(F.collect_list(F.struct(F.col(f"{ident}_b").alias("id"), (F.col(END + "_b") - F.col(START + "_b")).alias("size")))).alias("found")
     )
+    found = found.select("chrom", F.col("_1").alias(START), F.col("_2").alias(END), "found")
     out = a.join(found, ["chrom", START, END], "left")
     joined = lambda field: F.when(F.col("found").isNull(), F.lit(empty)).otherwise(F.array_join(F.transform("found", lambda x: x[field].cast("string")), ","))
     return out.withColumn("near_ids", joined("id")).withColumn("near_sizes", joined("size")).drop("found")

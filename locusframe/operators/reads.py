@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import base_count
-from .distribution import quantiles, same_keys, top_n_per_group
-from .sweep import BLOCK, running_sums
+from .distribution import same_keys
+from .sweep import BLOCK, own_shuffle, running_sums
 
 # The coverage thresholds reported for long and for short reads.
 LONG_READ_STEPS = [0, 1000, *range(5000, 55000, 5000)]
@@ -201,8 +201,8 @@ def sequence_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
 def duplicate_sequences(seqs: DataFrame) -> DataFrame:
     """Names of the sequences whose content also appears under another name, with the number of copies."""
     hashed = seqs.select("name", F.sha2("seq", 256).alias("hash"))
-    copies = hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    return hashed.join(copies, "hash").select("name", "copies")
+    copies = hashed.groupBy(*own_shuffle(["hash"])).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return hashed.join(copies.drop("_own"), "hash").select("name", "copies")
 
 
 def read_name_checks(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -36,6 +36,15 @@ def sum_by_position(
     return events.groupBy(*by, pos).agg(*aggs)
 
 
+def own_shuffle(keys: Sequence[str]) -> list[Column]:
+    """Grouping columns for a table that is joined back on ``keys`` to rows with many copies of a key.
+
+    The extra column ``_own``, a hash of the keys, changes no group but gives the join a
+    shuffle of its own, and only then can Spark split the copies of a hot key over tasks.
+    """
+    return [F.col(k) for k in keys] + [F.xxhash64(*keys).alias("_own")]
+
+
 def interval_events(df: DataFrame, by: Sequence[str], weight: Column | None = None, gap: int = 0) -> DataFrame:
     """+weight at the start, -weight at the end (moved right by ``gap``), as column ``step``."""
     w = F.lit(1).cast("long") if weight is None else weight
@@ -159,10 +168,10 @@ def at_both_ends(
     wanted = [("s", f"cum_{m}", m) for m in at_start] + [("s", f"last_{m}", m) for m in lasts]
     wanted += [("e", f"cum_{m}", m) for m in at_end] + [("e", f"first_{m}", m) for m in nexts]
     run = run.select(*by, "pos", *sorted({c for _, c, _ in wanted}))
-    values = points.join(run, [*by, "pos"]).groupBy(*where).agg(
+    values = points.join(run, [*by, "pos"]).groupBy(*own_shuffle(where)).agg(
         *[F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{m}") for side, c, m in wanted]
     )
-    return a.join(values, where)
+    return a.join(values.drop("_own"), where)
 
 
 # --- region algebra ---------------------------------------------------------

@@ -190,3 +190,33 @@ def test_roi_blocks_touching_and_nested(spark):
     assert (stats["coverage_bp"], stats["delta"], stats["num_gaps"], stats["contigs_count"], stats["coverage_pct"]) == (20, 20, 1, 3, 50.0)
 
 
+
+
+@pytest.mark.parametrize("operator", ["coverage_counts", "overlap_join", "map_mean"])
+def test_copies_of_one_row_are_split_over_tasks(spark, operator):
+    """With the size limits lowered, the join that meets a hot key is planned as a skew join."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in limits}
+    rows = [("chr1", 5, 9, f"hot{i % 3}", 1, "s0") for i in range(20_000)] + random_rows(13, 2000)
+    few = random_rows(14, 20)
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        df = frame(spark, rows).repartition(8)
+        out = getattr(overlap, operator)(df, frame(spark, few))
+        n = out.count() if operator == "overlap_join" else len(out.collect())
+        out._jdf.queryExecution().toRdd().count()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert n == (sum(sum(x[0] == y[0] and x[1] < y[2] and y[1] < x[2] for y in few) for x in rows) if operator == "overlap_join" else len(rows))
+    assert "skew=true" in plan
