@@ -290,16 +290,16 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
     plan = plan.withColumns({"left5": F.floor(F.col("left") * 1.05), "right5": F.floor(F.col("right") * 1.05)})
     weighted = F.floor(F.sum(F.col("mid") * F.col("len")) / F.sum("len"))
     seen = rows.groupBy(*key).agg(
-        weighted.alias("mid1"), F.count(F.lit(1)).alias("n"), F.countDistinct("contig").alias("contigs"), F.countDistinct("chrom").alias("chroms"),
+        weighted.alias("mid1"), F.count(F.lit(1)).alias("n"), (F.min("contig") == F.max("contig")).alias("one_contig"), (F.min("chrom") == F.max("chrom")).alias("one_chrom"),
         F.max_by("mid", F.struct(F.col("len") * F.col("mapq"), -F.col(START))).alias("best_mid"),
     )
     facts = written_once(seen.join(plan, key))  # one row per scaffold
-    work = rows.join(facts.where("chroms = 1").drop("orders"), key)
+    work = rows.join(facts.where("one_chrom").drop("orders"), key)
     first = written_once(_window_sums(work, key, "mid1", "1").withColumn("ok1", (F.col("f1") > 0) & (F.col("r1") > 0)))
 
     # distance of each block to all others of its scaffold, only where the first window failed
     again = work.join(first.where(~F.col("ok1")).select(*key), key)
-    apart = again.where("contigs > 1 and n >= 3")
+    apart = again.where("not one_contig and n >= 3")
     by_mid = W.partitionBy(*key).orderBy("mid", START, END, "contig").rowsBetween(W.unboundedPreceding, -1)
     apart = apart.withColumns({"cb": F.count("mid").over(by_mid), "sb": F.coalesce(F.sum("mid").over(by_mid), F.lit(0)), "st": F.sum("mid").over(W.partitionBy(*key))})
     far = F.col("mid") * F.col("cb") - F.col("sb") + (F.col("st") - F.col("sb") - F.col("mid")) - F.col("mid") * (F.col("n") - F.col("cb") - 1)
@@ -307,7 +307,7 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
     place = F.struct("chrom", START, END, "contig")
     apart = apart.withColumn("keep_one", place == F.min(place).over(W.partitionBy(*key)))
     moved = apart.where((F.col("far") < F.col("top")) | ((F.col("low") == F.col("top")) & F.col("keep_one"))).groupBy(*key).agg(weighted.alias("mid_moved"))
-    second = again.join(moved, key, "left").withColumn("mid2", F.when(F.col("contigs") == 1, F.col("best_mid")).otherwise(F.col("mid_moved")))
+    second = again.join(moved, key, "left").withColumn("mid2", F.when(F.col("one_contig"), F.col("best_mid")).otherwise(F.col("mid_moved")))
     mid2 = second.groupBy(*key).agg(F.max("mid2").alias("mid2"))
     second = _window_sums(second.where("mid2 is not null"), key, "mid2", "2")
 
@@ -317,7 +317,7 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
         *key, F.when(F.col("ok1"), F.col("mid1")).when(ok2, F.col("mid2")).alias("centre_at"),
         F.when(F.col("ok1"), F.col("r1") > F.col("f1")).otherwise(F.col("r2") > F.col("f2")).alias("reverse"),
     )
-    found = written_once(found.join(facts.drop("mid1", "n", "contigs", "chroms", "best_mid"), key))
+    found = written_once(found.join(facts.drop("mid1", "n", "one_contig", "one_chrom", "best_mid"), key))
     swap = lambda a, b: F.when(F.col("reverse"), F.col(b)).otherwise(F.col(a))
     used = (F.col(END) > F.col("centre_at") - swap("left5", "right5")) & (F.col(START) < F.col("centre_at") + swap("right5", "left5"))
     marked = rows.join(found.select(*key, "centre_at", "reverse", "left5", "right5"), key, "left").withColumn("used", F.coalesce(used, F.lit(False)))
