@@ -422,7 +422,7 @@ def segment_concordance(segments: DataFrame, aln: DataFrame, by: Sequence[str] =
 def contig_alignment_stats(
     aln: DataFrame, refs: DataFrame, contigs: DataFrame, group: str = "(cluster[0-9]+)", combine: Sequence[str] = (), min_mapq: int = 0, top: int = 3
 ) -> DataFrame:
-    """Long table of aligned bases per reference sequence and contig group, with rank.
+    """Long table of aligned bases per reference sequence and contig group, with the rank of the ``top`` groups.
 
     The group is the first match of ``group`` in the contig name (the name itself
     without one); sequences in ``combine`` are also reported as one. Row
@@ -446,9 +446,10 @@ def contig_alignment_stats(
     rows = union_all([bp, per_group, whole]).join(group_sizes.withColumnRenamed("size", "grp_size"), "grp").join(ref_sizes.withColumnRenamed("size", "ref_length"), "ref")
     pct = lambda of: F.bround(F.col("bp") / F.col(of) * 100, 2).cast("string")
     rows = rows.withColumn("cell", F.concat_ws("|", F.col("bp").cast("string"), pct("grp_size"), pct("ref_length")))
-    rank = F.row_number().over(W.partitionBy("ref").orderBy(F.desc("bp"), (F.col("grp") != "genome").cast("int"), "grp"))
+    best = top_n_per_group(rows.select("ref", "grp", "bp"), ["ref"], [F.desc("bp"), (F.col("grp") != "genome").cast("int"), F.col("grp")], top)
+    rows = rows.join(best.drop("bp"), ["ref", "grp"], "left")
     shown = F.when(F.col("ref") == "genome", 1).otherwise(top)
-    rows = rows.withColumn("rank", rank).withColumn("top", F.when(F.col("rank") <= shown, F.concat_ws("|", "grp", "cell")))
+    rows = rows.withColumn("top", F.when(F.col("rank") <= shown, F.concat_ws("|", "grp", "cell")))
     return ref_sizes.withColumnRenamed("size", "ref_length").join(rows.drop("ref_length"), "ref", "left").select("ref", "ref_length", "grp", "bp", "rank", "cell", "top")
 
 

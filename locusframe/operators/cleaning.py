@@ -451,3 +451,18 @@ def symmetric_difference(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataF
     """Keys in exactly one of two tables, with the side."""
     left, right = a.select(*on).distinct(), b.select(*on).distinct()
     return left.join(right, list(on), "left_anti").withColumn("side", F.lit("a")).unionByName(right.join(left, list(on), "left_anti").withColumn("side", F.lit("b")))
+
+
+def set_difference(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keys of ``a`` that ``b`` lacks."""
+    return a.select(*on).distinct().join(b.select(*on), list(on), "left_anti")
+
+
+def shared_keys(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keys in both tables."""
+    return a.select(*on).intersect(b.select(*on))
+
+
+def multi_key_sort(df: DataFrame, ascending: dict[str, bool]) -> DataFrame:
+    """Rows ordered by several columns, each in its own direction."""
+    return df.orderBy(*[F.asc(c) if up else F.desc(c) for c, up in ascending.items()])

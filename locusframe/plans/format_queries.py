@@ -559,3 +559,18 @@ def _(s):
 def _(s):
     cols = ["chrom", "start_pos", "end_pos"]
     return union_all([s.aln.select(*cols), s.regions.select(*cols)])
+
+
+@query("set_difference", "SELECT chrom, start_pos FROM aln WHERE mapq = 0 EXCEPT SELECT chrom, start_pos FROM sv")
+def _(s):
+    return cleaning.set_difference(s.aln.where("mapq = 0"), s.sv, ["chrom", "start_pos"])
+
+
+@query("intersect", "SELECT chrom, start_pos FROM aln WHERE mapq = 0 INTERSECT SELECT chrom, start_pos FROM sv")
+def _(s):
+    return cleaning.shared_keys(s.aln.where("mapq = 0"), s.sv, ["chrom", "start_pos"])
+
+
+@query("multi_key_sort", "SELECT cls, score, name FROM regions")
+def _(s):
+    return cleaning.multi_key_sort(s.regions.select("cls", "score", "name"), {"cls": True, "score": False, "name": True})
