@@ -30,6 +30,47 @@ def tail_probability(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) ->
     return pd.Series([upper_tail(*map(int, x)) for x in zip(a, b, c, d)], dtype=float)
 
 
+def beta_share(a: float, b: float, x: float) -> float:
+    """Regularized incomplete beta function, by its continued fraction."""
+    if x <= 0 or x >= 1:
+        return 0.0 if x <= 0 else 1.0
+    if x > (a + 1) / (a + b + 2):
+        return 1 - beta_share(b, a, 1 - x)
+    tiny, value, c, d = 1e-300, 1.0, 1.0, 0.0
+    for i in range(500):
+        m = i // 2
+        if i == 0:
+            term = 1.0
+        elif i % 2 == 0:
+            term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        else:
+            term = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        d = 1 / (1 + term * d if abs(1 + term * d) > tiny else tiny)
+        c = 1 + term / c if abs(1 + term / c) > tiny else tiny
+        value *= c * d
+        if i and abs(1 - c * d) < 1e-14:
+            break
+    front = math.exp(a * math.log(x) + b * math.log(1 - x) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)) / a
+    return front * (value - 1)
+
+
+@F.pandas_udf(T.DoubleType())
+def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
+    """Two-sided p of Student's t."""
+    return pd.Series([beta_share(n / 2, 0.5, n / (n + x * x)) for x, n in zip(t, df)], dtype=float)
+
+
+@F.pandas_udf(T.DoubleType())
+def chi_square_p(x: pd.Series) -> pd.Series:
+    """Upper tail of the chi-square distribution with one degree of freedom."""
+    return pd.Series([math.erfc(math.sqrt(max(v, 0.0) / 2)) for v in x], dtype=float)
+
+
+def with_test_p_values(tests: DataFrame) -> DataFrame:
+    """Add the p-values of Welch's and Bartlett's tests to the one row of ``two_sample_tests``."""
+    return tests.withColumns({"welch_p": student_p("welch_t", "welch_df"), "bartlett_p": chi_square_p("bartlett")})
+
+
 def enrichment(user: DataFrame, universe: DataFrame, db: DataFrame, set_col: str) -> DataFrame:
     """Per region set: 2 x 2 counts of the universe (in the user set or not, overlapping the set or not), odds ratio and p.
 

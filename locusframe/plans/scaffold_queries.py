@@ -285,6 +285,13 @@ def _(s):
     return enr.clean_enrichment(enr.with_p_values(enriched(s)))
 
 
+@query("assembly_report_p_values")
+def _(s):
+    from .assembly_queries import report
+
+    return enr.with_test_p_values(asm.two_sample_tests(report(s), "tech", "HiFi", "CLR", "n50"))
+
+
 LOH_SQL = """sd AS (SELECT a.name AS region_id, a.chrom, a.start_pos, a.end_pos, sum(bp) AS bp, sum(score * bp) AS w FROM
     (SELECT r.*, CASE WHEN g.chrom IS NULL THEN 0 ELSE least(r.end_pos, g.end_pos) - greatest(r.start_pos, g.start_pos) END AS bp, g.score FROM roi r LEFT JOIN regions g ON r.chrom = g.chrom AND r.start_pos < g.end_pos AND g.start_pos < r.end_pos) a GROUP BY ALL),
   sf AS (SELECT region_id, chrom, start_pos, end_pos, round_even(coalesce(w / bp / 1000, 0), 3) AS avg_sd_pct_id, round_even(bp / (end_pos - start_pos), 3) AS avg_sd_pct_ovl FROM sd)"""

@@ -146,6 +146,15 @@ def test_enrichment_p_value():
         assert enrichment.upper_tail(a, row - a, col - a, total - row - col + a) == pytest.approx(sum(pmf(x) for x in range(a, 10)))
 
 
+def test_test_p_values(spark):
+    # tail areas from printed tables of the t and chi-square distributions
+    for t, df, p in ((2.228139, 10, 0.05), (2.0, 10, 0.0733880), (12.706205, 1, 0.05), (0.5, 30.5, 0.6206)):
+        assert enrichment.beta_share(df / 2, 0.5, df / (df + t * t)) == pytest.approx(p, abs=2e-4)
+    row = spark.createDataFrame([(2.0, 10.0, 3.841459)], "welch_t double, welch_df double, bartlett double")
+    out = enrichment.with_test_p_values(row).first()
+    assert out["welch_p"] == pytest.approx(0.07338803, abs=1e-6) and out["bartlett_p"] == pytest.approx(0.05, abs=1e-6)
+
+
 def test_clean_enrichment(spark):
     table = spark.createDataFrame([("x", 5, 0, 0, 5, float("inf"), 1e-5), ("y", 1, 2, 3, 4, 0.7, 1e-9), ("z", 1, 2, 3, 4, 3.0, 0.5)], "region_set string, support long, b long, c long, d long, odds_ratio double, q_value double")
     assert [(r[0], r[1]) for r in enrichment.clean_enrichment(table, {"x": "X sets"}).collect()] == [("X sets", 1000.0)]
