@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.columns import base_count, chromosome_rank
+from ..functions.columns import base_count, chromosome_rank, strand_code
 from .distribution import n50, quantiles, top_n_per_group
 from .lineage import written_once
-from .overlap import covered_bp, overlap_join
+from .overlap import overlap_join
 from .sweep import (
-    BLOCK, END, START, complement, edges_to_regions, interval_events, merge_intervals, next_in_order, own_shuffle,
+    BLOCK, END, START, complement, interval_events, make_windows, merge_intervals, next_in_order, own_shuffle,
     running_sums, sum_by_position, uncovered, union_all,
 )
 
@@ -107,8 +107,6 @@ def prefer_tech(df: DataFrame, tech: str) -> DataFrame:
 
 def build_alignment_table(bed: DataFrame, samples: DataFrame, chroms: DataFrame) -> DataFrame:
     """Alignments of all assemblies with population and sex, on known chromosomes, strand as a code."""
-    from ..functions.columns import strand_code
-
     known = bed.join(chroms.select("chrom"), "chrom", "left_semi")
     return with_sample(known, samples.select("sample", "super_pop", "sex")).withColumn("strand", strand_code(F.col("strand")))
 
@@ -141,8 +139,6 @@ def break_regions(aln: DataFrame, sizes: DataFrame, width: int = 100_000, assemb
     Taking the stable windows off every assembly's gaps and merging the rest over
     assemblies leaves the bases in any gap and in no stable window.
     """
-    from .sweep import make_windows
-
     gaps = written_once(complement(aln, sizes, by=assembly))  # read for the windows and for the regions
     windows = break_windows(make_windows(sizes, width), gaps, assembly)
     regions = filter_chroms(uncovered(gaps, windows.where(~F.col("is_break"))), chroms)
@@ -395,8 +391,6 @@ def segment_concordance(segments: DataFrame, aln: DataFrame, by: Sequence[str] =
 
     support is 1 for a direct hit, 0 for a shifted one, -1 for none (mapq -1, strand 0).
     """
-    from ..functions.columns import strand_code
-
     half = F.floor((F.col(END) - F.col(START)) / 2)
     moved = segments.select(ident, *by, START, END, F.posexplode(F.array(F.lit(0).cast("long"), -half, half)).alias("_try", "_shift"))
     moved = moved.select(ident, *by, "_try", (F.col(START) + F.col("_shift")).alias(START), (F.col(END) + F.col("_shift")).alias(END))

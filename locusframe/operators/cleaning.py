@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -331,8 +332,6 @@ def drop_blacklisted(df: DataFrame, hints: Sequence[str], col: str = "url") -> D
     """Rows whose path contains none of the hints, which become one pattern."""
     if not hints:
         return df
-    import re
-
     return df.where(~F.col(col).rlike("|".join(re.escape(h) for h in hints)))
 
 

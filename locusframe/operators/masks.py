@@ -5,9 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .sweep import BLOCK, END, START, edges_to_regions, interval_events, set_count_regions, state_edges, union_all, whole_sequences
+from .sweep import (
+    BLOCK, END, START, edges_to_regions, interval_events, running_sums, set_count_regions, state_edges, sum_by_position, union_all,
+    whole_sequences,
+)
 
 
 def assembly_threshold(k: int, quantifier: str, select: float = -1, select_value: str = "absolute") -> int:
@@ -82,8 +85,6 @@ def consensus_regions(
 
 def haplotype_depth(aln: DataFrame, assembly: Sequence[str] = ("sample", "tech", "hap"), block: int = BLOCK) -> DataFrame:
     """Runs of the number of assemblies covering each base."""
-    from .sweep import running_sums, sum_by_position
-
     member = [*assembly, "chrom"]
     covered = state_edges(interval_events(aln, member), member, lambda d: d > 0, block=block)
     rows = sum_by_position(covered, ["chrom"], ["step"]).where("step <> 0")
@@ -103,8 +104,6 @@ def uniform_regions(runs: DataFrame, sizes: DataFrame, n: int = 128, block: int
 
     A boundary lies before the first base whose running depth exceeds a multiple of the share.
     """
-    from .sweep import running_sums
-
     runs = runs.withColumn("mass", F.col("depth") * (F.col(END) - F.col(START)))
     share = runs.groupBy("chrom").agg(F.bround(F.sum("mass") / n).cast("long").alias("share")).where("share > 0")
     run = running_sums(runs, ["chrom"], ["mass"], pos=START, block=block).join(share, "chrom")
@@ -123,8 +122,6 @@ def uniform_regions(runs: DataFrame, sizes: DataFrame, n: int = 128, block: int
     starts = sizes.select("chrom", F.lit(0).cast("long").alias("pos")).unionByName(cuts.select("chrom", F.col("cut").alias("pos")))
     # n cuts per sequence at most, so one small window each
     edges = starts.unionByName(ends).distinct()
-    from pyspark.sql import Window as W
-
     following = F.lead("pos").over(W.partitionBy("chrom").orderBy("pos"))
     return edges.withColumn("next", following).where("next is not null").select(
         "chrom", F.col("pos").alias(START), F.col("next").alias(END)

@@ -10,7 +10,7 @@ from ..functions.columns import base_count, strand_code
 from .graph import connected_components
 from .lineage import written_once
 from .overlap import overlap_join
-from .sweep import END, START, running_sums
+from .sweep import END, START, running_sums, union_all
 
 SUBSEQ = "_subseq_"
 BASES = ["A", "C", "G", "T", "a", "c", "g", "t", "N", "n"]
@@ -249,8 +249,6 @@ def merge_stats(svs: DataFrame, merged: DataFrame, edges: DataFrame) -> DataFram
         merged.where("members > 1").groupBy("members").agg(n.alias("value")).select(F.concat(F.lit("members_"), F.col("members").cast("string")).alias("key"), "value"),
         merged.where("members > 1").groupBy("num_samples").agg(n.alias("value")).select(F.concat(F.lit("samples_"), F.col("num_samples").cast("string")).alias("key"), "value"),
     ]
-    from .sweep import union_all
-
     return union_all(parts)
 
 

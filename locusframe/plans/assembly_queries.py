@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import strand_code
 from ..operators import assemblies as asm
 from ..operators import overlap, sweep
-from .interval_queries import ASSEMBLY, ONE_SET, PER_ASSEMBLY, confident, depth_sql, islands_sql
+from .interval_queries import ASSEMBLY, ONE_SET, PER_ASSEMBLY, confident, islands_sql
 from .registry import query
 
 OVERLAPS = "a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos"

@@ -185,11 +185,9 @@ def _(s):
     return readers.read_bedgraph(s.spark, stored(s, s.track.select(line("chrom", "start_pos", "end_pos", "depth"))))
 
 
-def per_file(s, df, key: str) -> str:
-    """One text file per key value, named by it."""
-    path = scratch_path(s.spark)
-    df.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(F.struct("i", "value"))).getField("value"), "\n").alias("value")).select(key, "value").write.partitionBy(key).text(path)
-    return path
+def of_sample(df):
+    """Sample from the folder of the file."""
+    return df.withColumn("sample", F.regexp_extract("file", "sample=(S[0-9]+)", 1)).drop("file")
 
 
 @query("read_key_value", "SELECT sample, count(*) AS num_rows, CAST(sum(end_pos - start_pos) AS BIGINT) AS total_bp, round(avg(mapq), 3) AS pct_mapq FROM aln GROUP BY sample")
@@ -198,8 +196,7 @@ def _(s):
     rows = sums.select("sample", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.concat_ws("\t", F.lit(c), F.col(c).cast("string")).alias("value")) for i, c in enumerate(["num_rows", "total_bp", "pct_mapq"])])).alias("x")).select("sample", "x.*")
     path = scratch_path(s.spark)
     rows.repartition("sample").select("sample", "value").write.partitionBy("sample").text(path)
-    parts = [readers.read_key_value(s.spark, f"{path}/sample=S{i}", ["num_rows", "total_bp", "pct_mapq"]).withColumn("sample", F.lit(f"S{i}")) for i in range(8)]
-    return union_all(parts).drop("file")
+    return of_sample(readers.read_key_value(s.spark, path, ["num_rows", "total_bp", "pct_mapq"]))
 
 
 def report_files(s):
@@ -220,19 +217,14 @@ def report_files(s):
 REPORT = "rp AS (SELECT sample, count(*) AS n, count(*) FILTER (strand = '+') AS p, max(mapq) AS m FROM aln GROUP BY sample)"
 
 
-def each_sample(s, read):
-    path = report_files(s)
-    return union_all([read(f"{path}/sample=S{i}").withColumn("sample", F.lit(f"S{i}")) for i in range(8)]).drop("file")
-
-
 @query("read_numbered_report", f"WITH {REPORT} SELECT sample, p AS aligned, CAST(m AS DOUBLE) AS best_pct FROM rp")
 def _(s):
-    return each_sample(s, lambda path: readers.read_numbered_report(s.spark, path, {5: "aligned", 8: "best_pct"}))
+    return of_sample(readers.read_numbered_report(s.spark, report_files(s), {5: "aligned", 8: "best_pct"}))
 
 
 @query("read_gene_counts", f"WITH {REPORT} SELECT sample, n AS complete, p AS partial FROM rp")
 def _(s):
-    return each_sample(s, lambda path: readers.read_gene_counts(s.spark, path, 9))
+    return of_sample(readers.read_gene_counts(s.spark, report_files(s), 9))
 
 
 @query(
@@ -242,7 +234,7 @@ def _(s):
       UNION ALL SELECT sample, 'REF_Alignments_AvgIdentity', NULL, round(p / n * 100, 2) FROM rp UNION ALL SELECT sample, 'QRY_Alignments_AvgIdentity', m, NULL FROM rp""",
 )
 def _(s):
-    return each_sample(s, lambda path: readers.read_sectioned_report(s.spark, path)).where("metric not like '%genes'")
+    return of_sample(readers.read_sectioned_report(s.spark, report_files(s))).where("metric not like '%genes'")
 
 
 @query(

@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.columns import strand_code
-
 BED_TYPES = {
     "chrom": "string", "start_pos": "bigint", "end_pos": "bigint", "name": "string", "score": "string", "mapq": "int", "strand": "string",
     "depth": "double", "contig": "string",
@@ -192,15 +190,15 @@ def read_key_value(spark: SparkSession, path, keys: Sequence[str], numeric: dict
 
     Keys naming a share, a coverage or Gbp (``pct``, ``percent``, ``cov``, ``Gbp``) become double, others bigint, unless typed in ``numeric``.
     """
-    rows = _csv(spark, path, "key string, value string").select("key", "value", F.col("_metadata.file_name").alias("file"))
+    rows = _csv(spark, path, "key string, value string").select("key", "value", F.col("_metadata.file_path").alias("file"))
     kind = lambda k: (numeric or {}).get(k) or ("double" if any(x in k for x in ("pct", "percent", "cov", "Gbp")) else "bigint")
     return rows.groupBy("file").agg(*[F.max(F.when(F.col("key") == k, F.col("value"))).cast(kind(k)).alias(k) for k in keys])
 
 
 def report_lines(spark: SparkSession, path) -> DataFrame:
-    """(file, line from 1, text) of small report files, each read whole."""
+    """(file path, line from 1, text) of small report files, each read whole."""
     files = spark.read.text(path, wholetext=True)
-    return files.select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "text")).withColumn("line", F.col("line") + 1)
+    return files.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "text")).withColumn("line", F.col("line") + 1)
 
 
 def read_numbered_report(spark: SparkSession, path, metrics: dict[int, str]) -> DataFrame:

@@ -140,3 +140,28 @@ def test_chop_and_blocks(spark):
     assert lengths == [("b_read0", 500), ("b_read1", 500), ("c_read0", 500), ("c_read1", 500), ("c_read2", 500)]
     blocks = spark.createDataFrame([("k", "A" * 5 + "NN" + "A" * 6 + "NN" + "A" * 3)], "name string, seq string")
     assert [tuple(r)[1:] for r in cleaning.split_blocks(blocks, 10, "NN").orderBy("contig_no").collect()] == [(0, 0, 5), (0, 1, 6), (1, 2, 3)]
+
+
+def test_alignment_table_prunes(spark, tmp_path):
+    """Filters reach the stored table: technology as a partition, mapq as a pushed filter, and only the columns used are read."""
+    from locusframe.operators import assemblies
+
+    bed = spark.createDataFrame([("chr1", 0, 10, "c", 60, "+", "S1", "HiFi", 10), ("chr9", 0, 9, "c", 60, ".", "S1", "CLR", 10)],
+                                "chrom string, start_pos long, end_pos long, contig string, mapq int, strand string, sample string, tech string, hap int")
+    samples = spark.createDataFrame([("S1", "F", "EUR")], "sample string, sex string, super_pop string")
+    chroms = spark.createDataFrame([("chr1", 100)], "chrom string, size long")
+    table = assemblies.build_alignment_table(bed, samples, chroms)
+    assert [r["strand"] for r in table.collect()] == [1]
+    assemblies.write_alignment_table(table, str(tmp_path / "store"))
+    out = assemblies.filter_mapq(spark.read.parquet(str(tmp_path / "store")).where("tech = 'HiFi'"), 50).select("chrom", "start_pos", "end_pos")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(mapq,50)" in plan and "PartitionFilters: [isnotnull(tech" in plan and "contig" not in plan
+    assert out.count() == 1
+
+
+def test_same_file_name_in_two_folders(spark, tmp_path):
+    for folder, n in (("a", 3), ("b", 5)):
+        (tmp_path / folder).mkdir()
+        put(tmp_path / folder / "stats.tsv", f"num_reads\t{n}\ncov_total\t1.5\n")
+    out = readers.read_key_value(spark, str(tmp_path / "*"), ["num_reads", "cov_total"])
+    assert sorted((r["num_reads"], r["cov_total"]) for r in out.collect()) == [(3, 1.5), (5, 1.5)]
