@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,8 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path in the shared folder the session names, in a temporary folder only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="locusframe-")
+    """A new path in the shared folder that spark.checkpoint.dir names.
+
+    Where none is named, a temporary folder serves a local session only; on a
+    cluster executors would each write to a disk of their own, so it is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="locusframe-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
