@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.lineage import scratch_path
-from . import packing, token_counts, token_files
+from . import merkle, mixing, packing, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,16 @@ def op6_token_files(spark, sf_dir):
     return token_files.token_file_digest(spark, path)
 
 
+@query("op7_pareto_mix", mixing.mix_sql())
+def op7_pareto_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+
+
+@query("op9_merkle", merkle.edit_report_sql())
+def op9_merkle(spark, sf_dir):
+    return merkle.edit_report(table(spark, sf_dir, "documents"))
+
+
 @query("op10_best_two_fit")
 def op10_best_two_fit(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, size=1024)
