@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.lineage import scratch_path
-from . import merkle, mixing, packing, token_counts, token_files
+from . import merkle, mixing, packing, quality, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,6 +45,11 @@ def op7_pareto_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
 
 
+@query("op8_quality")
+def op8_quality(spark, sf_dir):
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 @query("op9_merkle", merkle.edit_report_sql())
 def op9_merkle(spark, sf_dir):
     return merkle.edit_report(table(spark, sf_dir, "documents"))
