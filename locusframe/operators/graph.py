@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .lineage import written_once
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Rows (node, component) for every node with an edge; the component is its least node.
 
     Each round takes the least label among the neighbours and then the label of
@@ -15,9 +15,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     the loop ends when nothing changes.
     """
     both = edges.select(F.col(src).alias("node"), F.col(dst).alias("other"))
-    both = both.unionByName(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct().checkpoint()
+    both = written_once(both.unionByName(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct())
     labels = written_once(both.groupBy("node").agg(F.min("other").alias("_m")).select("node", F.least("node", "_m").alias("component")))
-    for _ in range(max_rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("_near"))
         step = labels.join(near, "node").select("node", "component", F.least("component", "_near").alias("_low"))
         jump = labels.select(F.col("node").alias("_low"), F.col("component").alias("_jump"))
@@ -26,4 +26,3 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         labels = moved.drop("_moved")
         if moved.where("_moved").isEmpty():
             return labels
-    raise RuntimeError(f"components not settled after {max_rounds} rounds")
