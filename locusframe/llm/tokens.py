@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import json
 import re
-
-import numpy as np
+import struct
 
 #: Pieces that a worker remembers in one generation; it keeps two.
-PIECES = 300_000
+PIECES = 500_000
 
 # The pre-token pattern of the byte-level vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -22,6 +21,10 @@ BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 _L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\\t-\\r \x85\xa0"
 LATIN = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 
+# Byte-level vocabularies write a byte as a printable character: itself where it prints, else one from U+0100 on.
+_PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTES = dict(zip([b for b in range(256) if b not in _PRINTS], map(chr, range(256, 512))))
+
 _PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
 
 
@@ -72,16 +75,30 @@ class Pieces:
                 self.kind = "word"
         self.any_text, self.latin = regex.compile(BYTE_LEVEL), re.compile(LATIN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.model = self.library.model
         self.memory = Memory(self._word if self.kind == "word" else self._piece)
 
+    def pre_token(self, piece: str) -> list[int]:
+        """Ids of one pre-token of a byte-level vocabulary: the merges alone."""
+        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTES))]
+
     def _piece(self, piece: str) -> bytes:
-        return np.array(self.library.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if piece in self.special:
+            ids = [self.special[piece]]
+        elif self.kind == "byte":
+            ids = self.pre_token(piece)
+        else:
+            ids = self.library.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
         """Letters of Latin-1 with marks behind them are two pieces; lower case of these letters depends on no neighbour."""
         m = _PLAIN.fullmatch(word)
         if m and (m[2] or word != word.lower()):
             return self.memory[m[1].lower()] + (self.memory[m[2]] if m[2] else b"")
+        if m:
+            ids = self.pre_token(word)
+            return struct.pack(f"<{len(ids)}I", *ids)
         return self._piece(word)
 
     def pre_tokens(self, text: str) -> list[str]:
@@ -99,7 +116,7 @@ class Pieces:
         if self.kind == "whole":
             return [text] if text else []
         if self.kind == "word":
-            return text.split(" ")
+            return text.replace("\n", " ").split(" ")
         if self.cut is None or not any(s in text for s in self.special):
             return self.pre_tokens(text)
         return [p for part in self.cut.split(text) for p in ([part] if part in self.special else self.pre_tokens(part))]
