@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.lineage import scratch_path
-from . import jaccard, lm, merkle, mixing, packing, quality, token_counts, token_files
+from . import jaccard, linededup, lm, merkle, mixing, packing, quality, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,11 @@ def op1_kneser_ney(spark, sf_dir):
     return lm.score_held_out(table(spark, sf_dir, "documents"), order=2)
 
 
+@query("op2_line_dedup")
+def op2_line_dedup(spark, sf_dir):
+    return linededup.line_report(table(spark, sf_dir, "documents"), min_words=50)
+
+
 @query("op3_jaccard_join")
 def op3_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=80)
