@@ -34,7 +34,7 @@ def _surplus(n: int) -> int:
 
 
 def classes(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, class, class2, n_shingles), one for each row of docs; class and class2 are null without words."""
+    """Rows (doc_id, text_hash, class, class2, n_shingles), one for each row of docs; class and class2 are null without words."""
     common.ship(docs.sparkSession)
 
     def take(batches):
@@ -46,9 +46,9 @@ def classes(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: s
                 found = [shingles.words(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
                 keys = [shingles.sequence_class(f) if f else (None, None) for f in found]
                 n = [len(shingles.shingle_set(f, words)) for f in found]
-                yield pa.record_batch([part.column("doc_id"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "class", "class2", "n_shingles"])
+                yield pa.record_batch([part.column("doc_id"), part.column("text_hash"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "text_hash", "class", "class2", "n_shingles"])
 
-    return common.texts(docs, id_col, text_col).mapInArrow(take, "doc_id long, class long, class2 long, n_shingles long")
+    return common.texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text")).mapInArrow(take, "doc_id long, text_hash long, class long, class2 long, n_shingles long")
 
 
 def shared_counts(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -248,7 +248,7 @@ def links(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id), one for each row of docs.
+    """Rows (doc_id, n_shingles, component_id, text_hash), one for each row of docs.
 
     A set is the distinct `words`-word shingles of a whole text (the whole sequence
     where it is shorter); two documents link when 100 * intersection >= percent *
@@ -270,4 +270,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     named = parts.join(groups, "component").select("class", "least")
     heads = written_once(heads.join(named, "class", "left").select("class", "class2", F.coalesce("least", "head").alias("component_id")))
     linked = facts.join(heads, ["class", "class2"], "left")
-    return linked.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return linked.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "text_hash")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, with one document of each component: that of the smallest id.
+
+    Of rows that repeat id and text one stays. Texts without words and rows without an
+    id stay. What goes is looked up by id and a hash of the text.
+    """
+    near = written_once(near_duplicates(docs, words, percent, id_col, text_col).select("doc_id", "component_id", "text_hash"))
+    known = near.where("doc_id IS NOT NULL")
+    gone = written_once(known.where("doc_id <> component_id").select("doc_id", "text_hash").distinct())
+    again = written_once(known.where("doc_id = component_id").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash"))
+    names = [f"`{c}`" for c in docs.columns]
+    rows = docs.withColumn("_id", F.col(id_col).cast("long")).withColumn("_hash", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+
+    def matched(rows, ids, how):
+        ids = ids.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"))
+        small = ids.count() <= BROADCAST_IDS
+        return rows.join(F.broadcast(ids) if small else ids, (F.col("_id") == F.col("_i")) & (F.col("_hash") == F.col("_h")), how)
+
+    rows = matched(rows, gone, "left_anti")
+    if not again.isEmpty():
+        rows = matched(rows, again, "left_anti").unionByName(matched(rows, again, "left_semi").dropDuplicates(["_id", "_hash"]))
+    return rows.select(*names)

@@ -45,26 +45,29 @@ def uniform(key: Column) -> Column:
     return (F.conv(F.substring(key, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Rows (doc_id, source, size, source_size, target, copies, taken), one for each row of docs.
+def document_key(seed: int, id_col: str, text_col: str) -> Column:
+    """A checksum of the seed, the id and the text."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("null")), F.md5(text)))
 
-    size: words of the text, 0 for a null or empty one; taken: copies times size.
-    The random number of a document depends on the seed, its id and text, so reruns
-    agree; rows that repeat have equal numbers and are taken one by one. Null ids and
-    a null source are values like others. Other columns are left out.
-    """
+
+def pareto_odds(u: Column, p: Column) -> Column:
+    """Random odds over inclusion odds; null where nothing is left to chance."""
+    return F.when(p > 0, (u / (1 - u)) * ((1 - p) / p))
+
+
+def draw(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """Rows (doc_id, source, size, source_size, target, _key, _odds, _whole, _first, _last), one for each row of docs."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.md5(text)))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text, F.lit(common.WORD)).cast("long").alias("size"), key.alias("_key"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text, F.lit(common.WORD)).cast("long").alias("size"), document_key(seed, id_col, text_col).alias("_key"))
     rows = written_once(rows.withColumn("_row", F.monotonically_increasing_id()))
     targets = written_once(source_targets(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), weights, most))
 
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     p, u = F.col("_rate") - F.floor("_rate"), uniform(F.col("_key"))
-    odds = F.when(F.col("_p") > 0, (F.col("_u") / (1 - F.col("_u"))) * ((1 - F.col("_p")) / F.col("_p")))
     facts = targets.select(F.col("source").alias("_source"), "n", "source_size", "target")
     rows = rows.join(facts, rows["source"].eqNullSafe(facts["_source"])).drop("_source")
-    rows = rows.withColumn("_rate", rate).withColumn("_p", p).withColumn("_u", u).withColumn("_odds", odds)
+    rows = rows.withColumn("_rate", rate).withColumn("_p", p).withColumn("_u", u).withColumn("_odds", pareto_odds(F.col("_u"), F.col("_p")))
 
     # buckets in order of the odds; the source's own inclusion odds spread them evenly
     even = F.col("_odds") * (F.col("_p") / (1 - F.col("_p")))
@@ -85,11 +88,43 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
     left = rows.where(~F.col("_first") & F.col("_odds").isNotNull())
     left = left.join(missing, left["source"].eqNullSafe(missing["_s"])).withColumn("_off", F.abs(F.col("_missing") - F.col("size"))).where(F.col("_off") < F.col("_missing"))
     last = left.groupBy("source").agg(F.min(F.struct("_off", "_odds", "_key", "_row")).alias("_best")).select(F.col("_best._row").alias("_row"), F.lit(1).alias("_last"))
-    rows = rows.join(last, "_row", "left")
-    copies = F.col("_whole") + F.when(F.col("_first") | F.col("_last").isNotNull(), 1).otherwise(0)
+    return rows.join(last, "_row", "left").withColumn("_last", F.col("_last").isNotNull())
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Rows (doc_id, source, size, source_size, target, copies, taken), one for each row of docs.
+
+    size: words of the text, 0 for a null or empty one; taken: copies times size.
+    The random number of a document depends on the seed, its id and text, so reruns
+    agree; rows that repeat have equal numbers and are taken one by one. Null ids and
+    a null source are values like others. Other columns are left out.
+    """
+    rows = draw(docs, weights, most, seed, id_col, text_col, source_col)
+    copies = F.col("_whole") + F.when(F.col("_first") | F.col("_last"), 1).otherwise(0)
     return rows.withColumn("copies", copies.cast("long")).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs, all columns, each as often as the mix takes it.
+
+    A source's extra documents are those up to a place in its order and one more, so
+    one row for each source decides for every document; texts are not moved. Rows that
+    repeat an id and a text are decided together.
+    """
+    rows = draw(docs, weights, most, seed, id_col, text_col, source_col)
+    last = F.when(F.col("_last"), F.col("_key"))
+    facts = written_once(rows.groupBy("source").agg(F.first("target").alias("_target"), F.first("source_size").alias("_size"), F.max(F.when(F.col("_first"), F.struct("_odds", "_key"))).alias("_upto"), F.max(last).alias("_one")))
+    facts = facts.select(F.col("source").alias("_source"), F.when(F.col("_size") > 0, F.col("_target") / F.col("_size")).otherwise(F.lit(0.0)).alias("_rate"), "_upto", "_one")
+    names = docs.columns
+    held = docs.withColumn("_mix_key", document_key(seed, id_col, text_col))
+    held = held.join(facts, held[source_col].cast("string").eqNullSafe(facts["_source"]))
+    odds = pareto_odds(uniform(F.col("_mix_key")), F.col("_rate") - F.floor("_rate"))
+    extra = F.coalesce(F.struct(odds.alias("_odds"), F.col("_mix_key").alias("_key")) <= F.col("_upto"), F.lit(False)) & odds.isNotNull()
+    extra = extra | F.coalesce(F.col("_mix_key") == F.col("_one"), F.lit(False))
+    copies = F.floor("_rate").cast("int") + F.when(extra, 1).otherwise(0)
+    return held.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*[f"`{c}`" for c in names])
+
+
 def mix_sql(seed: int = 0) -> str:
     """The same for the table documents with weights 1, 2, 3 and at most 3 copies, for DuckDB."""
     return f"""
