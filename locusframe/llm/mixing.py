@@ -69,10 +69,11 @@ def draw(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int, id_col
     rows = rows.join(facts, rows["source"].eqNullSafe(facts["_source"])).drop("_source")
     rows = rows.withColumn("_rate", rate).withColumn("_p", p).withColumn("_u", u).withColumn("_odds", pareto_odds(F.col("_u"), F.col("_p")))
 
-    # buckets in order of the odds; the source's own inclusion odds spread them evenly
+    # buckets in order of the odds; the source's own inclusion odds spread them evenly;
+    # documents without chance are only dealt out
     even = F.col("_odds") * (F.col("_p") / (1 - F.col("_p")))
     parts = 1 + F.floor(F.col("n") / BUCKET_ROWS)
-    rows = rows.withColumn("_bucket", F.coalesce(F.least(F.floor(even / (1 + even) * parts), parts - 1), F.lit(-1)))
+    rows = rows.withColumn("_bucket", F.when(F.col("_odds").isNotNull(), F.least(F.floor(even / (1 + even) * parts), parts - 1)).otherwise(-1 - F.pmod("_row", parts)))
     by = ["source", "_bucket"]
     running = Window.partitionBy(*by).orderBy("_odds", "_key", "_row").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_in_bucket", F.sum("size").over(running))
