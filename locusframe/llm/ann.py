@@ -20,7 +20,7 @@ from .folder import Folder
 #: Nodes in a shard, about.
 SHARD_NODES = 8192
 #: Edges of a node, length of the beam when a graph is built and when it is searched.
-DEGREE, BUILD_BEAM, SEARCH_BEAM = 32, 64, 160
+DEGREE, BUILD_BEAM, SEARCH_BEAM = 48, 64, 256
 ALPHA = 1.2
 #: Searches that run side by side in numpy.
 TOGETHER = 256

@@ -15,7 +15,7 @@ from ..operators.lineage import written_once
 from . import common
 
 #: Documents in a bucket of the running sums.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4096
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:

@@ -17,7 +17,7 @@ from . import common, tokens
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Rows in a bucket of the ranking.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4096
 
 
 def two_fit_plan(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int, int]]:
