@@ -224,7 +224,7 @@ def links(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     grams = written_once(prefixes(sets, percent))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)))
     banded = grams.withColumn("band", band)
-    heads = written_once(banded.groupBy("gram", "band").agg(F.min(F.struct("class", "n", "pos")).alias("head"), F.count("*").alias("k")).where("k > 1").select("gram", "band", F.col("head.class").alias("y"), F.col("head.n").alias("ny"), F.col("head.pos").alias("py")))
+    heads = written_once(banded.groupBy("gram", "band").agg(F.min(F.struct("pos", "class", "n")).alias("head"), F.count("*").alias("k")).where("k > 1").select("gram", "band", F.col("head.class").alias("y"), F.col("head.n").alias("ny"), F.col("head.pos").alias("py")))
     met = banded.join(heads, ["gram", "band"]).where(F.col("class") != F.col("y"))
     fit = lambda nx, px, ny, py: alike(nx, ny, F.least(nx - px, ny - py), percent) & (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny))
     met = met.where(fit(F.col("n"), F.col("pos"), F.col("ny"), F.col("py"))).groupBy("class", "y").agg(F.count("*").alias("k"))
