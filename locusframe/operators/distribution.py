@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from .sweep import BLOCK, running_sums
 
@@ -29,14 +29,27 @@ def histogram(df: DataFrame, by: Sequence[str], value: str, weight: Column | Non
 
 
 def _keyed(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    return (df, list(by)) if by else (df.withColumn("_all", F.lit(0)), ["_all"])
+    """Keys as one-field structs, which are never NULL themselves, so a NULL group is a group like others."""
+    return (df.withColumns({k: F.struct(F.col(k).alias("key")) for k in by}), list(by)) if by else (df.withColumn("_all", F.lit(0)), ["_all"])
+
+
+def _plain(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.withColumns({k: F.col(f"{k}.key") for k in by}).drop("_all")
+
+
+def _value_block(hist: DataFrame, block: float) -> float:
+    """The width of a block of values: ``block`` for whole numbers, else so that it holds about as many rows."""
+    if not isinstance(hist.schema["value"].dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return block
+    one = hist.agg(F.min("value").cast("double"), F.max("value").cast("double"), F.count(F.lit(1))).first()
+    return max((one[1] - one[0]) * min(1.0, (1 << 16) / one[2]), 1e-12) if one[2] else block
 
 
 def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], block: float = BLOCK, weight: Column | None = None) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per entry of ``probs``."""
     hist = histogram(df, by, value, weight)
     hist, keys = _keyed(hist, by)
-    run = running_sums(hist, keys, ["n"], pos="value", block=block)
+    run = running_sums(hist, keys, ["n"], pos="value", block=_value_block(hist, block))
     run = run.join(hist.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
     aggs = []
     for name, p in probs.items():
@@ -48,7 +61,7 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, flo
             F.min(F.when(F.col("cum_n") > high, F.col("value"))).alias(f"_hi_{name}"),
             F.max(rank - low).alias(f"_f_{name}"),
         ]
-    out = run.groupBy(*keys).agg(*aggs)
+    out = _plain(run.groupBy(*keys).agg(*aggs), by)
     return out.select(
         *by,
         *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).cast("double").alias(n) for n in probs],
@@ -57,16 +70,15 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, flo
 
 def describe_by(df: DataFrame, keys: Sequence[str], value: str, block: float = BLOCK) -> DataFrame:
     """count, mean, std (sample), min, quartiles and max per group."""
-    keyed, by = _keyed(df, keys)
-    basic = keyed.where(F.col(value).isNotNull()).groupBy(*by).agg(
+    basic = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    parts = quantiles(keyed, by, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, block)
-    return basic.join(parts, by).drop("_all")
+    parts = quantiles(df, keys, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, block)
+    return same_keys(basic, parts, keys)
 
 
 def n50(df: DataFrame, by: Sequence[str], length: str, method: str = "standard", block: int = BLOCK) -> DataFrame:
@@ -86,7 +98,7 @@ def n50(df: DataFrame, by: Sequence[str], length: str, method: str = "standard",
         found = F.min(F.when(2 * F.col("cum_bp") <= F.col("total"), F.col("value")))
     else:
         raise ValueError(f"unknown method {method!r}")
-    return run.groupBy(*keys).agg(found.alias("n50")).drop("_all")
+    return _plain(run.groupBy(*keys).agg(found.alias("n50")), by)
 
 
 def running_total(df: DataFrame, by: Sequence[str], length: str, block: int = BLOCK) -> DataFrame:
@@ -95,17 +107,17 @@ def running_total(df: DataFrame, by: Sequence[str], length: str, block: int = BL
     hist, keys = _keyed(hist, by)
     hist = hist.withColumn("down", -F.col("value")).withColumn("bp", F.col("value") * F.col("n"))
     run = running_sums(hist, keys, ["n", "bp"], pos="down", block=block)
-    return run.select(*by, F.col("value").alias("length"), "n", "cum_n", "cum_bp")
+    return _plain(run, by).select(*by, F.col("value").alias("length"), "n", "cum_n", "cum_bp")
 
 
 def pct_rank_desc(df: DataFrame, by: Sequence[str], value: str, block: float = BLOCK) -> DataFrame:
     """Add ``pct_rank``: share of the group's rows with a value at least as great."""
     hist = histogram(df, by, value)
     hist, keys = _keyed(hist, by)
-    run = running_sums(hist.withColumn("down", -F.col("value")), keys, ["n"], pos="down", block=block)
-    run = run.join(hist.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
+    run = running_sums(hist.withColumn("down", -F.col("value")), keys, ["n"], pos="down", block=_value_block(hist, block))
+    run = _plain(run.join(hist.groupBy(*keys).agg(F.sum("n").alias("total")), keys), by)
     ranks = run.select(*by, F.col("value").alias("_v"), (F.col("cum_n") / F.col("total")).alias("pct_rank"))
-    on = [F.col(value) == F.col("_v")] + [F.col(k) == F.col(f"_k_{k}") for k in by]
+    on = [F.col(value) == F.col("_v")] + [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
     return df.join(ranks.withColumnsRenamed({k: f"_k_{k}" for k in by}), on, "left").drop("_v", *[f"_k_{k}" for k in by])
 
 

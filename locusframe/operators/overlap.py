@@ -12,9 +12,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .sweep import BLOCK, END, START, at_both_ends, edges_to_regions, interval_events, own_shuffle, state_edges
+from .sweep import BLOCK, END, START, at_both_ends, edges_to_regions, exact, fractional, interval_events, own_shuffle, state_edges
 
 # A set of n rows is listed n + (its bases / WIDTH) times; choose a width near
 # the typical length of the longer side.
@@ -96,8 +96,10 @@ def _hit_events(b: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def _area_events(track: DataFrame, by: Sequence[str], value: Column, slope: str, moment: str) -> DataFrame:
     """Events for the integral of ``value``: up to x it is x * (sum of slopes) - (sum of moments)."""
-    events = interval_events(track, by, value.cast("long"))
-    return events.select(*by, "pos", F.col("step").alias(slope), (F.col("step") * F.col("pos")).alias(moment))
+    events = interval_events(track, by, value)
+    # a decimal step keeps its digits in the product
+    pos = F.col("pos").cast("decimal(12,0)") if isinstance(events.schema["step"].dataType, T.DecimalType) else F.col("pos")
+    return events.select(*by, "pos", F.col("step").alias(slope), (F.col("step") * pos).alias(moment))
 
 
 def _area(slope: str, moment: str) -> Column:
@@ -171,18 +173,19 @@ def region_average(
 ) -> DataFrame:
     """Per region: size, covered bases, depth sum, mean over the size (mean0) and over the covered bases.
 
-    ``track`` is a depth track: its rows do not overlap.
+    ``track`` is a depth track: its rows do not overlap. A fractional depth counts
+    to 6 digits and gives a fractional sum.
     """
     events = _stacked(
         [
-            _area_events(track, by, F.col(value), "slope", "moment"),
-            _area_events(track.where(F.col(value) != 0), by, F.lit(1), "one", "spot"),
+            _area_events(track, by, exact(track, value) if fractional(track, value) else F.col(value).cast("long"), "slope", "moment"),
+            _area_events(track.where(F.col(value) != 0), by, F.lit(1).cast("long"), "one", "spot"),
         ]
     )
     cols = ["slope", "moment", "one", "spot"]
     out = at_both_ends(regions, events, by, cols, cols, block=block)
     size = (F.col(END) - F.col(START)).cast("long")
-    out = out.select(*regions.columns, size.alias("size"), _area("one", "spot").alias("covered"), _area("slope", "moment").alias("total"))
+    out = out.select(*regions.columns, size.alias("size"), _area("one", "spot").alias("covered"), (_area("slope", "moment").cast("double") if fractional(track, value) else _area("slope", "moment")).alias("total"))
     return out.withColumn("mean0", F.col("total") / F.col("size")).withColumn(
         "mean", F.coalesce(F.try_divide("total", "covered"), F.lit(0.0))
     )
@@ -216,13 +219,21 @@ def padded_lookup(a: DataFrame, b: DataFrame, pad: int = 100_000, ident: str = "
     return out.withColumn("near_ids", joined("id")).withColumn("near_sizes", joined("size")).drop("found")
 
 
-def pair_combinations(df: DataFrame, key: str, carry: Sequence[str] = ()) -> DataFrame:
-    """Unordered pairs of the rows of a short list (files, sets, scaffolds of one contig), keys ascending."""
-    item = F.struct(F.col(key), *[F.col(c) for c in carry])
-    listed = df.groupBy().agg(F.array_sort(F.collect_list(item)).alias("all"))
-    first = listed.select("all", F.posexplode("all").alias("i", "a"))
-    both = first.select("a", F.explode(F.expr("slice(all, i + 2, size(all))")).alias("b"))
-    return both.select(*[F.col(f"{s}.{c}").alias(f"{c}_{s}") for c in [key, *carry] for s in "ab"])
+def pair_combinations(df: DataFrame, key: str, carry: Sequence[str] = (), parts: int = 8) -> DataFrame:
+    """Unordered pairs of rows, keys ascending.
+
+    The result has as many rows as there are pairs. Rows are dealt into ``parts`` by their key and
+    meet in one cell for each two parts, an equi-join that spreads over the tasks.
+    """
+    rows = df.select(key, *carry).withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)))
+    cell = lambda x, y: F.least(x, y) * parts + F.greatest(x, y)
+    rows = rows.withColumn("_with", F.explode(F.array(*[F.lit(i).cast("long") for i in range(parts)])))
+    rows = rows.withColumn("_cell", cell(F.col("_part"), F.col("_with")))
+    a, b = _suffixed(rows, "_a"), _suffixed(rows, "_b")
+    met = cell(F.col("_part_a"), F.col("_part_b")) == F.col("_cell_a")
+    # inside a part every cell lists the same pairs; the part's own cell is taken
+    pairs = a.join(b, (F.col("_cell_a") == F.col("_cell_b")) & met & (F.col(f"{key}_a") < F.col(f"{key}_b")))
+    return pairs.select(*[F.col(f"{c}_{s}") for c in [key, *carry] for s in "ab"])
 
 
 def interval_jaccard(df: DataFrame, set_col: str, block: int = BLOCK) -> DataFrame:

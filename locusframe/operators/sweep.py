@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 BLOCK = 1 << 18
 START, END = "start_pos", "end_pos"
@@ -45,6 +45,15 @@ def own_shuffle(keys: Sequence[str]) -> list[Column]:
     return [F.col(k) for k in keys] + [F.xxhash64(*keys).alias("_own")]
 
 
+def fractional(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+
+
+def exact(df: DataFrame, c: str) -> Column:
+    """A measure whose sums and differences are exact: whole numbers as they are, fractions as decimals of 6 digits."""
+    return F.col(c).cast("decimal(19,6)") if fractional(df, c) else F.col(c)
+
+
 def interval_events(df: DataFrame, by: Sequence[str], weight: Column | None = None, gap: int = 0) -> DataFrame:
     """+weight at the start, -weight at the end (moved right by ``gap``), as column ``step``."""
     w = F.lit(1).cast("long") if weight is None else weight
@@ -161,9 +170,11 @@ def at_both_ends(
     where = [*by, START, END]
     ends = F.array(*[F.struct(F.lit(side).alias("side"), F.col(c).cast("long").alias("pos")) for side, c in (("s", START), ("e", END))])
     points = a.select(*where).distinct().select(*where, F.explode(ends).alias("p")).select(*where, "p.*")
-    asked = points.select(*by, "pos", *[F.lit(None).cast("long").alias(m) for m in every], F.lit(1).alias("_asked"))
-    rows = events.select(*by, "pos", *[F.col(m).cast("long").alias(m) for m in every], F.lit(0).alias("_asked")).unionByName(asked)
-    rows = sum_by_position(rows, by, sums, lasts=[*lasts, "_asked"], nexts=nexts).fillna(0, sums)
+    kinds = {m: events.schema[m].dataType for m in every}
+    asked = points.select(*by, "pos", *[F.lit(None).cast(kinds[m]).alias(m) for m in every], F.lit(1).alias("_asked"))
+    rows = events.select(*by, "pos", *every, F.lit(0).alias("_asked")).unionByName(asked)
+    rows = sum_by_position(rows, by, sums, lasts=[*lasts, "_asked"], nexts=nexts)
+    rows = rows.withColumns({m: F.coalesce(m, F.lit(0).cast(kinds[m])) for m in sums})
     run = running_sums(rows, by, sums, block=block, lasts=lasts, nexts=nexts).where("_asked = 1")
     wanted = [("s", f"cum_{m}", m) for m in at_start] + [("s", f"last_{m}", m) for m in lasts]
     wanted += [("e", f"cum_{m}", m) for m in at_end] + [("e", f"first_{m}", m) for m in nexts]
@@ -286,13 +297,12 @@ def make_windows(sizes: DataFrame, width: int) -> DataFrame:
 
 
 def depth_runs(df: DataFrame, by: Sequence[str] = ("chrom",), weight: str | None = None, block: int = BLOCK) -> DataFrame:
-    """Maximal runs of equal non-zero depth, or of the summed ``weight``."""
-    w = None if weight is None else F.col(weight)
+    """Maximal runs of equal non-zero depth, or of the summed ``weight``; fractional weights count to 6 digits."""
+    w = None if weight is None else exact(df, weight)
     rows = sum_by_position(interval_events(df, by, w), by, ["step"]).where("step <> 0")
     run = running_sums(rows, by, ["step"], block=block)
-    return run.where("cum_step <> 0").select(
-        *by, F.col("pos").alias(START), F.col("next_pos").alias(END), F.col("cum_step").alias("depth")
-    )
+    depth = F.col("cum_step").cast("double") if weight is not None and fractional(df, weight) else F.col("cum_step")
+    return run.where("cum_step <> 0").select(*by, F.col("pos").alias(START), F.col("next_pos").alias(END), depth.alias("depth"))
 
 
 def merge_tracks(*tracks: DataFrame, block: int = BLOCK) -> DataFrame:
