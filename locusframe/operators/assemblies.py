@@ -18,10 +18,19 @@ from .sweep import (
 ASSEMBLY = ["sample", "tech", "hap"]
 
 
+#: Entries that a short list (assemblies, haplotypes, technologies) may have.
+FEW = 10_000
+
+
 def with_each(df: DataFrame, few: DataFrame) -> DataFrame:
-    """Every row of ``df`` beside every row of ``few``, a short list such as the assemblies, held as one array."""
-    listed = few.distinct().groupBy(F.lit(0).alias("_one")).agg(F.collect_list(F.struct(*few.columns)).alias("_all"))
-    return df.withColumn("_one", F.lit(0)).join(listed, "_one").select(*df.columns, F.explode("_all").alias("_x")).select(*df.columns, "_x.*")
+    """Every row of ``df`` beside every row of ``few``, for results that list all combinations.
+
+    ``few`` is a short list such as the assemblies: more than ``FEW`` entries are an error. It
+    is one array in a scalar subquery, so no join is run.
+    """
+    listed = few.distinct().limit(FEW + 1).agg(F.collect_list(F.struct(*few.columns)).alias("all"))
+    checked = F.when(F.size("all") <= FEW, F.col("all")).otherwise(F.raise_error(F.lit(f"a list of more than {FEW} entries")))
+    return df.select(*df.columns, F.explode(listed.select(checked).scalar()).alias("_x")).select(*df.columns, "_x.*")
 
 
 # --- samples and selections -------------------------------------------------
@@ -196,9 +205,8 @@ def roi_hit_classes(stats: DataFrame, assembly: Sequence[str] = ASSEMBLY) -> Dat
     per = stats.groupBy("roi").agg(
         n(pct > 99.999).alias("complete"), n((pct > 0) & (pct < 99.999)).alias("partial"), n(pct < 0.0001).alias("zero"), F.count(F.lit(1)).alias("rows")
     )
-    total = stats.select(*assembly).distinct().groupBy(F.lit(0).alias("_one")).agg(F.count(F.lit(1)).alias("total"))
-    out = per.withColumn("_one", F.lit(0)).join(total, "_one")
-    return out.select("roi", "complete", "partial", (F.col("zero") + F.col("total") - F.col("rows")).alias("missing"))
+    total = stats.select(*assembly).distinct().agg(F.count(F.lit(1))).scalar()
+    return per.select("roi", "complete", "partial", (F.col("zero") + total - F.col("rows")).alias("missing"))
 
 
 def alt_coverage(aln: DataFrame, sizes: DataFrame, min_mapq: int = 60, assembly: Sequence[str] = ASSEMBLY, suffix: str = "_alt") -> DataFrame:
@@ -271,8 +279,8 @@ def length_summary(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def length_remainders(summary: DataFrame, key: str, base: str) -> DataFrame:
     """Total length of the ``base`` set minus that of every other set, and their ratio."""
-    whole = summary.where(F.col(key) == base).select(F.lit(0).alias("_one"), F.col("total_length").alias("_base"))
-    rest = summary.where(F.col(key) != base).withColumn("_one", F.lit(0)).join(whole, "_one")
+    whole = summary.where(F.col(key) == base).select("total_length").scalar()
+    rest = summary.where(F.col(key) != base).withColumn("_base", whole)
     return rest.select(key, (F.col("_base") - F.col("total_length")).alias("remaining"), F.bround(F.col("_base") / F.col("total_length"), 2).alias("ratio"))
 
 

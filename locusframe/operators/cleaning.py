@@ -180,8 +180,8 @@ def match_names(names: DataFrame, chroms: DataFrame) -> DataFrame:
 
     Works on distinct names and holds the reference names, one per chromosome, in one array.
     """
-    known = chroms.select("chrom").distinct().groupBy(F.lit(0).alias("_one")).agg(F.collect_list("chrom").alias("_known"))
-    rows = names.select("name").distinct().withColumn("_one", F.lit(0)).join(known, "_one")
+    known = chroms.select("chrom").distinct().agg(F.collect_list("chrom")).scalar()
+    rows = names.select("name").distinct().withColumn("_known", known)
     prefixed = F.concat(F.lit("chr"), "name")
     direct = F.when(F.array_contains("_known", F.col("name")), F.col("name")).when(F.array_contains("_known", prefixed), prefixed)
     rows = rows.withColumn("direct", direct)

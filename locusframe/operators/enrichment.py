@@ -8,9 +8,8 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from .assemblies import with_each
 from .lineage import written_once
-from .overlap import coverage_counts
+from .overlap import coverage_counts, overlap_join
 from .sweep import END, START, disjoin
 
 
@@ -78,12 +77,16 @@ def enrichment(user: DataFrame, universe: DataFrame, db: DataFrame, set_col: str
     The universe is cut into disjoint pieces and the user set redefined as the pieces it overlaps.
     """
     pieces = disjoin(universe)
-    in_user = coverage_counts(pieces, user).select("chrom", START, END, (F.col("num_overlaps") > 0).alias("_user"))
-    every = with_each(in_user, db.select(set_col))
-    hits = coverage_counts(every, db, by=[set_col, "chrom"])
-    inside, hit = F.col("_user"), F.col("num_overlaps") > 0
-    n = lambda test: F.sum(test.cast("long"))
-    out = hits.groupBy(set_col).agg(n(inside & hit).alias("support"), n(~inside & hit).alias("b"), n(inside & ~hit).alias("c"), n(~inside & ~hit).alias("d"))
+    in_user = written_once(coverage_counts(pieces, user).select("chrom", START, END, (F.col("num_overlaps") > 0).alias("_user")))
+    sets = db.select("chrom", START, END, set_col)
+    # only pieces that a set hits are listed; the others follow from the totals
+    hits = overlap_join(in_user, sets, width=1024).select("chrom", START, END, "_user", F.col(f"{set_col}_b").alias(set_col)).distinct()
+    inside = F.col("_user")
+    n = lambda test: F.coalesce(F.sum(test.cast("long")), F.lit(0))
+    found = hits.groupBy(set_col).agg(n(inside).alias("support"), n(~inside).alias("b"))
+    out = db.select(set_col).distinct().join(found, set_col, "left").fillna(0, ["support", "b"])
+    users, others = in_user.agg(n(inside)).scalar(), in_user.agg(n(~inside)).scalar()
+    out = out.withColumns({"c": users - F.col("support"), "d": others - F.col("b")})
     odds = F.when((F.col("b") == 0) | (F.col("c") == 0), F.lit(float("inf"))).otherwise(F.col("support") * F.col("d") / (F.col("b") * F.col("c")))
     return out.withColumn("odds_ratio", odds)
 

@@ -216,12 +216,12 @@ def read_name_checks(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def coverage_stats(hist: DataFrame, lengths: DataFrame, cap: int = 1001, n_inputs: int = 1) -> DataFrame:
+def coverage_stats(hist: DataFrame, lengths: DataFrame, cap: int | None = None, n_inputs: int = 1) -> DataFrame:
     """Mean, population std, covered and uncovered bases per sequence of a depth histogram (seq, depth, count).
 
-    Depths above ``cap`` count as ``cap``; bases without depth come from the length.
+    With ``cap``, depths above it count as ``cap``; bases without depth come from the length.
     """
-    depth = F.least("depth", F.lit(cap)).cast("double")
+    depth = (F.col("depth") if cap is None else F.least("depth", F.lit(cap))).cast("double")
     sums = hist.where("depth > 0").groupBy("seq").agg(
         F.sum("count").alias("covered"), F.sum(depth * F.col("count")).alias("s1"), F.sum(depth * depth * F.col("count")).alias("s2")
     )
