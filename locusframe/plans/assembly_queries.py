@@ -60,11 +60,11 @@ def _(s):
 
 @query(
     "prefer_tech",
-    """WITH t AS (SELECT chrom, start_pos, sample, tech FROM aln WHERE NOT (sample IN ('S1', 'S2') AND tech = 'HiFi')),
+    """WITH t AS (SELECT chrom, start_pos, sample, CASE WHEN sample IN ('S1', 'S2') THEN 'CLR' ELSE tech END AS tech FROM aln),
       k AS (SELECT sample, count(DISTINCT tech) AS n FROM t GROUP BY sample) SELECT t.* FROM t JOIN k ON t.sample = k.sample WHERE n = 1 OR tech = 'HiFi'""",
 )
 def _(s):
-    rows = s.aln.where("not (sample in ('S1', 'S2') and tech = 'HiFi')").select("chrom", "start_pos", "sample", "tech")
+    rows = s.aln.withColumn("tech", F.when(F.col("sample").isin("S1", "S2"), "CLR").otherwise(F.col("tech"))).select("chrom", "start_pos", "sample", "tech")
     return asm.prefer_tech(rows, "HiFi")
 
 
@@ -89,13 +89,13 @@ def _(s):
 
 @query(
     "missing_samples",
-    """WITH p AS (SELECT DISTINCT sample, tech AS platform FROM aln WHERE NOT (sample = 'S1' AND tech = 'CLR')),
+    """WITH p AS (SELECT DISTINCT sample, CASE WHEN sample = 'S1' THEN 'HiFi' ELSE tech END AS platform FROM aln),
       w AS (SELECT sample, platform FROM samples JOIN (SELECT 'HiFi' AS platform UNION ALL SELECT 'CLR') ON platform = 'CLR' OR sex = 'female')
       SELECT sample, platform, 'missing' AS problem FROM w WHERE sample <> 'S3' AND (sample, platform) NOT IN (SELECT (sample, platform) FROM p)
       UNION ALL SELECT sample, platform, 'skipped' FROM w WHERE sample = 'S3' AND (sample, platform) IN (SELECT (sample, platform) FROM p)""",
 )
 def _(s):
-    present = s.aln.where("not (sample = 'S1' and tech = 'CLR')").withColumnRenamed("tech", "platform")
+    present = s.aln.withColumn("platform", F.when(F.col("sample") == "S1", "HiFi").otherwise(F.col("tech")))
     table = skips(s).withColumn("HiFi", (F.col("sex") == "female").cast("int")).withColumn("CLR", F.lit(1))
     return asm.consistency(present, table, ["HiFi", "CLR"])
 
@@ -210,26 +210,26 @@ def _(s):
 
 @query(
     "concatenated_offsets",
-    """WITH z AS (SELECT concat('chr', p_size % 25 + 1, '_', p_partkey, '_alt') AS chrom, p_partkey % 700 + 100 AS size, p_size % 25 + 1 AS rank FROM part WHERE p_size % 25 < 22)
+    """WITH z AS (SELECT concat('chr', p_size % 22 + 1, '_', p_partkey, '_alt') AS chrom, p_partkey % 700 + 100 AS size, p_size % 22 + 1 AS rank FROM part)
       SELECT chrom, size, CAST(rank AS INTEGER) AS rank, CAST(sum(size) OVER w - size AS BIGINT) AS concat_start, CAST(sum(size) OVER w AS BIGINT) AS concat_end FROM z
       WINDOW w AS (ORDER BY rank, size DESC, chrom ROWS UNBOUNDED PRECEDING)""",
 )
 def _(s):
-    sizes = s.sql("SELECT concat('chr', p_size % 25 + 1, '_', p_partkey, '_alt') AS chrom, p_partkey % 700 + 100 AS size FROM part WHERE p_size % 25 < 22")
+    sizes = s.sql("SELECT concat('chr', p_size % 22 + 1, '_', p_partkey, '_alt') AS chrom, p_partkey % 700 + 100 AS size FROM part")
     return asm.concat_offsets(sizes)
 
 
-CLASSES = ["ECONOMY", "STANDARD", "PROMO"]
+CLASSES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def region_cover(s):
     """Coverage of every region by each technology's alignments, the region class as the set."""
     rows = s.regions.select("chrom", "start_pos", "end_pos", "name", F.col("cls").alias("region_set"))
     both = asm.with_each(rows, s.aln.select("tech"))
-    return overlap.coverage(both, s.aln.where("mapq = 60"), by=["tech", "chrom"])
+    return overlap.coverage(both, s.aln, by=["tech", "chrom"])
 
 
-COVER = f"""t60 AS (SELECT tech, chrom, start_pos, end_pos FROM aln WHERE mapq = 60), {islands_sql('t60', 'tech, chrom', 'm6')},
+COVER = f"""t60 AS (SELECT tech, chrom, start_pos, end_pos FROM aln), {islands_sql('t60', 'tech, chrom', 'm6')},
   cov AS (SELECT tech, name, cls, a.end_pos - a.start_pos AS length, CAST(coalesce((SELECT sum({BP}) FROM m6 b WHERE b.tech = t.tech AND {OVERLAPS}), 0) AS BIGINT) AS covered_bp, a.chrom, a.start_pos, a.end_pos
     FROM regions a CROSS JOIN (SELECT DISTINCT tech FROM aln) t)"""
 
@@ -314,13 +314,13 @@ def _(s):
 
 @query(
     "completeness",
-    f"""WITH o AS (SELECT tech, a.chrom, a.start_pos, a.end_pos, a.name, sum({BP}) AS bp, any_value(score) / 10 AS acc FROM regions a JOIN (SELECT * FROM aln WHERE mapq = 60) b ON {OVERLAPS} GROUP BY ALL),
+    f"""WITH o AS (SELECT tech, a.chrom, a.start_pos, a.end_pos, a.name, sum({BP}) AS bp, any_value(score) / 10 AS acc FROM regions a JOIN aln b ON {OVERLAPS} GROUP BY ALL),
       f AS (SELECT *, round_even(bp / (end_pos - start_pos) * 100, 2) AS frac FROM o)
       SELECT tech, chrom, start_pos, end_pos, name, 'count' AS stat_type, CAST(bp AS DOUBLE) AS coverage FROM f UNION ALL SELECT tech, chrom, start_pos, end_pos, name, 'fraction', frac FROM f
       UNION ALL SELECT tech, chrom, start_pos, end_pos, name, 'accessible', round(100 - round_even(abs(acc - frac), 2), 6) FROM f""",
 )
 def _(s):
-    pairs = overlap.overlap_join(s.regions.select("chrom", "start_pos", "end_pos", "name"), s.aln.where("mapq = 60").select("chrom", "start_pos", "end_pos", "tech"))
+    pairs = overlap.overlap_join(s.regions.select("chrom", "start_pos", "end_pos", "name"), s.aln.select("chrom", "start_pos", "end_pos", "tech"))
     ovl = pairs.select("chrom", "start_pos", "end_pos", "name", F.col("tech_b").alias("tech"), F.col("bp").alias("coverage"))
     profile = s.regions.select("name", (F.col("score") / 10).alias("accessible_pct"))
     return asm.completeness(ovl, profile, ["tech"]).withColumn("coverage", F.round("coverage", 6))
@@ -328,9 +328,9 @@ def _(s):
 
 @query(
     "read_completeness",
-    """WITH o AS (SELECT r.name, sum(least(r.end_pos, t.end_pos) - greatest(r.start_pos, t.start_pos)) AS covered, sum((least(r.end_pos, t.end_pos) - greatest(r.start_pos, t.start_pos)) * depth) AS total
+    """WITH o AS (SELECT r.name, sum(least(r.end_pos, t.end_pos) - greatest(r.start_pos, t.start_pos)) AS covered, CAST(sum((least(r.end_pos, t.end_pos) - greatest(r.start_pos, t.start_pos)) * CAST(depth AS DECIMAL(19, 2))) AS DOUBLE) AS total
         FROM roi r JOIN track t ON r.chrom = t.chrom AND r.start_pos < t.end_pos AND t.start_pos < r.end_pos WHERE depth <> 0 GROUP BY r.name),
-      f AS (SELECT r.name, coalesce(covered, 0) AS c, round_even(coalesce(covered, 0) / 2000 * 100, 2) AS frac, coalesce(total, 0) / 2000 AS m0, coalesce(total / covered, 0) AS m FROM roi r LEFT JOIN o ON r.name = o.name)
+      f AS (SELECT r.name, coalesce(covered, 0) AS c, round_even(coalesce(covered, 0) / (r.end_pos - r.start_pos) * 100, 2) AS frac, coalesce(total, 0) / (r.end_pos - r.start_pos) AS m0, coalesce(total / covered, 0) AS m FROM roi r LEFT JOIN o ON r.name = o.name)
       SELECT name, 'count' AS stat_type, CAST(c AS DOUBLE) AS coverage FROM f UNION ALL SELECT name, 'fraction', frac FROM f UNION ALL SELECT name, 'accessible', round(100 - round_even(abs(95.5 - frac), 2), 6) FROM f
       UNION ALL SELECT name, 'average', round(m0, 6) FROM f UNION ALL SELECT name, 'nz_avg', round(m, 6) FROM f""",
 )
@@ -340,14 +340,14 @@ def _(s):
     return out.select("name", "stat_type", F.round("coverage", 6).alias("coverage"))
 
 
-SV = f"""q AS (SELECT * FROM aln WHERE mapq >= 40), asms AS (SELECT DISTINCT tech, hap FROM aln),
+SV = f"""q AS (SELECT * FROM aln), asms AS (SELECT DISTINCT tech, hap FROM aln),
   o AS (SELECT a.name, b.tech, b.hap, sum({BP}) AS bp FROM sv a JOIN q b ON {OVERLAPS} GROUP BY ALL),
   x AS (SELECT s.name, svtype, asms.tech, asms.hap, coalesce(bp, 0) AS bp, end_pos - start_pos AS svlen FROM sv s CROSS JOIN asms LEFT JOIN o ON o.name = s.name AND o.tech = asms.tech AND o.hap = asms.hap),
   r AS (SELECT *, CASE WHEN svtype = 'INS' THEN CASE WHEN bp > 0 THEN 100.0 ELSE 0.0 END ELSE round_even(bp / svlen * 100, 2) END AS ratio FROM x)"""
 
 
 def sv_ratios(s):
-    pairs = overlap.overlap_join(s.sv.select("chrom", "start_pos", "end_pos", "name"), s.aln.where("mapq >= 40").select("chrom", "start_pos", "end_pos", "tech", "hap"))
+    pairs = overlap.overlap_join(s.sv.select("chrom", "start_pos", "end_pos", "name"), s.aln.select("chrom", "start_pos", "end_pos", "tech", "hap"))
     bp = pairs.groupBy("name", F.col("tech_b").alias("platform"), F.col("hap_b").alias("hap")).agg(F.sum("bp").alias("bp_aln"))
     svs = s.sv.select("name", "svtype", (F.col("end_pos") - F.col("start_pos")).alias("svlen"))
     dense = asm.with_each(svs, s.aln.select(F.col("tech").alias("platform"), "hap"))
@@ -375,7 +375,7 @@ def _(s):
 
 @query(
     "best_overlap_shift",
-    """WITH seg AS (SELECT name AS segment, chrom, cls, start_pos, end_pos FROM regions), al AS (SELECT chrom, start_pos, end_pos, mapq, strand FROM aln WHERE mapq = 50 AND tech = 'HiFi' AND sample = 'S2'),
+    """WITH seg AS (SELECT name AS segment, concat(chrom, ':S', start_pos % 8, ':', score % 7 * 10) AS chrom, start_pos, end_pos FROM regions), al AS (SELECT concat(chrom, ':', sample, ':', mapq) AS chrom, start_pos, end_pos, mapq, strand FROM aln),
       t AS (SELECT segment, chrom, 0 AS k, start_pos, end_pos FROM seg UNION ALL SELECT segment, chrom, 1, start_pos - (end_pos - start_pos) // 2, end_pos - (end_pos - start_pos) // 2 FROM seg
         UNION ALL SELECT segment, chrom, 2, start_pos + (end_pos - start_pos) // 2, end_pos + (end_pos - start_pos) // 2 FROM seg),
       o AS (SELECT segment, k, least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos) AS bp, mapq, strand, b.start_pos AS s, b.end_pos AS e FROM t a JOIN al b ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos),
@@ -385,8 +385,10 @@ def _(s):
       SELECT segment, CASE WHEN direct IS NOT NULL THEN 1 WHEN mapq IS NOT NULL THEN 0 ELSE -1 END AS support, coalesce(mapq, -1) AS mapq FROM d""",
 )
 def _(s):
-    segments = s.regions.select(F.col("name").alias("segment"), "chrom", "start_pos", "end_pos")
-    out = asm.segment_concordance(segments, s.aln.where("mapq = 50 and tech = 'HiFi' and sample = 'S2'"), by=["chrom"])
+    group = F.expr("concat(chrom, ':S', start_pos % 8, ':', score % 7 * 10)")
+    segments = s.regions.select(F.col("name").alias("segment"), group.alias("chrom"), "start_pos", "end_pos")
+    aln = s.aln.withColumn("chrom", F.expr("concat(chrom, ':', sample, ':', mapq)"))
+    out = asm.segment_concordance(segments, aln, by=["chrom"])
     return out.select("segment", "support", "mapq")
 
 
@@ -434,8 +436,8 @@ def _(s):
 
 def matrix_parts(s):
     region = s.regions.select("chrom", "start_pos", "end_pos", "name")
-    hifi = overlap.coverage(region, s.aln.where("mapq = 60 and tech = 'HiFi'"))
-    marks = overlap.coverage(region, s.sv.where("svtype = 'DEL'"))
+    hifi = overlap.coverage(region, s.aln)
+    marks = overlap.coverage(region, s.sv.withColumn("end_pos", F.col("start_pos") + 10 + F.col("num_samples") * 10))
     scores = overlap.map_mean(region, s.sv.withColumn("score", F.col("num_samples") * 100), min_frac=0.25)
     avg = overlap.region_average(region, s.track)
     profile = asm.nuc_profile(region.withColumn("seq", F.col("name")))
@@ -462,10 +464,10 @@ LABELS = {
     "REF1_REF_0_nucprof_bp_nucN": "0",
     "REF1_REF_0_nucprof_pct_nucN": "0",
 }
-MATRIX = f"""hs AS (SELECT chrom, start_pos, end_pos FROM aln WHERE mapq = 60 AND tech = 'HiFi'), {islands_sql('hs', 'chrom', 'hm')}, ds AS (SELECT chrom, start_pos, end_pos FROM sv WHERE svtype = 'DEL'), {islands_sql('ds', 'chrom', 'dm')},
+MATRIX = f"""hs AS (SELECT chrom, start_pos, end_pos FROM aln), {islands_sql('hs', 'chrom', 'hm')}, ds AS (SELECT chrom, start_pos, start_pos + 10 + num_samples * 10 AS end_pos FROM sv), {islands_sql('ds', 'chrom', 'dm')},
   h AS (SELECT a.name, sum({BP}) AS bp FROM regions a JOIN hm b ON {OVERLAPS} GROUP BY a.name), d AS (SELECT a.name, sum({BP}) AS bp FROM regions a JOIN dm b ON {OVERLAPS} GROUP BY a.name),
   sc AS (SELECT a.name, avg(num_samples * 100) AS m FROM regions a JOIN sv b ON {OVERLAPS} WHERE {BP} >= 0.25 * (a.end_pos - a.start_pos) GROUP BY a.name),
-  t AS (SELECT a.name, sum({BP}) AS c, sum(({BP}) * depth) AS tot FROM regions a JOIN track b ON {OVERLAPS} WHERE depth <> 0 GROUP BY a.name),
+  t AS (SELECT a.name, sum({BP}) AS c, CAST(sum(({BP}) * CAST(depth AS DECIMAL(19, 2))) AS DOUBLE) AS tot FROM regions a JOIN track b ON {OVERLAPS} WHERE depth <> 0 GROUP BY a.name),
   mx AS (SELECT a.chrom, a.start_pos, a.end_pos, a.name, {', '.join(f'round(CAST({e} AS DOUBLE), 6) AS "{n}"' for n, e in LABELS.items())}
     FROM regions a LEFT JOIN h ON a.name = h.name LEFT JOIN d ON a.name = d.name LEFT JOIN sc ON a.name = sc.name LEFT JOIN t ON a.name = t.name)"""
 

@@ -51,8 +51,8 @@ def _(s):
 @query("read_sizes", "SELECT chrom, size, (SELECT CAST(sum(size) AS BIGINT) FROM chroms) AS genome_size FROM chroms")
 def _(s):
     sizes = readers.read_sizes(s.spark, stored(s, s.chroms.select(line("chrom", "size", F.lit(7), F.lit(60)))))
-    total = readers.total_length(sizes).withColumn("_one", F.lit(0))
-    return sizes.withColumn("_one", F.lit(0)).join(total, "_one").drop("_one")
+    total = readers.total_length(sizes)
+    return sizes.withColumn(total.columns[0], total.scalar())
 
 
 @query("read_fasta", f"SELECT name, md5({CLEAN}) AS digest, length({CLEAN}) AS len FROM reads")
@@ -68,11 +68,11 @@ def _(s):
     return lines.groupBy("lines").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("read_fastq", f"SELECT name, md5({CLEAN}) AS digest, '@' || left({CLEAN}, 5) AS qual FROM reads")
+@query("read_fastq", f"SELECT name, md5({CLEAN}) AS digest, md5(CASE WHEN {CLEAN} = '' THEN '' ELSE '@' || substr({CLEAN}, 2) END) AS qual FROM reads")
 def _(s):
-    rows = flat_reads(s).withColumn("qual", F.concat(F.lit("@"), F.substring("seq", 1, 5)))  # a quality line may start like a header
+    rows = flat_reads(s).withColumn("qual", F.when(F.col("seq") == "", "").otherwise(F.concat(F.lit("@"), F.expr("substring(seq, 2)"))))  # a quality line may start like a header
     back = readers.read_fastq(s.spark, stored(s, rows, writers.write_fastq))
-    return back.select("name", F.md5("seq").alias("digest"), "qual")
+    return back.select("name", F.md5("seq").alias("digest"), F.md5("qual").alias("qual"))
 
 
 @query("fastq_to_fasta", f"SELECT name, md5({CLEAN}) AS digest FROM reads")
@@ -248,12 +248,12 @@ def _(s):
     return readers.with_file_metadata(files)
 
 
-@query("write_by_class", "SELECT chrom, start_pos, end_pos, name, cls FROM regions WHERE cls = 'PROMO' UNION ALL SELECT chrom, start_pos, end_pos, name, 'all' FROM regions")
+@query("write_by_class", "SELECT chrom, start_pos, end_pos, name, cls FROM regions UNION ALL SELECT chrom, start_pos, end_pos, name, 'all' FROM regions")
 def _(s):
     path = stored(s, s.regions.select("chrom", "start_pos", "end_pos", "name", "cls"), lambda df, p: writers.write_by_class(df, "cls", p))
     kinds = {"start_pos": "long", "end_pos": "long"}
-    one = readers.read_table(s.spark, f"{path}/by_class/_class=PROMO", types=kinds)
-    return one.unionByName(readers.read_table(s.spark, f"{path}/all", types=kinds).withColumn("cls", F.lit("all")))
+    each = [readers.read_table(s.spark, f"{path}/by_class/_class={c}", types=kinds) for c in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")]
+    return union_all(each).unionByName(readers.read_table(s.spark, f"{path}/all", types=kinds).withColumn("cls", F.lit("all")))
 
 
 @query("concat_parts", f"SELECT {BED} FROM aln")
@@ -540,11 +540,11 @@ def _(s):
 
 @query(
     "symmetric_difference",
-    """WITH a AS (SELECT DISTINCT chrom, start_pos FROM aln WHERE mapq = 0), b AS (SELECT DISTINCT chrom, start_pos FROM sv)
+    """WITH a AS (SELECT DISTINCT chrom, start_pos FROM aln), b AS (SELECT DISTINCT chrom, start_pos FROM sv)
       SELECT *, 'a' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'b' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""",
 )
 def _(s):
-    return cleaning.symmetric_difference(s.aln.where("mapq = 0"), s.sv, ["chrom", "start_pos"])
+    return cleaning.symmetric_difference(s.aln, s.sv, ["chrom", "start_pos"])
 
 
 @query("union_all", "SELECT chrom, start_pos, end_pos FROM aln UNION ALL SELECT chrom, start_pos, end_pos FROM regions")
@@ -553,14 +553,14 @@ def _(s):
     return union_all([s.aln.select(*cols), s.regions.select(*cols)])
 
 
-@query("set_difference", "SELECT chrom, start_pos FROM aln WHERE mapq = 0 EXCEPT SELECT chrom, start_pos FROM sv")
+@query("set_difference", "SELECT chrom, start_pos FROM aln EXCEPT SELECT chrom, start_pos FROM sv")
 def _(s):
-    return cleaning.set_difference(s.aln.where("mapq = 0"), s.sv, ["chrom", "start_pos"])
+    return cleaning.set_difference(s.aln, s.sv, ["chrom", "start_pos"])
 
 
-@query("intersect", "SELECT chrom, start_pos FROM aln WHERE mapq = 0 INTERSECT SELECT chrom, start_pos FROM sv")
+@query("intersect", "SELECT chrom, start_pos FROM aln INTERSECT SELECT chrom, start_pos FROM sv")
 def _(s):
-    return cleaning.shared_keys(s.aln.where("mapq = 0"), s.sv, ["chrom", "start_pos"])
+    return cleaning.shared_keys(s.aln, s.sv, ["chrom", "start_pos"])
 
 
 @query("multi_key_sort", "SELECT cls, score, name FROM regions")

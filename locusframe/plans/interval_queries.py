@@ -55,11 +55,11 @@ def _(s):
     "overlap_left",
     """SELECT a.chrom, a.start_pos, a.end_pos, a.name, b.start_pos AS start_pos_b, b.end_pos AS end_pos_b, b.tech AS tech_b,
        CASE WHEN b.chrom IS NULL THEN 0 ELSE least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos) END AS bp
-       FROM regions a LEFT JOIN (SELECT * FROM aln WHERE mapq >= 60) b
+       FROM regions a LEFT JOIN aln b
        ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos""",
 )
 def _(s):
-    b = s.aln.where("mapq >= 60").select("chrom", "start_pos", "end_pos", "tech")
+    b = s.aln.select("chrom", "start_pos", "end_pos", "tech")
     return overlap.overlap_join(s.regions.select("chrom", "start_pos", "end_pos", "name"), b, how="left", width=1024)
 
 
@@ -88,35 +88,35 @@ def _(s):
     "overlap_anti",
     """SELECT chrom, start_pos, end_pos, contig FROM aln a
        WHERE NOT EXISTS (SELECT 1 FROM roi b WHERE a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos)
-       AND NOT EXISTS (SELECT 1 FROM sv b WHERE b.num_samples = 6 AND a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos)""",
+       AND NOT EXISTS (SELECT 1 FROM sv b WHERE a.chrom = b.chrom AND a.start_pos < b.start_pos + 10 + num_samples * 10 AND b.start_pos < a.end_pos)""",
 )
 def _(s):
     a = s.aln.select("chrom", "start_pos", "end_pos", "contig")
-    return overlap.overlap_anti(a, s.roi, s.sv.where("num_samples = 6"))
+    return overlap.overlap_anti(a, s.roi, s.sv.withColumn("end_pos", F.col("start_pos") + 10 + F.col("num_samples") * 10))
 
 
 @query(
     "overlap_padded",
     """SELECT r.chrom, r.start_pos, r.end_pos, r.name, coalesce(string_agg(b.name, ',' ORDER BY b.name), 'none') AS near_ids,
        coalesce(string_agg(CAST(b.end_pos - b.start_pos AS VARCHAR), ',' ORDER BY b.name), 'none') AS near_sizes
-       FROM roi r LEFT JOIN (SELECT * FROM sv WHERE svtype = 'DEL' AND num_samples > 0) b
+       FROM roi r LEFT JOIN sv b
        ON r.chrom = b.chrom AND r.start_pos - 1000 < b.end_pos AND b.start_pos - 1000 < r.end_pos GROUP BY ALL""",
 )
 def _(s):
-    return overlap.padded_lookup(s.roi, s.sv.where("svtype = 'DEL' and num_samples > 0"), pad=1000)
+    return overlap.padded_lookup(s.roi, s.sv, pad=1000)
 
 
 @query(
     "nearest_distance",
     """WITH d AS (SELECT a.name, a.cls, a.chrom, min(greatest(b.start_pos - a.end_pos, a.start_pos - b.end_pos, 0)) AS distance
-         FROM regions a LEFT JOIN (SELECT * FROM sv WHERE num_samples = 0) b ON a.chrom = b.chrom GROUP BY ALL)
+         FROM regions a LEFT JOIN (SELECT chrom, start_pos, start_pos + 10 AS end_pos FROM sv) b ON a.chrom = b.chrom GROUP BY ALL)
        SELECT cls, quantile_cont(distance, 0.5) AS median_distance, round(avg(distance), 6) AS mean_distance, count(distance) AS n
        FROM d GROUP BY cls""",
 )
 def _(s):
     from ..operators.distribution import describe_by
 
-    near = overlap.nearest(s.regions, s.sv.where("num_samples = 0"))
+    near = overlap.nearest(s.regions, s.sv.withColumn("end_pos", F.col("start_pos") + 10))
     out = describe_by(near, ["cls"], "distance")
     return out.select("cls", F.col("q50").alias("median_distance"), F.round("mean", 6).alias("mean_distance"), F.col("count").alias("n"))
 
@@ -167,11 +167,11 @@ def _(s):
 
 @query(
     "multi_intersect",
-    f"""WITH t AS (SELECT tech, chrom, start_pos, end_pos FROM aln WHERE mapq = 60), {islands_sql('t', 'tech, chrom', 'm')}, {depth_sql('m')}
+    f"""WITH t AS (SELECT tech, chrom, start_pos, end_pos FROM aln), {islands_sql('t', 'tech, chrom', 'm')}, {depth_sql('m')}
       SELECT chrom, start_pos, end_pos, 'CLR,HiFi' AS set_names FROM r WHERE depth = 2""",
 )
 def _(s):
-    return sweep.multi_intersect(s.aln.where("mapq = 60"), "tech", ["HiFi", "CLR"])
+    return sweep.multi_intersect(s.aln, "tech", ["HiFi", "CLR"])
 
 
 @query("disjoin", f"WITH {depth_sql('sv', zero_steps='')} SELECT chrom, start_pos, end_pos FROM r WHERE depth > 0")
@@ -192,7 +192,7 @@ def _(s):
 
 @query(
     "coverage",
-    f"""WITH q AS (SELECT chrom, start_pos, end_pos FROM aln WHERE mapq < 20), {islands_sql('q', 'chrom', 'm')},
+    f"""WITH q AS (SELECT chrom, start_pos, end_pos FROM aln), {islands_sql('q', 'chrom', 'm')},
       h AS (SELECT a.name, count(b.chrom) AS num_overlaps FROM regions a LEFT JOIN q b
             ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos GROUP BY a.name),
       c AS (SELECT a.name, sum(least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos)) AS bp FROM regions a JOIN m b
@@ -202,7 +202,7 @@ def _(s):
       FROM regions a JOIN h ON a.name = h.name LEFT JOIN c ON a.name = c.name""",
 )
 def _(s):
-    out = overlap.coverage(s.regions.select("chrom", "start_pos", "end_pos", "name"), s.aln.where("mapq < 20"))
+    out = overlap.coverage(s.regions.select("chrom", "start_pos", "end_pos", "name"), s.aln)
     return out.withColumn("fraction", F.round("fraction", 6))
 
 
@@ -247,20 +247,20 @@ def _(s):
     "region_average",
     """WITH o AS (SELECT r.name, least(r.end_pos, t.end_pos) - greatest(r.start_pos, t.start_pos) AS bp, depth
          FROM roi r JOIN track t ON r.chrom = t.chrom AND r.start_pos < t.end_pos AND t.start_pos < r.end_pos WHERE depth <> 0),
-       a AS (SELECT name, sum(bp) AS covered, sum(bp * depth) AS total FROM o GROUP BY name)
-       SELECT r.name, r.end_pos - r.start_pos AS size, CAST(coalesce(covered, 0) AS BIGINT) AS covered, CAST(coalesce(total, 0) AS BIGINT) AS total,
+       a AS (SELECT name, sum(bp) AS covered, CAST(sum(bp * CAST(depth AS DECIMAL(19, 2))) AS DOUBLE) AS total FROM o GROUP BY name)
+       SELECT r.name, r.end_pos - r.start_pos AS size, CAST(coalesce(covered, 0) AS BIGINT) AS covered, round(coalesce(total, 0), 6) AS total,
          round(coalesce(total, 0) / (r.end_pos - r.start_pos), 6) AS mean0, round(coalesce(total / covered, 0), 6) AS mean
        FROM roi r LEFT JOIN a ON r.name = a.name""",
 )
 def _(s):
     out = overlap.region_average(s.roi, s.track)
-    return out.select("name", "size", "covered", "total", F.round("mean0", 6).alias("mean0"), F.round("mean", 6).alias("mean"))
+    return out.select("name", "size", "covered", F.round("total", 6).alias("total"), F.round("mean0", 6).alias("mean0"), F.round("mean", 6).alias("mean"))
 
 
 @query(
     "merge_tracks",
-    f"""WITH t AS (SELECT chrom, start_pos, end_pos, depth FROM track UNION ALL SELECT chrom, start_pos, end_pos, score FROM regions),
-      {depth_sql('t', weight='depth')} SELECT * FROM r WHERE depth <> 0""",
+    """WITH t AS (SELECT chrom, start_pos, end_pos, CAST(round(depth * 100) AS BIGINT) AS depth FROM track UNION ALL SELECT chrom, start_pos, end_pos, score * 100 FROM regions),
+      """ + depth_sql("t", weight="depth") + """ SELECT chrom, start_pos, end_pos, depth / 100 AS depth FROM r WHERE depth <> 0""",
 )
 def _(s):
     return sweep.merge_tracks(s.track, s.regions.withColumnRenamed("score", "depth"))

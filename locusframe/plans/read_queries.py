@@ -106,7 +106,7 @@ def _(s):
 
 @query(
     "coverage_histogram_stats",
-    """WITH hist AS (SELECT tech AS seq, least(d, 1001) AS depth, bp FROM (SELECT tech, mapq + 1 AS d, sum(end_pos - start_pos) AS bp FROM aln GROUP BY ALL)),
+    """WITH hist AS (SELECT tech AS seq, d AS depth, bp FROM (SELECT tech, mapq + 1 AS d, sum(end_pos - start_pos) AS bp FROM aln GROUP BY ALL)),
       len AS (SELECT seq, sum(bp) * 2 AS length FROM hist GROUP BY seq),
       x AS (SELECT len.seq, any_value(length) AS length, sum(depth * bp) / any_value(length) AS m, sum(depth * depth * bp) / any_value(length) AS m2, sum(bp) AS covered
             FROM len JOIN hist ON len.seq = hist.seq GROUP BY len.seq),
@@ -297,10 +297,10 @@ def _(s):
 
 @query(
     "kmer_union_sum",
-    f"""WITH {kmer_rows(5)} SELECT kmer, count(*) AS n FROM km WHERE colour IN (0, 1) GROUP BY kmer""",
+    f"""WITH {kmer_rows(5)} SELECT kmer, count(*) AS n FROM km GROUP BY kmer""",
 )
 def _(s):
-    a, b = (kmers.kmer_count(s.reads.where(f"colour = {c}"), 5) for c in (0, 1))
+    a, b = (kmers.kmer_count(s.reads.where(f"colour % 2 = {c}"), 5) for c in (0, 1))
     return kmers.kmer_union_sum(a, b)
 
 
@@ -336,11 +336,11 @@ def _(s):
     "kmer_qv",
     f"""WITH {MASKS}, {FOLDED}, x AS (SELECT sum(n) FILTER (kmer_class IN ('Hap1_only', 'Hap_only')) AS o,
         sum(n) FILTER (kmer_class IN ('Hap1_only', 'Hap_only', 'Illumina_only', 'Hap1_Illumina', 'Hap_Illumina', 'Hap1_GRCh38', 'Hap_GRCh38', 'GRCh38_Illumina', 'GRCh38_shared')) AS t FROM classes)
-      SELECT CAST(o AS BIGINT) AS assembly_only, CAST(t AS BIGINT) AS total, round(1 - pow(1 - o / t, 1.0 / 31), 9) AS error_rate,
-        round(-10 * log10(1 - pow(1 - o / t, 1.0 / 31)), 6) AS qv FROM x""",
+      SELECT CAST(o AS BIGINT) AS assembly_only, CAST(t AS BIGINT) AS total, round(1 - pow(1 - o / t, 1.0 / 13), 9) AS error_rate,
+        round(-10 * log10(1 - pow(1 - o / t, 1.0 / 13)), 6) AS qv FROM x""",
 )
 def _(s):
-    out = kmers.kmer_qv(kmers.fold_colours(kmers.kmer_colours(s.reads, 13)), 1)
+    out = kmers.kmer_qv(kmers.fold_colours(kmers.kmer_colours(s.reads, 13)), 1, k=13)
     return out.withColumns({"error_rate": F.round("error_rate", 9), "qv": F.round("qv", 6)})
 
 
@@ -389,9 +389,9 @@ def _(s):
 def _(s):
     hits = kmers.selected_regions(_region_queries(s), "HapBoth")
     i = F.regexp_extract("name", "([0-9]+)$", 1).cast("long")
-    seqs = s.reads.withColumn("i", i).where("i % 2 = 0").select(
+    seqs = s.reads.withColumn("i", i).select(
         F.element_at(F.array(F.lit("PROM"), F.lit("ENH"), F.lit("CTCF")), (F.col("i") % 3 + 1).cast("int")).alias("region_type"),
-        F.concat(F.lit("ENSR"), F.col("i").cast("string")).alias("region_id"), F.concat(F.lit("chr"), (F.col("i") % 5 + 1).cast("string")).alias("chrom"),
+        F.concat(F.when(F.col("i") % 2 == 0, "ENSR").otherwise("OTHER"), F.col("i").cast("string")).alias("region_id"), F.concat(F.lit("chr"), (F.col("i") % 5 + 1).cast("string")).alias("chrom"),
         (F.col("i") * 100).alias("start_pos"), (F.col("i") * 101 + 31).alias("end_pos"), "seq",
     )
     return kmers.attach_sequences(hits, seqs).select("name", "chrom", "start_pos", "end_pos", F.md5("seq").alias("seq_md5"))

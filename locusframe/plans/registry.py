@@ -16,14 +16,14 @@ VIEWS = {
         CASE WHEN l_returnflag='A' THEN 'HiFi' ELSE 'CLR' END AS tech,
         CASE WHEN l_orderkey % 16 < 8 THEN 10 ELSE 20 END AS hap FROM lineitem""",
     "regions": """SELECT concat('chr', p_partkey % 5 + 1) AS chrom, p_partkey*50 + p_size AS start_pos,
-        p_partkey*50 + p_size*5 + 100 AS end_pos, concat('R', p_partkey) AS name,
+        p_partkey*50 + p_size*5 + 101 AS end_pos, concat('R', p_partkey) AS name,
         CAST(floor(p_retailprice) AS BIGINT) % 1000 AS score, p_type AS cls FROM part""",
-    "roi": """SELECT concat('chr', p_partkey % 5 + 1) AS chrom, p_partkey*50 AS start_pos, p_partkey*50 + 2000 AS end_pos,
-        concat('ROI', p_partkey) AS name FROM part WHERE p_partkey % 40 = 0""",
+    "roi": """SELECT concat('chr', p_partkey % 5 + 1) AS chrom, p_partkey*50 AS start_pos, p_partkey*50 + 61 + p_size*2 AS end_pos,
+        concat('ROI', p_partkey) AS name FROM part""",
     "chroms": """SELECT concat('chr', r_regionkey + 1) AS chrom, (SELECT count(*) FROM part)*50 + 2000 AS size FROM region""",
     "samples": """SELECT concat('S', s_suppkey) AS sample, CASE WHEN s_suppkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex,
         r_name AS super_pop, n_name AS population, concat('F', s_suppkey % 3) AS family
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey < 8""",
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "calls": """SELECT concat('chr', o_custkey % 5 + 1) AS chrom, o_orderkey*7 + 1 AS pos,
         CAST(floor(o_totalprice/5000) AS BIGINT) AS qual,
         CASE WHEN o_orderpriority LIKE '1%' THEN 'ins' WHEN o_orderpriority LIKE '2%' THEN 'del' ELSE 'snv' END AS vtype,
@@ -32,7 +32,7 @@ VIEWS = {
         concat('S', o_custkey % 8) AS sample FROM orders""",
     "calls_b": """SELECT concat('chr', o_custkey % 5 + 1) AS chrom,
         o_orderkey*7 + 1 + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS pos, o_orderkey % 2 AS is_highconf
-        FROM orders WHERE o_orderkey % 3 <> 0""",
+        FROM orders""",
     "trio": """SELECT l_orderkey, l_linenumber, l_partkey,
         CASE l_partkey % 4 WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' WHEN 2 THEN '1/1' ELSE './.' END AS child,
         CASE l_suppkey % 4 WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' WHEN 2 THEN '1/1' ELSE './.' END AS mother,
@@ -42,7 +42,7 @@ VIEWS = {
     "tags": """SELECT concat('read', doc_id) AS name, CASE WHEN toxic = 1 THEN 'none' WHEN quality = 1 THEN 'H1' ELSE 'H2' END AS haplotype,
         doc_id % 7 AS phaseset, concat('chr', doc_id % 5 + 1) AS chrom FROM labels""",
     "track": """SELECT concat('chr', user_id % 5 + 1) AS chrom, event_id*10 AS start_pos, event_id*10 + 10 AS end_pos,
-        CAST(floor(value) AS BIGINT) AS depth FROM events""",
+        value AS depth FROM events""",
     "agp": """SELECT CASE WHEN l_linenumber <= 5 THEN concat('Super-Scaffold_', l_suppkey) ELSE concat('ctg', l_partkey, '_obj') END AS object,
         concat('ctg', l_partkey) AS contig, CAST(l_quantity AS BIGINT)*1000 AS comp_length, l_orderkey AS ord FROM lineitem""",
     "sv": """SELECT concat('chr', p_partkey % 5 + 1) AS chrom, p_partkey*50 AS start_pos, p_partkey*50 + 100 + p_size*20 AS end_pos,

@@ -73,13 +73,13 @@ def _(s):
 @query(
     "check_totals",
     """WITH v AS (SELECT contig, CAST(sum(comp_length) AS BIGINT) AS seen FROM agp GROUP BY contig),
-      i AS (SELECT contig, CASE WHEN seen % 7000 = 0 THEN seen + 1 ELSE seen END AS size FROM v WHERE seen % 11000 <> 0)
+      i AS (SELECT CASE WHEN seen % 11000 = 0 THEN contig || '_x' ELSE contig END AS contig, CASE WHEN seen % 7000 = 0 THEN seen + 1 ELSE seen END AS size FROM v)
       SELECT coalesce(v.contig, i.contig) AS contig, seen, size FROM v FULL JOIN i ON v.contig = i.contig WHERE seen IS NULL OR size IS NULL OR seen <> size""",
 )
 def _(s):
     view = scaffolds.contig_support(scaffolds.sequence_pieces(s.pieces))
     seen = F.col("supported") + F.col("unsupported")
-    index = view.where(seen % 11000 != 0).select("contig", F.when(seen % 7000 == 0, seen + 1).otherwise(seen).alias("size"))
+    index = view.select(F.when(seen % 11000 == 0, F.concat("contig", F.lit("_x"))).otherwise(F.col("contig")).alias("contig"), F.when(seen % 7000 == 0, seen + 1).otherwise(seen).alias("size"))
     return scaffolds.check_contig_sizes(view, index)
 
 
@@ -257,8 +257,8 @@ def _(s):
 
 # --- enrichment and models --------------------------------------------------
 
-ENRICH = f"""un AS (SELECT chrom, start_pos, end_pos FROM regions WHERE score % 3 <> 0), {depth_sql('un', zero_steps='')}, pi AS (SELECT chrom, start_pos, end_pos FROM r WHERE depth > 0),
-  us AS (SELECT chrom, start_pos, end_pos FROM sv WHERE num_samples > 3), db AS (SELECT cls AS region_set, chrom, start_pos, end_pos FROM regions),
+ENRICH = f"""un AS (SELECT chrom, start_pos, end_pos FROM regions), {depth_sql('un', zero_steps='')}, pi AS (SELECT chrom, start_pos, end_pos FROM r WHERE depth > 0),
+  us AS (SELECT chrom, start_pos, start_pos + 1 + num_samples * 10 AS end_pos FROM sv), db AS (SELECT concat('set', (end_pos - start_pos - 100) // 4 % 7) AS region_set, chrom, start_pos, start_pos + 20 AS end_pos FROM regions),
   fl AS (SELECT pi.*, EXISTS (SELECT 1 FROM us b WHERE pi.chrom = b.chrom AND pi.start_pos < b.end_pos AND b.start_pos < pi.end_pos) AS u FROM pi),
   hit AS (SELECT DISTINCT region_set, a.chrom, a.start_pos FROM pi a JOIN db b ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos),
   al AS (SELECT k.region_set, u, hit.chrom IS NOT NULL AS h FROM fl CROSS JOIN (SELECT DISTINCT region_set FROM db) k LEFT JOIN hit ON hit.region_set = k.region_set AND hit.chrom = fl.chrom AND hit.start_pos = fl.start_pos),
@@ -266,8 +266,10 @@ ENRICH = f"""un AS (SELECT chrom, start_pos, end_pos FROM regions WHERE score %
 
 
 def enriched(s):
-    db = s.regions.withColumnRenamed("cls", "region_set")
-    return enr.enrichment(s.sv.where("num_samples > 3"), s.regions.where("score % 3 <> 0"), db, "region_set")
+    size = F.floor((F.col("end_pos") - F.col("start_pos") - 100) / 4)
+    db = s.regions.select("chrom", "start_pos", (F.col("start_pos") + 20).alias("end_pos"), F.concat(F.lit("set"), (size % 7).cast("string")).alias("region_set"))
+    user = s.sv.withColumn("end_pos", F.col("start_pos") + 1 + F.col("num_samples") * 10)
+    return enr.enrichment(user, s.regions, db, "region_set")
 
 
 @query("region_set_enrichment", f"WITH {ENRICH} SELECT *, round(support * d / (b * c), 6) AS odds_ratio FROM en")
@@ -328,7 +330,7 @@ FEATURES = ["feat_h1_cov", "feat_h2_cov", "feat_un_cov", "feat_locus_cov", "feat
     "loh_features",
     f"""WITH {LOH_SQL}, al AS (SELECT *, CASE WHEN hap = 10 THEN 'h1' WHEN mapq < 30 THEN 'un' ELSE 'h2' END AS hp FROM aln),
       sz AS (SELECT sample, tech, sum(end_pos - start_pos) / 500000 AS input_cov FROM aln GROUP BY ALL),
-      bp AS (SELECT sample, tech, hp, name, sum(least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos)) / 2000 AS m FROM roi a JOIN al b ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos GROUP BY ALL)
+      bp AS (SELECT sample, tech, hp, name, sum(least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos)) / any_value(a.end_pos - a.start_pos) AS m FROM roi a JOIN al b ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos GROUP BY ALL)
       SELECT sz.sample, sz.tech, r.region_id, {', '.join(f"round(coalesce(max(m) FILTER (hp = '{h}'), 0), 6) AS {h}_coverage_mean" for h in enr.HAPLOTYPES)}, any_value(avg_sd_pct_id) AS avg_sd_pct_id, any_value(avg_sd_pct_ovl) AS avg_sd_pct_ovl, round(any_value(input_cov), 6) AS input_cov
       FROM sf r CROSS JOIN sz LEFT JOIN bp ON bp.sample = sz.sample AND bp.tech = sz.tech AND bp.name = r.region_id GROUP BY sz.sample, sz.tech, r.region_id""",
 )
@@ -346,7 +348,7 @@ def _(s):
 
 @query("loh_counts")
 def _(s):
-    near = overlap.padded_lookup(s.roi, s.sv.where("svtype = 'DEL'"), pad=100).select(F.col("name").alias("region_id"), "near_ids")
+    near = overlap.padded_lookup(s.roi, s.sv, pad=100).select(F.col("name").alias("region_id"), "near_ids")
     labelled = enr.loh_clusters(loh(s), 2, [f for f in FEATURES if "_sd_" not in f], "cluster_loh").join(near, "region_id")
     return enr.loh_counts(labelled, "cluster_loh")
 

@@ -213,13 +213,13 @@ def _(s):
 
 @query(
     "snv_cluster_stats",
-    """WITH v AS (SELECT chrom, qual, depth, depth + 3 AS gq FROM calls WHERE chrom <> 'chr5')
+    """WITH v AS (SELECT chrom, qual, depth, depth + 3 AS gq FROM calls)
       SELECT c.chrom, size, count(v.chrom) AS num, round_even(count(v.chrom) / (size / 1000.0), 3) AS per_kbp, round_even(avg(qual), 3) AS qual_mean, round_even(stddev_samp(qual), 3) AS qual_stddev,
         round_even(avg(depth), 3) AS depth_mean, round_even(stddev_samp(depth), 3) AS depth_stddev, round_even(avg(gq), 3) AS gq_mean, round_even(stddev_samp(gq), 3) AS gq_stddev
       FROM chroms c LEFT JOIN v ON c.chrom = v.chrom GROUP BY c.chrom, size""",
 )
 def _(s):
-    return variants.snv_stats(s.calls.where("chrom <> 'chr5'").withColumn("gq", F.col("depth") + 3), s.chroms)
+    return variants.snv_stats(s.calls.withColumn("gq", F.col("depth") + 3), s.chroms)
 
 
 @query(
