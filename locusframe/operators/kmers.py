@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .lineage import written_once
 from .sweep import union_all
 
 CHUNK = 1 << 16
@@ -53,9 +54,9 @@ def kmers(seqs: DataFrame, k: int, canonical_form: bool = False, alphabet: str |
     only k-mers made of its characters count.
     """
     unit = f"[{alphabet}]" if alphabet else "."
-    # k-mers are k times the text, so the text is spread first: one file or one long sequence must not hold them all
-    tasks = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = sequence_chunks(seqs, overlap=k - 1).repartition(tasks)
+    # k-mers are k times the text, so the text is spread first, into tasks sized by its bytes:
+    # one file or one long sequence must not hold them all
+    pieces = sequence_chunks(seqs, overlap=k - 1).hint("rebalance")
     found = F.explode(F.regexp_extract_all("seq", F.lit(f"(?s)(?=({unit}{{{k}}}))"), F.lit(1)))
     out = pieces.select(*[c for c in seqs.columns if c != "seq"], found.alias("kmer"))
     return out.withColumn("kmer", canonical(F.col("kmer"))) if canonical_form else out
@@ -102,6 +103,7 @@ def fold_colours(counts: DataFrame) -> DataFrame:
 def kmer_query(regions: DataFrame, masks: DataFrame, k: int, ratio: float, colours: dict[str, int], ident: str = "name") -> DataFrame:
     """Per region, whether at least ``ratio`` of its k-mers occur in each colour."""
     rows = kmers(regions.select(ident, "seq"), k).groupBy(ident, "kmer").agg(F.count(F.lit(1)).alias("n"))
+    rows = written_once(rows)  # a shuffle of its own for the join, which lets Spark split a k-mer of very many regions
     hits = rows.join(masks, "kmer", "left")
     share = lambda c: F.sum(F.when(F.shiftright(F.col("mask"), c).bitwiseAND(F.lit(1)) == 1, F.col("n")).otherwise(0)) / F.sum("n")
     found = hits.groupBy(ident).agg(*[(share(c) >= ratio).alias(name) for name, c in colours.items()])
@@ -123,7 +125,7 @@ def parse_query_regions(df: DataFrame) -> DataFrame:
     return out.withColumn("name", F.concat_ws("_", "region_type", "region_id"))
 
 
-# Selectors over the colour flags of one region.
+# Selectors over the colour flags of one region.
 _SHORT = "(short_1 OR short_2)"
 REGION_SELECTORS = {
     "RefOnly": f"GRCh38 AND NOT ({_SHORT} OR hap1 OR hap2)",

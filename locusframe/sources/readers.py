@@ -102,22 +102,37 @@ def read_sam(spark: SparkSession, path) -> DataFrame:
     )
 
 
-def vcf_samples(spark: SparkSession, path) -> list[str]:
-    """Sample names in file order, from the ``#CHROM`` line of the first file."""
-    head = spark.read.text(path).where(F.col("value").startswith("#CHROM")).first()
-    return [] if head is None else head[0].split("\t")[9:]
+def vcf_samples(spark: SparkSession, path) -> DataFrame:
+    """Rows (file, samples): the sample names in order, from the ``#CHROM`` line of every file."""
+    head = spark.read.text(path).where(F.col("value").startswith("#CHROM"))
+    return head.select(F.col("_metadata.file_path").alias("file"), F.slice(F.split("value", "\t"), 10, 1 << 20).alias("samples"))
 
 
 def read_vcf(spark: SparkSession, path, sample: str | None = None) -> DataFrame:
-    """Variant records with INFO as a map and the FORMAT fields of one sample (default: the first) as another."""
-    names = vcf_samples(spark, path)
-    if sample is not None and sample not in names:
-        raise ValueError(f"no sample {sample} among {names}")
-    index = 10 + (names.index(sample) if sample is not None else 0)
+    """Variant records with INFO as a map and the FORMAT fields of one sample (default: the first) as another.
+
+    Files may have their samples in orders of their own. Where headers differ, every file
+    needs one; a header without the sample is an error. Files that share one header may be
+    parts of which only the first has it.
+    """
     lines = spark.read.text(path).where(~F.col("value").startswith("#") & (F.col("value") != ""))
+    index = F.lit(10)
+    if sample is not None:
+        files = vcf_samples(spark, path)
+        orders = [r["samples"] for r in files.select("samples").distinct().limit(2).collect()]
+        if len(orders) < 2:
+            if not orders or sample not in orders[0]:
+                raise ValueError(f"no sample {sample} among {orders[0] if orders else []}")
+            index = F.lit(10 + orders[0].index(sample))
+        else:
+            place = F.array_position("samples", F.lit(sample)).cast("int")
+            wrong = F.raise_error(F.concat(F.lit(f"no sample {sample} in "), F.col("file")))
+            files = files.select("file", "samples")
+            lines = lines.withColumn("file", F.col("_metadata.file_path")).join(files, "file", "left").withColumn("_index", F.when(place > 0, place).otherwise(wrong) + 9)
+            index = F.col("_index")
     f = F.split("value", "\t")
     at = lambda i: F.element_at(f, i)
-    call = F.try_element_at(f, F.lit(index))
+    call = F.try_element_at(f, index)
     flags = F.transform(F.split(at(8), ";"), lambda x: F.when(x.contains("="), x).otherwise(F.concat(x, F.lit("=true"))))
     return lines.select(
         at(1).alias("chrom"), at(2).cast("long").alias("pos"), at(3).alias("id"), at(4).alias("ref"), at(5).alias("alt"), at(6).try_cast("double").alias("qual"), at(7).alias("filter"),

@@ -67,7 +67,7 @@ def test_fastq_over_many_splits_and_files(spark, tmp_path):
 def test_vcf(spark, tmp_path):
     text = "##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\tS2\nchr1\t5\t.\tA\tT\t12.5\tPASS\tDP=3;DB\tGT:DP:GQ\t0/1:3\t1/1:4:9\nchr1\t6\t.\tA\tT\t.\tdn\t.\tGT\t./.\t0/0\n"
     path = put(tmp_path / "a.vcf", text)
-    assert readers.vcf_samples(spark, path) == ["S1", "S2"]
+    assert [r["samples"] for r in readers.vcf_samples(spark, path).collect()] == [["S1", "S2"]]
     one = readers.read_vcf(spark, path).orderBy("pos").collect()
     assert one[0]["info_map"] == {"DP": "3", "DB": "true"} and one[0]["call_map"] == {"GT": "0/1", "DP": "3"} and one[1]["qual"] is None
     assert readers.read_vcf(spark, path, "S2").orderBy("pos").first()["call_map"]["GQ"] == "9"
@@ -165,3 +165,15 @@ def test_same_file_name_in_two_folders(spark, tmp_path):
         put(tmp_path / folder / "stats.tsv", f"num_reads\t{n}\ncov_total\t1.5\n")
     out = readers.read_key_value(spark, str(tmp_path / "*"), ["num_reads", "cov_total"])
     assert sorted((r["num_reads"], r["cov_total"]) for r in out.collect()) == [(3, 1.5), (5, 1.5)]
+
+
+def test_vcf_files_with_their_own_sample_order(spark, tmp_path):
+    fixed = "chr1\t{}\t.\tA\tT\t9\tPASS\tDP=1\tGT\t"
+    for name, order, calls in (("a", "S1\tS2", "0/1\t1/1"), ("b", "S2\tS1", "0/0\t0/1")):
+        head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t" + order
+        (tmp_path / f"{name}.vcf").write_text("##x\n" + head + "\n" + fixed.format(1 if name == "a" else 2) + calls + "\n")
+    got = readers.read_vcf(spark, str(tmp_path / "*.vcf"), "S1").orderBy("pos").collect()
+    assert [(r["pos"], r["call"]) for r in got] == [(1, "0/1"), (2, "0/1")]
+    (tmp_path / "c.vcf").write_text("##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS3\n" + fixed.format(3) + "0/1\n")
+    with pytest.raises(Exception, match="no sample S1 in"):
+        readers.read_vcf(spark, str(tmp_path / "*.vcf"), "S1").collect()
