@@ -5,8 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import fix_sample_id
 from .sweep import END, START, union_all
@@ -151,26 +150,12 @@ def clean_sv_clusters(df: DataFrame, min_length: int = 10) -> tuple[DataFrame, D
 # --- regulatory regions and sequence names ----------------------------------
 
 
-def longest_shared(a: str, b: str) -> int:
-    """Length of the longest common substring."""
-    best, row = 0, [0] * (len(b) + 1)
-    for x in a:
-        new = [0] * (len(b) + 1)
-        for j, y in enumerate(b, 1):
-            if x == y:
-                new[j] = row[j - 1] + 1
-                best = max(best, new[j])
-        row = new
-    return best
-
-
-@F.pandas_udf(T.StringType())
-def _closest(names: pd.Series, targets: pd.Series) -> pd.Series:
-    def pick(name, known):
-        scored = [(-longest_shared(name, k), k) for k in known]
-        return min(scored)[1] if scored and -min(scored)[0] > 3 else None
-
-    return pd.Series([pick(n, sorted(t)) for n, t in zip(names, targets)], dtype=object)
+def _substrings(c: str, least: int = 4) -> Column:
+    """All distinct substrings of at least ``least`` characters, one to a row."""
+    length = F.length(c)
+    starts = lambda n: F.transform(F.sequence(F.lit(1), length - n + 1), lambda i: F.substring(F.col(c), i, n))
+    every = F.flatten(F.transform(F.sequence(F.lit(least), length), starts))
+    return F.explode(F.array_distinct(F.when(length >= least, every)))
 
 
 def match_names(names: DataFrame, chroms: DataFrame) -> DataFrame:
@@ -178,15 +163,17 @@ def match_names(names: DataFrame, chroms: DataFrame) -> DataFrame:
     substring of more than 3 characters (ties: the smaller); NULL without any. Two names matched to one
     reference by substring are an error.
 
-    Works on distinct names and holds the reference names, one per chromosome, in one array.
+    Works on distinct names; a name meets the reference names by the substrings both have.
     """
-    known = chroms.select("chrom").distinct().agg(F.collect_list("chrom")).scalar()
-    rows = names.select("name").distinct().withColumn("_known", known)
-    prefixed = F.concat(F.lit("chr"), "name")
-    direct = F.when(F.array_contains("_known", F.col("name")), F.col("name")).when(F.array_contains("_known", prefixed), prefixed)
-    rows = rows.withColumn("direct", direct)
+    known = chroms.select("chrom").distinct()
+    rows = names.select("name").distinct()
+    same = rows.join(known, F.col("name") == F.col("chrom"), "left").withColumnRenamed("chrom", "_same")
+    rows = same.join(known, F.concat(F.lit("chr"), "name") == F.col("chrom"), "left").select("name", F.coalesce("_same", "chrom").alias("direct"))
     exact = rows.where("direct is not null").select("name", F.col("direct").alias("target"), F.lit(False).alias("by_substring"))
-    loose = rows.where("direct is null").select("name", _closest("name", "_known").alias("target"), F.lit(True).alias("by_substring"))
+    rest = rows.where("direct is null").select("name")
+    shared = rest.select("name", _substrings("name").alias("part")).join(known.select("chrom", _substrings("chrom").alias("part")), "part")
+    best = shared.groupBy("name").agg(F.min(F.struct((-F.length("part")).alias("n"), F.col("chrom").alias("target"))).alias("_best"))
+    loose = rest.join(best, "name", "left").select("name", F.col("_best.target").alias("target"), F.lit(True).alias("by_substring"))
     uses = loose.where("target is not null").groupBy("target").agg(F.count(F.lit(1)).alias("_n"))
     loose = loose.join(uses, "target", "left")
     checked = F.when(F.coalesce("_n", F.lit(1)) > 1, _error("two names match ", F.col("target"))).otherwise(F.col("target"))

@@ -3,72 +3,74 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .lineage import written_once
 from .overlap import coverage_counts, overlap_join
 from .sweep import END, START, disjoin
 
 
-def _log_choose(n: int, k: int) -> float:
-    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+def log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function for x > 0, by Stirling's series from x + 8 on and the recurrence back."""
+    y = x + 8
+    series = (y - 0.5) * F.log(y) - y + F.lit(0.5 * math.log(2 * math.pi)) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7) + 1 / (1188 * y**9)
+    back = x
+    for i in range(1, 8):
+        back = back * (x + i)
+    return series - F.log(back)
 
 
-def upper_tail(a: int, b: int, c: int, d: int) -> float:
-    """Chance of at least ``a`` in the corner of a 2 x 2 table with these margins."""
-    row, col, total = a + b, a + c, a + b + c + d
-    whole = _log_choose(total, col)
-    terms = (math.exp(_log_choose(row, x) + _log_choose(total - row, col - x) - whole) for x in range(a, min(row, col) + 1))
-    return min(1.0, math.fsum(terms))
+def log_choose(n: Column, k: Column) -> Column:
+    n, k = n.cast("double"), k.cast("double")
+    return log_gamma(n + 1) - log_gamma(k + 1) - log_gamma(n - k + 1)
 
 
-@F.pandas_udf(T.DoubleType())
-def tail_probability(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([upper_tail(*map(int, x)) for x in zip(a, b, c, d)], dtype=float)
+#: Terms that one row of a sum lists, and steps of a numeric integral.
+TERMS, STEPS = 1 << 12, 2000
 
 
-def beta_share(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta function, by its continued fraction."""
-    if x <= 0 or x >= 1:
-        return 0.0 if x <= 0 else 1.0
-    if x > (a + 1) / (a + b + 2):
-        return 1 - beta_share(b, a, 1 - x)
-    tiny, value, c, d = 1e-300, 1.0, 1.0, 0.0
-    for i in range(500):
-        m = i // 2
-        if i == 0:
-            term = 1.0
-        elif i % 2 == 0:
-            term = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        else:
-            term = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        d = 1 / (1 + term * d if abs(1 + term * d) > tiny else tiny)
-        c = 1 + term / c if abs(1 + term / c) > tiny else tiny
-        value *= c * d
-        if i and abs(1 - c * d) < 1e-14:
-            break
-    front = math.exp(a * math.log(x) + b * math.log(1 - x) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)) / a
-    return front * (value - 1)
+def with_tail_probability(table: DataFrame, key: str) -> DataFrame:
+    """Add ``p_value``, the chance of at least ``support`` in the corner of the 2 x 2 table (support, b, c, d).
+
+    The terms of the hypergeometric tail are summed as rows, ``TERMS`` from each.
+    """
+    row, col = F.col("support") + F.col("b"), F.col("support") + F.col("c")
+    total = row + F.col("c") + F.col("d")
+    parts = table.select(key, row.alias("_r"), col.alias("_c"), total.alias("_t"), F.least(row, col).alias("_top"), F.explode(F.sequence("support", F.least(row, col), F.lit(TERMS).cast("long"))).alias("_low"))
+    terms = parts.withColumn("x", F.explode(F.sequence("_low", F.least(F.col("_low") + TERMS - 1, F.col("_top")))))
+    chance = F.exp(log_choose(F.col("_r"), F.col("x")) + log_choose(F.col("_t") - F.col("_r"), F.col("_c") - F.col("x")) - log_choose(F.col("_t"), F.col("_c")))
+    possible = (F.col("_c") - F.col("x") <= F.col("_t") - F.col("_r")) & (F.col("x") <= F.col("_c"))
+    sums = terms.groupBy(key).agg(F.least(F.sum(F.when(possible, chance).otherwise(0.0)), F.lit(1.0)).alias("p_value"))
+    return table.join(sums, key)
+
+
+def integral(f: Callable[[Column], Column], low: Column, high: Column) -> Column:
+    """Simpson's rule with ``STEPS`` steps."""
+    width = (high - low) / STEPS
+    weight = lambda i: F.when((i == 0) | (i == STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+    total = F.aggregate(F.sequence(F.lit(0), F.lit(STEPS)), F.lit(0.0), lambda acc, i: acc + weight(i) * f(low + width * i))
+    return total * width / 3
 
 
-@F.pandas_udf(T.DoubleType())
-def student_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    """Two-sided p of Student's t."""
-    return pd.Series([beta_share(n / 2, 0.5, n / (n + x * x)) for x, n in zip(t, df)], dtype=float)
+def student_p(t: Column, df: Column) -> Column:
+    """Two-sided p of Student's t: the density in the angle atan(t / sqrt(df)) from there to a right angle."""
+    front = F.exp(log_gamma((df + 1) / 2) - log_gamma(df / 2)) / math.sqrt(math.pi)
+    return 2 * front * integral(lambda a: F.pow(F.greatest(F.cos(a), F.lit(0.0)), df - 1), F.atan(F.abs(t) / F.sqrt(df)), F.lit(math.pi / 2))
 
 
-@F.pandas_udf(T.DoubleType())
-def chi_square_p(x: pd.Series) -> pd.Series:
-    """Upper tail of the chi-square distribution with one degree of freedom."""
-    return pd.Series([math.erfc(math.sqrt(max(v, 0.0) / 2)) for v in x], dtype=float)
+def chi_square_p(x: Column) -> Column:
+    """Upper tail of the chi-square distribution with one degree of freedom: twice the normal tail from sqrt(x) on."""
+    z = F.sqrt(F.greatest(x, F.lit(0.0)))
+    # z + w / (1 - w) for w from 0 to 1
+    tail = lambda w: F.when(w < 1, F.exp(-F.pow(z + w / (1 - w), F.lit(2.0)) / 2) / F.pow(1 - w, F.lit(2.0))).otherwise(0.0)
+    return 2 / math.sqrt(2 * math.pi) * integral(tail, F.lit(0.0), F.lit(1.0))
 
 
 def with_test_p_values(tests: DataFrame) -> DataFrame:
     """Add the p-values of Welch's and Bartlett's tests to the one row of ``two_sample_tests``."""
-    return tests.withColumns({"welch_p": student_p("welch_t", "welch_df"), "bartlett_p": chi_square_p("bartlett")})
+    return tests.withColumns({"welch_p": student_p(F.col("welch_t"), F.col("welch_df")), "bartlett_p": chi_square_p(F.col("bartlett"))})
 
 
 def enrichment(user: DataFrame, universe: DataFrame, db: DataFrame, set_col: str) -> DataFrame:
@@ -91,11 +93,11 @@ def enrichment(user: DataFrame, universe: DataFrame, db: DataFrame, set_col: str
     return out.withColumn("odds_ratio", odds)
 
 
-def with_p_values(table: DataFrame) -> DataFrame:
+def with_p_values(table: DataFrame, key: str = "region_set") -> DataFrame:
     """Add the tail probability and its Benjamini-Hochberg value; the table has one row per region set."""
-    out = table.withColumn("p_value", tail_probability("support", "b", "c", "d"))
+    out = with_tail_probability(table, key)
     every = W.partitionBy(F.lit(0))
-    rank = F.row_number().over(every.orderBy("p_value", *[c for c in table.columns if c not in ("support", "b", "c", "d", "odds_ratio")]))
+    rank = F.row_number().over(every.orderBy(F.round("p_value", 12), key))
     out = out.withColumn("_raw", F.col("p_value") * F.count(F.lit(1)).over(every) / rank).withColumn("_rank", rank)
     from_here = every.orderBy("_rank").rowsBetween(0, W.unboundedFollowing)
     return out.withColumn("q_value", F.least(F.min("_raw").over(from_here), F.lit(1.0))).drop("_raw", "_rank")

@@ -277,21 +277,47 @@ def _(s):
     return enriched(s).withColumn("odds_ratio", F.round("odds_ratio", 6))
 
 
-@query("enrichment_p_values")
+CHOOSE = "lgamma({n} + 1.0) - lgamma({k} + 1.0) - lgamma({n} - {k} + 1.0)"
+P_VALUES = f"""{ENRICH}, tm AS (SELECT *, support + b AS r, support + c AS cl, support + b + c + d AS t, unnest(range(support, least(support + b, support + c) + 1)) AS x FROM en),
+  pv AS (SELECT region_set, support, b, c, d, support * d / (b * c) AS odds_ratio, least(sum(exp({CHOOSE.format(n='r', k='x')} + {CHOOSE.format(n='(t - r)', k='(cl - x)')} - ({CHOOSE.format(n='t', k='cl')}))), 1.0) AS p_value
+    FROM tm WHERE cl - x <= t - r GROUP BY ALL),
+  rk AS (SELECT *, row_number() OVER (ORDER BY round(p_value, 12), region_set) AS k, count(*) OVER () AS n FROM pv),
+  qv AS (SELECT *, least(min(p_value * n / k) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1.0) AS q_value FROM rk)"""
+
+
+@query("enrichment_p_values", f"WITH {P_VALUES} SELECT region_set, support, b, c, d, round(odds_ratio, 6) AS odds_ratio, round(p_value, 7) AS p_value, round(q_value, 7) AS q_value FROM qv")
 def _(s):
-    return enr.with_p_values(enriched(s))
+    return enr.with_p_values(enriched(s)).withColumns({"odds_ratio": F.round("odds_ratio", 6), "p_value": F.round("p_value", 7), "q_value": F.round("q_value", 7)})
 
 
-@query("enrichment_clean")
+@query(
+    "enrichment_clean",
+    f"""WITH {P_VALUES} SELECT region_set AS description, CASE WHEN isinf(odds_ratio) THEN 1000.0 ELSE round(odds_ratio, 6) END AS odds_ratio, round(-log10(q_value), 5) AS q_value_log, support FROM qv WHERE -log10(q_value) > 2 AND odds_ratio > 1""",
+)
 def _(s):
-    return enr.clean_enrichment(enr.with_p_values(enriched(s)))
+    out = enr.clean_enrichment(enr.with_p_values(enriched(s)))
+    return out.withColumns({"odds_ratio": F.round("odds_ratio", 6), "q_value_log": F.round("q_value_log", 5)})
 
 
-@query("assembly_report_p_values")
+def report_p_sql() -> str:
+    """The same numeric integrals as list sums."""
+    weight = f"CASE WHEN i = 0 OR i = {enr.STEPS} THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END"
+    return f"""WITH r AS (SELECT tech, sample, hap, max(end_pos - start_pos) * 100 + count(*) AS n50 FROM aln GROUP BY ALL),
+      m AS (SELECT count(*) FILTER (tech = 'HiFi') AS na, count(*) FILTER (tech = 'CLR') AS nb, avg(n50) FILTER (tech = 'HiFi') AS ma, avg(n50) FILTER (tech = 'CLR') AS mb,
+        var_samp(n50) FILTER (tech = 'HiFi') AS va, var_samp(n50) FILTER (tech = 'CLR') AS vb FROM r),
+      t AS (SELECT (ma - mb) / sqrt(va / na + vb / nb) AS t, pow(va / na + vb / nb, 2) / (pow(va / na, 2) / (na - 1) + pow(vb / nb, 2) / (nb - 1)) AS df,
+        ((na + nb - 2) * ln(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)) - (na - 1) * ln(va) - (nb - 1) * ln(vb)) / (1 + (1 / (na - 1) + 1 / (nb - 1) - 1 / (na + nb - 2)) / 3) AS ba FROM m),
+      p AS (SELECT *, unnest(range({enr.STEPS} + 1)) AS i, atan(abs(t) / sqrt(df)) AS lo, sqrt(greatest(ba, 0)) AS z FROM t),
+      w AS (SELECT *, {weight} AS wt, pow(greatest(cos(lo + (pi() / 2 - lo) / {enr.STEPS} * i), 0), df - 1) AS ft, CASE WHEN i < {enr.STEPS} THEN exp(-pow(z + (i / {enr.STEPS}.0) / (1 - i / {enr.STEPS}.0), 2) / 2) / pow(1 - i / {enr.STEPS}.0, 2) ELSE 0.0 END AS fb FROM p)
+      SELECT round(any_value(2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi()) * (pi() / 2 - lo) / {enr.STEPS} / 3) * sum(wt * ft), 8) AS welch_p, round(2 / sqrt(2 * pi()) * sum(wt * fb) / {enr.STEPS} / 3, 8) AS bartlett_p FROM w"""
+
+
+@query("assembly_report_p_values", report_p_sql())
 def _(s):
     from .assembly_queries import report
 
-    return enr.with_test_p_values(asm.two_sample_tests(report(s), "tech", "HiFi", "CLR", "n50"))
+    out = enr.with_test_p_values(asm.two_sample_tests(report(s), "tech", "HiFi", "CLR", "n50"))
+    return out.select(F.round("welch_p", 8).alias("welch_p"), F.round("bartlett_p", 8).alias("bartlett_p"))
 
 
 LOH_SQL = """sd AS (SELECT a.name AS region_id, a.chrom, a.start_pos, a.end_pos, sum(bp) AS bp, sum(score * bp) AS w FROM
@@ -346,10 +372,19 @@ def _(s):
     return both.groupBy("sample", "tech", "cluster_loh", "cluster_lohsd").agg(F.count(F.lit(1)).alias("regions"))
 
 
-@query("loh_counts")
+@query(
+    "loh_counts",
+    """WITH al AS (SELECT *, CASE WHEN hap = 10 THEN 'h1' WHEN mapq < 30 THEN 'un' ELSE 'h2' END AS hp FROM aln),
+      d AS (SELECT sample, tech, r.name, r.chrom, r.start_pos, r.end_pos, coalesce(bool_or(hp = 'h1'), false) AS one, coalesce(bool_or(hp = 'h2'), false) AS two FROM roi r JOIN al b ON r.chrom = b.chrom AND r.start_pos < b.end_pos AND b.start_pos < r.end_pos GROUP BY ALL)
+      SELECT sample, tech, count(*) AS loh_regions, CAST(sum(CASE WHEN EXISTS (SELECT 1 FROM sv v WHERE v.chrom = d.chrom AND v.start_pos < d.end_pos + 100 AND greatest(d.start_pos - 100, 0) < v.start_pos + 10 + num_samples * 10) THEN 1 ELSE 0 END) AS BIGINT) AS with_deletion,
+        round_even(avg(end_pos - start_pos), 2) AS mean_length FROM d WHERE one <> two GROUP BY ALL""",
+)
 def _(s):
-    near = overlap.padded_lookup(s.roi, s.sv, pad=100).select(F.col("name").alias("region_id"), "near_ids")
-    labelled = enr.loh_clusters(loh(s), 2, [f for f in FEATURES if "_sd_" not in f], "cluster_loh").join(near, "region_id")
+    """The label by a stated rule: exactly one of the two haplotypes has depth."""
+    deletions = s.sv.withColumn("end_pos", F.col("start_pos") + 10 + F.col("num_samples") * 10)
+    near = overlap.padded_lookup(s.roi, deletions, pad=100).select(F.col("name").alias("region_id"), "near_ids")
+    has = lambda h: F.coalesce(F.col(f"{h}_coverage_mean") > 0, F.lit(False))
+    labelled = loh(s).withColumn("cluster_loh", (has("h1") != has("h2")).cast("int")).join(near, "region_id")
     return enr.loh_counts(labelled, "cluster_loh")
 
 

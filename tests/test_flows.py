@@ -5,6 +5,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from locusframe.operators import assemblies, enrichment, graph, masks, overlap, scaffolds, sweep, variants
 from test_intervals import depth, frame, got, random_rows, runs, sizes, SIZE
@@ -139,17 +140,32 @@ def test_placement_orders_and_outlier(spark):
     assert (out[("fwd", "fwd0")]["scaffold_start"], out[("fwd", "fwd0")]["scaffold_end"]) == (10_000, 13_000)
 
 
-def test_enrichment_p_value():
+def test_enrichment_p_value(spark, monkeypatch):
+    monkeypatch.setattr(enrichment, "TERMS", 4)
     total, row, col = 30, 12, 9
     pmf = lambda x: math.comb(row, x) * math.comb(total - row, col - x) / math.comb(total, col)
+    table = spark.createDataFrame([(str(a), a, row - a, col - a, total - row - col + a) for a in range(0, 10)], "region_set string, support long, b long, c long, d long")
+    got = {r["region_set"]: r["p_value"] for r in enrichment.with_tail_probability(table, "region_set").collect()}
     for a in range(0, 10):
-        assert enrichment.upper_tail(a, row - a, col - a, total - row - col + a) == pytest.approx(sum(pmf(x) for x in range(a, 10)))
+        assert got[str(a)] == pytest.approx(sum(pmf(x) for x in range(a, 10)), rel=1e-11)
+
+
+def test_log_gamma(spark):
+    x = [0.5, 1.0, 2.0, 3.5, 10.0, 1e3, 1e7, 1e12]
+    got = spark.createDataFrame([(v,) for v in x], "x double").select("x", enrichment.log_gamma(F.col("x")).alias("g")).collect()
+    for r in got:
+        assert r["g"] == pytest.approx(math.lgamma(r["x"]), rel=1e-13, abs=1e-12)
 
 
 def test_test_p_values(spark):
     # tail areas from printed tables of the t and chi-square distributions
-    for t, df, p in ((2.228139, 10, 0.05), (2.0, 10, 0.0733880), (12.706205, 1, 0.05), (0.5, 30.5, 0.6206)):
-        assert enrichment.beta_share(df / 2, 0.5, df / (df + t * t)) == pytest.approx(p, abs=2e-4)
+    rows = [(2.228139, 10.0, 0.05), (2.0, 10.0, 0.0733880), (12.706205, 1.0, 0.05), (0.5, 30.5, 0.6206), (-2.0, 10.0, 0.0733880)]
+    df = spark.createDataFrame(rows, "t double, df double, p double")
+    for r in df.select("p", enrichment.student_p(F.col("t"), F.col("df")).alias("got")).collect():
+        assert r["got"] == pytest.approx(r["p"], abs=2e-4)
+    chi = spark.createDataFrame([(v,) for v in (0.0, 0.1, 1.0, 3.841459, 60.0)], "x double").select("x", enrichment.chi_square_p(F.col("x")).alias("p")).collect()
+    for r in chi:
+        assert r["p"] == pytest.approx(math.erfc(math.sqrt(r["x"] / 2)), rel=1e-9)
     row = spark.createDataFrame([(2.0, 10.0, 3.841459)], "welch_t double, welch_df double, bartlett double")
     out = enrichment.with_test_p_values(row).first()
     assert out["welch_p"] == pytest.approx(0.07338803, abs=1e-6) and out["bartlett_p"] == pytest.approx(0.05, abs=1e-6)
