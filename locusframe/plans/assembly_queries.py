@@ -122,7 +122,7 @@ def _(s):
 
 @query(
     "break_regions",
-    """WITH c AS (SELECT hap, chrom, start_pos, end_pos FROM aln WHERE mapq < 40 AND end_pos - start_pos > 60), """
+    """WITH c AS (SELECT hap, chrom, start_pos, start_pos + CASE WHEN mapq < 40 AND end_pos - start_pos > 60 THEN 50 ELSE 10 END AS end_pos FROM aln), """
     + islands_sql("c", "hap, chrom", "pa").replace("'", "''")
     + f""", gx AS (SELECT hap, chrom, end_pos AS start_pos, lead(start_pos) OVER (PARTITION BY hap, chrom ORDER BY start_pos) AS end_pos FROM pa
         UNION ALL SELECT hap, chrom, 0, min(start_pos) FROM pa GROUP BY ALL),
@@ -135,7 +135,7 @@ def _(s):
       SELECT chrom, start_pos, end_pos, concat(chrom, '-', start_pos, '-', end_pos - start_pos, '-H64') AS name FROM m""",
 )
 def _(s):
-    rows = s.aln.where("mapq < 40 and end_pos - start_pos > 60")
+    rows = s.aln.withColumn("end_pos", F.expr("start_pos + CASE WHEN mapq < 40 AND end_pos - start_pos > 60 THEN 50 ELSE 10 END"))
     return asm.break_regions(rows, s.chroms, 50, ["hap"])
 
 
