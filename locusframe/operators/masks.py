@@ -7,10 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .sweep import (
-    BLOCK, END, START, edges_to_regions, interval_events, running_sums, set_count_regions, state_edges, sum_by_position, union_all,
-    whole_sequences,
-)
+from .sweep import BLOCK, END, START, complement, interval_events, merge_intervals, running_sums, state_edges, sum_by_position
 
 
 def assembly_threshold(k: int, quantifier: str, select: float = -1, select_value: str = "absolute") -> int:
@@ -62,24 +59,28 @@ def consensus_regions(
     fewer than the threshold. ``inverse`` reports the rest of every sequence in
     ``sizes``.
     """
+    runs = haplotype_depth(aln, assembly, block)
+    return depth_regions(runs, n_assemblies, quantifier, select, select_value, sizes, inverse, min_size, block)
+
+
+def depth_regions(
+    runs: DataFrame,
+    n_assemblies: int,
+    quantifier: str = "geq",
+    select: float = -1,
+    select_value: str = "absolute",
+    sizes: DataFrame | None = None,
+    inverse: bool = False,
+    min_size: int = 0,
+    block: int = BLOCK,
+) -> DataFrame:
+    """``consensus_regions`` from the runs of ``haplotype_depth``, which serve any number of quantifiers."""
     keep = _predicate(quantifier, assembly_threshold(n_assemblies, quantifier, select, select_value))
+    regions = merge_intervals(runs.where(keep(F.col("depth"))), block=block)
     if inverse:
         if sizes is None:
             raise ValueError("the inverse needs the sequence sizes")
-        by = ["chrom"]
-        zero = F.lit(0).cast("long")
-        member = [*assembly, "chrom"]
-        covered = state_edges(interval_events(aln, member), member, lambda d: d > 0, block=block)
-        events = union_all(
-            [
-                covered.select("chrom", "pos", "step", zero.alias("frame")),
-                interval_events(whole_sequences(sizes), by).select("chrom", "pos", zero.alias("step"), F.col("step").alias("frame")),
-            ]
-        )
-        edges = state_edges(events, by, lambda d, f: (f > 0) & ~keep(d), ("step", "frame"), block)
-        regions = edges_to_regions(edges, by, block)
-    else:
-        regions = set_count_regions(aln, list(assembly), keep, block=block)
+        regions = complement(regions, sizes, only_hit=False, block=block)
     return regions.where(F.col(END) - F.col(START) >= min_size)
 
 

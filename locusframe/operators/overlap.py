@@ -152,6 +152,27 @@ def coverage(a: DataFrame, b: DataFrame, by: Sequence[str] = ("chrom",), block:
     )
 
 
+def island_events(b: DataFrame, by: Sequence[str] = ("chrom",), block: int = BLOCK) -> DataFrame:
+    """Events (slope, moment) of the bases that the union of ``b`` covers, for ``areas``."""
+    edges = state_edges(interval_events(b, by), by, lambda d: d > 0, block=block)
+    return edges.select(*by, "pos", F.col("step").alias("slope"), (F.col("step") * F.col("pos")).alias("moment"))
+
+
+def areas(a: DataFrame, events: dict[str, DataFrame], by: Sequence[str] = ("chrom",), block: int = BLOCK) -> DataFrame:
+    """Rows of ``a`` with the integral of every event set, one column each, from a single sweep."""
+    frames = [e.select(*by, "pos", F.col("slope").alias(f"slope_{n}"), F.col("moment").alias(f"moment_{n}")) for n, e in events.items()]
+    cols = [f"{c}_{n}" for n in events for c in ("slope", "moment")]
+    out = at_both_ends(a, _stacked(frames), by, cols, cols, block=block)
+    return out.select(*a.columns, *[_area(f"slope_{n}", f"moment_{n}").alias(n) for n in events])
+
+
+def track_events(track: DataFrame, value: str = "depth", by: Sequence[str] = ("chrom",)) -> tuple[DataFrame, DataFrame]:
+    """Events of the covered bases and of the depth sum of a track, for ``areas``."""
+    amount = exact(track, value) if fractional(track, value) else F.col(value).cast("long")
+    covered = _area_events(track.where(F.col(value) != 0), by, F.lit(1).cast("long"), "slope", "moment")
+    return covered, _area_events(track, by, amount, "slope", "moment")
+
+
 def covered_bp(a: DataFrame, b: DataFrame, by: Sequence[str] = ("chrom",), name: str = "covered_bp", block: int = BLOCK) -> DataFrame:
     """Rows of ``a`` with the bases covered by the union of ``b``."""
     edges = state_edges(interval_events(b, by), by, lambda d: d > 0, block=block)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import strand_code
 from ..operators import assemblies as asm
 from ..operators import overlap, sweep
+from ..operators.lineage import written_once
 from .interval_queries import ASSEMBLY, ONE_SET, PER_ASSEMBLY, confident, islands_sql
 from .registry import query
 
@@ -436,15 +437,20 @@ def _(s):
 
 def matrix_parts(s):
     region = s.regions.select("chrom", "start_pos", "end_pos", "name")
-    hifi = overlap.coverage(region, s.aln)
-    marks = overlap.coverage(region, s.sv.withColumn("end_pos", F.col("start_pos") + 10 + F.col("num_samples") * 10))
+    marks = s.sv.withColumn("end_pos", F.col("start_pos") + 10 + F.col("num_samples") * 10)
+    read, depth = overlap.track_events(s.track)
+    # one sweep for all coverages, read by each group of features
+    swept = written_once(overlap.areas(region, {"aligned": overlap.island_events(s.aln), "marked": overlap.island_events(marks), "covered": read, "total": depth}))
+    size = F.col("end_pos") - F.col("start_pos")
+    cover = lambda c: swept.select(*region.columns, F.col(c).alias("covered_bp"), (F.col(c) / size).alias("fraction"))
+    total = F.col("total").cast("double")
+    avg = swept.select(*region.columns, "covered", (total / size).alias("mean0"), F.coalesce(F.try_divide(total, F.col("covered")), F.lit(0.0)).alias("mean"))
     scores = overlap.map_mean(region, s.sv.withColumn("score", F.col("num_samples") * 100), min_frac=0.25)
-    avg = overlap.region_average(region, s.track)
     profile = asm.nuc_profile(region.withColumn("seq", F.col("name")))
     lit = F.lit
     return [
-        asm.coverage_features(hifi, lit("S1"), lit("HiFi"), lit(10), lit("contig")),
-        asm.coverage_features(marks, lit("REF1"), lit("REF"), lit(0), lit("DEL")),
+        asm.coverage_features(cover("aligned"), lit("S1"), lit("HiFi"), lit(10), lit("contig")),
+        asm.coverage_features(cover("marked"), lit("REF1"), lit("REF"), lit(0), lit("DEL")),
         asm.score_features(scores, lit("REF1"), lit("segdups")),
         asm.read_features(avg, lit("S1"), lit("HiFi"), lit(1)),
         asm.nuc_features(profile, lit("REF1")).where("statistic in ('nucN', 'length')"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import masks, overlap, sweep
+from ..operators.lineage import written_once
 from .registry import query
 
 ASSEMBLY = ["sample", "tech", "hap"]
@@ -321,11 +322,11 @@ def _(s):
 )
 def _(s):
     k = assembly_count(s)
-    rows = confident(s)
+    runs = written_once(masks.haplotype_depth(confident(s)))  # one sweep for all masks
     parts = [
-        masks.consensus_regions(rows, k, "any").withColumn("mask", F.lit("any")),
-        masks.consensus_regions(rows, k, "any", sizes=s.chroms, inverse=True).withColumn("mask", F.lit("any_inverse")),
-        masks.consensus_regions(rows, k, "all").withColumn("mask", F.lit("all")),
+        masks.depth_regions(runs, k, "any").withColumn("mask", F.lit("any")),
+        masks.depth_regions(runs, k, "any", sizes=s.chroms, inverse=True).withColumn("mask", F.lit("any_inverse")),
+        masks.depth_regions(runs, k, "all").withColumn("mask", F.lit("all")),
     ]
     return sweep.union_all(parts)
 
@@ -339,8 +340,9 @@ def _(s):
 )
 def _(s):
     k = assembly_count(s)
-    low = masks.consensus_regions(confident(s), k, "lt", 0.3, "fraction").withColumn("mask", F.lit("lt"))
-    high = masks.consensus_regions(confident(s), k, "geq", 12).withColumn("mask", F.lit("geq"))
+    runs = written_once(masks.haplotype_depth(confident(s)))
+    low = masks.depth_regions(runs, k, "lt", 0.3, "fraction").withColumn("mask", F.lit("lt"))
+    high = masks.depth_regions(runs, k, "geq", 12).withColumn("mask", F.lit("geq"))
     return low.unionByName(high)
 
 
