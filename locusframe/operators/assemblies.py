@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import base_count, chromosome_rank, strand_code
-from .distribution import n50, quantiles, top_n_per_group
+from .distribution import n50, quantiles, running_in_order, top_n_per_group
 from .lineage import written_once
 from .overlap import overlap_join
 from .sweep import (
@@ -241,13 +241,13 @@ def alt_totals(cov: DataFrame, assembly: Sequence[str] = ASSEMBLY) -> DataFrame:
 def concat_offsets(sizes: DataFrame) -> DataFrame:
     """Start and end of each contig when contigs are laid end to end by chromosome, size (longest first) and name.
 
-    Offsets inside a chromosome plus the total of the chromosomes before it.
+    Offsets inside a chromosome, summed in ranges of the order, plus the total of the chromosomes before it.
     """
     rows = sizes.withColumn("rank", chromosome_rank(F.element_at(F.split("chrom", "_"), 1))).where("rank is not null")
-    inside = W.partitionBy("rank").orderBy(F.desc("size"), "chrom").rowsBetween(W.unboundedPreceding, 0)
+    # one row for each of the few chromosomes
     before = W.partitionBy(F.lit(0)).orderBy("rank").rowsBetween(W.unboundedPreceding, -1)
     base = rows.groupBy("rank").agg(F.sum("size").alias("t")).select("rank", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("base"))
-    out = rows.withColumn("stop", F.sum("size").over(inside)).join(base, "rank")
+    out = running_in_order(rows.withColumn("_down", -F.col("size")), ["rank"], ["_down", "chrom"], "size", "stop").join(base, "rank")
     return out.select("chrom", "size", "rank", (F.col("base") + F.col("stop") - F.col("size")).alias("concat_start"), (F.col("base") + F.col("stop")).alias("concat_end"))
 
 
@@ -350,6 +350,11 @@ def completeness(ovl: DataFrame, profile: DataFrame, assembly: Sequence[str] = A
     return sums.select(*key, F.explode(stats).alias("s")).select(*key, "s.*")
 
 
+def completeness_means(stats: DataFrame, kind: Column, assembly: Sequence[str] = ASSEMBLY) -> DataFrame:
+    """Mean of every statistic of ``completeness`` by region type and assembly; ``kind`` gives the type of a region."""
+    return stats.groupBy(kind.alias("region_type"), *assembly, "stat_type").agg(F.avg("coverage").alias("mean_coverage"), F.count(F.lit(1)).alias("regions"))
+
+
 def read_completeness(avg: DataFrame, profile: DataFrame) -> DataFrame:
     """The same from region averages of a read depth track, with the mean depth over the region and over its covered bases."""
     rows = avg.join(profile.select("name", "accessible_pct"), "name", "left")

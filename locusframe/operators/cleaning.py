@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import fix_sample_id
+from .distribution import running_in_order
 from .sweep import END, START, union_all
 
 # Chromosomes, classes, abbreviations and colours of the annotation sources.
@@ -275,15 +276,45 @@ STUDIES = {
     "PRJEB31736": ("1kg_ilnvs-150pe", False),
 }
 LONG_STUDIES = ["PRJNA540705"]
+# What the platform and the instrument model of a study must contain, and the studies of paired reads.
+INSTRUMENTS = {
+    "PRJEB12849": ("illumina", "hiseq 2500"),
+    "PRJEB14185": ("illumina", "hiseq 2500"),
+    "PRJNA540705": ("pacbio", "sequel ii"),
+    "PRJEB9396": ("illumina", "hiseq 2500"),
+    "PRJEB36890": ("illumina", "novaseq 6000"),
+    "PRJEB31736": ("illumina", "novaseq 6000"),
+}
+PAIRED = ["PRJEB12849", "PRJEB9396", "PRJEB36890", "PRJEB31736"]
 MATES = {1: r"([._]R1|_1)\.fastq\.gz$", 2: r"([._]R2|_2)\.fastq\.gz$"}
 
 
+def check_runs(df: DataFrame) -> DataFrame:
+    """The rows, where platform, instrument model and layout fit the study and, in the study whose library names
+    hold them, individual and a library number of 3 characters; any other row is an error.
+
+    Checked where the columns instrument_platform and instrument_model are there. Libraries of the study that
+    leaves unpaired runs out may have any layout.
+    """
+    study, lib = F.col("study"), F.split("library_name", "_")
+    wrong = F.lit(False)
+    for name, (platform, model) in INSTRUMENTS.items():
+        fits = F.lower("instrument_platform").contains(platform) & F.lower("instrument_model").contains(model) if {"instrument_platform", "instrument_model"} <= set(df.columns) else F.lit(True)
+        if name in PAIRED:
+            fits = fits & F.lower("library_layout").contains("paired")
+        if name == "PRJEB12849":
+            fits = fits & (F.size(lib) == 4) & (F.try_element_at(lib, F.lit(1)) == F.col("individual")) & (F.length(F.try_element_at(lib, F.lit(3))) == 3)
+        wrong = wrong | ((study == name) & ~F.coalesce(fits, F.lit(False)))
+    return df.withColumn("study", F.when(wrong, _error("the run does not fit its study: ", F.col("run"))).otherwise(study))
+
+
 def annotate_runs(df: DataFrame) -> DataFrame:
     """One row per file of each run: label of the readset by study, mate number (short reads) or part number (long reads).
 
     ``df`` has study, individual, sample_alias, library_name, library_layout, run, fastq_ftp and submitted_ftp
     (URLs joined by ``;``). Runs of other samples and short-read files without a mate mark are left out; an unknown study is an error.
     """
+    df = check_runs(df)
     study, lib = F.col("study"), F.col("library_name")
     fields = F.split(lib, "_")
     kind = F.when(F.lower(lib).contains("_mono"), "075mo").when(F.lower(lib).contains("_di"), "150di").otherwise(_error("unexpected library ", lib))
@@ -311,8 +342,8 @@ def annotate_runs(df: DataFrame) -> DataFrame:
 
 
 def part_numbers(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Number the members of each group, such as the files of one sample."""
-    return df.withColumn("part", F.row_number().over(W.partitionBy(*by).orderBy(*order)))
+    """Number the members of each group, such as the files of one sample; a large group is numbered in ranges of its order."""
+    return running_in_order(df.withColumn("_n", F.lit(1)), by, order, "_n", "part").drop("_n").withColumn("part", F.col("part").cast("int"))
 
 
 def drop_blacklisted(df: DataFrame, hints: Sequence[str], col: str = "url") -> DataFrame:

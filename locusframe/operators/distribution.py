@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from .lineage import written_once
 from .sweep import BLOCK, running_sums
 
 
@@ -121,6 +122,21 @@ def pct_rank_desc(df: DataFrame, by: Sequence[str], value: str, block: float = B
     return df.join(ranks.withColumnsRenamed({k: f"_k_{k}" for k in by}), on, "left").drop("_v", *[f"_k_{k}" for k in by])
 
 
+def running_in_order(df: DataFrame, by: Sequence[str], order: Sequence[str], measure: str, name: str) -> DataFrame:
+    """Add ``name``, the sum of ``measure`` over the rows of the group up to and including the row, in ascending order.
+
+    Rows are dealt into ranges of (keys, order), so a large group is spread over many tasks; the carry
+    is one row for each group and range. Rows that tie are in any order.
+    """
+    by = list(by)
+    rows = written_once(df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+    inner = W.partitionBy(*by, "_range").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    carry = rows.groupBy(*by, "_range").agg(F.sum(measure).alias("_held")).withColumn("_before", F.coalesce(F.sum("_held").over(before), F.lit(0))).drop("_held")
+    out = same_keys(rows.withColumn(name, F.sum(measure).over(inner)), carry, [*by, "_range"])
+    return out.withColumn(name, F.col(name) + F.col("_before")).select(*df.columns, name)
+
+
 def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows per group.
 

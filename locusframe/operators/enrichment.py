@@ -151,8 +151,8 @@ def loh_features(depth: DataFrame, segdups: DataFrame, input_cov: DataFrame) ->
     )
 
 
-def loh_clusters(features: DataFrame, k: int, columns: Sequence[str], label: str, seed: int = 1) -> DataFrame:
-    """Add the k-means cluster of the feature columns; rows with a missing feature get -1.
+def loh_clusters(features: DataFrame, k: int, columns: Sequence[str], label: str, seed: int = 1, restarts: int = 3) -> DataFrame:
+    """Add the k-means cluster of the feature columns, the best of several starts; rows with a missing feature get -1.
 
     Clusters are numbered by the first feature of their centre, so labels do not depend on the start.
     """
@@ -162,7 +162,8 @@ def loh_clusters(features: DataFrame, k: int, columns: Sequence[str], label: str
     features = written_once(features)  # every iteration reads the features again
     usable = features.where(" and ".join(f"{c} is not null" for c in columns))
     vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(usable)
-    model = KMeans(k=k, seed=seed, maxIter=500, tol=1e-4, featuresCol="_v", predictionCol="_p").fit(vectors)
+    fits = [KMeans(k=k, seed=seed + i, maxIter=500, tol=1e-4, featuresCol="_v", predictionCol="_p").fit(vectors) for i in range(restarts)]
+    model = min(fits, key=lambda m: m.summary.trainingCost)
     order = sorted(range(len(model.clusterCenters())), key=lambda i: tuple(model.clusterCenters()[i]))
     number = F.lit(-1)
     for new, old in enumerate(order):
@@ -193,6 +194,11 @@ def break_score(matrix: DataFrame, hifi: Sequence[str], clr: Sequence[str]) -> C
     return mean(hifi) - mean(clr)
 
 
+def regression_rows(matrix: DataFrame, length: str, unknown: str, segdup: str, min_length: int = 1000) -> DataFrame:
+    """Regions long enough, without unknown bases and without a segmental duplication; a missing share of duplications is none."""
+    return matrix.where((F.col(length) >= min_length) & (F.coalesce(unknown, F.lit(0.0)) == 0) & (F.coalesce(segdup, F.lit(0.0)) == 0))
+
+
 def break_regression(df: DataFrame, features: Sequence[str], target: str, depths: Sequence[int] = (2, 4), iterations: int = 25, folds: int = 5, seed: int = 1) -> DataFrame:
     """Gradient-boosted regression of the target, best depth by cross-validated R2; importance per feature."""
     from pyspark.ml.evaluation import RegressionEvaluator

@@ -226,6 +226,23 @@ def trio_qv(df: DataFrame, snp: str = "snp", high: str = "high-confidence", unli
     return one.select(F.explode(rows).alias("r")).select("r.*").withColumn("qv", quality_value(F.col("bp"), genome_size))
 
 
+def single_qv(df: DataFrame, gt: str = "gt", snp: str = "snp", high: str = "high-confidence", unlifted: str = "not-lifted", genome_size: int = TRIO_GENOME_SIZE) -> DataFrame:
+    """Rows (label, bp, qv) of one call set: a homozygous call is an error of the haploid assembly; no call is ambiguous.
+
+    ``df`` has the genotype, vtype, region_type and vlen; records without a length are skipped.
+    """
+    clean = _clean_gt(gt)
+    wrong = clean.isin("00", "11") & (F.col("vlen") >= 0)
+    items = []
+    for kind, is_kind in (("snp", F.col("vtype") == snp), ("all", F.lit(True))):
+        for where, regions in (("high-conf", [high]), ("hc-or-not-lifted", [high, unlifted])):
+            hit = wrong & is_kind & F.col("region_type").isin(*regions)
+            items.append((f"QV..{kind}..error..{where}", F.coalesce(F.sum(F.when(hit, F.col("vlen"))), F.lit(0).cast("long"))))
+    one = df.agg(*[bp.alias(label) for label, bp in items])
+    rows = F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").alias("bp")) for c in one.columns])
+    return one.select(F.explode(rows).alias("r")).select("r.*").withColumn("qv", quality_value(F.col("bp"), genome_size))
+
+
 def concordance(df: DataFrame, samples: Sequence[str], parents: tuple[str, str] | None = None) -> DataFrame:
     """Rows (metric, sample, n, pct) of how far genotype columns agree, and one row per call report.
 

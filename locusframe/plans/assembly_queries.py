@@ -544,3 +544,19 @@ def _(s):
 def _(s):
     out = asm.two_sample_tests(report(s), "tech", "HiFi", "CLR", "n50")
     return out.select(*[F.round(c, 6).alias(c) for c in ("welch_t", "welch_df", "bartlett")])
+
+
+@query(
+    "completeness_means",
+    f"""WITH o AS (SELECT tech, a.chrom, a.start_pos, a.end_pos, a.name, a.cls, sum({BP}) AS bp, any_value(score) / 10 AS acc FROM regions a JOIN aln b ON {OVERLAPS} GROUP BY ALL),
+      f AS (SELECT *, round_even(bp / (end_pos - start_pos) * 100, 2) AS frac FROM o)
+      SELECT cls AS region_type, tech, 'count' AS stat_type, round(avg(bp), 4) AS mean_coverage, count(*) AS regions FROM f GROUP BY ALL
+      UNION ALL SELECT cls, tech, 'fraction', round(avg(frac), 4), count(*) FROM f GROUP BY ALL
+      UNION ALL SELECT cls, tech, 'accessible', round(avg(100 - round_even(abs(acc - frac), 2)), 4), count(*) FROM f GROUP BY ALL""",
+)
+def _(s):
+    pairs = overlap.overlap_join(s.regions.select("chrom", "start_pos", "end_pos", "name"), s.aln.select("chrom", "start_pos", "end_pos", "tech"))
+    ovl = pairs.select("chrom", "start_pos", "end_pos", "name", F.col("tech_b").alias("tech"), F.col("bp").alias("coverage"))
+    profile = s.regions.select("name", (F.col("score") / 10).alias("accessible_pct"))
+    stats = asm.completeness(ovl, profile, ["tech"]).join(s.regions.select("name", "cls"), "name")
+    return asm.completeness_means(stats, F.col("cls"), ["tech"]).withColumn("mean_coverage", F.round("mean_coverage", 4))

@@ -461,6 +461,7 @@ def runs(s):
     return s.table("orders").select(
         study.alias("study"), who.alias("individual"), F.when(k % 9 == 0, "other").otherwise(F.concat(F.lit("x"), who)).alias("sample_alias"),
         F.concat(who, F.lit("_7_021_"), F.when(k % 8 < 4, "mono").otherwise("di")).alias("library_name"), F.lit("PAIRED").alias("library_layout"), run.alias("run"),
+        F.when(k % 4 == 2, "PACBIO_SMRT").otherwise("ILLUMINA").alias("instrument_platform"), F.element_at(F.array(*[F.lit(x) for x in ["Illumina HiSeq 2500", "HiSeq 2500", "Sequel II", "NovaSeq 6000"]]), (k % 4 + 1).cast("int")).alias("instrument_model"),
         urls.alias("fastq_ftp"), F.when(k % 11 == 0, "a.bam").otherwise("a.cram").alias("submitted_ftp"),
     )
 

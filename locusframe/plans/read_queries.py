@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import distribution, kmers, reads
+from ..operators.lineage import written_once
+from ..operators.sweep import union_all
 from .registry import query
 
 HIST = "h AS (SELECT CAST(length(seq) AS BIGINT) AS length, count(*) AS n FROM reads GROUP BY 1)"
@@ -395,3 +397,22 @@ def _(s):
         (F.col("i") * 100).alias("start_pos"), (F.col("i") * 101 + 31).alias("end_pos"), "seq",
     )
     return kmers.attach_sequences(hits, seqs).select("name", "chrom", "start_pos", "end_pos", F.md5("seq").alias("seq_md5"))
+
+
+@query(
+    "kmer_drop_counts",
+    f"""WITH {REGION_SQL} SELECT count(*) AS raw_regions, count(*) FILTER ("chrM") AS "drop_chrM", count(*) FILTER (NOT "GRCh38") AS drop_ref_missing FROM f""",
+)
+def _(s):
+    return kmers.kmer_drop_counts(_region_queries(s))
+
+
+@query(
+    "kmer_selected_regions",
+    f"""WITH {REGION_SQL} """ + " UNION ALL ".join(f"""SELECT '{n}' AS selector, name FROM f WHERE "GRCh38" AND NOT "chrM" AND ({t})""" for n, t in kmers.REGION_SELECTORS.items()),
+)
+def _(s):
+    """The regions of every selector."""
+    flags = written_once(_region_queries(s))
+    name = F.concat(F.lit("read"), F.regexp_extract("query", "ENSR([0-9]+)", 1))
+    return union_all([kmers.selected_regions(flags, n).select(F.lit(n).alias("selector"), name.alias("name")) for n in kmers.REGION_SELECTORS])

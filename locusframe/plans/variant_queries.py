@@ -282,3 +282,16 @@ def _(s):
 )
 def _(s):
     return variants.venn_counts(s.calls, s.calls_b, ["chrom", "pos"])
+
+
+@query(
+    "single_qv",
+    """WITH c AS (SELECT replace(replace(child, '/', ''), '|', '') AS g, CASE region_type WHEN 'A' THEN 'high-confidence' WHEN 'N' THEN 'not-lifted' ELSE 'lifted-not-hc' END AS w, vtype, vlen FROM trio),
+      e AS (SELECT * FROM c WHERE g IN ('00', '11')),
+      q AS (SELECT 'QV..snp..error..high-conf' AS label, sum(vlen) FILTER (vtype = 'O' AND w = 'high-confidence') AS bp FROM e UNION ALL SELECT 'QV..snp..error..hc-or-not-lifted', sum(vlen) FILTER (vtype = 'O' AND w <> 'lifted-not-hc') FROM e
+        UNION ALL SELECT 'QV..all..error..high-conf', sum(vlen) FILTER (w = 'high-confidence') FROM e UNION ALL SELECT 'QV..all..error..hc-or-not-lifted', sum(vlen) FILTER (w <> 'lifted-not-hc') FROM e)
+      SELECT label, CAST(bp AS BIGINT) AS bp, CAST(round_even(-10 * log10(bp / 6.4e9), 0) AS BIGINT) AS qv FROM q""",
+)
+def _(s):
+    region = F.when(F.col("region_type") == "A", "high-confidence").when(F.col("region_type") == "N", "not-lifted").otherwise("lifted-not-hc")
+    return variants.single_qv(s.trio.withColumn("region_type", region), gt="child", snp="O")

@@ -104,3 +104,26 @@ def test_a_cluster_needs_a_shared_folder():
         lineage.scratch_path(session("local-cluster[2,1,1024]"))
     assert lineage.scratch_path(session("yarn", "hdfs:///shared/")).startswith("hdfs:///shared/")
     assert os.path.isdir(os.path.dirname(lineage.scratch_path(session("local[2]"))))
+
+
+def test_running_sums_in_order_split_a_large_group(spark):
+    rows = [("a", i * 7919 % 5000, i % 5) for i in range(5000)] + [(None, 3, 4), ("b", 1, 2), (None, 1, 1)]
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = distribution.running_in_order(spark.createDataFrame(rows, "g string, k long, m long").repartition(4), ["g"], ["k"], "m", "upto").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    total, want = {}, {}
+    for g, k, m in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        total[g] = total.get(g, 0) + m
+        want[g, k] = total[g]
+    assert {(r["g"], r["k"]): r["upto"] for r in out} == want
+
+
+def test_regression_rows(spark):
+    from locusframe.operators.enrichment import regression_rows
+
+    df = spark.createDataFrame([(1000, 0.0, None), (999, 0.0, 0.0), (2000, 1.0, 0.0), (2000, 0.0, 0.5)], "length long, n double, sd double")
+    assert [r["length"] for r in regression_rows(df, "length", "n", "sd").collect()] == [1000]

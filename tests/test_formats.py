@@ -177,3 +177,17 @@ def test_vcf_files_with_their_own_sample_order(spark, tmp_path):
     (tmp_path / "c.vcf").write_text("##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS3\n" + fixed.format(3) + "0/1\n")
     with pytest.raises(Exception, match="no sample S1 in"):
         readers.read_vcf(spark, str(tmp_path / "*.vcf"), "S1").collect()
+
+
+def test_a_run_must_fit_its_study(spark):
+    cols = "study string, individual string, sample_alias string, library_name string, library_layout string, run string, fastq_ftp string, submitted_ftp string, instrument_platform string, instrument_model string"
+    good = ("PRJEB12849", "S1", "xS1", "S1_7_021_mono", "PAIRED", "R1", "ftp.ebi.ac.uk/R1_1.fastq.gz", "a", "ILLUMINA", "Illumina HiSeq 2500")
+    assert cleaning.annotate_runs(spark.createDataFrame([good], cols)).count() == 1
+    for at, value in ((3, "S2_7_021_mono"), (3, "S1_7_21_mono"), (4, "SINGLE"), (8, "PACBIO"), (9, None)):
+        bad = list(good)
+        bad[at] = value
+        with pytest.raises(Exception, match="does not fit"):
+            cleaning.annotate_runs(spark.createDataFrame([tuple(bad)], cols)).collect()
+    # a study that leaves unpaired runs out
+    other = ("PRJEB14185", "S1", "xS1", "l", "SINGLE", "R1", "ftp.ebi.ac.uk/R1_1.fastq.gz", "a", "ILLUMINA", "HiSeq 2500")
+    assert cleaning.annotate_runs(spark.createDataFrame([other], cols)).count() == 0
