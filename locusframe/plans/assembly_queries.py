@@ -130,7 +130,7 @@ def _(s):
       gaps AS (SELECT hap, gx.chrom, start_pos, coalesce(end_pos, size) AS end_pos FROM gx JOIN chroms c ON gx.chrom = c.chrom WHERE coalesce(end_pos, size) > start_pos),
       win AS (SELECT chrom, w * 50 AS start_pos, least(w * 50 + 50, size) AS end_pos FROM (SELECT chrom, size, unnest(range(CAST(ceil(size / 50.0) AS BIGINT))) AS w FROM chroms)),
       stable AS (SELECT a.chrom, a.start_pos, a.end_pos FROM win a LEFT JOIN gaps b ON {OVERLAPS} GROUP BY ALL HAVING count(DISTINCT hap) <= 1),
-      cut AS (SELECT b.chrom, greatest(a.start_pos, b.start_pos) AS start_pos, least(a.end_pos, b.end_pos) AS end_pos FROM gaps b
+      cut AS (SELECT DISTINCT b.chrom, greatest(a.start_pos, b.start_pos) AS start_pos, least(a.end_pos, b.end_pos) AS end_pos FROM gaps b
         JOIN (SELECT * FROM win ANTI JOIN stable USING (chrom, start_pos)) a ON {OVERLAPS}),
       {islands_sql("cut", "chrom", "m")}
       SELECT chrom, start_pos, end_pos, concat(chrom, '-', start_pos, '-', end_pos - start_pos, '-H64') AS name FROM m""",
