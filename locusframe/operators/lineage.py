@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_folder() -> str:
+    """A folder of this process, gone when it ends."""
+    path = tempfile.mkdtemp(prefix="locusframe-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path in the shared folder that spark.checkpoint.dir names.
 
@@ -19,7 +30,7 @@ def scratch_path(spark: SparkSession) -> str:
     if not base:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="locusframe-")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -157,7 +157,7 @@ def at_both_ends(
     nexts: Sequence[str] = (),
     block: int = BLOCK,
 ) -> DataFrame:
-    """Attach running sums of ``events`` at the start and the end of each row of ``a``, events at the point included.
+    """Attach running sums of ``events`` at the start and the end of each row of ``a``, events at the point included; rows with a NULL key get 0.
 
     ``at_start`` columns come back as ``s_<m>`` and ``at_end`` as ``e_<m>``; the
     greatest ``lasts`` up to the start as ``s_<m>``, the least ``nexts`` from the
@@ -182,7 +182,10 @@ def at_both_ends(
     values = points.join(run, [*by, "pos"]).groupBy(*own_shuffle(where)).agg(
         *[F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{m}") for side, c, m in wanted]
     )
-    return a.join(values.drop("_own"), where)
+    # a row with a NULL key meets no event
+    out = a.join(values.drop("_own"), where, "left")
+    sums = [(f"s_{m}", m) for m in at_start] + [(f"e_{m}", m) for m in at_end]
+    return out.withColumns({c: F.coalesce(c, F.lit(0).cast(values.schema[c].dataType)) for c, _ in sums})
 
 
 # --- region algebra ---------------------------------------------------------

@@ -17,8 +17,8 @@ def write_bed(df: DataFrame, path: str, null: str = "") -> None:
 
 
 def write_by_class(df: DataFrame, col: str, path: str) -> None:
-    """One folder per class, and all rows in ``all``."""
-    _tsv(df.withColumn("_class", F.col(col))).option("header", True).partitionBy("_class").csv(f"{path}/by_class")
+    """One folder per class, and all rows in ``all``. Rows are dealt by class first, large classes over several files."""
+    _tsv(df.withColumn("_class", F.col(col)).hint("rebalance", "_class")).option("header", True).partitionBy("_class").csv(f"{path}/by_class")
     _tsv(df).option("header", True).csv(f"{path}/all")
 
 

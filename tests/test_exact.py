@@ -127,3 +127,20 @@ def test_regression_rows(spark):
 
     df = spark.createDataFrame([(1000, 0.0, None), (999, 0.0, 0.0), (2000, 1.0, 0.0), (2000, 0.0, 0.5)], "length long, n double, sd double")
     assert [r["length"] for r in regression_rows(df, "length", "n", "sd").collect()] == [1000]
+
+
+def test_rows_without_a_chromosome_stay(spark):
+    a = spark.createDataFrame([("c", 0, 5, "x"), (None, 0, 5, "y"), ("c", 50, 60, "z")], "chrom string, start_pos long, end_pos long, name string")
+    b = spark.createDataFrame([("c", 3, 9), (None, 0, 5)], "chrom string, start_pos long, end_pos long")
+    assert {r["name"]: r["num_overlaps"] for r in overlap.coverage_counts(a, b).collect()} == {"x": 1, "y": 0, "z": 0}
+    assert sorted(r["name"] for r in overlap.overlap_anti(a, b).collect()) == ["y", "z"]
+    assert {r["name"]: (r["num_overlaps"], r["covered_bp"]) for r in overlap.coverage(a, b).collect()} == {"x": (1, 2), "y": (0, 0), "z": (0, 0)}
+
+
+def test_bed_files_are_sorted(spark, tmp_path):
+    from locusframe.sources import writers
+
+    rows = [("chr2", 5, 9), ("chr1", 7, 8), ("chr1", 3, 9), ("chr1", 3, 4)]
+    writers.write_bed(spark.createDataFrame(rows, "chrom string, start_pos long, end_pos long").repartition(3), str(tmp_path / "x"))
+    lines = [x.split("\t") for f in sorted((tmp_path / "x").glob("part-*")) for x in f.read_text().split("\n") if x and not x.startswith("#")]
+    assert [(c, int(a), int(b)) for c, a, b in lines] == sorted(rows)
