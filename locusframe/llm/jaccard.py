@@ -21,7 +21,7 @@ from . import common, shingles
 #: Candidate ids that are broadcast to the scan of the texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Text of one slice of the first pass, whose equal shingles are counted before the shuffle.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def needed(n: Column, percent: int) -> Column:
@@ -40,6 +40,7 @@ def classes(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: s
     def take(batches):
         import pyarrow as pa
 
+        shingles.begin()
         for batch in batches:
             for a, b in common.slices(batch.column("text")):
                 part = batch.slice(a, b - a)
@@ -68,6 +69,7 @@ def shared_counts(docs: DataFrame, words: int, percent: int, id_col: str, text_c
         import pyarrow as pa
 
         turn = 0
+        shingles.begin()
         for batch in batches:
             for a, b in common.slices(batch.column("text"), SLICE_BYTES):
                 ids, sets = [], []

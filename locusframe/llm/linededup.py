@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.lineage import written_once
-from . import common
+from . import common, tokens
 
 #: Documents in a block when positions are numbered.
 BLOCK_ROWS = 2048
@@ -54,6 +54,7 @@ def document_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def cut(batches):
         import pyarrow as pa
 
+        tokens.forget()
         for batch in batches:
             for a, b in common.slices(batch.column("text")):
                 part = batch.slice(a, b - a)

@@ -27,7 +27,7 @@ from . import common, shingles
 from .folder import Folder
 
 #: Text whose n-grams are counted before they are sent.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 # No word has white space, so these stand for no word.
 END, BEGIN = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b" ", b"\n"))
 
@@ -131,39 +131,45 @@ class Model:
     def size(self) -> int:
         return sum(self.words.rows.values())
 
-    def sequences(self, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers of begin, words and end of each text, one after the other; counts of these tokens; lengths with the begin."""
+    def sequences(self, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers and counts of the distinct tokens of the texts; which of them stand one after the other; lengths.
+
+        Each text has a begin before its words and an end behind them.
+        """
         h = np.concatenate([np.concatenate([[BEGIN], shingles.word_hashes(f), [END]]) for f in found])
         length = np.array([len(f) + 2 for f in found])
+        h, back = np.unique(h, return_inverse=True)
         ids, (counts,) = self.words.find(h)
         ids = np.where(ids < 0, self.size + 1, ids)
-        ids[np.cumsum(length) - length] = self.size
-        return ids, counts, length
+        ids[h == BEGIN] = self.size
+        return ids, counts, back, length
 
-    def probabilities(self, ids: np.ndarray, length: np.ndarray) -> np.ndarray:
+    def probabilities(self, distinct: np.ndarray, back: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Of each token behind a begin, given up to order - 1 tokens of its own text before it; 1 for a begin."""
-        place = np.arange(len(ids)) - np.repeat(np.cumsum(length) - length, length)
-        real = np.flatnonzero(place > 0)
+        place = np.arange(len(back)) - np.repeat(np.cumsum(length) - length, length)
+        ids, first = distinct[back], step(np.zeros(len(distinct), np.uint64), distinct)
         total, n1, n2, n3 = self.unigrams
         d = self.discounts[1]
-        p = np.ones(len(ids))
-        uniform = 1 / (self.size + 1)
+        p = np.full(len(distinct), 1 / (self.size + 1))
         if total:
-            _, (c,) = self.grams[1].find(step(np.zeros(len(real), np.uint64), ids[real]))
-            p[real] = lowered(c, d) / total + (d[0] * n1 + d[1] * n2 + d[2] * n3) / total * uniform
-        else:
-            p[real] = uniform
+            _, (c,) = self.grams[1].find(first)
+            p = lowered(c, d) / total + (d[0] * n1 + d[1] * n2 + d[2] * n3) / total * p
+        p = np.where(place > 0, p[back], 1.0)
         for k in range(2, self.order + 1):
             at = np.flatnonzero(place >= k - 1)
             if not len(at) or not self.contexts[k].rows:
                 break
-            h = gram_hash([ids[at - j] for j in range(k - 1, 0, -1)])
+            d = self.discounts[k]
+            # contexts of one token are looked up once for each distinct token
+            h = first if k == 2 else gram_hash([ids[at - j] for j in range(k - 1, 0, -1)])
             where, (total, n1, n2, n3) = self.contexts[k].find(h)
+            weight = (d[0] * n1 + d[1] * n2 + d[2] * n3) / np.maximum(total, 1)
+            if k == 2:
+                h, where, total, weight = (x[back[at - 1]] for x in (h, where, total, weight))
             known = np.flatnonzero(where >= 0)
-            at, h, total, n1, n2, n3 = at[known], h[known], total[known], n1[known], n2[known], n3[known]
+            at, h, total, weight = at[known], h[known], total[known], weight[known]
             _, (c,) = self.grams[k].find(step(h, ids[at]))
-            d = self.discounts[k]
-            p[at] = lowered(c, d) / total + (d[0] * n1 + d[1] * n2 + d[2] * n3) / total * p[at]
+            p[at] = lowered(c, d) / total + weight * p[at]
         return p
 
 
@@ -184,6 +190,7 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 def _texts(batch):
     import pyarrow as pa
 
+    shingles.begin()
     for a, b in common.slices(batch.column("text"), SLICE_BYTES):
         yield a, b, [shingles.words(t) for t in batch.column("text").slice(a, b - a).cast(pa.binary()).to_pylist()]
 
@@ -244,7 +251,8 @@ def build(docs: DataFrame, order: int = 2, uri: str | None = None, id_col: str =
     def count_grams(batches):
         for batch in batches:
             for _, _, found in _texts(batch):
-                ids, _, length = model.sequences(found)
+                ids, _, back, length = model.sequences(found)
+                ids = ids[back]
                 start = np.cumsum(length) - length
                 place = np.arange(len(ids)) - np.repeat(start, length)
                 rows = []
@@ -316,11 +324,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
         for batch in batches:
             for a, b, found in _texts(batch):
-                ids, counts, length = model.sequences(found)
+                ids, counts, back, length = model.sequences(found)
                 start = np.cumsum(length) - length
-                p = np.log10(model.probabilities(ids, length))
-                base = np.log10((counts + 0.5) / (total + 0.5 * (size + 1)))
-                base[start], known = 0.0, counts > 0
+                p = np.log10(model.probabilities(ids, back, length))
+                base = np.log10((counts + 0.5) / (total + 0.5 * (size + 1)))[back]
+                base[start], known = 0.0, (counts > 0)[back]
                 known[start] = False
                 columns = [pa.array(length - 1), pa.array(np.add.reduceat(known.astype(np.int64), start)), pa.array(np.full(len(found), total)), pa.array(np.add.reduceat(base, start)), pa.array(np.add.reduceat(p, start))]
                 yield pa.record_batch([batch.column("doc_id").slice(a, b - a), *columns], names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from . import common
+from . import common, tokens
 
 #: Labelled rows that the trees are fitted on, at most; the smallest hashes of the id are taken.
 SAMPLE_ROWS = 20_000
@@ -144,7 +144,10 @@ def score(spark, trees: Trees, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def scored(t: pd.Series) -> pd.Series:
-        return pd.Series(trees.predict(matrix(t)))
+        tokens.forget()
+        out = pd.Series(trees.predict(matrix(t)))
+        common.settle()
+        return out
 
     return scored(text.cast("string").cast("binary"))
 

@@ -7,12 +7,17 @@ import hashlib
 import numpy as np
 import xxhash
 
-from .tokens import Memory
+from .tokens import Memory, forget
 
-_words = Memory(xxhash.xxh64_intdigest)
+_words = Memory(xxhash.xxh64_intdigest, 100_000)
 _K, _C, _D = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def begin() -> None:
+    """Called by tasks that hash words: other memories of the worker are emptied."""
+    forget(_words)
+
+
 def words(text: bytes) -> list[bytes]:
     """Words of a text with A-Z in lower case; bytes.split() cuts at exactly the six ASCII white space characters."""
     return text.lower().split()

@@ -62,4 +62,5 @@ def counters(t: tokens.Pieces, whole: list[str], path: str) -> tokens.Memory:
     """Tokens of a pre-token: 1 with a proof, else merged by the library and remembered; one memory for each worker."""
     if path not in _counters:
         _counters[path] = tokens.Memory(lambda p: len(t.ids(p)) >> 2 if t.kind != "byte" or p in t.special else len(t.pre_token(p)), fixed=dict.fromkeys(whole, 1))
+    tokens.forget(_counters[path])
     return _counters[path]

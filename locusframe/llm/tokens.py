@@ -13,7 +13,7 @@ import re
 import struct
 
 #: Pieces that a worker remembers in one generation; it keeps two.
-PIECES = 500_000
+PIECES = 250_000
 
 # The pre-token pattern of the byte-level vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -28,12 +28,16 @@ _BYTES = dict(zip([b for b in range(256) if b not in _PRINTS], map(chr, range(25
 _PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
 
 
+_memories: list[Memory] = []
+
+
 class Memory(dict):
     """What make(key) gives for each key, remembered for two generations of at most `size` keys."""
 
     def __init__(self, make, size: int = PIECES, fixed: dict | None = None):
         super().__init__(fixed or {})
         self.make, self.size, self.fixed, self.old = make, size, fixed or {}, {}
+        _memories.append(self)
 
     def __missing__(self, key):
         value = self.old.get(key)
@@ -49,6 +53,15 @@ class Memory(dict):
             self.update(self.fixed)
 
 
+def forget(keep: Memory | None = None) -> None:
+    """Empty all memories but one: a worker serves many stages, and holds what the present one needs."""
+    for memory in _memories:
+        if memory is not keep and (memory.old or len(memory) > len(memory.fixed)):
+            memory.old = {}
+            memory.clear()
+            memory.update(memory.fixed)
+
+
 class Pieces:
     """A tokenizer file and the way its texts may be cut."""
 
@@ -135,4 +148,5 @@ def pieces(path: str) -> Pieces:
     """One tokenizer for each file and Python worker."""
     if path not in _loaded:
         _loaded[path] = Pieces(path)
+    forget(_loaded[path].memory)
     return _loaded[path]
