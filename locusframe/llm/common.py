@@ -49,6 +49,11 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """Every row as one struct, ``doc``, so that no name of its columns meets those an operator adds; doc.* gives them back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
+
+
 def slices(column, most: int = SLICE_BYTES):
     """Ranges (start, stop) of an Arrow string column with at most so many bytes, or one row."""
     import pyarrow as pa

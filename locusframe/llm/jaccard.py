@@ -285,8 +285,8 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     known = near.where("doc_id IS NOT NULL")
     gone = written_once(known.where("doc_id <> component_id").select("doc_id", "text_hash").distinct())
     again = written_once(known.where("doc_id = component_id").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash"))
-    names = [f"`{c}`" for c in docs.columns]
-    rows = docs.withColumn("_id", F.col(id_col).cast("long")).withColumn("_hash", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    text = F.coalesce(F.col(f"doc.`{text_col}`").cast("string"), F.lit(""))
+    rows = common.whole_rows(docs).withColumn("_id", F.col(f"doc.`{id_col}`").cast("long")).withColumn("_hash", F.xxhash64(text))
 
     def matched(rows, ids, how):
         ids = ids.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"))
@@ -296,4 +296,4 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     rows = matched(rows, gone, "left_anti")
     if not again.isEmpty():
         rows = matched(rows, again, "left_anti").unionByName(matched(rows, again, "left_semi").dropDuplicates(["_id", "_hash"]))
-    return rows.select(*names)
+    return rows.select("doc.*")

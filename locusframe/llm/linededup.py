@@ -164,7 +164,8 @@ def deletions(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text
 def drop_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the lines deleted that belong to a later copy of a repeated run of at least min_words words.
 
-    Added columns: _n_lines, and _deleted (numbers of the deleted lines, from 0).
+    Added columns: _n_lines, and _deleted (numbers of the deleted lines, from 0); columns
+    of these two names are replaced.
     Order is by id, then by a hash of the text; rows without an id come last. The
     first copy of every line stays somewhere. Rows that repeat both id and text are
     one document and get one result. Null and empty texts have no lines and stay as
@@ -174,14 +175,15 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc
     gone = written_once(deletions(docs, min_words, id_col, text_col))
     small = gone.count() <= BROADCAST_DOCUMENTS
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("lines").alias("_deleted"))
-    key = docs.withColumn("_key", F.col(id_col).cast("long")).withColumn("_hash", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    rows = key.join(F.broadcast(gone) if small else gone, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_tie")), "left").drop("_key", "_hash", "_id", "_tie")
-    text = F.col(text_col).cast("string")
-    lines = F.split(text, "\n", -1)
+    key = common.whole_rows(docs.drop("_n_lines", "_deleted")).withColumn("_key", F.col(f"doc.`{id_col}`").cast("long")).withColumn("_text", F.col(f"doc.`{text_col}`").cast("string"))
+    key = key.withColumn("_hash", F.xxhash64(F.coalesce("_text", F.lit(""))))
+    rows = key.join(F.broadcast(gone) if small else gone, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_tie")), "left")
+    lines = F.split("_text", "\n", -1)
     kept = F.filter(F.transform(lines, lambda x, i: F.when(~F.array_contains(F.col("_deleted"), i.cast("long")), x)), lambda x: x.isNotNull())
-    count = F.when(F.coalesce(F.length(text), F.lit(0)) == 0, 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
-    rows = rows.withColumn("_n_lines", count.cast("long")).withColumn(text_col, F.when(F.col("_deleted").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_col)))
-    return rows.withColumn("_deleted", F.coalesce("_deleted", F.array().cast("array<long>")))
+    count = F.when(F.coalesce(F.length("_text"), F.lit(0)) == 0, 0).otherwise(F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1)
+    text = F.when(F.col("_deleted").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(f"doc.`{text_col}`"))
+    rows = rows.select(F.col("doc").withField(f"`{text_col}`", text).alias("doc"), count.cast("long").alias("_n_lines"), F.coalesce("_deleted", F.array().cast("array<long>")).alias("_deleted"))
+    return rows.select("doc.*", "_n_lines", "_deleted")
 
 
 def line_report(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

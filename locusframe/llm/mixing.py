@@ -56,22 +56,44 @@ def pareto_odds(u: Column, p: Column) -> Column:
     return F.when(p > 0, (u / (1 - u)) * ((1 - p) / p))
 
 
-def draw(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """Rows (doc_id, source, size, source_size, target, _key, _odds, _whole, _first, _last), one for each row of docs."""
+def expected(weight: Column | None, most: int, target: Column, source_size: Column, weighted: Column) -> Column:
+    """Expected copies of a document: its source's target over its size, or in proportion to a weight, at most `most`."""
+    if weight is None:
+        return F.when(source_size > 0, target / source_size).otherwise(F.lit(0.0))
+    return F.when(weighted > 0, F.least(target * weight / weighted, F.lit(float(most)))).otherwise(F.lit(0.0))
+
+
+def weight_of(weight_col: str | None) -> Column:
+    return F.lit(1.0) if weight_col is None else F.greatest(F.coalesce(F.nanvl(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
+
+
+def draw(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int, id_col: str, text_col: str, source_col: str, weight_col: str | None) -> DataFrame:
+    """Rows (doc_id, source, size, source_size, target, _weighted, _key, _odds, _whole, _first, _last), one for each row of docs."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text, F.lit(common.WORD)).cast("long").alias("size"), document_key(seed, id_col, text_col).alias("_key"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text, F.lit(common.WORD)).cast("long").alias("size"), document_key(seed, id_col, text_col).alias("_key"), weight_of(weight_col).alias("_weight"))
     rows = written_once(rows.withColumn("_row", F.monotonically_increasing_id()))
-    targets = written_once(source_targets(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), weights, most))
+    sizes = rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"), F.sum(F.col("_weight") * F.col("size")).alias("_weighted"))
+    sizes = written_once(sizes)
+    targets = source_targets(sizes.drop("_weighted"), weights, most)
+    targets = written_once(targets.join(sizes.select(F.col("source").alias("_s"), "_weighted"), targets["source"].eqNullSafe(F.col("_s"))).drop("_s"))
 
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    p, u = F.col("_rate") - F.floor("_rate"), uniform(F.col("_key"))
-    facts = targets.select(F.col("source").alias("_source"), "n", "source_size", "target")
+    u, p = uniform(F.col("_key")), F.col("_rate") - F.floor("_rate")
+    facts = targets.select(F.col("source").alias("_source"), "n", "source_size", "target", "_weighted")
     rows = rows.join(facts, rows["source"].eqNullSafe(facts["_source"])).drop("_source")
-    rows = rows.withColumn("_rate", rate).withColumn("_p", p).withColumn("_u", u).withColumn("_odds", pareto_odds(F.col("_u"), F.col("_p")))
+    rows = rows.withColumn("_rate", expected(None if weight_col is None else F.col("_weight"), most, F.col("target"), F.col("source_size"), F.col("_weighted")))
+    rows = rows.withColumn("_p", p).withColumn("_u", u).withColumn("_odds", pareto_odds(F.col("_u"), F.col("_p")))
+    if weight_col is None:
+        wanted, level = F.col("target") - F.floor("_rate") * F.col("source_size"), F.col("_p")
+    else:
+        # whole copies and the middle of the inclusion probabilities differ between documents
+        whole = rows.groupBy("source").agg(F.sum(F.floor("_rate") * F.col("size")).alias("_sure"), F.avg(F.when(F.col("_p") > 0, F.col("_p"))).alias("_level")).withColumnRenamed("source", "_source")
+        whole = written_once(whole)
+        rows = rows.join(whole, rows["source"].eqNullSafe(whole["_source"])).drop("_source")
+        wanted, level = F.col("target") - F.col("_sure"), F.col("_level")
 
     # buckets in order of the odds; the source's own inclusion odds spread them evenly;
     # documents without chance are only dealt out
-    even = F.col("_odds") * (F.col("_p") / (1 - F.col("_p")))
+    even = F.col("_odds") * (level / (1 - level))
     parts = 1 + F.floor(F.col("n") / BUCKET_ROWS)
     rows = rows.withColumn("_bucket", F.when(F.col("_odds").isNotNull(), F.least(F.floor(even / (1 + even) * parts), parts - 1)).otherwise(-1 - F.pmod("_row", parts)))
     by = ["source", "_bucket"]
@@ -80,9 +102,8 @@ def draw(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int, id_col
     before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.where("_bucket >= 0").groupBy(*by).agg(F.sum("size").alias("_held")).select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_start"))
     rows = rows.join(starts, rows["source"].eqNullSafe(starts["_s"]) & (rows["_bucket"] == starts["_b"]), "left")
-    wanted = F.col("target") - F.floor("_rate") * F.col("source_size")
     first = F.coalesce(F.col("_start") + F.col("_in_bucket") <= wanted, F.lit(False))
-    rows = written_once(rows.select("doc_id", "source", "size", "source_size", "target", "_key", "_row", "_odds", F.floor("_rate").alias("_whole"), wanted.alias("_wanted"), first.alias("_first")))
+    rows = written_once(rows.select("doc_id", "source", "size", "source_size", "target", "_weighted", "_key", "_row", "_odds", F.floor("_rate").alias("_whole"), wanted.alias("_wanted"), first.alias("_first")))
 
     # the last place of each source
     missing = rows.groupBy("source", "_wanted").agg(F.sum(F.when(F.col("_first"), F.col("size")).otherwise(0)).alias("_got")).select(F.col("source").alias("_s"), (F.col("_wanted") - F.col("_got")).alias("_missing"))
@@ -92,38 +113,42 @@ def draw(docs: DataFrame, weights: tuple[int, ...], most: int, seed: int, id_col
     return rows.join(last, "_row", "left").withColumn("_last", F.col("_last").isNotNull())
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight_col: str | None = None) -> DataFrame:
     """Rows (doc_id, source, size, source_size, target, copies, taken), one for each row of docs.
 
     size: words of the text, 0 for a null or empty one; taken: copies times size.
     The random number of a document depends on the seed, its id and text, so reruns
     agree; rows that repeat have equal numbers and are taken one by one. Null ids and
     a null source are values like others. Other columns are left out.
+
+    With weight_col, expected copies follow that column inside a source, so inclusion
+    probabilities differ between its documents; null and negative weights count as 0.
+    What a document would take beyond `most` copies is then missing from the target.
     """
-    rows = draw(docs, weights, most, seed, id_col, text_col, source_col)
+    rows = draw(docs, weights, most, seed, id_col, text_col, source_col, weight_col)
     copies = F.col("_whole") + F.when(F.col("_first") | F.col("_last"), 1).otherwise(0)
     return rows.withColumn("copies", copies.cast("long")).select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weight_col: str | None = None) -> DataFrame:
     """The rows of docs, all columns, each as often as the mix takes it.
 
     A source's extra documents are those up to a place in its order and one more, so
     one row for each source decides for every document; texts are not moved. Rows that
     repeat an id and a text are decided together.
     """
-    rows = draw(docs, weights, most, seed, id_col, text_col, source_col)
+    rows = draw(docs, weights, most, seed, id_col, text_col, source_col, weight_col)
     last = F.when(F.col("_last"), F.col("_key"))
-    facts = written_once(rows.groupBy("source").agg(F.first("target").alias("_target"), F.first("source_size").alias("_size"), F.max(F.when(F.col("_first"), F.struct("_odds", "_key"))).alias("_upto"), F.max(last).alias("_one")))
-    facts = facts.select(F.col("source").alias("_source"), F.when(F.col("_size") > 0, F.col("_target") / F.col("_size")).otherwise(F.lit(0.0)).alias("_rate"), "_upto", "_one")
-    names = docs.columns
-    held = docs.withColumn("_mix_key", document_key(seed, id_col, text_col))
-    held = held.join(facts, held[source_col].cast("string").eqNullSafe(facts["_source"]))
+    facts = written_once(rows.groupBy("source").agg(F.first("target").alias("_target"), F.first("source_size").alias("_size"), F.first("_weighted").alias("_weighted"), F.max(F.when(F.col("_first"), F.struct("_odds", "_key"))).alias("_upto"), F.max(last).alias("_one")))
+    facts = facts.withColumnRenamed("source", "_source")
+    held = common.whole_rows(docs).withColumn("_mix_key", document_key(seed, f"doc.`{id_col}`", f"doc.`{text_col}`"))
+    held = held.join(facts, F.col(f"doc.`{source_col}`").cast("string").eqNullSafe(facts["_source"]))
+    held = held.withColumn("_rate", expected(None if weight_col is None else weight_of(f"doc.`{weight_col}`"), most, F.col("_target"), F.col("_size"), F.col("_weighted")))
     odds = pareto_odds(uniform(F.col("_mix_key")), F.col("_rate") - F.floor("_rate"))
     extra = F.coalesce(F.struct(odds.alias("_odds"), F.col("_mix_key").alias("_key")) <= F.col("_upto"), F.lit(False)) & odds.isNotNull()
     extra = extra | F.coalesce(F.col("_mix_key") == F.col("_one"), F.lit(False))
     copies = F.floor("_rate").cast("int") + F.when(extra, 1).otherwise(0)
-    return held.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*[f"`{c}`" for c in names])
+    return held.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select("doc.*")
 
 
 def mix_sql(seed: int = 0) -> str:

@@ -30,7 +30,7 @@ ROWS = [
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # columns that operators use inside
-CLASH = ["class", "rank", "at", "n", "size", "tie", "_block", "_row", "piece", "x", "length", "target", "_key", "text_hash"]
+CLASH = ["class", "rank", "at", "n", "size", "tie", "_block", "_row", "piece", "x", "length", "target", "_key", "text_hash", "_size", "_rate", "_target", "_upto", "_one", "_source", "_mix_key", "_id", "_hash", "_tie", "_i", "_h", "_text", "_deleted", "_weighted", "a.b"]
 
 
 @pytest.fixture(scope="module")
@@ -142,6 +142,7 @@ def test_jaccard(docs, none):
 
 def test_line_dedup(docs, none):
     rows = {(r["doc_id"], r["n_lines"]): r for r in linededup.line_report(docs, 5).collect()}
+    assert linededup.drop_repeated_lines(docs, 5).drop("_n_lines", "_deleted").columns == [c for c in docs.columns if c != "_deleted"]
     assert rows[4, 1]["n_deleted"] == 1 and rows[1, 1]["n_deleted"] == 0
     assert rows[2, 0]["n_deleted"] == 0 and rows[3, 0]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
     assert rows[9, 301]["n_deleted"] == 299  # the empty end is the last line

@@ -325,6 +325,19 @@ def test_inclusion_follows_the_probability(spark):
         assert {(r["source"], r["copies"]): r["count"] for r in g} == {("a", 2): 1000, ("b", 0): 1000, ("b", 1): 2000}
 
 
+def test_inclusion_follows_a_weight(spark):
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"), F.when(F.col("id") < 3000, "a").otherwise("b").alias("source"), (F.col("id") % 3 + 1).alias("w"))
+    got = mixing.mix(df, weights=(1, 3), seed=5, weight_col="w").toPandas()
+    by = got.assign(w=got.doc_id % 3 + 1).groupby(["source", "w"]).copies.mean()
+    # expected copies of source a: a half in all, in proportion to 1, 2 and 3; of source b three times as many
+    for w in (1, 2, 3):
+        assert by["a", w] == pytest.approx(w / 4, abs=0.05) and by["b", w] == pytest.approx(min(3, 3 * w / 4), abs=0.05)
+    taken = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    assert ((taken.taken - taken.target).abs() <= 3).all()
+    kept = mixing.mixed_documents(df, weights=(1, 3), seed=5, weight_col="w").groupBy("doc_id").count().toPandas()
+    assert dict(zip(kept.doc_id, kept["count"])) == {d: c for d, c in zip(got.doc_id, got.copies) if c}
+
+
 def test_targets_stop_at_the_cap(spark):
     sizes = spark.createDataFrame([("a", 1, 10), ("b", 1, 1000), ("c", 1, 5), (None, 1, 200)], "source string, n long, source_size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}
