@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Bytes of text that a worker holds as Python objects at one time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _shipped: set[str] = set()
 

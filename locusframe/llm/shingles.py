@@ -7,15 +7,14 @@ import hashlib
 import numpy as np
 import xxhash
 
-from .tokens import Memory, forget
+from .tokens import forget
 
-_words = Memory(xxhash.xxh64_intdigest, 100_000)
 _K, _C, _D = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def begin() -> None:
-    """Called by tasks that hash words: other memories of the worker are emptied."""
-    forget(_words)
+    """Called by tasks that hash words: what the worker remembers for other work is emptied."""
+    forget()
 
 
 def words(text: bytes) -> list[bytes]:
@@ -24,8 +23,7 @@ def words(text: bytes) -> list[bytes]:
 
 
 def word_hashes(found: list[bytes]) -> np.ndarray:
-    _words.trim()
-    return np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+    return np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
