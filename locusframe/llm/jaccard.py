@@ -297,3 +297,15 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
     if not again.isEmpty():
         rows = matched(rows, again, "left_anti").unionByName(matched(rows, again, "left_semi").dropDuplicates(["_id", "_hash"]))
     return rows.select("doc.*")
+
+
+def near_duplicates_sql(words: int = 5, percent: int = 80) -> str:
+    """near_duplicates for the table documents with distinct ids, for DuckDB: shingles as texts, every pair that shares one."""
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(ws) - {words - 1}, 1) + 1), lambda i: array_to_string(list_slice(ws, i, i + {words - 1}), ' '))) END AS grams FROM w),
+n AS (SELECT doc_id, CAST(len(grams) AS BIGINT) AS n FROM s), g AS (SELECT doc_id, unnest(grams) AS gram FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+k AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * both_ >= {percent} * (a.n + b.n - both_)),
+r AS (SELECT x, y FROM k UNION SELECT r.x, k.y FROM r JOIN k ON r.y = k.x)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(y), n.doc_id)) AS component_id FROM n LEFT JOIN r ON n.doc_id = r.x GROUP BY n.doc_id, n.n"""

@@ -190,3 +190,20 @@ def line_report(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
     """Rows (doc_id, n_lines, n_deleted, deleted, kept_sha256), one for each row: counts, the deleted lines' numbers, a hash of the text left."""
     rows = drop_repeated_lines(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), min_words)
     return rows.select("doc_id", F.col("_n_lines").alias("n_lines"), F.size("_deleted").cast("long").alias("n_deleted"), F.array_join(F.transform("_deleted", lambda x: x.cast("string")), ",").alias("deleted"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def line_report_sql(min_words: int = 50) -> str:
+    """line_report for the table documents with distinct ids, for DuckDB: the windows' texts are compared as they are."""
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS ls FROM documents),
+l AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d),
+w AS (SELECT doc_id, i, len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) AS n FROM l),
+c AS (SELECT doc_id, i, n, CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS upto FROM w),
+v AS (SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= {min_words} GROUP BY ALL
+    UNION SELECT b.doc_id, max(a.i), b.i FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= {min_words} GROUP BY b.doc_id, b.i),
+k AS (SELECT v.doc_id, s, e, list_slice(ls, s, e) AS run FROM v JOIN d ON v.doc_id = d.doc_id),
+f AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS copy FROM k),
+g AS (SELECT doc_id, list_sort(list_distinct(flatten(list(range(s - 1, e))))) AS gone FROM f WHERE copy > 1 GROUP BY doc_id),
+r AS (SELECT d.doc_id, ls, text, coalesce(gone, []) AS gone FROM d LEFT JOIN g ON d.doc_id = g.doc_id)
+SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(gone) AS BIGINT) AS n_deleted, coalesce(array_to_string(gone, ','), '') AS deleted,
+    sha256(CASE WHEN len(gone) = 0 THEN text ELSE coalesce(array_to_string(list_filter(ls, lambda x, i: NOT list_contains(gone, i - 1)), chr(10)), '') END) AS kept_sha256 FROM r"""

@@ -33,14 +33,14 @@ def op1_kneser_ney(spark, sf_dir):
     return lm.score_held_out(table(spark, sf_dir, "documents"), order=2)
 
 
-@query("op2_line_dedup")
+@query("op2_line_dedup", linededup.line_report_sql(50))
 def op2_line_dedup(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"), min_words=50)
 
 
-@query("op3_jaccard_join")
+@query("op3_jaccard_join", jaccard.near_duplicates_sql(5, 80))
 def op3_jaccard_join(spark, sf_dir):
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=80)
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=80).drop("text_hash")
 
 
 @query("op4_pruned_graph")
