@@ -12,8 +12,8 @@ import json
 import re
 import struct
 
-#: Pieces that a worker remembers in one generation; it keeps two.
-PIECES = 250_000
+#: Words and pre-tokens that a worker remembers in one generation; it keeps two.
+WORDS, PIECES = 400_000, 125_000
 
 # The pre-token pattern of the byte-level vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -89,7 +89,7 @@ class Pieces:
         self.any_text, self.latin = regex.compile(BYTE_LEVEL), re.compile(LATIN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.model = self.library.model
-        self.memory = Memory(self._word if self.kind == "word" else self._piece)
+        self.memory = Memory(self._word, WORDS) if self.kind == "word" else Memory(self._piece)
 
     def pre_token(self, piece: str) -> list[int]:
         """Ids of one pre-token of a byte-level vocabulary: the merges alone."""
