@@ -318,6 +318,18 @@ def test_mix_comes_near_the_targets(documents):
     assert dict(zip(kept.doc_id, kept["count"])) == {d: c for d, c in zip(got.doc_id, got.copies) if c}
 
 
+@pytest.mark.parametrize("weights, seed", [((1, 4), 1), ((1, 2), 1)])
+def test_mix_goes_on_behind_a_long_document(spark, weights, seed):
+    """Source a holds one document of over 0.4 of its words; about 0.3 and 0.5 of the source are wanted."""
+    words = F.when(F.col("id") == 0, 15000).otherwise(100 - F.col("id") % 7).cast("int")
+    df = spark.range(401).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), words).alias("text"), F.when(F.col("id") <= 200, "a").otherwise("b").alias("source"))
+    got = mixing.mix(df, weights=weights, seed=seed).toPandas()
+    by = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    assert ((by.taken - by.target).abs() <= 0.01 * by.target).all()
+    kept = mixing.mixed_documents(df, weights=weights, seed=seed).groupBy("doc_id").count().toPandas()
+    assert dict(zip(kept.doc_id, kept["count"])) == {d: c for d, c in zip(got.doc_id, got.copies) if c}
+
+
 def test_inclusion_follows_the_probability(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("one two").alias("text"), F.when(F.col("id") < 1000, "a").otherwise("b").alias("source"))
     got = [mixing.mix(df, weights=(1, 1), seed=s).groupBy("source", "copies").count().collect() for s in (1, 2)]
