@@ -259,6 +259,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     without an id link with nothing and have a null component. Rows that repeat an id
     are documents of their own. Other columns are left out.
     """
+    return grouped(docs, words, percent, id_col, text_col).drop("group", "group2")
+
+
+def grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """near_duplicates with (group, group2), which tell components apart where ids repeat; null without words or without an id."""
     facts = written_once(classes(docs, words, id_col, text_col))
     known = facts.where("doc_id IS NOT NULL AND class IS NOT NULL")
     heads = written_once(known.groupBy("class", "class2").agg(F.min("doc_id").alias("head"), F.max("n_shingles").alias("n")))
@@ -269,21 +274,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     _, parts = links(sets, percent)
     parts = parts.select(F.col("node").alias("class"), "component")
     groups = written_once(heads.join(parts, "class").groupBy("component").agg(F.min("head").alias("least")))
-    named = parts.join(groups, "component").select("class", "least")
-    heads = written_once(heads.join(named, "class", "left").select("class", "class2", F.coalesce("least", "head").alias("component_id")))
+    named = parts.join(groups, "component").select("class", "component", "least")
+    group = [F.coalesce("component", "class").alias("group"), F.when(F.col("component").isNull(), F.col("class2")).otherwise(0).alias("group2")]
+    heads = written_once(heads.join(named, "class", "left").select("class", "class2", F.coalesce("least", "head").alias("component_id"), *group))
     linked = facts.join(heads, ["class", "class2"], "left")
-    return linked.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "text_hash")
+    of_id = [F.when(F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in ("group", "group2")]
+    return linked.select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "text_hash", *of_id)
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, with one document of each component: that of the smallest id.
 
+    Where near copies repeat that id, the one with the smallest hash of its text stays.
     Of rows that repeat id and text one stays. Texts without words and rows without an
     id stay. What goes is looked up by id and a hash of the text.
     """
-    near = written_once(near_duplicates(docs, words, percent, id_col, text_col).select("doc_id", "component_id", "text_hash"))
+    near = written_once(grouped(docs, words, percent, id_col, text_col).select("doc_id", "component_id", "text_hash", "group", "group2"))
     known = near.where("doc_id IS NOT NULL")
-    gone = written_once(known.where("doc_id <> component_id").select("doc_id", "text_hash").distinct())
+    first = known.where("doc_id = component_id AND group IS NOT NULL")
+    least = first.groupBy("group", "group2").agg(F.min("text_hash").alias("_least"), F.max("text_hash").alias("_most")).where("_least < _most")
+    others = first.join(least, ["group", "group2"]).where("text_hash > _least")
+    gone = written_once(known.where("doc_id <> component_id").select("doc_id", "text_hash").union(others.select("doc_id", "text_hash")).distinct())
     again = written_once(known.where("doc_id = component_id").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_hash"))
     text = F.coalesce(F.col(f"doc.`{text_col}`").cast("string"), F.lit(""))
     rows = common.whole_rows(docs).withColumn("_id", F.col(f"doc.`{id_col}`").cast("long")).withColumn("_hash", F.xxhash64(text))

@@ -140,6 +140,14 @@ def test_jaccard(docs, none):
     assert jaccard.near_duplicates(none).count() == 0 and jaccard.one_of_each(none).count() == 0
 
 
+def test_one_of_near_copies_that_repeat_an_id(spark):
+    common = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, common + " x"), (1, common + " y"), (1, common.upper() + " X"), (1, "a text of its own that shares nothing"), (1, ""), (2, common + " z"), (3, "w w w"), (3, "W w w")]
+    kept = [(r["doc_id"], r["text"].lower()) for r in jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sum(d == 1 and t.startswith("w0 ") for d, t in kept) == 1
+    assert sorted(k for k in kept if not k[1].startswith("w0 ")) == [(1, ""), (1, rows[3][1]), (3, "w w w")]
+
+
 def test_line_dedup(docs, none):
     rows = {(r["doc_id"], r["n_lines"]): r for r in linededup.line_report(docs, 5).collect()}
     assert linededup.drop_repeated_lines(docs, 5).drop("_n_lines", "_deleted").columns == [c for c in docs.columns if c != "_deleted"]
