@@ -395,6 +395,6 @@ def _(s):
     hifi = names["S1_HiFi_10_contig_pct_coverage"]
     table = table.withColumn("target", enr.break_score(table, [hifi], [names["REF1_REF_0_DEL_pct_coverage"]]))
     features = [v for c, v in names.items() if "_pct_" in c or "_avg_" in c]
-    out = enr.break_regression(table, features, "target", depths=(2,), iterations=5)
+    out = enr.break_regression(table, features, "target")
     back = F.create_map(*[F.lit(x) for c, v in names.items() for x in (v, c)])
     return out.withColumn("feature", back[F.col("feature")])

@@ -2,14 +2,18 @@
 
 import itertools
 import math
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from locusframe.operators import assemblies, enrichment, graph, masks, overlap, scaffolds, sweep, variants
+from locusframe.plans import QUERIES
 from test_intervals import depth, frame, got, random_rows, runs, sizes, SIZE
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 def test_masks_thresholds(spark):
     a = random_rows(11, 60)
@@ -245,3 +249,22 @@ def test_copies_of_one_row_are_split_over_tasks(spark, operator):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert n == (sum(sum(x[0] == y[0] and x[1] < y[2] and y[1] < x[2] for y in few) for x in rows) if operator == "overlap_join" else len(rows))
     assert "skew=true" in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_break_regression_is_fitted_with_the_operator_defaults(spark, monkeypatch):
+    import inspect
+
+    from locusframe.plans import scaffold_queries
+
+    default, seen = enrichment.break_regression, {}
+
+    def fit(*args, **kwargs):
+        bound = inspect.signature(default).bind(*args, **kwargs)
+        bound.apply_defaults()
+        seen.update(bound.arguments)
+        return spark.createDataFrame([(seen["features"][0], 1.0)], "feature string, importance double")
+
+    monkeypatch.setattr(scaffold_queries.enr, "break_regression", fit)
+    QUERIES["break_regression"](spark, SF).collect()
+    assert (tuple(seen["depths"]), seen["iterations"], seen["folds"]) == ((2, 4), 25, 5)
