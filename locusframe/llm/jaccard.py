@@ -2,8 +2,11 @@
 
 Texts of one word sequence are one class. A first pass keeps the classes that can
 have a partner at all; among these, shingles are counted and ordered from the rarest,
-and classes meet on the shingles of their prefixes. Pairs pass length, positional and
-suffix filters and are verified once each, on the whole sets. In a group of near
+and classes meet on the shingles of their prefixes. Pairs pass length and
+positional filters and, in place of a suffix filter, a bound over the whole sets (the
+smaller of both counts for each first hash digit, summed), and are verified once each,
+on the whole sets. The bound loses no link, but it does not split at the matched
+position and differs little from a length filter. In a group of near
 copies a class is first verified against one leader of its shingles; only classes
 that are not yet in one component meet pairwise after that, so a group of m copies
 costs about m verifications and no link between components is lost.
@@ -148,7 +151,7 @@ def shared_counts(docs: DataFrame, words: int, percent: int, id_col: str, text_c
 def class_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     """Rows (class, n, hashes, spread) of the classes in wanted (doc_id, class), whose text is looked up by id.
 
-    spread: sizes of the set's 16 parts by the first hash digit, for the suffix filter.
+    spread: sizes of the set's 16 parts by the first hash digit, for the bound.
     """
     n = wanted.count()
     small = wanted.select("doc_id", "class")
@@ -200,7 +203,7 @@ def alike(nx: Column, ny: Column, most: Column, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose whole sets are alike, after the suffix filter."""
+    """The pairs (x, y) whose whole sets are alike, after the bound by first hash digits."""
     side = lambda s: sets.select(F.col("class").alias(s), F.col("n").alias(f"n{s}"), F.col("hashes").alias(f"h{s}"))
     spread = lambda s: sets.select(F.col("class").alias(s), F.col("n").alias(f"n{s}"), F.col("spread").alias(f"s{s}"))
     shared = F.aggregate(F.zip_with("sx", "sy", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda a, b: a + b)
