@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.lineage import scratch_path
-from . import ann, conversations, decontamination, jaccard, linededup, lm, merkle, mixing, packing, quality, token_counts, token_files
+from . import ann, conversations, decontamination, jaccard, linededup, lm, merkle, mixing, packing, phrases, quality, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,11 @@ def op10_best_two_fit(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, size=1024)
 
 
+@query("op11_phrases", phrases.collocations_sql())
+def op11_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=4, least=30, percent=80, top=2000)
+
+
 @query("op12_decontamination", decontamination.contamination_sql(10))
 def op12_decontamination(spark, sf_dir):
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=10)
