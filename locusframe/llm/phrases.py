@@ -143,23 +143,25 @@ def shard_automata(docs: DataFrame, order: int, ranges: Ranges, before: Ranges,
         for part in batches:
             for a, b in common.slices(part.column("text")):
                 some = part.slice(a, b - a)
-                for text, lang in zip(some.column("text").cast(pa.binary()).to_pylist(), some.column("lang").to_pylist()):
-                    found, labels = labels_of(text, lang, seed)
-                    if len(labels) == 1:
-                        continue
-                    if order == 1:
-                        totals[lang] = totals.get(lang, 0) + int(np.count_nonzero(labels))
-                    if ask_words:
-                        own, where = np.unique(labels, return_index=True)
-                        fresh = passes(filter_.value, before, [own]) & (own != 0) & ~np.isin(own, seen)
-                        if fresh.any():
-                            seen = np.concatenate([seen, own[fresh]])
-                            yield batch(int(fresh.sum()), lang=[lang] * int(fresh.sum()), label=own[fresh].view(np.int64), word=[found[i].decode() for i in where[fresh]])
-                            if len(seen) > SHARD_WORDS:
-                                seen = np.zeros(0, np.uint64)
-                    del found
+                langs, cut = some.column("lang").to_pylist(), []
+                for text, lang in zip(some.column("text").cast(pa.binary()).to_pylist(), langs):
+                    cut.append(labels_of(text, lang, seed))
+                    if order == 1 and len(cut[-1][1]) > 1:
+                        totals[lang] = totals.get(lang, 0) + int(np.count_nonzero(cut[-1][1]))
+                if ask_words:
+                    starts = np.cumsum([0, *(len(x[1]) for x in cut)])
+                    own, where = np.unique(np.concatenate([x[1] for x in cut]), return_index=True)
+                    fresh = passes(filter_.value, before, [own]) & (own != 0) & ~np.isin(own, seen)
+                    docs_ = np.searchsorted(starts, where[fresh], side="right") - 1
+                    if fresh.any():
+                        seen = np.concatenate([seen, own[fresh]])
+                        yield batch(len(docs_), lang=[langs[d] for d in docs_], label=own[fresh].view(np.int64), word=[cut[d][0][i].decode() for d, i in zip(docs_, where[fresh] - starts[docs_])])
+                        if len(seen) > SHARD_WORDS:
+                            seen = np.zeros(0, np.uint64)
+                for found, labels in cut:
                     held.append(labels)
                     size += len(labels)
+                    found.clear()
                     if size >= SHARD_WORDS:
                         yield from flush()
                         held, size = [], 0
