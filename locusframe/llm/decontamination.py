@@ -196,8 +196,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = 10, id_col
     sets = rows.where("windows IS NOT NULL").select("windows", "found").dropDuplicates(["windows"])
     items = sets.select("windows", F.explode("found").alias("number")).join(links, "number").groupBy("windows").agg(F.sort_array(F.collect_set("item")).alias("items"))
     items = items.select("windows", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
-    rows = rows.join(items, "windows", "left")
-    return rows.select("doc_id", "n_words", "n_hit", F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    hit = rows.where("windows IS NOT NULL").join(items, "windows").select("doc_id", "n_words", "n_hit", "n_items", "items_sha256")
+    clean = rows.where("windows IS NULL").select("doc_id", "n_words", "n_hit", F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"))
+    return clean.unionByName(hit).withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def contamination_sql(words: int = 10) -> str:
