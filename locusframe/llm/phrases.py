@@ -105,7 +105,7 @@ def counted(labels: np.ndarray, at: np.ndarray, order: int) -> tuple[list[np.nda
 
 
 def shard_automata(docs: DataFrame, order: int, ranges: Ranges, before: Ranges, bits, seed: int, ask_words: bool) -> DataFrame:
-    """Rows (slot, blob, lang, n, label, word): automata of the shards by range; at order 1 also the words of each lang, and when asked words that pass the filter."""
+    """Rows (slot, blob, lang, n, label, word): automata of the shards by range; at order 1 also the number of words of each lang, and when asked the words that pass the filter."""
     filter_ = docs.sparkSession.sparkContext.broadcast(bits) if bits is not None else None  # 2 ** FILTER_BITS bits
 
     def build(batches):
@@ -155,7 +155,7 @@ def shard_automata(docs: DataFrame, order: int, ranges: Ranges, before: Ranges,
                     docs_ = np.searchsorted(starts, where[fresh], side="right") - 1
                     if fresh.any():
                         seen = np.concatenate([seen, own[fresh]])
-                        yield batch(len(docs_), lang=[langs[d] for d in docs_], label=own[fresh].view(np.int64), word=[cut[d][0][i].decode() for d, i in zip(docs_, where[fresh] - starts[docs_])])
+                        yield batch(len(docs_), slot=(own[fresh] % np.uint64(1 << ranges.bits)).astype(np.int64), lang=[langs[d] for d in docs_], label=own[fresh].view(np.int64), word=[cut[d][0][i].decode() for d, i in zip(docs_, where[fresh] - starts[docs_])])
                         if len(seen) > SHARD_WORDS:
                             seen = np.zeros(0, np.uint64)
                 for found, labels in cut:
@@ -169,13 +169,17 @@ def shard_automata(docs: DataFrame, order: int, ranges: Ranges, before: Ranges,
         if held:
             yield from flush()
         if totals:
-            yield batch(len(totals), lang=list(totals), n=list(totals.values()))
+            yield batch(len(totals), slot=[0] * len(totals), lang=list(totals), n=list(totals.values()))
 
     return docs.mapInArrow(build, "slot long, blob binary, lang string, n long, label long, word string")
 
 
 def united(shards: DataFrame, order: int, ranges: Ranges, least: int) -> DataFrame:
-    """Rows (slot, order, blob, bits, n): for each range the automaton of its n sequences with at least so many, and its part of the filter."""
+    """Rows (slot, order, blob, bits): for each range the automaton of the sequences with at least so many, and its part of the filter.
+
+    Rows (lang, n) and (lang, label, word) of the shards pass through.
+    """
+    more = ["lang", "n", "label", "word"]
 
     def unite(batches):
         import pyarrow as pa
@@ -191,9 +195,15 @@ def united(shards: DataFrame, order: int, ranges: Ranges, least: int) -> DataFra
             for place in ranges.places(columns, np.zeros(len(counts), np.int64)):
                 part[place] = True
             blob = Automaton.build(columns, counts).pack()
-            return pa.record_batch([pa.array([now], pa.int64()), pa.array([order], pa.int32()), pa.array([blob], pa.binary()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary()), pa.array([len(counts)], pa.int64())], names=["slot", "order", "blob", "bits", "n"])
+            own = [pa.array([now], pa.int64()), pa.array([order], pa.int32()), pa.array([blob], pa.binary()), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())]
+            return pa.record_batch([*own, *[pa.nulls(1, k) for k in (pa.string(), pa.int64(), pa.int64(), pa.string())]], names=["slot", "order", "blob", "bits", *more])
 
         for part in batches:
+            plain = part.filter(part.column("blob").is_null())
+            if len(plain):
+                none = [pa.nulls(len(plain), k) for k in (pa.int64(), pa.int32(), pa.binary(), pa.binary())]
+                yield pa.record_batch([*none, *[plain.column(c) for c in more]], names=["slot", "order", "blob", "bits", *more])
+            part = part.filter(part.column("blob").is_valid())
             for slot, blob in zip(part.column("slot").to_pylist(), part.column("blob")):
                 if slot != now:
                     if held:
@@ -208,8 +218,8 @@ def united(shards: DataFrame, order: int, ranges: Ranges, least: int) -> DataFra
         if held:
             yield finish()
 
-    rows = shards.where("blob IS NOT NULL").select("slot", "blob").repartition(1 << ranges.bits, "slot").sortWithinPartitions("slot")
-    return rows.mapInArrow(unite, "slot long, order int, blob binary, bits binary, n long")
+    rows = shards.repartition(1 << ranges.bits, "slot").sortWithinPartitions("slot")
+    return rows.mapInArrow(unite, "slot long, order int, blob binary, bits binary, lang string, n long, label long, word string")
 
 
 def filter_bits(rows: DataFrame, ranges: Ranges) -> np.ndarray:
@@ -316,10 +326,10 @@ def count_all(docs: DataFrame, longest: int, least: int, seed: int) -> tuple[Dat
     none = np.zeros(0, np.uint64)
     bits = lambda n: min(12, max(4, int(n - 1).bit_length()))
     ranges = {1: Ranges(bits(docs.rdd.getNumPartitions()), none)}
-    found = written_once(shard_automata(docs, 1, ranges[1], ranges[1], None, seed, False))
+    found = written_once(united(shard_automata(docs, 1, ranges[1], ranges[1], None, seed, False), 1, ranges[1], least))
     totals = found.where("n IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
     size = totals.agg(F.sum("n")).first()[0] or 0
-    automata, words = {1: written_once(united(found, 1, ranges[1], least))}, None
+    automata, words = {1: found.where("blob IS NOT NULL")}, None
     for order in range(2, longest + 1):
         heavy = none
         if order == 3:
@@ -328,10 +338,11 @@ def count_all(docs: DataFrame, longest: int, least: int, seed: int) -> tuple[Dat
             heavy = sequences_of(automata[2], 2).where(F.col("a") >= share).select("w1", "w2").collect()
             heavy = prints([np.array([r[i] for r in heavy], np.int64).view(np.uint64) for i in (0, 1)]) if heavy else none
         ranges[order] = Ranges(bits(size / SHARD_WORDS + 1), heavy if order == 3 else ranges[order - 1].heavy)
-        now = written_once(shard_automata(docs, order, ranges[order], ranges[order - 1], filter_bits(automata[order - 1], ranges[order - 1]), seed, order == 2))
+        bits_before = filter_bits(automata[order - 1], ranges[order - 1])
+        found = written_once(united(shard_automata(docs, order, ranges[order], ranges[order - 1], bits_before, seed, order == 2), order, ranges[order], least))
         if order == 2:
-            words = written_once(now.where("word IS NOT NULL").select("label", "lang", "word").distinct())
-        automata[order] = written_once(united(now, order, ranges[order], least))
+            words = written_once(found.where("word IS NOT NULL").select("label", "lang", "word").distinct())
+        automata[order] = found.where("blob IS NOT NULL")
     return totals, words, automata, ranges
 
 
