@@ -1,4 +1,12 @@
-"""Counts and colour sets of k-mers."""
+"""Counts and colour sets of k-mers.
+
+Neighbouring k-mers share most of their characters, so they are not shuffled one by one.
+A text is cut into super-k-mers: runs of k-mers with the same minimizer, the least hash
+of the m-mers inside a k-mer. A super-k-mer goes out as one string, to the place of its
+minimizer; as equal k-mers have equal minimizers, the k-mers listed there need no shuffle
+of their own. Minimizers that hold too much for one task are the exception: their
+k-mers are combined by task and shuffled as they are.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +18,8 @@ from .lineage import written_once
 from .sweep import union_all
 
 CHUNK = 1 << 16
+#: Places that minimizers are dealt to.
+BUCKET_BITS = 18
 
 # Colours of a sample graph and the classes its colour sets fold to.
 COLOURS = {"short_1": 0, "short_2": 1, "hap1": 2, "hap2": 3, "GRCh38": 4, "chrM": 5}
@@ -62,9 +72,122 @@ def kmers(seqs: DataFrame, k: int, canonical_form: bool = False, alphabet: str |
     return out.withColumn("kmer", canonical(F.col("kmer"))) if canonical_form else out
 
 
-def kmer_count(seqs: DataFrame, k: int, by: Sequence[str] = (), canonical_form: bool = False, alphabet: str | None = None) -> DataFrame:
-    """Occurrences per k-mer, per set when ``by`` names one."""
-    return kmers(seqs.select(*by, "seq"), k, canonical_form, alphabet).groupBy(*by, "kmer").agg(F.count(F.lit(1)).alias("n"))
+def super_kmers(seqs: DataFrame, k: int, m: int | None = None, canonical_form: bool = False, alphabet: str | None = None) -> DataFrame:
+    """Rows (other columns, bucket, piece): runs of k-mers with one minimizer, whose hash has ``bucket`` as its last bits.
+
+    ``m`` is the length of the minimizer; unless given, 11 bases or 4 other characters. In canonical form a
+    minimizer is that of both strands. With ``alphabet`` no k-mer holds another character.
+    Rows come in bounded pieces, so neither a long text nor a long run is held by one.
+    """
+    m, mask = min(k, m or (11 if alphabet == "ACGT" else 4)), (1 << BUCKET_BITS) - 1
+    others = [c for c in seqs.columns if c != "seq"]
+    longest = 4096
+
+    def cut(batches):
+        import re
+
+        import numpy as np
+        import pyarrow as pa
+
+        factor, spread = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+        strands = str.maketrans("ACGTacgt", "TGCAtgca")
+        ordinary = re.compile(f"[{alphabet}]") if alphabet else None
+
+        def hashes(codes, order):
+            h = np.zeros(len(codes) - m + 1, np.uint64)
+            for j in order:
+                h = h * factor + codes[j : len(codes) - m + 1 + j]
+            h = (h ^ (h >> np.uint64(32))) * spread
+            return h ^ (h >> np.uint64(29))
+
+        def pieces(rows, first, texts):
+            whole = "".join(texts)
+            codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.uint64)
+            ends = np.cumsum([len(t) for t in texts])
+            if len(codes) < k:
+                return
+            least = hashes(codes, range(m))
+            if canonical_form:
+                other = np.frombuffer(whole.translate(strands).encode("utf-32-le"), np.uint32).astype(np.uint64)
+                least = np.minimum(least, hashes(other, reversed(range(m))))
+            width, have = k - m + 1, 1
+            while have < width:
+                step = min(have, width - have)
+                least, have = np.minimum(least[:-step], least[step:]), have + step
+            row = np.searchsorted(ends, np.arange(len(least)), side="right")
+            valid = np.arange(len(least)) + k <= ends[row]
+            if ordinary is not None:
+                values, at = np.unique(codes, return_inverse=True)
+                odd = np.array([not ordinary.match(chr(int(v))) for v in values])[at]
+                before = np.concatenate([[0], np.cumsum(odd)])
+                valid &= before[k : k + len(least)] == before[: len(least)]
+            new = valid.copy()
+            new[1:] &= ~valid[:-1] | (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+            start = np.flatnonzero(new)
+            stop = np.append(start[1:], len(least))
+            last = np.maximum.accumulate(np.where(valid, np.arange(len(least)), -1))
+            stop = np.minimum(stop, last[stop - 1] + 1)
+            parts = -(-(stop - start) // longest)
+            which = np.repeat(np.arange(len(start)), parts)
+            begin = start[which] + longest * (np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts))
+            end = np.minimum(begin + longest, stop[which]) + k - 1
+            found = [whole[a:b] for a, b in zip(begin.tolist(), end.tolist())]
+            place = pa.array(first + row[begin])
+            bucket = (least[begin] & np.uint64(mask)).astype(np.int32)
+            yield pa.record_batch([*[rows.column(c).take(place) for c in others], pa.array(bucket), pa.array(found, pa.string())], names=[*others, "bucket", "piece"])
+
+        for batch in batches:
+            texts, held, size, first = batch.column("seq").to_pylist(), [], 0, 0
+            for i, text in enumerate(texts):
+                held.append(text or "")
+                size += len(held[-1])
+                if size > 1 << 20 or i + 1 == len(texts):
+                    yield from pieces(batch, first, held)
+                    held, size, first = [], 0, i + 1
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in seqs.schema.fields if f.name != "seq")
+    # pieces of a text are dealt out first, as one file or one long sequence must not be one task's work
+    tasks = int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = sequence_chunks(seqs, overlap=k - 1).drop("chunk_no").repartition(tasks, F.xxhash64("seq"))
+    return chunks.mapInArrow(cut, f"{kinds}{', ' if kinds else ''}bucket int, piece string")
+
+
+def _listed(pieces: DataFrame, k: int, canonical_form: bool, packed: bool) -> DataFrame:
+    """The k-mers of super-k-mers, in column ``kmer``; packed ones are longs of two bits a base."""
+    rows = pieces.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("piece") - k + 1)))
+    rows = rows.withColumn("kmer", F.substring("piece", F.col("_at"), F.lit(k))).drop("piece", "_at")
+    rows = rows.withColumn("kmer", canonical(F.col("kmer"))) if canonical_form else rows
+    return rows.withColumn("kmer", F.conv(F.translate("kmer", "ACGT", "0123"), 4, 10).cast("long")) if packed else rows
+
+
+def _unpacked(df: DataFrame, k: int) -> DataFrame:
+    return df.withColumn("kmer", F.translate(F.lpad(F.conv(F.col("kmer").cast("string"), 10, 4), k, "0"), "0123", "ACGT"))
+
+
+def can_pack(k: int, alphabet: str | None) -> bool:
+    return alphabet == "ACGT" and k <= 31
+
+
+def full_buckets(pieces: Sequence[DataFrame], k: int) -> DataFrame:
+    """Places with more than a quarter of a task's share of all k-mers of some super-k-mers: at most four for each task."""
+    load = union_all([p.select("bucket", (F.length("piece") - k + 1).alias("load")) for p in pieces])
+    load = written_once(load.groupBy("bucket").agg(F.sum("load").alias("load")))
+    tasks = int(load.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return load.join(load.agg((F.sum("load") / (4 * tasks)).alias("_share")).hint("broadcast"), F.col("load") > F.col("_share")).select("bucket")
+
+
+def _by_bucket(pieces: DataFrame, full: DataFrame, k: int, keys: Sequence[str], aggregate: Column, canonical_form: bool, packed: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows (keys, bucket, kmer, result) of k-mers aggregated in the places of their minimizers, and those of full minimizers by their own shuffle."""
+    keys, full = [*keys, "bucket", "kmer"], F.broadcast(full)  # at most 4 rows for each task
+    spread = pieces.join(full, "bucket", "left_anti").repartition("bucket")
+    return tuple(_listed(p, k, canonical_form, packed).groupBy(*keys).agg(aggregate) for p in (spread, pieces.join(full, "bucket", "left_semi")))
+
+
+def kmer_count(seqs: DataFrame, k: int, by: Sequence[str] = (), canonical_form: bool = False, alphabet: str | None = None, m: int | None = None) -> DataFrame:
+    """Occurrences per k-mer, per set when ``by`` names one. Over ACGT, k-mers of up to 31 bases are counted as longs."""
+    pieces, packed = written_once(super_kmers(seqs.select(*by, "seq"), k, m, canonical_form, alphabet)), can_pack(k, alphabet)
+    out = union_all(_by_bucket(pieces, full_buckets([pieces], k), k, by, F.count(F.lit(1)).alias("n"), canonical_form, packed)).drop("bucket")
+    return _unpacked(out, k) if packed else out
 
 
 def kmer_union_sum(*counts: DataFrame) -> DataFrame:
@@ -72,11 +195,15 @@ def kmer_union_sum(*counts: DataFrame) -> DataFrame:
     return union_all([c.select("kmer", "n") for c in counts]).groupBy("kmer").agg(F.sum("n").alias("n"))
 
 
-def kmer_masks(seqs: DataFrame, k: int, colour: str = "colour", canonical_form: bool = False, alphabet: str | None = None) -> DataFrame:
+def _mask(colour: str) -> Column:
+    return F.bit_or(F.expr(f"shiftleft(cast(1 as bigint), cast({colour} as int))")).alias("mask")
+
+
+def kmer_masks(seqs: DataFrame, k: int, colour: str = "colour", canonical_form: bool = False, alphabet: str | None = None, m: int | None = None) -> DataFrame:
     """Bit mask of the colours each k-mer occurs in."""
-    rows = kmers(seqs.select(colour, "seq"), k, canonical_form, alphabet)
-    bit = F.expr(f"shiftleft(cast(1 as bigint), cast({colour} as int))")
-    return rows.groupBy("kmer").agg(F.bit_or(bit).alias("mask"))
+    pieces, packed = written_once(super_kmers(seqs.select(colour, "seq"), k, m, canonical_form, alphabet)), can_pack(k, alphabet)
+    out = union_all(_by_bucket(pieces, full_buckets([pieces], k), k, [], _mask(colour), canonical_form, packed)).drop("bucket")
+    return _unpacked(out, k) if packed else out
 
 
 def combination_name(mask: Column, n_colours: int) -> Column:
@@ -100,11 +227,18 @@ def fold_colours(counts: DataFrame) -> DataFrame:
     return kept.groupBy(name.alias("kmer_class")).agg(F.sum("n").alias("n"))
 
 
-def kmer_query(regions: DataFrame, masks: DataFrame, k: int, ratio: float, colours: dict[str, int], ident: str = "name") -> DataFrame:
-    """Per region, whether at least ``ratio`` of its k-mers occur in each colour."""
-    rows = kmers(regions.select(ident, "seq"), k).groupBy(ident, "kmer").agg(F.count(F.lit(1)).alias("n"))
-    rows = written_once(rows)  # a shuffle of its own for the join, which lets Spark split a k-mer of very many regions
-    hits = rows.join(masks, "kmer", "left")
+def kmer_query(regions: DataFrame, seqs: DataFrame, k: int, ratio: float, colours: dict[str, int], ident: str = "name", colour: str = "colour") -> DataFrame:
+    """Per region, whether at least ``ratio`` of its k-mers occur in each colour of ``seqs``.
+
+    Super-k-mers of both sides meet in the places of their minimizers, so the join needs no shuffle; k-mers of
+    full minimizers are joined by a shuffle of their own, which Spark can split.
+    """
+    asked, known = (written_once(super_kmers(df, k)) for df in (regions.select(ident, "seq"), seqs.select(colour, "seq")))
+    full = full_buckets([asked, known], k)
+    near, far = (_by_bucket(p, full, k, keys, agg, False, False) for p, keys, agg in ((asked, [ident], F.count(F.lit(1)).alias("n")), (known, [], _mask(colour))))
+    spread = near[0].join(far[0], ["bucket", "kmer"], "left")
+    crowded = written_once(near[1]).join(far[1], ["bucket", "kmer"], "left")
+    hits = spread.unionByName(crowded)
     share = lambda c: F.sum(F.when(F.shiftright(F.col("mask"), c).bitwiseAND(F.lit(1)) == 1, F.col("n")).otherwise(0)) / F.sum("n")
     found = hits.groupBy(ident).agg(*[(share(c) >= ratio).alias(name) for name, c in colours.items()])
     out = regions.select(ident).join(found, ident, "left")

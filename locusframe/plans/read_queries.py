@@ -348,7 +348,7 @@ def _(s):
 
 def _region_queries(s):
     """Reads posing as regions: their k-mers against the colours of all reads."""
-    flags = kmers.kmer_query(s.reads, kmers.kmer_masks(s.reads, 13), 13, 0.2, kmers.COLOURS)
+    flags = kmers.kmer_query(s.reads, s.reads, 13, 0.2, kmers.COLOURS)
     kind = F.element_at(F.array(F.lit("PROM"), F.lit("ENH"), F.lit("CTCF")), (F.col("i") % 3 + 1).cast("int"))
     i = F.regexp_extract("name", "([0-9]+)$", 1).cast("long")
     flags = flags.withColumn("i", i)
@@ -363,7 +363,7 @@ REGION_SQL = f"""{MASKS}, {kmer_rows(13, 'name').replace('chars', 'rchars').repl
 
 @query("kmer_region_query", f"WITH {REGION_SQL} SELECT name, {', '.join(chr(34) + n + chr(34) for n in kmers.COLOURS)} FROM f")
 def _(s):
-    return kmers.kmer_query(s.reads, kmers.kmer_masks(s.reads, 13), 13, 0.2, kmers.COLOURS)
+    return kmers.kmer_query(s.reads, s.reads, 13, 0.2, kmers.COLOURS)
 
 
 def _region_stats_sql() -> str:
