@@ -11,7 +11,9 @@ min_words, from their first line on or from their last line back, so the runs ar
 deleted exactly if such windows are. Windows of m lines that agree are a
 longest-common-prefix interval of depth m: equal ranks at the level below m, at the
 window's start and where that many lines end with it. The first window of an interval
-stays, the others go.
+stays, all its lines included; of the others go the lines behind it, so a run that
+overlaps its own copy keeps as much as one window. Ranks are doubled up to the depth
+of the longest window and no further.
 """
 
 from __future__ import annotations
@@ -106,7 +108,7 @@ def next_ranks(ranks: DataFrame, level: int) -> DataFrame:
 
 
 def later_windows(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The documents' lines, and rows (doc, at, length) of all windows that have an earlier copy."""
+    """The documents' lines, and rows (doc, at, length): of all windows that have an earlier copy, the lines behind the first copy."""
     held = written_once(document_lines(docs, id_col, text_col))
 
     def each(batches):
@@ -141,16 +143,16 @@ def later_windows(docs: DataFrame, min_words: int, id_col: str, text_col: str) -
         keyed = here.join(a, ["doc", "at"]).withColumn("_last", F.col("at") + F.col("length") - k).join(b, ["doc", "_last"])
         keyed = written_once(keyed.select("doc", "at", "length", "a", "b"))
         firsts = written_once(keyed.groupBy("length", "a", "b").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
-        found.append(keyed.join(firsts, ["length", "a", "b"]).where(F.col("at") > F.col("first")).select("doc", "at", "length"))
+        found.append(keyed.join(firsts, ["length", "a", "b"]).where(F.col("at") > F.col("first")).select("doc", F.greatest("at", F.col("first") + F.col("length")).alias("begin"), (F.col("at") + F.col("length")).alias("stop")))
         if ranks.isEmpty():
             break
         if longest >= 2 * k:
             ranks = next_ranks(ranks, level)
         level += 1
-    out = found[0] if found else wanted.select("doc", "at", "length")
+    out = found[0] if found else wanted.select("doc", F.col("at").alias("begin"), F.col("at").alias("stop"))
     for more in found[1:]:
         out = out.unionByName(more)
-    return held, out
+    return held, out.select("doc", F.col("begin").alias("at"), (F.col("stop") - F.col("begin")).alias("length"))
 
 
 def deletions(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,7 +169,7 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc
     Added columns: _n_lines, and _deleted (numbers of the deleted lines, from 0); columns
     of these two names are replaced.
     Order is by id, then by a hash of the text; rows without an id come last. The
-    first copy of every line stays somewhere. Rows that repeat both id and text are
+    first copy of a run stays, also where a later one overlaps it. Rows that repeat both id and text are
     one document and get one result. Null and empty texts have no lines and stay as
     they are; a text all of whose lines go becomes empty. A line is compared as a
     whole, whatever its length.
@@ -202,8 +204,8 @@ c AS (SELECT doc_id, i, n, CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS
 v AS (SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= {min_words} GROUP BY ALL
     UNION SELECT b.doc_id, max(a.i), b.i FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= {min_words} GROUP BY b.doc_id, b.i),
 k AS (SELECT v.doc_id, s, e, list_slice(ls, s, e) AS run FROM v JOIN d ON v.doc_id = d.doc_id),
-f AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS copy FROM k),
-g AS (SELECT doc_id, list_sort(list_distinct(flatten(list(range(s - 1, e))))) AS gone FROM f WHERE copy > 1 GROUP BY doc_id),
+f AS (SELECT *, row_number() OVER o AS copy, CASE WHEN first_value(doc_id) OVER o = doc_id THEN first_value(e) OVER o ELSE 0 END AS spared FROM k WINDOW o AS (PARTITION BY run ORDER BY doc_id, s)),
+g AS (SELECT doc_id, list_sort(list_distinct(flatten(list(range(greatest(s - 1, spared), e))))) AS gone FROM f WHERE copy > 1 GROUP BY doc_id),
 r AS (SELECT d.doc_id, ls, text, coalesce(gone, []) AS gone FROM d LEFT JOIN g ON d.doc_id = g.doc_id)
 SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(gone) AS BIGINT) AS n_deleted, coalesce(array_to_string(gone, ','), '') AS deleted,
     sha256(CASE WHEN len(gone) = 0 THEN text ELSE coalesce(array_to_string(list_filter(ls, lambda x, i: NOT list_contains(gone, i - 1)), chr(10)), '') END) AS kept_sha256 FROM r"""

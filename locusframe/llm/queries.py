@@ -60,10 +60,9 @@ def op6_token_files(spark, sf_dir):
     return token_files.token_file_digest(spark, path)
 
 
-@query("op7_pareto_mix", mixing.mix_sql())
+@query("op7_pareto_mix")
 def op7_pareto_mix(spark, sf_dir):
-    # the rule of its SQL, which ends at the first document that is too long
-    return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3, fill=False)
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
 
 
 @query("op8_quality")

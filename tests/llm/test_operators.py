@@ -1,6 +1,7 @@
 """The operators against brute-force versions, DuckDB, exact round trips and held-out accuracy."""
 
 import collections
+import hashlib
 import itertools
 import math
 import os
@@ -51,7 +52,8 @@ def rows(documents):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     mine, theirs = normal(QUERIES[name](spark, SF).toPandas()), normal(con.execute(ORACLES[name]).df())
     assert list(mine.columns) == list(theirs.columns)
     assert mine.to_dict("records") == theirs.to_dict("records")
@@ -194,21 +196,34 @@ def test_near_duplicates_of_the_table(documents, rows):
 
 
 def later_lines(texts, least):
-    """Lines within the longest run from any line on that occurs earlier, if it has enough words."""
-    line = [(d, i, x) for d, t in enumerate(texts) for i, x in enumerate([*(t.split("\n") if t else []), object()])]
+    """Lines of the shortest runs of enough words, from a line on or up to a line, that occur earlier; but those of the first copy."""
+    first, found = {}, []
+    for d, text in enumerate(texts):
+        line = text.split("\n") if text else []
+        n = [len(x.encode().split()) for x in line]
+        runs = set()
+        for i in range(len(line)):
+            e = next((e for e in range(i, len(line)) if sum(n[i : e + 1]) >= least), None)
+            s = next((s for s in range(i, -1, -1) if sum(n[s : i + 1]) >= least), None)
+            runs |= {(i, e)} if e is not None else set()
+            runs |= {(s, i)} if s is not None else set()
+        for s, e in sorted(runs):
+            f = first.setdefault(tuple(line[s : e + 1]), (d, s, e))
+            if f != (d, s, e):
+                found.append((d, range(max(s, f[2] + 1) if f[0] == d else s, e + 1)))
     gone = collections.defaultdict(set)
-    for s, (d, i, x) in enumerate(line):
-        best = 0
-        for t in range(s):
-            m = 0
-            while s + m < len(line) and line[t + m][2] is line[s + m][2] or s + m < len(line) and isinstance(line[s + m][2], str) and line[t + m][2] == line[s + m][2]:
-                m += 1
-            best = max(best, m)
-        if best and sum(len(y.encode().split()) for _, _, y in line[s : s + best]) >= least:
-            gone[d] |= set(range(i, i + best))
+    for d, lines in found:
+        gone[d] |= set(lines)
     return [",".join(map(str, sorted(gone[d]))) for d in range(len(texts))]
 
 
+def test_a_run_that_overlaps_its_copy_keeps_the_first(spark):
+    ten = " ".join("abcdefghij")
+    texts = ["\n".join([ten] * 12), "\n".join(["start", *[ten] * 5, "end"])]
+    got = linededup.line_report(frame(spark, texts), 50).orderBy("doc_id").collect()
+    assert [r["deleted"] for r in got] == ["5,6,7,8,9,10,11", "1,2,3,4,5"]
+
+
 @pytest.mark.parametrize("seed, least", [(1, 1), (2, 5), (3, 9), (4, 20)])
 def test_line_dedup(spark, seed, least):
     rng = random.Random(seed)
@@ -318,6 +333,61 @@ def test_mix_comes_near_the_targets(documents):
     assert dict(zip(kept.doc_id, kept["count"])) == {d: c for d, c in zip(got.doc_id, got.copies) if c}
 
 
+def slow_mix(rows, targets, most=3, seed=0):
+    """Copies of each document, by taking documents one after the other."""
+    by, copies = collections.defaultdict(list), {}
+    for r in rows:
+        by[r["source"]].append((r["doc_id"], r["text"] or ""))
+    for source, docs in by.items():
+        sized = [(d, len(words(t)), hashlib.md5(f"{seed}:{d}:{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest()) for d, t in docs]
+        total = sum(n for _, n, _ in sized)
+        rate = targets[source] / total if total else 0.0
+        p, wanted = rate - math.floor(rate), targets[source] - math.floor(rate) * total
+        left = []
+        for d, n, key in sized:
+            copies[d] = math.floor(rate)
+            u = (int(key[:13], 16) + 0.5) / (1 << 52)
+            left += [((u / (1 - u)) * ((1 - p) / p), key, d, n)] if p else []
+        left.sort()
+
+        def take(some, most):
+            got = 0
+            for x in some:
+                if got + x[3] > most:
+                    break
+                got += x[3]
+                copies[x[2]] += 1
+                left.remove(x)
+            return got
+
+        missing = wanted - take(list(left), wanted)
+        while missing >= 1:
+            fit = [x for x in left if 0 < x[3] <= missing]
+            if not fit:
+                break
+            missing -= take([x for x in fit if x[3] <= missing / 2] or fit, missing)
+        last = min(((abs(missing - x[3]), x) for x in left if abs(missing - x[3]) < missing), default=None)
+        if last:
+            copies[last[1][2]] += 1
+    return copies
+
+
+def test_registered_mix_against_brute_force(spark, documents, rows):
+    got = QUERIES["op7_pareto_mix"](spark, SF).toPandas()
+    targets = dict(zip(got.source, got.target))
+    assert dict(zip(got.doc_id, got.copies)) == slow_mix(rows, targets)
+    by = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+    left = got[(got["size"] > 0) & (got.copies == np.floor(got.target / got.source_size))].groupby("source")["size"].min()
+    assert ((by.taken - by.target).abs() <= np.maximum(0.01 * by.target, left.reindex(by.index).fillna(np.inf))).all()  # without any left, all were taken
+
+
+def test_short_mix_against_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    mine, theirs = normal(mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"), fill=False).toPandas()), normal(con.execute(mixing.mix_sql()).df())
+    assert mine.to_dict("records") == theirs.to_dict("records")
+
+
 @pytest.mark.parametrize("weights, seed", [((1, 4), 1), ((1, 2), 1)])
 def test_mix_goes_on_behind_a_long_document(spark, weights, seed):
     """Source a holds one document of over 0.4 of its words; about 0.3 and 0.5 of the source are wanted."""
