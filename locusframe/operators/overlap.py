@@ -12,9 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from .sweep import BLOCK, END, START, at_both_ends, edges_to_regions, exact, fractional, interval_events, own_shuffle, state_edges
+from .lineage import written_once
+from .sweep import BLOCK, END, START, at_both_ends, exact, fractional, interval_events, own_shuffle, running_sums, state_edges
 
 # A set of n rows is listed n + (its bases / WIDTH) times; choose a width near
 # the typical length of the longer side.
@@ -257,19 +258,54 @@ def pair_combinations(df: DataFrame, key: str, carry: Sequence[str] = (), parts:
     return pairs.select(*[F.col(f"{c}_{s}") for c in [key, *carry] for s in "ab"])
 
 
+#: Sets whose membership one long holds.
+SETS_IN_A_WORD = 62
+
+
+def membership_runs(df: DataFrame, set_col: str, numbers: DataFrame, n_sets: int, block: int = BLOCK) -> DataFrame:
+    """Rows (sets, bp, n), one for each combination of at least two sets: bases that exactly these cover, and beginnings.
+
+    ``numbers`` has the sets with their ``number`` from 0. A sweep carries the active sets as bits, in
+    words of 62, and runs are summed by their bits. n counts the runs at which a
+    combination stands, less those at which it stood before; summed over the combinations that hold
+    two sets it counts the intersections of their merged rows.
+    """
+    by = [set_col, "chrom"]
+    words = [f"w{i}" for i in range(max(1, -(-n_sets // SETS_IN_A_WORD)))]
+    edges = state_edges(interval_events(df, by), by, lambda d: d > 0, block=block).join(numbers, set_col)
+    bit = F.col("step") * F.expr(f"shiftleft(cast(1 as bigint), cast(number % {SETS_IN_A_WORD} as int))")
+    place = F.floor(F.col("number") / SETS_IN_A_WORD)
+    steps = edges.groupBy("chrom", "pos").agg(*[F.sum(F.when(place == i, bit).otherwise(F.lit(0).cast("long"))).alias(w) for i, w in enumerate(words)])
+    run = running_sums(steps, ["chrom"], words, block=block)
+    now = [F.col(f"cum_{w}") for w in words]
+    both = [c.bitwiseAND(c - F.col(w)) for c, w in zip(now, words)]
+    struct = lambda bits, bp, n: F.struct(*[b.alias(w) for b, w in zip(bits, words)], bp.alias("bp"), F.lit(n).cast("long").alias("n"))
+    runs = run.select(F.explode(F.array(struct(now, F.coalesce(F.col("next_pos") - F.col("pos"), F.lit(0).cast("long")), 1), struct(both, F.lit(0).cast("long"), -1))).alias("r")).select("r.*")
+    members = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0]))
+    sums = runs.where(members > 1).groupBy(*words).agg(F.sum("bp").alias("bp"), F.sum("n").alias("n"))
+    places = F.sequence(F.lit(0), F.lit(SETS_IN_A_WORD - 1))
+    on = lambda w: F.filter(places, lambda x: F.getbit(F.col(w), x) == 1)
+    numbered = lambda xs, first: F.transform(xs, lambda x: (x + first).cast("long"))
+    held = [numbered(on(w), i * SETS_IN_A_WORD) for i, w in enumerate(words)]
+    return sums.select(F.concat(*held).alias("sets"), "bp", "n")
+
+
 def interval_jaccard(df: DataFrame, set_col: str, block: int = BLOCK) -> DataFrame:
-    """Per unordered pair of sets: shared bases, union bases, ratio and number of intersections."""
+    """Per unordered pair of sets: shared bases, union bases, ratio and number of intersections.
+
+    One sweep for all sets: pairs are made from the sums of each combination of sets, not from rows that overlap.
+    """
+    names = df.select(set_col).where(F.col(set_col).isNotNull()).distinct()
+    numbers = written_once(names.withColumn("number", (F.row_number().over(W.orderBy(set_col)) - 1).cast("long")))  # one row for each set
+    runs = membership_runs(df, set_col, numbers, numbers.count(), block)
+    pairs = runs.withColumn("a", F.explode("sets")).withColumn("b", F.explode(F.filter("sets", lambda x: x > F.col("a"))))
+    shared = pairs.groupBy("a", "b").agg(F.sum("bp").alias("intersection"), F.sum("n").alias("n_intersections"))
     by = [set_col, "chrom"]
-    merged = edges_to_regions(state_edges(interval_events(df, by), by, lambda d: d > 0, block=block), by, block)
-    sizes = merged.groupBy(set_col).agg(F.sum(F.col(END) - F.col(START)).alias("size"))
-    pairs = pair_combinations(sizes, set_col, ["size"])
-    # merged rows of one set are disjoint, so pairs grow with the rows, not their square
-    hits = overlap_join(merged, merged).where(F.col(set_col) < F.col(f"{set_col}_b"))
-    shared = hits.groupBy(F.col(set_col).alias("set_a"), F.col(f"{set_col}_b").alias("set_b")).agg(
-        F.sum("bp").alias("intersection"), F.count(F.lit(1)).alias("n_intersections")
-    )
-    pairs = pairs.withColumnsRenamed({f"{set_col}_a": "set_a", f"{set_col}_b": "set_b"})
-    out = pairs.join(shared, ["set_a", "set_b"], "left").fillna(0, ["intersection", "n_intersections"])
+    edges = state_edges(interval_events(df, by), by, lambda d: d > 0, block=block)
+    sizes = edges.groupBy(set_col).agg(F.sum(-F.col("step") * F.col("pos")).alias("size")).join(numbers, set_col)
+    every = pair_combinations(sizes, set_col, ["size", "number"])
+    every = every.withColumnsRenamed({f"{set_col}_a": "set_a", f"{set_col}_b": "set_b", "number_a": "a", "number_b": "b"})
+    out = every.join(shared, ["a", "b"], "left").fillna(0, ["intersection", "n_intersections"])
     union = F.col("size_a") + F.col("size_b") - F.col("intersection")
     return out.select(
         "set_a", "set_b", "intersection", union.alias("union_bp"),
