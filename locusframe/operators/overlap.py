@@ -1,10 +1,16 @@
 """Joins on overlapping half-open intervals.
 
-Spark has no range join, so pairs are found with an equi-join on (keys, bin):
-both sides are listed once per ``width`` bin they touch and a pair is kept only
-in the first bin the two share, which needs no ``distinct``. Bins spread one
-chromosome over many partitions; a bin that is still hot is split by the
-adaptive skew join, which the output of a bin join always allows.
+Spark has no range join, so pairs are found with an equi-join on (keys, level,
+bin). A row has the lowest level whose bins it fills at most ``TILES`` of, and is
+listed in those; bins of a level are ``STEP`` times as wide as those below. Two
+rows meet at the higher of their levels, so the lower one is also listed there, in
+the bin or two that hold it, provided the other side has rows of that level. A row
+is thus listed a bounded number of times whatever its length, and two long rows
+meet in a few wide bins instead of thousands of narrow ones.
+
+A pair is kept only in the first bin the two share, which needs no ``distinct``.
+Bins spread one chromosome over many partitions; a bin that is still hot is split
+by the adaptive skew join, which the output of a bin join always allows.
 """
 
 from __future__ import annotations
@@ -17,32 +23,69 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from .lineage import written_once
 from .sweep import BLOCK, END, START, at_both_ends, exact, fractional, interval_events, own_shuffle, running_sums, state_edges
 
-# A set of n rows is listed n + (its bases / WIDTH) times; choose a width near
-# the typical length of the longer side.
+# Width of the lowest bins; choose one near the typical length of the longer side.
 WIDTH = 1 << 14
+#: Bins of its level that a row touches at most, less one.
+TILES = 16
+#: Bins of one level in a bin of the next. More than twice TILES, so a lower row lies in two bins at most.
+STEP = 64
+#: Levels above the lowest; the last takes rows of any length.
+TOP = 3
 
 
-def _binned(df: DataFrame, width: int, mark: str) -> DataFrame:
-    first = F.floor(F.col(START) / F.lit(width)).cast("long")
-    last = F.floor((F.col(END) - 1) / F.lit(width)).cast("long")
-    return df.withColumn(f"_first{mark}", first).withColumn(f"_bin{mark}", F.explode(F.sequence(first, F.greatest(first, last))))
+def _level(width: int) -> Column:
+    """The lowest level whose bins a row fills at most TILES of."""
+    length = F.col(END) - F.col(START)
+    found = F.when(length <= width * TILES, 0)
+    for level in range(1, TOP):
+        found = found.when(length <= width * STEP**level * TILES, level)
+    return found.otherwise(TOP)
+
+
+def levels_of(df: DataFrame, width: int = WIDTH) -> Column:
+    """The levels that rows of ``df`` have, as bits, in a scalar subquery over start and end."""
+    return F.coalesce(df.select(_level(width).alias("l")).agg(F.bit_or(F.expr("shiftleft(1, l)"))).scalar(), F.lit(0))
+
+
+def _binned(df: DataFrame, others: Column, width: int, mark: str) -> DataFrame:
+    """Rows listed in the bins where they can meet rows of the levels ``others``.
+
+    ``_at`` is twice the level of the bins, plus one where rows of ``a`` are the higher ones.
+    """
+    own, high = F.col("_own"), int(mark == "")
+    # the higher row is listed at its level; of equal levels the row of ``b`` counts as the higher
+    lower = F.col("_others").bitwiseAND(F.expr("shiftleft(1, _own) - 1" if high else "shiftleft(2, _own) - 1")) != 0
+    meets = [F.when(lower, own * 2 + high)]
+    for level in range(TOP + 1):
+        there = F.col("_others").bitwiseAND(F.lit(1 << level)) != 0
+        meets.append(F.when(there & (own <= level if high else own < level), level * 2 + 1 - high))
+    rows = df.withColumn("_own", _level(width)).withColumn("_others", others).withColumn("_at", F.explode(F.array(*meets)))
+    rows = rows.where("_at is not null").drop("_own", "_others")
+    wide = F.lit(width) * F.expr(f"shiftleft(1L, {STEP.bit_length() - 1} * shiftright(_at, 1))")
+    first = F.floor(F.col(START) / wide).cast("long")
+    last = F.floor((F.col(END) - 1) / wide).cast("long")
+    rows = rows.withColumn(f"_first{mark}", first).withColumn(f"_bin{mark}", F.explode(F.sequence(first, F.greatest(first, last))))
+    return rows.withColumnRenamed("_at", f"_at{mark}")
 
 
 def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(c + suffix) for c in df.columns])
 
 
-def _pairs(a: DataFrame, b: DataFrame, by: Sequence[str], suffix: str, width: int) -> DataFrame:
-    left = _binned(a, width, "")
-    right = _suffixed(_binned(b, width, ""), suffix)
+def _pairs(a: DataFrame, b: DataFrame, by: Sequence[str], suffix: str, width: int, short: bool) -> DataFrame:
+    levels = lambda df: F.lit(1) if short else levels_of(df, width)
+    left = _binned(a, levels(b), width, "")
+    right = _binned(b, levels(a), width, "_r")
+    right = right.withColumnsRenamed({c: c + suffix for c in b.columns})
     on = [F.col(k) == F.col(k + suffix) for k in by]
     on += [
-        F.col("_bin") == F.col("_bin" + suffix),
-        F.col("_bin") == F.greatest("_first", "_first" + suffix),
+        F.col("_at") == F.col("_at_r"),
+        F.col("_bin") == F.col("_bin_r"),
+        F.col("_bin") == F.greatest("_first", "_first_r"),
         F.col(START) < F.col(END + suffix),
         F.col(START + suffix) < F.col(END),
     ]
-    return left.join(right, on).drop("_bin", "_first", "_bin" + suffix, "_first" + suffix)
+    return left.join(right, on).drop("_at", "_bin", "_first", "_at_r", "_bin_r", "_first_r")
 
 
 def overlap_join(
@@ -54,13 +97,16 @@ def overlap_join(
     min_frac: float | None = None,
     reciprocal: bool = False,
     width: int = WIDTH,
+    longest: int | None = None,
 ) -> DataFrame:
     """All overlapping pairs with the shared bases in ``bp``; columns of ``b`` get ``suffix``.
 
-    ``how='left'`` keeps rows of ``a`` without any accepted partner, with ``bp`` 0.
+    ``how='left'`` keeps rows of ``a`` without any accepted partner, with ``bp`` 0. ``longest`` is a length
+    that no row of ``a`` and ``b`` exceeds, where the caller knows one: up to TILES widths the
+    levels of the sides, else one more pass over start and end of each, need not be looked up.
     """
     by = list(by)
-    pairs = _pairs(a, b, by, suffix, width)
+    pairs = _pairs(a, b, by, suffix, width, longest is not None and longest <= width * TILES)
     bp = F.least(END, END + suffix) - F.greatest(START, START + suffix)
     pairs = pairs.withColumn("bp", bp.cast("long"))
     if min_frac is not None:
