@@ -248,6 +248,26 @@ def _(s):
     return readers.with_file_metadata(files)
 
 
+@query(
+    "read_json",
+    """SELECT CASE WHEN score % 50 > 0 THEN name END AS name, CASE WHEN score % 50 > 0 THEN start_pos END AS start_pos, CASE WHEN score % 50 > 1 THEN score END AS score,
+      CASE WHEN score % 50 > 0 AND score % 3 > 0 THEN cls END AS cls, score % 50 < 2 AS bad FROM regions""",
+)
+def _(s):
+    """Records with every field, without one, with a field of another type and cut short."""
+    record = "to_json(named_struct('name', name, 'start_pos', start_pos, 'cls', CASE WHEN score % 3 > 0 THEN cls END, 'score', score))"
+    text = F.expr(f"CASE score % 50 WHEN 0 THEN concat('{{\"name\": \"', name) WHEN 1 THEN replace({record}, concat('\"score\":', score), '\"score\":\"none\"') ELSE {record} END")
+    rows = readers.read_json(s.spark, stored(s, s.regions.select(text.alias("value"))), "name string, start_pos long, score long, cls string")
+    return rows.withColumn("bad", F.col("bad_record").isNotNull()).drop("bad_record")
+
+
+@query("read_json_entries", "SELECT sample, sex, population, CASE WHEN sex = 'male' THEN family END AS family FROM samples")
+def _(s):
+    entry = F.expr("to_json(map(sample, named_struct('sex', sex, 'population', population, 'family', CASE WHEN sex = 'male' THEN family END)))")
+    path = stored(s, s.samples.select(entry.alias("value")))
+    return readers.read_json_entries(s.spark, path, "sex string, population string, family string", name="sample", whole=False)
+
+
 @query("write_by_class", "SELECT chrom, start_pos, end_pos, name, cls FROM regions UNION ALL SELECT chrom, start_pos, end_pos, name, 'all' FROM regions")
 def _(s):
     path = stored(s, s.regions.select("chrom", "start_pos", "end_pos", "name", "cls"), lambda df, p: writers.write_by_class(df, "cls", p))

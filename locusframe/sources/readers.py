@@ -210,6 +210,31 @@ def read_key_value(spark: SparkSession, path, keys: Sequence[str], numeric: dict
     return rows.groupBy("file").agg(*[F.max(F.when(F.col("key") == k, F.col("value"))).cast(kind(k)).alias(k) for k in keys])
 
 
+def read_json(spark: SparkSession, path, schema: str, whole: bool = False, bad: str = "bad_record") -> DataFrame:
+    """One row per JSON record, a line or with ``whole`` a file, with the columns of ``schema``.
+
+    A record that is no JSON object or holds a value of another type is kept in the column ``bad``;
+    its columns are NULL where they could not be read. Blank lines are no records.
+    """
+    text = spark.read.text(path, wholetext=whole).where("trim(value) <> ''")
+    record = F.from_json("value", f"{schema}, {bad} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    return text.select(record.alias("r")).select("r.*")
+
+
+def read_json_entries(spark: SparkSession, path, schema: str, name: str = "name", whole: bool = True) -> DataFrame:
+    """One row per entry of JSON objects that map names to objects, with the columns of ``schema``.
+
+    All files of ``path`` are one table: a name that occurs twice is an error, and so is a record that is no such object.
+    """
+    text = spark.read.text(path, wholetext=whole).where("trim(value) <> ''")
+    record = F.from_json("value", f"map<string, struct<{schema}>>")
+    entries = F.when(record.isNotNull(), record).otherwise(_error("not an object of named entries: ", F.substring("value", 1, 80)))
+    rows = text.select(F.explode(entries).alias(name, "_e")).select(name, "_e.*")
+    times = rows.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    once = F.when(F.col("_n") == 1, F.col(name)).otherwise(_error("name occurs twice: ", F.col(name)))
+    return rows.join(times, name).withColumn(name, once).drop("_n")
+
+
 def report_lines(spark: SparkSession, path) -> DataFrame:
     """(file path, line from 1, text) of small report files, each read whole."""
     files = spark.read.text(path, wholetext=True)

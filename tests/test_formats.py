@@ -191,3 +191,28 @@ def test_a_run_must_fit_its_study(spark):
     # a study that leaves unpaired runs out
     other = ("PRJEB14185", "S1", "xS1", "l", "SINGLE", "R1", "ftp.ebi.ac.uk/R1_1.fastq.gz", "a", "ILLUMINA", "HiSeq 2500")
     assert cleaning.annotate_runs(spark.createDataFrame([other], cols)).count() == 0
+
+
+def test_json_records(spark, tmp_path):
+    lines = ['{"a": 1, "b": "x"}', "", '{"a": "one", "b": "y"}', '{"a": 2', "[3]", '{"c": 0}']
+    (tmp_path / "r.json").write_text("\n".join(lines))
+    got = sorted(map(tuple, readers.read_json(spark, str(tmp_path / "r.json"), "a long, b string").collect()), key=str)
+    want = [(1, "x", None), (None, "y", lines[2]), (None, None, None)]
+    assert [r for r in got if r[2] != lines[3] and r[2] != lines[4]] == sorted(want, key=str)
+    assert {r[2] for r in got} >= {lines[2], lines[3]}
+    (tmp_path / "w.json").write_text('{\n  "a": 5,\n  "b": null\n}\n')
+    assert [tuple(r) for r in readers.read_json(spark, str(tmp_path / "w.json"), "a long, b string", whole=True).collect()] == [(5, None, None)]
+
+
+def test_json_entries(spark, tmp_path):
+    (tmp_path / "one.json").write_text('{"s/1": {"md5": "q", "local_path": "p"},\n "s/2": {"local_path": "r"}}')
+    (tmp_path / "two.json").write_text('{"t/1": {"md5": "z"}}')
+    read = lambda: sorted(map(tuple, readers.read_json_entries(spark, str(tmp_path), "md5 string, local_path string").collect()))
+    assert read() == [("s/1", "q", "p"), ("s/2", None, "r"), ("t/1", "z", None)]
+    (tmp_path / "three.json").write_text('{"s/1": {"md5": "again"}}')
+    with pytest.raises(Exception, match="name occurs twice"):
+        read()
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.json").write_text('["no object"')
+    with pytest.raises(Exception, match="not an object"):
+        readers.read_json_entries(spark, str(tmp_path / "bad"), "md5 string").collect()
