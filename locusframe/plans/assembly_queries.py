@@ -376,21 +376,21 @@ def _(s):
 
 @query(
     "best_overlap_shift",
-    """WITH seg AS (SELECT name AS segment, concat(chrom, ':S', start_pos % 8, ':', score % 7 * 10) AS chrom, start_pos, end_pos FROM regions), al AS (SELECT concat(chrom, ':', sample, ':', mapq) AS chrom, start_pos, end_pos, mapq, strand FROM aln),
+    """WITH seg AS (SELECT name AS segment, chrom, start_pos, start_pos + 1 + score % 30 AS end_pos FROM regions),
+      al AS (SELECT chrom, start_pos, start_pos + 1 + (end_pos - start_pos) // 20 AS end_pos, mapq FROM aln),
       t AS (SELECT segment, chrom, 0 AS k, start_pos, end_pos FROM seg UNION ALL SELECT segment, chrom, 1, start_pos - (end_pos - start_pos) // 2, end_pos - (end_pos - start_pos) // 2 FROM seg
         UNION ALL SELECT segment, chrom, 2, start_pos + (end_pos - start_pos) // 2, end_pos + (end_pos - start_pos) // 2 FROM seg),
-      o AS (SELECT segment, k, least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos) AS bp, mapq, strand, b.start_pos AS s, b.end_pos AS e FROM t a JOIN al b ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos),
-      f AS (SELECT *, row_number() OVER (PARTITION BY segment, k ORDER BY bp DESC, s, e, strand) AS i FROM o), w AS (SELECT * FROM f WHERE i = 1),
-      d AS (SELECT seg.segment, coalesce(x.mapq, CASE WHEN coalesce(y.bp, 0) > coalesce(z.bp, 0) THEN y.mapq ELSE z.mapq END) AS mapq, coalesce(x.strand, CASE WHEN coalesce(y.bp, 0) > coalesce(z.bp, 0) THEN y.strand ELSE z.strand END) AS st, x.mapq AS direct
+      o AS (SELECT segment, k, least(a.end_pos, b.end_pos) - greatest(a.start_pos, b.start_pos) AS bp, mapq, b.start_pos AS s, b.end_pos AS e FROM t a JOIN al b ON a.chrom = b.chrom AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos),
+      f AS (SELECT *, row_number() OVER (PARTITION BY segment, k ORDER BY bp DESC, s, e, mapq DESC) AS i FROM o), w AS (SELECT * FROM f WHERE i = 1),
+      d AS (SELECT seg.segment, coalesce(x.mapq, CASE WHEN coalesce(y.bp, 0) > coalesce(z.bp, 0) THEN y.mapq ELSE z.mapq END) AS mapq, x.mapq AS direct
         FROM seg LEFT JOIN w x ON x.segment = seg.segment AND x.k = 0 LEFT JOIN w y ON y.segment = seg.segment AND y.k = 1 LEFT JOIN w z ON z.segment = seg.segment AND z.k = 2)
       SELECT segment, CASE WHEN direct IS NOT NULL THEN 1 WHEN mapq IS NOT NULL THEN 0 ELSE -1 END AS support, coalesce(mapq, -1) AS mapq FROM d""",
 )
 def _(s):
-    group = F.expr("concat(chrom, ':S', start_pos % 8, ':', score % 7 * 10)")
-    segments = s.regions.select(F.col("name").alias("segment"), group.alias("chrom"), "start_pos", "end_pos")
-    aln = s.aln.withColumn("chrom", F.expr("concat(chrom, ':', sample, ':', mapq)"))
-    out = asm.segment_concordance(segments, aln, by=["chrom"])
-    return out.select("segment", "support", "mapq")
+    """Short segments against the first bases of every alignment, so that some are hit only when moved and some never."""
+    segments = s.regions.select(F.col("name").alias("segment"), "chrom", "start_pos", F.expr("start_pos + 1 + score % 30").alias("end_pos"))
+    aln = s.aln.withColumn("end_pos", F.expr("start_pos + 1 + (end_pos - start_pos) div 20"))
+    return asm.segment_concordance(segments, aln, by=["chrom"]).select("segment", "support", "mapq")
 
 
 # --- alignment tables -------------------------------------------------------
