@@ -18,19 +18,21 @@ from .sweep import (
 ASSEMBLY = ["sample", "tech", "hap"]
 
 
-#: Entries that a short list (assemblies, haplotypes, technologies) may have.
-FEW = 10_000
+#: Entries of a list that go out as one array.
+CHUNK = 10_000
 
 
 def with_each(df: DataFrame, few: DataFrame) -> DataFrame:
-    """Every row of ``df`` beside every row of ``few``, for results that list all combinations.
+    """Every row of ``df`` beside every distinct row of ``few``, for results that list all combinations.
 
-    ``few`` is a short list such as the assemblies: more than ``FEW`` entries are an error. It
-    is one array in a scalar subquery, so no join is run.
+    ``few`` goes out as arrays of about CHUNK entries, one for a short list such as the assemblies;
+    every row meets each array in an equi-join on its number. The list may have any length.
     """
-    listed = few.distinct().limit(FEW + 1).agg(F.collect_list(F.struct(*few.columns)).alias("all"))
-    checked = F.when(F.size("all") <= FEW, F.col("all")).otherwise(F.raise_error(F.lit(f"a list of more than {FEW} entries")))
-    return df.select(*df.columns, F.explode(listed.select(checked).scalar()).alias("_x")).select(*df.columns, "_x.*")
+    rows = few.distinct()
+    n = F.greatest(F.lit(1), F.ceil(rows.agg(F.count(F.lit(1)) / CHUNK).scalar()))
+    chunks = rows.groupBy(F.pmod(F.xxhash64(*few.columns), n).alias("_chunk")).agg(F.collect_list(F.struct(*few.columns)).alias("_all"))
+    listed = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
+    return listed.join(chunks, "_chunk").select(*df.columns, F.explode("_all").alias("_x")).select(*df.columns, "_x.*")
 
 
 # --- samples and selections -------------------------------------------------

@@ -1,7 +1,9 @@
 """Exact order statistics from histograms.
 
 Values are counted first, so what gets ordered is one row per distinct value,
-and ``running_sums`` orders it in blocks of the value range.
+and ``running_sums`` orders it in blocks of the value range. Whole numbers have
+blocks of equal width, fractions blocks of about equal numbers of rows, so that an
+outlier does not put all other values in one block.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from .lineage import written_once
-from .sweep import BLOCK, running_sums
+from .sweep import BLOCK, position_block, running_sums
 
 
 def same_keys(a: DataFrame, b: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
@@ -38,19 +40,25 @@ def _plain(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.withColumns({k: F.col(f"{k}.key") for k in by}).drop("_all")
 
 
-def _value_block(hist: DataFrame, block: float) -> float:
-    """The width of a block of values: ``block`` for whole numbers, else so that it holds about as many rows."""
-    if not isinstance(hist.schema["value"].dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return block
-    one = hist.agg(F.min("value").cast("double"), F.max("value").cast("double"), F.count(F.lit(1))).first()
-    return max((one[1] - one[0]) * min(1.0, (1 << 16) / one[2]), 1e-12) if one[2] else block
+def _in_blocks(hist: DataFrame, pos: str, block: float) -> DataFrame:
+    """Add ``_part``, the block of ``pos``: of width ``block`` for whole numbers, else one of about as many rows as the others.
+
+    The borders between blocks of fractions are approximate quantiles in a scalar subquery, so
+    nothing runs before the result is asked for. Any borders give the same sums.
+    """
+    if not isinstance(hist.schema[pos].dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return hist.withColumn("_part", position_block(pos, block))
+    parts = min(1024, max(64, 2 * int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    borders = hist.agg(F.percentile_approx(pos, [i / parts for i in range(1, parts)], 10 * parts)).scalar()
+    hist = hist.withColumn("_borders", borders)
+    return hist.withColumn("_part", F.size(F.filter("_borders", lambda x: x <= F.col(pos))).cast("long")).drop("_borders")
 
 
 def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], block: float = BLOCK, weight: Column | None = None) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per entry of ``probs``."""
     hist = histogram(df, by, value, weight)
     hist, keys = _keyed(hist, by)
-    run = running_sums(hist, keys, ["n"], pos="value", block=_value_block(hist, block))
+    run = running_sums(_in_blocks(hist, "value", block), keys, ["n"], pos="value", block=F.col("_part")).drop("_part")
     run = run.join(hist.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
     aggs = []
     for name, p in probs.items():
@@ -115,7 +123,8 @@ def pct_rank_desc(df: DataFrame, by: Sequence[str], value: str, block: float = B
     """Add ``pct_rank``: share of the group's rows with a value at least as great."""
     hist = histogram(df, by, value)
     hist, keys = _keyed(hist, by)
-    run = running_sums(hist.withColumn("down", -F.col("value")), keys, ["n"], pos="down", block=_value_block(hist, block))
+    down = _in_blocks(hist.withColumn("down", -F.col("value")), "down", block)
+    run = running_sums(down, keys, ["n"], pos="down", block=F.col("_part")).drop("_part")
     run = _plain(run.join(hist.groupBy(*keys).agg(F.sum("n").alias("total")), keys), by)
     ranks = run.select(*by, F.col("value").alias("_v"), (F.col("cum_n") / F.col("total")).alias("pct_rank"))
     on = [F.col(value) == F.col("_v")] + [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]

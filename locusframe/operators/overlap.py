@@ -149,10 +149,19 @@ def _area_events(track: DataFrame, by: Sequence[str], value: Column, slope: str,
     return events.select(*by, "pos", F.col("step").alias(slope), (F.col("step") * pos).alias(moment))
 
 
-def _area(slope: str, moment: str) -> Column:
-    at_end = F.col(END).cast("long") * F.col(f"e_{slope}") - F.col(f"e_{moment}")
-    at_start = F.col(START).cast("long") * F.col(f"s_{slope}") - F.col(f"s_{moment}")
-    return at_end - at_start
+def _digits(kind: T.DataType) -> int | None:
+    return kind.scale if isinstance(kind, T.DecimalType) else None
+
+
+def _area(slope: str, moment: str, digits: int | None = None) -> Column:
+    """The integral between both ends; with ``digits`` of decimals, in types whose product keeps them."""
+    def upto(end: str, side: str) -> Column:
+        if digits is None:
+            return F.col(end).cast("long") * F.col(f"{side}_{slope}") - F.col(f"{side}_{moment}")
+        product = F.col(end).cast("decimal(12,0)") * F.col(f"{side}_{slope}").cast(f"decimal(22,{digits})")
+        return product - F.col(f"{side}_{moment}").cast(f"decimal(35,{digits})")
+
+    return upto(END, "e") - upto(START, "s")
 
 
 def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
@@ -210,12 +219,12 @@ def areas(a: DataFrame, events: dict[str, DataFrame], by: Sequence[str] = ("chro
     frames = [e.select(*by, "pos", F.col("slope").alias(f"slope_{n}"), F.col("moment").alias(f"moment_{n}")) for n, e in events.items()]
     cols = [f"{c}_{n}" for n in events for c in ("slope", "moment")]
     out = at_both_ends(a, _stacked(frames), by, cols, cols, block=block)
-    return out.select(*a.columns, *[_area(f"slope_{n}", f"moment_{n}").alias(n) for n in events])
+    return out.select(*a.columns, *[_area(f"slope_{n}", f"moment_{n}", _digits(e.schema["moment"].dataType)).alias(n) for n, e in events.items()])
 
 
-def track_events(track: DataFrame, value: str = "depth", by: Sequence[str] = ("chrom",)) -> tuple[DataFrame, DataFrame]:
+def track_events(track: DataFrame, value: str = "depth", by: Sequence[str] = ("chrom",), digits: int = 6) -> tuple[DataFrame, DataFrame]:
     """Events of the covered bases and of the depth sum of a track, for ``areas``."""
-    amount = exact(track, value) if fractional(track, value) else F.col(value).cast("long")
+    amount = exact(track, value, digits) if fractional(track, value) else F.col(value).cast("long")
     covered = _area_events(track.where(F.col(value) != 0), by, F.lit(1).cast("long"), "slope", "moment")
     return covered, _area_events(track, by, amount, "slope", "moment")
 
@@ -237,23 +246,23 @@ def map_mean(a: DataFrame, b: DataFrame, score: str = "score", min_frac: float =
 
 
 def region_average(
-    regions: DataFrame, track: DataFrame, value: str = "depth", by: Sequence[str] = ("chrom",), block: int = BLOCK
+    regions: DataFrame, track: DataFrame, value: str = "depth", by: Sequence[str] = ("chrom",), block: int = BLOCK, digits: int = 6
 ) -> DataFrame:
     """Per region: size, covered bases, depth sum, mean over the size (mean0) and over the covered bases.
 
     ``track`` is a depth track: its rows do not overlap. A fractional depth counts
-    to 6 digits and gives a fractional sum.
+    to ``digits`` digits and gives a fractional sum.
     """
     events = _stacked(
         [
-            _area_events(track, by, exact(track, value) if fractional(track, value) else F.col(value).cast("long"), "slope", "moment"),
+            _area_events(track, by, exact(track, value, digits) if fractional(track, value) else F.col(value).cast("long"), "slope", "moment"),
             _area_events(track.where(F.col(value) != 0), by, F.lit(1).cast("long"), "one", "spot"),
         ]
     )
     cols = ["slope", "moment", "one", "spot"]
     out = at_both_ends(regions, events, by, cols, cols, block=block)
     size = (F.col(END) - F.col(START)).cast("long")
-    out = out.select(*regions.columns, size.alias("size"), _area("one", "spot").alias("covered"), (_area("slope", "moment").cast("double") if fractional(track, value) else _area("slope", "moment")).alias("total"))
+    out = out.select(*regions.columns, size.alias("size"), _area("one", "spot").alias("covered"), (_area("slope", "moment", digits).cast("double") if fractional(track, value) else _area("slope", "moment")).alias("total"))
     return out.withColumn("mean0", F.col("total") / F.col("size")).withColumn(
         "mean", F.coalesce(F.try_divide("total", "covered"), F.lit(0.0))
     )
@@ -287,12 +296,15 @@ def padded_lookup(a: DataFrame, b: DataFrame, pad: int = 100_000, ident: str = "
     return out.withColumn("near_ids", joined("id")).withColumn("near_sizes", joined("size")).drop("found")
 
 
-def pair_combinations(df: DataFrame, key: str, carry: Sequence[str] = (), parts: int = 8) -> DataFrame:
+def pair_combinations(df: DataFrame, key: str, carry: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """Unordered pairs of rows, keys ascending.
 
     The result has as many rows as there are pairs. Rows are dealt into ``parts`` by their key and
-    meet in one cell for each two parts, an equi-join that spreads over the tasks.
+    meet in one cell for each two parts, an equi-join that spreads over the tasks. By default
+    there are about twice as many cells as shuffle partitions.
     """
+    if parts is None:
+        parts = max(8, int(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5) + 1)
     rows = df.select(key, *carry).withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)))
     cell = lambda x, y: F.least(x, y) * parts + F.greatest(x, y)
     rows = rows.withColumn("_with", F.explode(F.array(*[F.lit(i).cast("long") for i in range(parts)])))

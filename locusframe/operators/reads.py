@@ -46,11 +46,13 @@ def length_histogram(reads: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return reads.groupBy(*by, F.length("seq").cast("long").alias("length")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def read_summary(hist: DataFrame, genome_size: int, block: int = BLOCK) -> DataFrame:
+def read_summary(hist: DataFrame, genome_size: int, block: int = BLOCK, long_from: int | None = 1000) -> DataFrame:
     """Rows (key, value) from a length histogram (length, n): counts, bases, length statistics and coverage.
 
     Median and N50 are the smallest length whose share of reads (of bases), longest
-    first, is at most one half; NULL when the longest length already exceeds it.
+    first, is at most one half; NULL when the longest length already exceeds it. Coverage is
+    listed at the steps for long reads where the mean length is at least ``long_from``, else at
+    those for short reads; at the steps of both where it is None.
     """
     hist = hist.select(F.lit(0).alias("_k"), "length", "n", (F.col("length") * F.col("n")).alias("bp"), (-F.col("length")).alias("down"))
     run = running_sums(hist, ["_k"], ["n", "bp"], pos="down", block=block)
@@ -86,7 +88,10 @@ def read_summary(hist: DataFrame, genome_size: int, block: int = BLOCK) -> DataF
         row("cov_total", cover(F.col("total_bp"))),
     )
     steps = lambda numbers: F.array(*[row(f"cov_geq_{s}", cover(F.col(f"geq_{s}"))) for s in numbers])
-    coverage = F.when(mean < 1000, steps(SHORT_READ_STEPS)).otherwise(steps(LONG_READ_STEPS))
+    if long_from is None:
+        coverage = steps(sorted({*SHORT_READ_STEPS, *LONG_READ_STEPS}))
+    else:
+        coverage = F.when(mean < long_from, steps(SHORT_READ_STEPS)).otherwise(steps(LONG_READ_STEPS))
     return one.where("reads is not null").select(F.explode(F.concat(basic, coverage)).alias("r")).select("r.*")
 
 
@@ -98,12 +103,16 @@ def pick_min_length(summary: DataFrame, target: float) -> DataFrame:
     return geq.agg(F.min_by(length, rank).alias("min_read_length"))
 
 
-def bases_at_least(hist: DataFrame, by: Sequence[str] = (), step: int = 500, last: int = 100_000) -> DataFrame:
-    """Bases in reads of at least each multiple of ``step`` up to ``last``; a threshold with no bases is 0."""
-    floor_bin = F.floor(F.least(F.col("length"), F.lit(last)) / step).cast("long")
+def bases_at_least(hist: DataFrame, by: Sequence[str] = (), step: int = 500, last: int | None = 100_000) -> DataFrame:
+    """Bases in reads of at least each multiple of ``step`` up to ``last``; a threshold with no bases is 0.
+
+    Without ``last`` the multiples go up to the longest read of the table.
+    """
+    top = hist.agg(F.max("length")).scalar() if last is None else F.lit(last)
+    floor_bin = F.floor(F.least(F.col("length"), top) / step).cast("long")
     bins = hist.groupBy(*by, floor_bin.alias("bin")).agg(F.sum(F.col("length") * F.col("n")).alias("bp"))
     # last / step + 1 bins per group, made dense before the running sum
-    dense = bins.select(*by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last // step).cast("long"))))
+    dense = bins.select(*by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(top / step).cast("long"))))
     bins = dense.join(bins, [*by, "bin"], "left").fillna(0, ["bp"])
     window = W.partitionBy(*by, *([] if by else [F.lit(0)])).orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, 0)
     return bins.select(*by, (F.col("bin") * step).alias("min_length"), F.sum("bp").over(window).alias("bp"))
@@ -247,9 +256,10 @@ def genome_wide_coverage(stats: DataFrame) -> DataFrame:
     return one.select("length", F.bround(mean, 2).alias("cov_mean"), F.bround(std, 2).alias("cov_std"), "bp_nonzero")
 
 
-def caller_depth_limit(mean: Column, std: Column, sd: float = 3, limit: int = 200) -> Column:
-    """mean + sd * std as a whole number between 1 and ``limit``."""
-    return F.least(F.greatest(F.bround(mean + sd * std), F.lit(1)), F.lit(limit)).cast("long")
+def caller_depth_limit(mean: Column, std: Column, sd: float = 3, limit: int | None = 200) -> Column:
+    """mean + sd * std as a whole number of at least 1, and at most ``limit`` where one is given."""
+    depth = F.greatest(F.bround(mean + sd * std), F.lit(1))
+    return (depth if limit is None else F.least(depth, F.lit(limit))).cast("long")
 
 
 def weighted_mean(df: DataFrame, keys: Sequence[str], value: str, weight: str, name: str) -> DataFrame:

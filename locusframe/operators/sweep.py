@@ -49,9 +49,9 @@ def fractional(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
 
 
-def exact(df: DataFrame, c: str) -> Column:
-    """A measure whose sums and differences are exact: whole numbers as they are, fractions as decimals of 6 digits."""
-    return F.col(c).cast("decimal(19,6)") if fractional(df, c) else F.col(c)
+def exact(df: DataFrame, c: str, digits: int = 6) -> Column:
+    """A measure whose sums and differences are exact: whole numbers as they are, fractions as decimals of ``digits`` digits."""
+    return F.col(c).cast(f"decimal({13 + digits},{digits})") if fractional(df, c) else F.col(c)
 
 
 def interval_events(df: DataFrame, by: Sequence[str], weight: Column | None = None, gap: int = 0) -> DataFrame:
@@ -69,18 +69,21 @@ def running_sums(
     by: Sequence[str],
     measures: Sequence[str],
     pos: str = "pos",
-    block: float = BLOCK,
+    block: float | Column = BLOCK,
     lasts: Sequence[str] = (),
     nexts: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``cum_<measure>`` (sum up to and including the row) and ``next_pos`` per key.
 
+    ``block`` is the width of a block of positions, or a column with the number of the
+    block, which does not fall with the position.
+
     Columns in ``lasts`` get the greatest value so far in ``last_<c>``, columns in
     ``nexts`` the least value from the row on in ``first_<c>``. ``rows`` holds one
     row per (keys, position).
     """
     by = list(by)
-    rows = rows.withColumn("_block", position_block(pos, block))
+    rows = rows.withColumn("_block", block if isinstance(block, Column) else position_block(pos, block))
     # stated here, where the two uses below share it; the join would add it to one of them only
     # and Spark would run the shuffle twice
     rows = rows.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in [*by, "_block"]]))
@@ -88,6 +91,9 @@ def running_sums(
     inside, across = W.partitionBy(*by, "_block").orderBy(pos), W.partitionBy(*by).orderBy("_block")
     upto, onward = inside.rowsBetween(W.unboundedPreceding, W.currentRow), inside.rowsBetween(W.currentRow, W.unboundedFollowing)
     before, after = across.rowsBetween(W.unboundedPreceding, -1), across.rowsBetween(1, W.unboundedFollowing)
+    # Spark would round the sum of two decimals of 38 digits to 6 places
+    wide = {f.name: T.DecimalType(32, f.dataType.scale) for f in rows.schema.fields if isinstance(f.dataType, T.DecimalType)}
+    exactly = lambda c, m: F.col(c).cast(wide[m]) if m in wide else F.col(c)
     detail = rows.select(
         "*",
         *[F.sum(m).over(upto).alias(f"_in_{m}") for m in measures],
@@ -110,7 +116,7 @@ def running_sums(
     )
     return detail.join(carry, [*by, "_block"]).select(
         *[c for c in rows.columns if c != "_block"],
-        *[(F.col(f"_in_{m}") + F.col(f"_c_{m}")).alias(f"cum_{m}") for m in measures],
+        *[(exactly(f"_in_{m}", m) + exactly(f"_c_{m}", m)).alias(f"cum_{m}") for m in measures],
         *[F.coalesce(f"_in_{m}", f"_c_{m}").alias(f"last_{m}") for m in lasts],
         *[F.coalesce(f"_in_{m}", f"_c_{m}").alias(f"first_{m}") for m in nexts],
         F.coalesce("_next_in", "_next_block").alias("next_pos"),
@@ -299,19 +305,19 @@ def make_windows(sizes: DataFrame, width: int) -> DataFrame:
     )
 
 
-def depth_runs(df: DataFrame, by: Sequence[str] = ("chrom",), weight: str | None = None, block: int = BLOCK) -> DataFrame:
-    """Maximal runs of equal non-zero depth, or of the summed ``weight``; fractional weights count to 6 digits."""
-    w = None if weight is None else exact(df, weight)
+def depth_runs(df: DataFrame, by: Sequence[str] = ("chrom",), weight: str | None = None, block: int = BLOCK, digits: int = 6) -> DataFrame:
+    """Maximal runs of equal non-zero depth, or of the summed ``weight``; fractional weights count to ``digits`` digits."""
+    w = None if weight is None else exact(df, weight, digits)
     rows = sum_by_position(interval_events(df, by, w), by, ["step"]).where("step <> 0")
     run = running_sums(rows, by, ["step"], block=block)
     depth = F.col("cum_step").cast("double") if weight is not None and fractional(df, weight) else F.col("cum_step")
     return run.where("cum_step <> 0").select(*by, F.col("pos").alias(START), F.col("next_pos").alias(END), depth.alias("depth"))
 
 
-def merge_tracks(*tracks: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Sum of depth tracks."""
+def merge_tracks(*tracks: DataFrame, block: int = BLOCK, digits: int = 6) -> DataFrame:
+    """Sum of depth tracks; fractional depths count to ``digits`` digits."""
     cols = ["chrom", START, END, "depth"]
-    return depth_runs(union_all([t.select(*cols) for t in tracks]), weight="depth", block=block)
+    return depth_runs(union_all([t.select(*cols) for t in tracks]), weight="depth", block=block, digits=digits)
 
 
 def depth_per_base(df: DataFrame, sizes: DataFrame, block: int = BLOCK) -> DataFrame:

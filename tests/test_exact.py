@@ -4,12 +4,13 @@ import os
 import sys
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from locusframe.operators import assemblies, distribution, lineage, overlap, sweep  # noqa: E402
+from locusframe.operators import assemblies, distribution, lineage, overlap, reads, sweep  # noqa: E402
 from locusframe.plans import QUERIES  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -74,10 +75,51 @@ def test_pairs_of_rows(spark):
     assert got == sorted((f"k{i:02}", f"k{j:02}", i, j) for i in range(30) for j in range(i + 1, 30))
 
 
-def test_a_list_that_is_not_short_is_an_error(spark, monkeypatch):
-    monkeypatch.setattr(assemblies, "FEW", 3)
-    with pytest.raises(Exception, match="more than 3 entries"):
-        assemblies.with_each(spark.range(2), spark.range(9).toDF("x")).collect()
+@pytest.mark.parametrize("entries", [0, 1, 3, 50])
+def test_every_row_meets_a_list_of_any_length(spark, monkeypatch, entries):
+    monkeypatch.setattr(assemblies, "CHUNK", 3)
+    few = spark.range(entries).select(F.expr("case when id > 0 then id end").alias("x"), F.lit("y").alias("y"))
+    got = assemblies.with_each(spark.range(2), few.unionByName(few)).collect()
+    want = [(i, x or None, "y") for i in range(2) for x in range(entries)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_one_outlier_leaves_fractions_in_many_blocks(spark):
+    values = [i * 0.25 for i in range(20_000)] + [1e12, -1e12]
+    df = spark.createDataFrame([("a", v) for v in values], "g string, x double")
+    hist = distribution._in_blocks(distribution.histogram(df, ["g"], "x"), "value", 1)
+    sizes = [r["count"] for r in hist.groupBy("_part").count().collect()]
+    assert len(sizes) >= 60 and max(sizes) < 4 * len(values) / len(sizes)
+    out = distribution.describe_by(df, ["g"], "x").first()
+    assert (out["q25"], out["q50"], out["q75"], out["max"]) == tuple(float(v) for v in (*np.percentile(values, [25, 50, 75]), 1e12))
+    ranks = {r["x"]: r["pct_rank"] for r in distribution.pct_rank_desc(df, ["g"], "x").collect()}
+    assert ranks[1e12] == 1 / len(values) and ranks[0.0] == (len(values) - 1) / len(values) and ranks[-1e12] == 1
+
+
+def test_fractions_plan_without_running(spark):
+    df = spark.createDataFrame([("a", 0.5)], "g string, x double")
+    df = df.withColumn("x", F.when(F.col("x") < 1, F.raise_error(F.lit("ran"))).otherwise(F.col("x")))
+    distribution.describe_by(df, ["g"], "x")
+    distribution.pct_rank_desc(df, ["g"], "x")
+
+
+def test_digits_of_a_fractional_depth(spark):
+    regions = spark.createDataFrame([("c", 0, 10, "r")], "chrom string, start_pos long, end_pos long, name string")
+    depth = track(spark, [("c", 0, 10, 0.00000012)])
+    total = lambda digits: overlap.region_average(regions, depth, digits=digits).first()["total"]
+    assert total(6) == 0 and total(9) == pytest.approx(1.2e-6, rel=1e-9)
+    assert [r["depth"] for r in sweep.merge_tracks(depth, depth, digits=9).collect()] == [2.4e-7]
+
+
+def test_steps_and_limits_that_can_be_left_out(spark):
+    hist = spark.createDataFrame([(700, 2), (250_000, 1)], "length long, n long")
+    keys = [r["key"] for r in reads.read_summary(hist, 1000, long_from=None).collect()]
+    assert {f"cov_geq_{s}" for s in (*reads.LONG_READ_STEPS, *reads.SHORT_READ_STEPS)} <= set(keys) and len(keys) == len(set(keys))
+    capped = {r["min_length"]: r["bp"] for r in reads.bases_at_least(hist).collect()}
+    whole = {r["min_length"]: r["bp"] for r in reads.bases_at_least(hist, last=None).collect()}
+    assert max(capped) == 100_000 and max(whole) == 250_000 and whole[200_000] == 250_000 and whole[0] == 251_400
+    limit = lambda n: spark.range(1).select(reads.caller_depth_limit(F.lit(500.0), F.lit(1.0), limit=n).alias("d")).first()["d"]
+    assert (limit(200), limit(None)) == (200, 503)
 
 
 KEYLESS = ["region_set_enrichment", "roi_hit_classes", "alt_contig_coverage", "region_set_coverage", "pseudo_read_density", "sv_support_summary", "loh_features", "region_length_remainders", "match_seq_names", "gff_to_regions", "read_sizes", "pair_combinations", "pairwise_class", "interval_jaccard"]
