@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .clusters import with_clusters
 from .lineage import written_once
 from .overlap import coverage_counts, overlap_join
 from .sweep import END, START, disjoin
@@ -151,26 +152,12 @@ def loh_features(depth: DataFrame, segdups: DataFrame, input_cov: DataFrame) ->
     )
 
 
-def loh_clusters(features: DataFrame, k: int, columns: Sequence[str], label: str, seed: int = 1, restarts: int = 3) -> DataFrame:
-    """Add the k-means cluster of the feature columns, the best of several starts; rows with a missing feature get -1.
+def loh_clusters(features: DataFrame, k: int, columns: Sequence[str], label: str, seed: int = 1, restarts: int = 50) -> DataFrame:
+    """Add the k-means cluster of the feature columns, the best of ``restarts`` starts; rows with a missing feature get -1.
 
     Clusters are numbered by the first feature of their centre, so labels do not depend on the start.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    features = written_once(features)  # every iteration reads the features again
-    usable = features.where(" and ".join(f"{c} is not null" for c in columns))
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(usable)
-    fits = [KMeans(k=k, seed=seed + i, maxIter=500, tol=1e-4, featuresCol="_v", predictionCol="_p").fit(vectors) for i in range(restarts)]
-    model = min(fits, key=lambda m: m.summary.trainingCost)
-    order = sorted(range(len(model.clusterCenters())), key=lambda i: tuple(model.clusterCenters()[i]))
-    number = F.lit(-1)
-    for new, old in enumerate(order):
-        number = F.when(F.col("_p") == old, new).otherwise(number)
-    labelled = model.transform(vectors).withColumn(label, number).drop("_v", "_p")
-    rest = features.where(" or ".join(f"{c} is null" for c in columns)).withColumn(label, F.lit(-1))
-    return labelled.unionByName(rest)
+    return with_clusters(written_once(features), columns, k, label, starts=restarts, seed=seed)
 
 
 def loh_counts(labelled: DataFrame, label: str, positive: int = 1) -> DataFrame:
