@@ -261,6 +261,15 @@ def _(s):
     return rows.withColumn("bad", F.col("bad_record").isNotNull()).drop("bad_record")
 
 
+@query(
+    "read_fasta_chunks",
+    f"""SELECT name, chunk_no, md5(substr(seq, CAST(chunk_no * 500 + 1 AS INTEGER), 500)) AS digest FROM (SELECT name, {CLEAN} AS seq, unnest(range((length({CLEAN}) + 499) // 500)) AS chunk_no FROM reads) x""",
+)
+def _(s):
+    chunks = readers.read_fasta_chunks(s.spark, stored(s, flat_reads(s), writers.write_fasta, width=120), 500)
+    return chunks.select("name", "chunk_no", F.md5("seq").alias("digest"))
+
+
 @query("read_json_entries", "SELECT sample, sex, population, CASE WHEN sex = 'male' THEN family END AS family FROM samples")
 def _(s):
     entry = F.expr("to_json(map(sample, named_struct('sex', sex, 'population', population, 'family', CASE WHEN sex = 'male' THEN family END)))")

@@ -60,6 +60,49 @@ def read_fasta(spark: SparkSession, path) -> DataFrame:
     return records.select(F.element_at(F.split(header, r"\s+"), 1).alias("name"), header.alias("header"), F.regexp_replace(body, r"\s", "").alias("seq"))
 
 
+def read_fasta_chunks(spark: SparkSession, path, chunk: int = 1 << 16) -> DataFrame:
+    """(name, chunk_no, seq) of all records, ``chunk`` bases a row and the rest in the last; no row holds a whole record.
+
+    Lines are read in the splits of the files. Inside a split a line knows the header above it and its
+    offset behind that; one small row per split, ordered by byte offset, hands the open record on to the
+    splits that follow. A record of any length is thus read by many tasks. Its longest line is what a task
+    must hold. Names are told apart by where their records start, so a name that occurs twice is two records.
+    A record without bases has no row, and bases before the first header are an error.
+    """
+    from pyspark.sql import Window as W
+
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), "value"
+    )
+    is_head = F.col("value").startswith(">")
+    name = F.element_at(F.split(F.trim(F.substring("value", 2, 1 << 30)), r"\s+"), 1)
+    seq = F.when(is_head, "").otherwise(F.regexp_replace("value", r"\s", ""))
+    lines = lines.select("file", "_at", "_id", F.when(is_head, F.struct("_at", "_id", name.alias("name"))).alias("_head"), seq.alias("seq"))
+    split = W.partitionBy("file", "_at").orderBy("_id").rowsBetween(W.unboundedPreceding, 0)
+    lines = lines.withColumn("_head", F.last("_head", ignorenulls=True).over(split))
+    record = W.partitionBy("file", "_at", "_head").orderBy("_id").rowsBetween(W.unboundedPreceding, 0)
+    lines = lines.withColumn("_stop", F.sum(F.length("seq").cast("long")).over(record))
+    # the record open at the end of a split, and its bases since its header or the start of the split
+    splits = lines.groupBy("file", "_at").agg(F.max_by("_head", "_id").alias("_open"), F.max_by("_stop", "_id").alias("_tail"))
+    order = W.partitionBy("file").orderBy("_at")
+    upto = order.rowsBetween(W.unboundedPreceding, 0)
+    splits = splits.withColumn("_run", F.count("_open").over(upto)).withColumn("_open", F.last("_open", ignorenulls=True).over(upto))
+    splits = splits.withColumn("_tail", F.sum("_tail").over(W.partitionBy("file", "_run").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)))
+    splits = splits.select("file", "_at", F.lag("_open").over(order).alias("_open"), F.lag("_tail").over(order).alias("_before"))
+    bases = lines.where("seq <> ''").join(splits, ["file", "_at"])
+    head = F.coalesce("_head", "_open")
+    head = F.when(head.isNotNull(), head).otherwise(_error("bases before the first header of ", F.col("file")))
+    stop = F.col("_stop") + F.when(F.col("_head").isNull(), F.coalesce("_before", F.lit(0))).otherwise(0)
+    bases = bases.select("file", head.alias("_head"), (stop - F.length("seq")).alias("_from"), "seq")
+    last = F.col("_from") + F.length("seq") - 1
+    bases = bases.withColumn("chunk_no", F.explode(F.sequence(F.floor(F.col("_from") / chunk), F.floor(last / chunk))))
+    first = F.greatest(F.col("chunk_no") * chunk, F.col("_from"))
+    piece = F.substr("seq", (first - F.col("_from") + 1).cast("int"), F.least((F.col("chunk_no") + 1) * chunk - first, F.lit(1 << 30)).cast("int"))
+    parts = bases.select("file", "_head", "chunk_no", F.struct(first.alias("at"), piece.alias("s")).alias("p"))
+    whole = parts.groupBy("file", "_head", "chunk_no").agg(F.array_sort(F.collect_list("p")).alias("p"))  # at most ``chunk`` pieces
+    return whole.select(F.col("_head.name").alias("name"), "chunk_no", F.array_join(F.transform("p", lambda x: x["s"]), "").alias("seq"))
+
+
 def numbered_lines(spark: SparkSession, path) -> DataFrame:
     """(file, line_no from 0, value): line numbers per file.
 

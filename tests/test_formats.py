@@ -1,6 +1,7 @@
 """Readers, writers and cleaning on tiny files."""
 
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -216,3 +217,35 @@ def test_json_entries(spark, tmp_path):
     (tmp_path / "bad" / "x.json").write_text('["no object"')
     with pytest.raises(Exception, match="not an object"):
         readers.read_json_entries(spark, str(tmp_path / "bad"), "md5 string").collect()
+
+
+@pytest.mark.parametrize("split", [64, 1000, 1 << 27])
+def test_fasta_chunks_across_splits(spark, tmp_path, split):
+    rnd = random.Random(4)
+    want, total = {}, 0
+    for number in range(2):
+        text = []
+        for i, length in enumerate((0, 1, 7, 20, 5_000, 60, 61, 0)):
+            seq = "".join(rnd.choice("ACGTN") for _ in range(length))
+            name, width = f"s{number}.{i}", rnd.choice([1, 7, 60])
+            text += [f"> {name} some words"] + [seq[j:j + width] for j in range(0, length, width)] + [""] * rnd.randrange(2)
+            want.update({(name, j // 20): seq[j:j + 20] for j in range(0, length, 20)})
+        put(tmp_path / f"{number}.fa", "\n".join(text) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        out = readers.read_fasta_chunks(spark, str(tmp_path), 20)
+        got = [((r["name"], r["chunk_no"]), r["seq"]) for r in out.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == len(want) and dict(got) == want
+
+
+def test_fasta_chunks_without_header_or_rows(spark, tmp_path):
+    assert readers.read_fasta_chunks(spark, put(tmp_path / "none.fa", "")).count() == 0
+    with pytest.raises(Exception, match="before the first header"):
+        readers.read_fasta_chunks(spark, put(tmp_path / "bad.fa", "ACGT\n>a\nA\n")).collect()
+    twice = readers.read_fasta_chunks(spark, put(tmp_path / "twice.fa", ">a\nAC\n>a\nGT\n"))
+    assert sorted(rows_of(twice)) == [("a", 0, "AC"), ("a", 0, "GT")]
