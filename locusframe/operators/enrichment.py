@@ -28,23 +28,39 @@ def log_choose(n: Column, k: Column) -> Column:
     return log_gamma(n + 1) - log_gamma(k + 1) - log_gamma(n - k + 1)
 
 
-#: Terms that one row of a sum lists, and steps of a numeric integral.
-TERMS, STEPS = 1 << 12, 2000
+#: Steps of a numeric integral, and standard deviations beyond which the terms of a tail no longer count.
+STEPS, REACH = 2000, 40
+
+
+def _term_sum(first: Column, places: Column, ratio: Callable[[Column], Column]) -> Column:
+    """Sum of the terms that follow ``first``, each the one before it times the ratio at its place."""
+    step = lambda acc, x: F.struct((acc["t"] * ratio(x)).alias("t"), (acc["s"] + acc["t"] * ratio(x)).alias("s"))
+    return F.aggregate(places, F.struct(first.alias("t"), F.lit(0.0).alias("s")), step, lambda acc: acc["s"])
 
 
 def with_tail_probability(table: DataFrame, key: str) -> DataFrame:
     """Add ``p_value``, the chance of at least ``support`` in the corner of the 2 x 2 table (support, b, c, d).
 
-    The terms of the hypergeometric tail are summed as rows, ``TERMS`` from each.
+    The terms of the hypergeometric tail follow from their neighbours, outwards from the greatest one,
+    inside the row; they end where REACH standard deviations make them vanish, so a row folds as many as the
+    root of its counts.
     """
-    row, col = F.col("support") + F.col("b"), F.col("support") + F.col("c")
-    total = row + F.col("c") + F.col("d")
-    parts = table.select(key, row.alias("_r"), col.alias("_c"), total.alias("_t"), F.least(row, col).alias("_top"), F.explode(F.sequence("support", F.least(row, col), F.lit(TERMS).cast("long"))).alias("_low"))
-    terms = parts.withColumn("x", F.explode(F.sequence("_low", F.least(F.col("_low") + TERMS - 1, F.col("_top")))))
-    chance = F.exp(log_choose(F.col("_r"), F.col("x")) + log_choose(F.col("_t") - F.col("_r"), F.col("_c") - F.col("x")) - log_choose(F.col("_t"), F.col("_c")))
-    possible = (F.col("_c") - F.col("x") <= F.col("_t") - F.col("_r")) & (F.col("x") <= F.col("_c"))
-    sums = terms.groupBy(key).agg(F.least(F.sum(F.when(possible, chance).otherwise(0.0)), F.lit(1.0)).alias("p_value"))
-    return table.join(sums, key)
+    whole = {"_x": F.col("support"), "_r": F.col("support") + F.col("b"), "_c": F.col("support") + F.col("c")}
+    rows = table.withColumns({n: v.cast("long") for n, v in whole.items()}).withColumn("_t", (F.col("_r") + F.col("c") + F.col("d")).cast("long"))
+    x, r, c, t = (F.col(n) for n in ("_x", "_r", "_c", "_t"))
+    real = lambda v: v.cast("double")
+    spread = F.sqrt(F.coalesce(F.try_divide(real(r) * real(c) * real(t - r) * real(t - c), real(t) * real(t) * real(t - 1)), F.lit(0.0)))
+    rows = rows.withColumn("_mode", F.floor(real(r + 1) * real(c + 1) / real(t + 2)).cast("long")).withColumn("_far", (F.ceil(spread * REACH) + 64).cast("long"))
+    rows = rows.withColumn("_top", F.greatest("_x", "_mode"))
+    log_first = log_choose(r, F.col("_top")) + log_choose(t - r, c - F.col("_top")) - log_choose(t, c)
+    rows = rows.withColumn("_first", F.exp(log_first))
+    none = F.array().cast("array<bigint>")
+    last, low = F.least(r, c, F.col("_top") + F.col("_far")), F.greatest(x, r + c - t, F.col("_mode") - F.col("_far"))
+    above = F.when(last > F.col("_top"), F.sequence(F.col("_top") + 1, last)).otherwise(none)
+    below = F.when(low < F.col("_top"), F.sequence(F.col("_top") - 1, low, F.lit(-1).cast("long"))).otherwise(none)
+    up = _term_sum(F.col("_first"), above, lambda i: real(r - i + 1) * real(c - i + 1) / (real(i) * real(t - r - c + i)))
+    down = _term_sum(F.col("_first"), below, lambda i: real(i + 1) * real(t - r - c + i + 1) / (real(r - i) * real(c - i)))
+    return rows.withColumn("p_value", F.least(F.col("_first") + up + down, F.lit(1.0))).select(*table.columns, "p_value")
 
 
 def integral(f: Callable[[Column], Column], low: Column, high: Column) -> Column:

@@ -144,8 +144,7 @@ def test_placement_orders_and_outlier(spark):
     assert (out[("fwd", "fwd0")]["scaffold_start"], out[("fwd", "fwd0")]["scaffold_end"]) == (10_000, 13_000)
 
 
-def test_enrichment_p_value(spark, monkeypatch):
-    monkeypatch.setattr(enrichment, "TERMS", 4)
+def test_enrichment_p_value(spark):
     total, row, col = 30, 12, 9
     pmf = lambda x: math.comb(row, x) * math.comb(total - row, col - x) / math.comb(total, col)
     table = spark.createDataFrame([(str(a), a, row - a, col - a, total - row - col + a) for a in range(0, 10)], "region_set string, support long, b long, c long, d long")
