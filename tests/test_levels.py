@@ -67,3 +67,13 @@ def test_empty_and_null_sides(spark):
     assert [r["name"] for r in overlap.overlap_join(df, df).collect()] == ["a"]
     assert {r["name"]: r["bp"] for r in overlap.overlap_join(df, none, how="left").collect()} == {"a": 0, "b": 0}
     assert overlap.overlap_join(df, df, suffix="_r").where(F.col("name_r") == "a").count() == 1
+
+
+def test_a_known_length_spares_the_lookup(spark):
+    a, b = mixed_rows(6, 60, [10, 20_000]), mixed_rows(7, 60, [1_000, 100_000])
+    frames = [spark.createDataFrame(rows, COLS) for rows in (a, b)]
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    known, asked = overlap.overlap_join(*frames, longest=150_000), overlap.overlap_join(*frames, longest=10**9)
+    assert "scalar-subquery" not in plan(known) and "scalar-subquery" in plan(asked)
+    for out in (known, asked):
+        assert sorted((r["name"], r["name_b"], r["bp"]) for r in out.collect()) == all_pairs(a, b)
