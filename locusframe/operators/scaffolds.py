@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import base_count, strand_code
+from .distribution import running_in_order
 from .graph import connected_components
 from .lineage import written_once
 from .overlap import overlap_join
-from .sweep import END, START, running_sums, union_all
+from .sweep import END, START, own_shuffle, running_sums, union_all
 
 SUBSEQ = "_subseq_"
 BASES = ["A", "C", "G", "T", "a", "c", "g", "t", "N", "n"]
@@ -141,6 +142,28 @@ def usable_chrom(chrom: Column, confidence: Column) -> Column:
     return F.when(confidence < 0.5, "chrUn").otherwise(chrom)
 
 
+def _first_pairs(groups: DataFrame) -> DataFrame:
+    """Per contig, of the first ``_left`` pairs of its ``_m`` scaffolds: those on one chromosome (_g) and the others (_c).
+
+    Pairs (0, 1), (0, 2), ... follow the rank of the scaffolds by first appearance. Scaffold i leads the pairs
+    with the ``_took`` scaffolds behind it, which are all of them but for the last leader, so running counts
+    per chromosome give the sums; no pair and no list of a contig is made.
+    """
+    ranked = running_in_order(groups.withColumn("_one", F.lit(1)), ["contig"], ["first", "scaffold"], "_one", "_rank")
+    i = F.col("_rank") - 1
+    before = (i * (2 * F.col("_m") - i - 1) / 2).cast("long")
+    took = F.greatest(F.lit(0), F.least(F.col("_left") - before, F.col("_m") - F.col("_rank")))
+    ranked = written_once(ranked.withColumns({"_took": took.cast("long"), "_on": F.struct("chrom")}))
+    same = running_sums(ranked, ["contig", "_on"], ["_one"], pos="_rank", block=1 << 18).select("contig", "_on", "_rank", "_took", "_m", "cum__one")
+    same = same.join(ranked.groupBy("contig", "_on").agg(F.count("*").alias("_all")), ["contig", "_on"])
+    whole = F.col("_took") == F.col("_m") - F.col("_rank")
+    full = same.groupBy("contig").agg(F.sum("_took").alias("_t"), F.sum(F.when(whole, F.col("_all") - F.col("cum__one")).otherwise(0)).alias("_f"))
+    last = same.where(~whole & (F.col("_took") > 0)).select("contig", "_on", F.col("_rank").alias("_from"), (F.col("_rank") + F.col("_took")).alias("_to"))
+    partly = ranked.join(last, ["contig", "_on"]).where("_rank > _from AND _rank <= _to").groupBy("contig").agg(F.count("*").alias("_p"))
+    equal = F.col("_f") + F.coalesce("_p", F.lit(0))
+    return full.join(partly, "contig", "left").select("contig", equal.alias("_g"), (F.col("_t") - equal).alias("_c"))
+
+
 def classify_breaks(view: DataFrame, pieces: DataFrame, chroms: DataFrame) -> DataFrame:
     """Split the breaks of every contig into local (same scaffold), global (same chromosome), chimeric and support.
 
@@ -164,16 +187,8 @@ def classify_breaks(view: DataFrame, pieces: DataFrame, chroms: DataFrame) -> Da
     left = F.when(open_ & (F.col("_m") > 1), F.col("contig_breaks") - F.col("support_breaks") - F.col("local_breaks")).otherwise(0)
     rows = rows.withColumn("_left", F.greatest(left, F.lit(0)))
     # any other number takes the first pairs in order, as many as breaks remain
-    odd = rows.where((F.col("_left") > 0) & (F.col("_left") != F.col("_m") - 1)).select("contig", "_left")
-    listed = groups.join(odd, "contig").groupBy("contig", "_left").agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "scaffold", "chrom"))), lambda x: x["chrom"]).alias("c"))
-    m = F.size("c").cast("double")
-    t = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("_left"), (m * (m - 1) / 2).cast("long")) - 1)).alias("t")
-    pairs = listed.select("contig", "c", m.alias("m"), t)
-    i = F.floor(((2 * F.col("m") - 1) - F.sqrt((2 * F.col("m") - 1) * (2 * F.col("m") - 1) - 8 * F.col("t"))) / 2).cast("int")
-    pairs = pairs.withColumn("i", i)
-    j = (F.col("t") - F.col("i") * (2 * F.col("m") - F.col("i") - 1) / 2 + F.col("i") + 1).cast("int")
-    equal = F.element_at("c", F.col("i") + 1).eqNullSafe(F.element_at("c", j + 1))
-    counted = pairs.groupBy("contig").agg(F.sum(equal.cast("int")).alias("_g"), F.sum((~equal).cast("int")).alias("_c"))
+    odd = rows.where((F.col("_left") > 0) & (F.col("_left") != F.col("_m") - 1)).select("contig", "_left", "_m")
+    counted = _first_pairs(groups.join(odd, "contig"))
     rows = rows.join(counted, "contig", "left")
     usual = F.col("_left") == F.col("_m") - 1
     rows = rows.withColumns({
@@ -276,13 +291,14 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
     once: to the best block of a single contig, or to the midpoint without the most
     distant block. At least half of the scaffold must be aligned. Contigs in layout
     order (or reversed) give high, any other order medium; unused alignments are low.
+    Orders are compared by the ranks of blocks, dealt into ranges, so a scaffold may have any number.
     """
     key = list(key)
     rows = aln.withColumns({"len": (F.col(END) - F.col(START)).cast("long"), "mid": (F.col(START) + F.floor((F.col(END) - F.col(START)) / 2)).cast("long")})
     centre = F.col(START) + F.floor(F.col("length") / 2)
     plan = layout.groupBy(*key).agg(
         F.floor(F.sum(centre * F.col("length")) / F.sum("length")).alias("centre"), F.max("scaffold_length").alias("full"), F.sum("length").alias("nogap"),
-        F.transform(F.array_sort(F.collect_list(F.struct(START, "order"))), lambda x: x["order"]).alias("orders"),
+        F.count("*").alias("components"),
     )
     plan = plan.withColumns({"left": F.col("centre") - 1, "right": F.col("full") - F.col("centre")})
     plan = plan.withColumns({"left5": F.floor(F.col("left") * 1.05), "right5": F.floor(F.col("right") * 1.05)})
@@ -292,19 +308,22 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
         F.max_by("mid", F.struct(F.col("len") * F.col("mapq"), -F.col(START))).alias("best_mid"),
     )
     facts = written_once(seen.join(plan, key))  # one row per scaffold
-    work = rows.join(facts.where("one_chrom").drop("orders"), key)
+    work = rows.join(facts.where("one_chrom").drop("components"), key)
     first = written_once(_window_sums(work, key, "mid1", "1").withColumn("ok1", (F.col("f1") > 0) & (F.col("r1") > 0)))
 
     # distance of each block to all others of its scaffold, only where the first window failed
     again = work.join(first.where(~F.col("ok1")).select(*key), key)
     apart = again.where("not one_contig and n >= 3")
-    by_mid = W.partitionBy(*key).orderBy("mid", START, END, "contig").rowsBetween(W.unboundedPreceding, -1)
-    apart = apart.withColumns({"cb": F.count("mid").over(by_mid), "sb": F.coalesce(F.sum("mid").over(by_mid), F.lit(0)), "st": F.sum("mid").over(W.partitionBy(*key))})
-    far = F.col("mid") * F.col("cb") - F.col("sb") + (F.col("st") - F.col("sb") - F.col("mid")) - F.col("mid") * (F.col("n") - F.col("cb") - 1)
-    apart = apart.withColumn("far", far).withColumns({"top": F.max("far").over(W.partitionBy(*key)), "low": F.min("far").over(W.partitionBy(*key))})
+    # equal midpoints are equally far, so running sums over the distinct ones do
+    mids = apart.groupBy(*key, "mid").agg(F.count("*").alias("k")).withColumn("sum", F.col("k") * F.col("mid"))
+    run = running_sums(mids, key, ["k", "sum"], pos="mid", block=1 << 18)
+    run = run.join(mids.groupBy(*key).agg(F.sum("k").alias("nk"), F.sum("sum").alias("st")), key)
+    far = F.col("mid") * (2 * F.col("cum_k") - F.col("nk")) + F.col("st") - 2 * F.col("cum_sum")
+    apart = apart.join(run.select(*key, "mid", far.alias("far")), [*key, "mid"])
     place = F.struct("chrom", START, END, "contig")
-    apart = apart.withColumn("keep_one", place == F.min(place).over(W.partitionBy(*key)))
-    moved = apart.where((F.col("far") < F.col("top")) | ((F.col("low") == F.col("top")) & F.col("keep_one"))).groupBy(*key).agg(weighted.alias("mid_moved"))
+    ends = apart.groupBy(*own_shuffle(key)).agg(F.max("far").alias("top"), F.min("far").alias("low"), F.min(place).alias("least")).drop("_own")
+    apart = apart.join(ends, key)
+    moved = apart.where((F.col("far") < F.col("top")) | ((F.col("low") == F.col("top")) & (place == F.col("least")))).groupBy(*key).agg(weighted.alias("mid_moved"))
     second = again.join(moved, key, "left").withColumn("mid2", F.when(F.col("one_contig"), F.col("best_mid")).otherwise(F.col("mid_moved")))
     mid2 = second.groupBy(*key).agg(F.max("mid2").alias("mid2"))
     second = _window_sums(second.where("mid2 is not null"), key, "mid2", "2")
@@ -323,13 +342,21 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
         F.min(F.struct("chrom", START, END)).alias("at"), F.min(START).alias("lo"), F.max(END).alias("hi"), F.sum("len").alias("bp"),
         F.sum(F.when(F.col("strand") == "+", 1).otherwise(0)).alias("plus"), F.sum(F.when(F.col("strand") == "-", 1).otherwise(0)).alias("minus"),
     )
+    per_order = written_once(per_order.select(*key, "order_number", "at.*", "lo", "hi", "bp", "plus", "minus").withColumn("_one", F.lit(1)))
     result = per_order.groupBy(*key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "order_number"))), lambda x: x["order_number"]).alias("seen_orders"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bp").alias("bp"), F.sum("plus").alias("plus"), F.sum("minus").alias("minus"),
+        F.count("*").alias("_seen"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bp").alias("bp"), F.sum("plus").alias("plus"), F.sum("minus").alias("minus"),
     )
     result = result.join(found, key).where("bp >= nogap * 0.5")
-    forward = F.col("seen_orders") == F.col("orders")
-    backward = F.col("seen_orders") == F.reverse("orders")
+    # orders agree if every order has the same rank on both sides, from either end
+    seen = running_in_order(per_order, key, ["chrom", START, END, "order_number"], "_one", "_rank")
+    planned = running_in_order(layout.withColumn("_one", F.lit(1)), key, [START, "order"], "_one", "_place")
+    spots = seen.join(planned.select(*key, F.col("order").alias("order_number"), "_place"), [*key, "order_number"]).join(facts.select(*key, "components"), key)
+    up, down = F.col("_rank") == F.col("_place"), F.col("_rank") == F.col("components") + 1 - F.col("_place")
+    spots = spots.groupBy(*key).agg(F.sum(up.cast("int")).alias("_up"), F.sum(down.cast("int")).alias("_down"))
+    result = result.join(spots, key, "left")
+    whole = F.col("_seen") == F.col("components")
+    forward = F.coalesce(whole & (F.col("_up") == F.col("components")), F.lit(False))
+    backward = F.coalesce(whole & (F.col("_down") == F.col("components")), F.lit(False))
     result = result.select(
         *key, F.when(forward | backward, "high").otherwise("medium").alias("_conf"),
         F.when(forward, "+").when(backward, "-").when(F.col("plus") >= F.col("minus"), "+").otherwise("-").alias("_strand"),

@@ -117,6 +117,23 @@ def test_classify_breaks(spark):
     assert {r["contig"]: tuple(r[c] for c in ("contig_breaks", "local_breaks", "global_breaks", "chimeric_breaks", "support_breaks")) for r in out} == expected
 
 
+def test_first_pairs(spark):
+    """Counts over the first pairs of scaffolds, against the pairs themselves, NULL chromosomes included."""
+    rnd = random.Random(9)
+    rows, expected = [], {}
+    for c in range(40):
+        m = rnd.randrange(2, 9)
+        left = rnd.randrange(1, m * (m - 1) // 2 + 3)
+        chroms = [rnd.choice(["chr1", "chr2", None]) for _ in range(m)]
+        firsts = [rnd.randrange(4) for _ in range(m)]  # ties are ordered by the scaffold
+        rows += [(f"c{c}", f"s{i}", firsts[i], chroms[i], left, m) for i in range(m)]
+        listed = [chroms[i] for i in sorted(range(m), key=lambda i: (firsts[i], f"s{i}"))]
+        pairs = [(a, b) for i, a in enumerate(listed) for b in listed[i + 1 :]][:left]
+        expected[f"c{c}"] = (sum(a == b for a, b in pairs), sum(a != b for a, b in pairs))
+    groups = spark.createDataFrame(rows, "contig string, scaffold string, first long, chrom string, _left long, _m long")
+    assert {r["contig"]: (r["_g"], r["_c"]) for r in scaffolds._first_pairs(groups).collect()} == expected
+
+
 def test_contig_size_check(spark):
     view = spark.createDataFrame([("a", 5, 1), ("b", 2, 2)], "contig string, supported long, unsupported long")
     scaffolds.assert_contig_sizes(view, spark.createDataFrame([("a", 6), ("b", 4)], "contig string, size long"))
@@ -144,6 +161,38 @@ def test_placement_orders_and_outlier(spark):
     assert (out[("fwd", "fwd0")]["scaffold_start"], out[("fwd", "fwd0")]["scaffold_end"]) == (10_000, 13_000)
 
 
+def test_placement_of_long_scaffolds(spark):
+    """Scaffolds of 20,000 blocks, in order, reversed and with two blocks swapped; none is one task's list."""
+    n = 20_000
+    base = spark.range(n).select(F.lit("x").alias("scaffold"), F.concat(F.lit("c"), "id").alias("contig"), (F.col("id") + 1).cast("int").alias("order"), (F.col("id") * 10).alias("start_pos"), F.lit(10).cast("long").alias("length"), F.lit(n * 10).cast("long").alias("scaffold_length"))
+    layout = base.drop("scaffold").crossJoin(spark.createDataFrame([("fwd",), ("rev",), ("swap",)], "scaffold string"))
+    at = F.when(F.col("scaffold") == "rev", n - F.col("order")).when(F.col("scaffold") != "swap", F.col("order") - 1)
+    at = F.coalesce(at, F.when(F.col("order") == 7000, 7000).when(F.col("order") == 7001, 6999).otherwise(F.col("order") - 1)).cast("long")
+    aln = layout.select("scaffold", "contig", F.col("order").alias("order_number"), F.lit("chr1").alias("chrom"), (at * 10 + 1_000_000).alias("start_pos"), (at * 10 + 1_000_010).alias("end_pos"), F.lit(60).alias("mapq"), F.lit("+").alias("strand"))
+    placed = scaffolds.scaffold_placement(aln, layout)
+    assert "collect_list" not in placed._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["scaffold"], r["loc_confidence"], r["scaffold_strand"]): r["count"] for r in placed.groupBy("scaffold", "loc_confidence", "scaffold_strand").count().collect()}
+    assert got == {("fwd", "high", "+"): n, ("rev", "high", "-"): n, ("swap", "medium", "+"): n}
+
+
+def test_farthest_block(spark):
+    """The distance of each block to all others, by brute force, decides which block a moved midpoint leaves out."""
+    rnd = random.Random(3)
+    layout, aln, expected = [], [], {}
+    for k in range(12):
+        name = f"s{k}"
+        for i in range(4):
+            layout.append((name, f"{name}_{i}", i + 1, i * 100, 100, 400))
+        spots = [1000 + i * 100 for i in range(3)] + [rnd.choice([100_000, 200_000])]
+        aln += [(name, f"{name}_{i}", i + 1, "chr1", p, p + 100, 60, "+") for i, p in enumerate(spots)]
+        far = [sum(abs(a - b) for b in spots) for a in spots]
+        for i in range(4):
+            expected[f"{name}_{i}"] = "low" if far[i] == max(far) else "medium"
+    la = spark.createDataFrame(layout, "scaffold string, contig string, order int, start_pos long, length long, scaffold_length long")
+    al = spark.createDataFrame(aln, "scaffold string, contig string, order_number int, chrom string, start_pos long, end_pos long, mapq int, strand string")
+    assert {r["contig"]: r["loc_confidence"] for r in scaffolds.scaffold_placement(al, la).collect()} == expected
+
+
 def test_enrichment_p_value(spark):
     total, row, col = 30, 12, 9
     pmf = lambda x: math.comb(row, x) * math.comb(total - row, col - x) / math.comb(total, col)
