@@ -3,10 +3,11 @@
 Texts of one word sequence are one class. A first pass keeps the classes that can
 have a partner at all; among these, shingles are counted and ordered from the rarest,
 and classes meet on the shingles of their prefixes. Pairs pass length and
-positional filters and, in place of a suffix filter, a bound over the whole sets (the
-smaller of both counts for each first hash digit, summed), and are verified once each,
-on the whole sets. The bound loses no link, but it does not split at the matched
-position and differs little from a length filter. In a group of near
+positional filters and a suffix filter: what follows the matched shingle in both sets
+is split at probe shingles of the global order, and the smaller of both counts of
+every part bounds what can be shared there. The probes are the same for all sets, so a
+class needs its counts up to each probe only, and no set travels before the
+filter. The pairs left are verified once each, on the whole sets. In a group of near
 copies a class is first verified against one leader of its shingles; only classes
 that are not yet in one component meet pairwise after that, so a group of m copies
 costs about m verifications and no link between components is lost.
@@ -23,6 +24,10 @@ from . import common, shingles
 
 #: Candidate ids that are broadcast to the scan of the texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Parts of the global order of shingles that the suffix filter compares.
+PARTS = 16
+#: Classes that one task compares with all others of a shingle, where pairs have to be formed.
+SALT_ROWS = 4096
 #: Text of one slice of the first pass, whose equal shingles are counted before the shuffle.
 SLICE_BYTES = 8 << 20
 
@@ -149,10 +154,7 @@ def shared_counts(docs: DataFrame, words: int, percent: int, id_col: str, text_c
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows (class, n, hashes, spread) of the classes in wanted (doc_id, class), whose text is looked up by id.
-
-    spread: sizes of the set's 16 parts by the first hash digit, for the bound.
-    """
+    """Rows (class, n, hashes) of the classes in wanted (doc_id, class), whose text is looked up by id; a text that repeats with its id repeats."""
     n = wanted.count()
     small = wanted.select("doc_id", "class")
     rows = common.texts(docs, id_col, text_col).join(F.broadcast(small) if n <= BROADCAST_IDS else small, "doc_id").select("class", "text")
@@ -167,15 +169,36 @@ def class_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text
                     found = shingles.words(text.encode())
                     if found and shingles.sequence_class(found)[0] == key:  # an id may have rows of other texts
                         h = shingles.shingle_set(found, words)
-                        out.append((key, len(h), h.tobytes(), np.bincount((h >> np.uint64(60)).astype(np.int64), minlength=16).tolist()))
-                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-                yield pa.record_batch([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["class", "n", "hashes", "spread"])
+                        out.append((key, len(h), h.tobytes()))
+                kinds = (pa.int64(), pa.int64(), pa.binary())
+                yield pa.record_batch([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["class", "n", "hashes"])
+
+    return rows.mapInArrow(take, "class long, n long, hashes binary")
 
-    return rows.mapInArrow(take, "class long, n long, hashes binary, spread array<long>")
+
+def probes(counts: DataFrame) -> list[tuple[int, int]]:
+    """PARTS - 1 probes (df, gram) of the global order that leave about equal numbers of shingles of all sets between them.
+
+    Counts decide, and probes that fall on one count are spread over its hashes. Any probes give valid bounds.
+    """
+    shares = [i / PARTS for i in range(1, PARTS)]
+    found = counts.agg(F.percentile("df", shares, F.col("df")).alias("p")).first()["p"]
+    if found is None:
+        return []
+    whole = [int(x) for x in found]
+    out = []
+    for df in sorted(set(whole)):
+        many = whole.count(df)
+        out += [(df, -(1 << 63) + ((1 << 64) * (i + 1)) // (many + 1)) for i in range(many)]
+    return out
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """Rows (gram, class, n, pos): the shingles of the prefixes that more than one class has, rarest first."""
+    """Rows (class, n, lonely, held, upto), one for each class whose prefix has a shingle of another class.
+
+    held: the prefix behind its lonely shingles, rarest first, with the part of the order each lies in; upto:
+    how many shingles of the whole set, lonely ones aside, lie in each part or before it.
+    """
 
     def each(batches):
         import pyarrow as pa
@@ -189,12 +212,27 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
     tokens = sets.select("class", "n", "hashes").mapInArrow(each, "gram long, class long, n long")
     counts = written_once(tokens.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1"))
-    held = tokens.join(counts, "gram").groupBy("class", "n").agg(F.sort_array(F.collect_set(F.struct("df", "gram"))).alias("held"))
+    part = F.lit(0)
+    for df, gram in probes(counts):
+        part = part + ((F.col("df") > df) | ((F.col("df") == df) & (F.col("gram") >= gram))).cast("int")
+    seen = tokens.join(counts.withColumn("part", part), "gram")
+    upto = F.array(*[F.sum((F.col("part") <= i).cast("int")) for i in range(PARTS)])
+    held = seen.groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram", "part"))).alias("held"), upto.alias("upto"))
     # shingles of one class alone come first in its order and meet nothing
     lonely = F.col("n") - F.size("held")
     length = F.col("n") - needed(F.col("n"), percent) + 1
-    kept = held.where(lonely < length).select("class", "n", lonely.alias("lonely"), F.slice("held", F.lit(1), (length - lonely).cast("int")).alias("held"))
-    return kept.select("class", "n", "lonely", F.posexplode("held").alias("at", "item")).select(F.col("item.gram").alias("gram"), "class", "n", (F.col("lonely") + F.col("at")).alias("pos"))
+    return held.where(lonely < length).select("class", "n", lonely.alias("lonely"), F.slice("held", F.lit(1), (length - lonely).cast("int")).alias("held"), "upto")
+
+
+def behind(upto: Column, at: Column) -> Column:
+    """The shingles in each part that follow the one at place `at` (from 0) among those that other classes have."""
+    reached = F.transform(upto, lambda c: F.greatest(c.cast("long"), at + 1))
+    return F.zip_with(reached, F.concat(F.array((at + 1).cast("long")), F.slice(reached, 1, PARTS - 1)), lambda a, b: a - b)
+
+
+def shared_behind(x: Column, y: Column) -> Column:
+    """The most that two sets can share behind a matched shingle: the smaller of both counts of each part, summed."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda a, b: a + b)
 
 
 def alike(nx: Column, ny: Column, most: Column, percent: int) -> Column:
@@ -203,11 +241,8 @@ def alike(nx: Column, ny: Column, most: Column, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose whole sets are alike, after the bound by first hash digits."""
-    side = lambda s: sets.select(F.col("class").alias(s), F.col("n").alias(f"n{s}"), F.col("hashes").alias(f"h{s}"))
-    spread = lambda s: sets.select(F.col("class").alias(s), F.col("n").alias(f"n{s}"), F.col("spread").alias(f"s{s}"))
-    shared = F.aggregate(F.zip_with("sx", "sy", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda a, b: a + b)
-    left = pairs.join(spread("x"), "x").join(spread("y"), "y").where(alike(F.col("nx"), F.col("ny"), shared, percent)).select("x", "y").distinct()
+    """The distinct pairs (x, y) whose whole sets are alike."""
+    side = lambda s: sets.select(F.col("class").alias(s), F.col("hashes").alias(f"h{s}"))
 
     def check(batches):
         import pyarrow as pa
@@ -221,30 +256,44 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    return left.join(side("x"), "x").join(side("y"), "y").select("x", "y", "hx", "hy").mapInArrow(check, "x long, y long")
+    return pairs.select("x", "y").join(side("x"), "x").join(side("y"), "y").select("x", "y", "hx", "hy").mapInArrow(check, "x long, y long")
 
 
 def links(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Verified links (x, y) that join all classes of a component, and the components (node, component) of classes with a link."""
-    grams = written_once(prefixes(sets, percent))
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)))
-    banded = grams.withColumn("band", band)
-    heads = written_once(banded.groupBy("gram", "band").agg(F.min(F.struct("pos", "class", "n")).alias("head"), F.count("*").alias("k")).where("k > 1").select("gram", "band", F.col("head.class").alias("y"), F.col("head.n").alias("ny"), F.col("head.pos").alias("py")))
+    starts = written_once(prefixes(sets, percent))
+    ladder = starts.select("class", "upto")
+    grams = starts.select("class", "n", "lonely", F.posexplode("held").alias("at", "item")).select(F.col("item.gram").alias("gram"), "class", "n", (F.col("lonely") + F.col("at")).alias("pos"), F.col("at").cast("long").alias("at"))
+    # sizes that a partner first met at this place can have; places without any meet nothing
+    high = F.least(F.floor(F.col("n") * 100 / percent), F.floor(((100 + percent) * (F.col("n") - F.col("pos")) - percent * F.col("n")) / percent))
+    grams = grams.withColumns({"low": needed(F.col("n"), percent), "high": high}).where("low <= high")
+    band = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(1.25)))
+    banded = grams.withColumn("band", band("n"))
+    heads = written_once(banded.groupBy("gram", "band").agg(F.min(F.struct("pos", "class", "n", "at")).alias("head"), F.count("*").alias("k")).where("k > 1").select("gram", "band", F.col("head.class").alias("y"), F.col("head.n").alias("ny"), F.col("head.pos").alias("py"), F.col("head.at").alias("ay")))
     met = banded.join(heads, ["gram", "band"]).where(F.col("class") != F.col("y"))
     fit = lambda nx, px, ny, py: alike(nx, ny, F.least(nx - px, ny - py), percent) & (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny))
-    met = met.where(fit(F.col("n"), F.col("pos"), F.col("ny"), F.col("py"))).groupBy("class", "y").agg(F.count("*").alias("k"))
-    first = met.groupBy("class").agg(F.max_by("y", F.struct("k", F.negative("y"))).alias("y")).select(F.col("class").alias("x"), "y")
+    met = met.where(fit(F.col("n"), F.col("pos"), F.col("ny"), F.col("py"))).groupBy("class", "y").agg(F.count("*").alias("k"), F.min(F.struct("at", "n", "ay", "ny")).alias("m"))
+    first = met.groupBy("class").agg(F.max_by(F.struct("y", "m"), F.struct("k", F.negative("y"))).alias("b")).select(F.col("class").alias("x"), "b.y", "b.m.*")
+    first = first.join(ladder.select(F.col("class").alias("x"), F.col("upto").alias("ux")), "x").join(ladder.select(F.col("class").alias("y"), F.col("upto").alias("uy")), "y")
+    # a leader leads some of its shingles only, so others may be shared before the matched one
+    most = F.least("at", "ay") + 1 + shared_behind(behind(F.col("ux"), F.col("at")), behind(F.col("uy"), F.col("ay")))
+    first = first.where(alike(F.col("n"), F.col("ny"), most, percent))
     found = written_once(verified(first, sets, percent))
     parts = connected_components(found, "x", "y")
 
     # classes that share a prefix shingle and are in different components so far
     placed = grams.join(parts.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     placed = written_once(placed)
-    open_ = placed.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("gram")
-    rest = written_once(placed.join(open_, "gram", "left_semi"))
-    x = rest.select("gram", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("component").alias("cx"))
-    y = rest.select("gram", F.col("class").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("component").alias("cy"))
-    cross = x.join(y, (x["gram"] == y["gram"]) & (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & fit(F.col("nx"), F.col("px"), F.col("ny"), F.col("py")))
+    open_ = placed.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.ceil(F.count("*") / SALT_ROWS).alias("salts")).where("a <> b").select("gram", "salts")
+    rest = written_once(placed.join(open_, "gram").join(ladder, "class").withColumn("behind", behind(F.col("upto"), F.col("at"))).drop("upto", "at"))
+    bands = F.explode(F.sequence(band("low"), band("high"))).alias("band")
+    x = rest.select("gram", "salts", bands, F.col("class").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("component").alias("cx"), F.col("behind").alias("bx")).withColumn("salt", F.pmod(F.xxhash64("x"), "salts")).drop("salts")
+    # the other side goes to every part of a frequent shingle, so one part holds about SALT_ROWS classes to compare with all
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+    y = rest.select("gram", band("n").alias("band"), salts, F.col("class").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("component").alias("cy"), F.col("behind").alias("by"))
+    # the first shingle that two classes share is matched too, and nothing is shared before it
+    suffix = alike(F.col("nx"), F.col("ny"), 1 + shared_behind(F.col("bx"), F.col("by")), percent)
+    cross = x.join(y, ["gram", "band", "salt"]).where((F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & fit(F.col("nx"), F.col("px"), F.col("ny"), F.col("py")) & suffix)
     more = written_once(verified(cross.select("x", "y").distinct(), sets, percent))
     every = written_once(found.unionByName(more))
     if more.isEmpty():
@@ -274,6 +323,8 @@ def grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: st
     least = F.greatest(F.lit(1), F.floor(needed(F.col("n"), percent) / 5))
     wanted = written_once(hits.join(heads, "class").where(F.col("hits") >= least).select(F.col("head").alias("doc_id"), "class"))
     sets = written_once(class_sets(docs, wanted, words, id_col, text_col))
+    if not sets.groupBy("class").count().where("count > 1").isEmpty():
+        sets = written_once(sets.dropDuplicates(["class"]))  # rows that repeat id and text
     _, parts = links(sets, percent)
     parts = parts.select(F.col("node").alias("class"), "component")
     groups = written_once(heads.join(parts, "class").groupBy("component").agg(F.min("head").alias("least")))

@@ -192,6 +192,48 @@ def test_near_duplicates_of_the_table(documents, rows):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == components([r["text"] for r in rows])
 
 
+def test_suffix_filter_bounds_what_is_shared(spark):
+    """For random ordered sets: the bound behind each shared shingle is at least what is shared there, and can be less than the smaller rest."""
+    rng = random.Random(4)
+    sets = [sorted(rng.sample(range(200), rng.randrange(20, 80))) for _ in range(30)]
+    step = 200 // jaccard.PARTS + 1
+    upto = [[sum(v // step <= i for v in s) for i in range(jaccard.PARTS)] for s in sets]
+    rows = []
+    for i, x in enumerate(sets):
+        for j in range(i):
+            y = sets[j]
+            for g in sorted(set(x) & set(y))[:3]:
+                at, ay = x.index(g), y.index(g)
+                rows.append((upto[i], upto[j], at, ay, len(set(x[at + 1 :]) & set(y[ay + 1 :])), min(len(x) - at, len(y) - ay) - 1))
+    table = spark.createDataFrame(rows, "ux array<long>, uy array<long>, at long, ay long, shared long, rest long")
+    bound = jaccard.shared_behind(jaccard.behind(F.col("ux"), F.col("at")), jaccard.behind(F.col("uy"), F.col("ay")))
+    got = table.select(bound.alias("b"), "shared", "rest").collect()
+    assert all(r["shared"] <= r["b"] <= r["rest"] for r in got) and sum(r["b"] < r["rest"] for r in got) > len(got) // 2
+
+
+def test_probes_cut_the_order_evenly(spark):
+    counts = spark.range(1000).select(F.xxhash64("id").alias("gram"), F.when(F.col("id") < 900, 2).otherwise(18).cast("long").alias("df"))
+    probes = jaccard.probes(counts)
+    assert len(probes) == jaccard.PARTS - 1 and {2, 18} <= {p[0] for p in probes}
+    tokens = [(r["df"], r["gram"]) for r in counts.collect() for _ in range(r["df"])]
+    cut = sorted(probes)
+    sizes = [0] * jaccard.PARTS
+    for t in tokens:
+        sizes[sum(p <= t for p in cut)] += 1
+    assert max(sizes) < 2 * len(tokens) / jaccard.PARTS
+    assert jaccard.probes(counts.where("df < 0")) == []
+
+
+def test_near_duplicates_of_one_template(spark):
+    """20,000 texts that share a template but are not alike, and two that are; no pairs are listed for the template."""
+    template = " ".join(f"t{i}" for i in range(30))
+    texts = [f"{template} a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(20_000)]
+    texts[7] = f"{template} x y"
+    texts[11] = f"{template} x y z"
+    got = jaccard.near_duplicates(frame(spark, texts)).where("doc_id <> component_id").collect()
+    assert [(r["doc_id"], r["component_id"]) for r in got] == [(11, 7)]
+
+
 # line dedup
 
 
