@@ -164,12 +164,13 @@ def _first_pairs(groups: DataFrame) -> DataFrame:
     return full.join(partly, "contig", "left").select("contig", equal.alias("_g"), (F.col("_t") - equal).alias("_c"))
 
 
-def classify_breaks(view: DataFrame, pieces: DataFrame, chroms: DataFrame) -> DataFrame:
+def classify_breaks(view: DataFrame, pieces: DataFrame, chroms: DataFrame, strict: bool = True) -> DataFrame:
     """Split the breaks of every contig into local (same scaffold), global (same chromosome), chimeric and support.
 
     A contig partly outside scaffolds has one support break; local breaks are the
     further pieces in each scaffold; what remains goes to pairs of different
-    scaffolds in order of first appearance. Counts that do not add up are an error.
+    scaffolds in order of first appearance. Counts that do not add up, as when more
+    breaks remain than a contig has pairs of scaffolds, are an error; unless ``strict`` they are given as they are.
     """
     groups = pieces.where("in_scaffold").groupBy("contig", F.col("object").alias("scaffold")).agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n"))
     groups = written_once(groups.join(chroms.select("scaffold", "chrom"), "scaffold", "left"))  # counted in three ways below
@@ -197,7 +198,7 @@ def classify_breaks(view: DataFrame, pieces: DataFrame, chroms: DataFrame) -> Da
     })
     total = F.col("local_breaks") + F.col("global_breaks") + F.col("chimeric_breaks") + F.col("support_breaks")
     checked = F.when(total == F.col("contig_breaks"), F.col("contig_breaks")).otherwise(F.raise_error(F.concat(F.lit("unaccounted breaks of contig "), "contig")))
-    return rows.withColumn("contig_breaks", checked).select(
+    return (rows.withColumn("contig_breaks", checked) if strict else rows).select(
         "contig", "supported", "unsupported", "contig_breaks", "local_breaks", "global_breaks", "chimeric_breaks", "support_breaks"
     )
 
@@ -234,14 +235,14 @@ def hybrid_summary(view: DataFrame) -> DataFrame:
 def cluster_edges(svs: DataFrame, frac: float = 0.5) -> DataFrame:
     """Pairs of clusters that overlap each other by at least ``frac``."""
     rows = svs.select("chrom", START, END, "name")
-    pairs = overlap_join(rows, rows, min_frac=frac, reciprocal=True)
+    pairs = overlap_join(rows, rows.hint("merge"), min_frac=frac, reciprocal=True)
     return pairs.where("name < name_b").select(F.col("name").alias("src"), F.col("name_b").alias("dst"))
 
 
 def merge_sv_clusters(svs: DataFrame, frac: float = 0.5, counts: Sequence[str] = ("num_samples",), sep: str = "|") -> DataFrame:
     """Clusters linked by reciprocal overlap become one: outer coordinates, summed counts, sorted joined ids, common or joined type."""
     comps = connected_components(cluster_edges(svs, frac))
-    rows = svs.join(comps.withColumnRenamed("node", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
+    rows = svs.join(comps.withColumnRenamed("node", "name").hint("merge"), "name", "left").withColumn("component", F.coalesce("component", "name"))
     item = F.array_sort(F.collect_list(F.struct("name", "svtype")))
     out = rows.groupBy("component").agg(
         F.min("chrom").alias("chrom"), F.min(START).alias(START), F.max(END).alias(END), *[F.sum(c).alias(c) for c in counts],

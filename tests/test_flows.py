@@ -117,6 +117,19 @@ def test_classify_breaks(spark):
     assert {r["contig"]: tuple(r[c] for c in ("contig_breaks", "local_breaks", "global_breaks", "chimeric_breaks", "support_breaks")) for r in out} == expected
 
 
+def test_breaks_beyond_the_pairs(spark):
+    """Four pieces outside scaffolds and two scaffolds: one pair for four breaks, an error unless told otherwise."""
+    rows = [("Super-Scaffold_1", "c", "W", 10, 0), ("Super-Scaffold_2", "c", "W", 10, 1), *[("c_obj", "c", "W", 10, i) for i in range(2, 6)]]
+    agp = spark.createDataFrame(rows, "object string, comp_name string, comp_type string, comp_length long, ord long")
+    pieces = scaffolds.sequence_pieces(agp)
+    chroms = spark.createDataFrame([("Super-Scaffold_1", "chr1"), ("Super-Scaffold_2", "chr1")], "scaffold string, chrom string")
+    support = scaffolds.contig_support(pieces)
+    out = scaffolds.classify_breaks(support, pieces, chroms, strict=False).first()
+    assert tuple(out[c] for c in ("contig_breaks", "local_breaks", "global_breaks", "chimeric_breaks", "support_breaks")) == (5, 0, 1, 0, 1)
+    with pytest.raises(Exception, match="unaccounted breaks"):
+        scaffolds.classify_breaks(support, pieces, chroms).collect()
+
+
 def test_first_pairs(spark):
     """Counts over the first pairs of scaffolds, against the pairs themselves, NULL chromosomes included."""
     rnd = random.Random(9)
