@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from locusframe.operators import overlap, sweep
+from locusframe.operators import assemblies, graph, lineage, overlap, scaffolds, sweep
 
 SIZE = {"chr1": 200, "chr2": 130}
 BLOCKS = [7, 1 << 18]
@@ -159,3 +159,23 @@ def test_jaccard_and_empty(spark):
     assert len(got(overlap.overlap_anti(frame(spark, a), empty))) == len(a)
     assert got(sweep.complement(empty, sizes(spark))) == []
     assert sorted(got(sweep.make_windows(sizes(spark), 100))) == [("chr1", 0, 100), ("chr1", 100, 200), ("chr2", 0, 100), ("chr2", 100, 130)]
+
+
+def test_rows_do_not_go_through_the_driver(spark):
+    """Only the small carries between blocks and lists that rows are crossed with may be broadcast."""
+    a = spark.range(10).selectExpr("'c' as chrom", "id * 10 as start_pos", "id * 10 + 5 as end_pos", "id as name")
+    plan = overlap.coverage_counts(a, a)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") <= 1 and plan.count("SortMergeJoin") >= 2
+    every = assemblies.with_each(a, a.select("name"))._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in every and "BuildLeft" not in every
+
+
+def test_clusters_do_not_go_through_the_driver(spark, monkeypatch):
+    a = spark.range(10).selectExpr("'c' as chrom", "id * 10 as start_pos", "id * 10 + 15 as end_pos", "cast(id as string) as name")
+    plan = scaffolds.cluster_edges(a)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    written = []
+    monkeypatch.setattr(graph, "written_once", lambda df: written.append(df) or lineage.written_once(df))
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 6)], "src long, dst long")
+    assert sorted(map(tuple, graph.connected_components(edges).collect())) == [(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)]
+    assert not any("BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString() for df in written)
