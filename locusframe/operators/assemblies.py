@@ -26,13 +26,14 @@ def with_each(df: DataFrame, few: DataFrame) -> DataFrame:
     """Every row of ``df`` beside every distinct row of ``few``, for results that list all combinations.
 
     ``few`` goes out as arrays of about CHUNK entries, one for a short list such as the assemblies;
-    every row meets each array in an equi-join on its number. The list may have any length.
+    every row meets each array in an equi-join on its number. The list may have any length. It is the list that is
+    broadcast, never the rows.
     """
     rows = few.distinct()
     n = F.greatest(F.lit(1), F.ceil(rows.agg(F.count(F.lit(1)) / CHUNK).scalar()))
     chunks = rows.groupBy(F.pmod(F.xxhash64(*few.columns), n).alias("_chunk")).agg(F.collect_list(F.struct(*few.columns)).alias("_all"))
     listed = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-    return listed.join(chunks, "_chunk").select(*df.columns, F.explode("_all").alias("_x")).select(*df.columns, "_x.*")
+    return listed.join(F.broadcast(chunks), "_chunk").select(*df.columns, F.explode("_all").alias("_x")).select(*df.columns, "_x.*")
 
 
 # --- samples and selections -------------------------------------------------

@@ -291,7 +291,7 @@ def padded_lookup(a: DataFrame, b: DataFrame, pad: int = 100_000, ident: str = "
         F.array_sort(F.collect_list(F.struct(F.col(f"{ident}_b").alias("id"), (F.col(END + "_b") - F.col(START + "_b")).alias("size")))).alias("found")
     )
     found = found.select("chrom", F.col("_1").alias(START), F.col("_2").alias(END), "found")
-    out = a.join(found, ["chrom", START, END], "left")
+    out = a.join(found.hint("merge"), ["chrom", START, END], "left")
     joined = lambda field: F.when(F.col("found").isNull(), F.lit(empty)).otherwise(F.array_join(F.transform("found", lambda x: x[field].cast("string")), ","))
     return out.withColumn("near_ids", joined("id")).withColumn("near_sizes", joined("size")).drop("found")
 

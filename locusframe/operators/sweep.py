@@ -185,11 +185,12 @@ def at_both_ends(
     wanted = [("s", f"cum_{m}", m) for m in at_start] + [("s", f"last_{m}", m) for m in lasts]
     wanted += [("e", f"cum_{m}", m) for m in at_end] + [("e", f"first_{m}", m) for m in nexts]
     run = run.select(*by, "pos", *sorted({c for _, c, _ in wanted}))
-    values = points.join(run, [*by, "pos"]).groupBy(*own_shuffle(where)).agg(
+    # sizes of listed points are underrated from those of the files, so neither side may go through the driver
+    values = points.join(run.hint("merge"), [*by, "pos"]).groupBy(*own_shuffle(where)).agg(
         *[F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{m}") for side, c, m in wanted]
     )
     # a row with a NULL key meets no event
-    out = a.join(values.drop("_own"), where, "left")
+    out = a.join(values.drop("_own").hint("merge"), where, "left")
     sums = [(f"s_{m}", m) for m in at_start] + [(f"e_{m}", m) for m in at_end]
     return out.withColumns({c: F.coalesce(c, F.lit(0).cast(values.schema[c].dataType)) for c, _ in sums})
 
