@@ -66,3 +66,40 @@ def test_places_need_no_second_shuffle(spark):
     near, _ = kmers._by_bucket(pieces, kmers.full_buckets([pieces], 21), 21, [], F.count(F.lit(1)).alias("n"), False, False)
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(bucket") == 1 and "hashpartitioning(bucket#" in plan and "kmer#" not in "".join(x for x in plan.split("\n") if "Exchange" in x)
+
+
+def words(n, seed=2):
+    r = random.Random(seed)
+    return [" ".join(r.choice(["the", "tion", "and", "über", "of", "er"]) for _ in range(r.randrange(0, 60))) for _ in range(n)]
+
+
+def test_kmers_of_places_are_not_spread_one_by_one(spark):
+    """K-mers of a text are told apart in groups of places; short ones are combined where they are read."""
+    df = spark.createDataFrame([(t,) for t in words(40)], "seq string")
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan(kmers.kmer_count(df, 13)) and "MapInArrow" in plan(kmers.kmer_count(df, 5))
+    assert {r["kmer"]: r["n"] for r in kmers.kmer_count(df, 5).collect()} == slow(words(40), 5)
+
+
+@pytest.mark.parametrize("full", [40, 1 << 22])
+def test_colours_and_regions_with_full_places(spark, monkeypatch, full):
+    monkeypatch.setattr(kmers, "FULL", full)
+    monkeypatch.setattr(kmers, "GROUP", 300)
+    rows = [(f"r{i}" if i % 9 else None, i % 5 if i % 7 else None, t) for i, t in enumerate(words(50))]
+    df = spark.createDataFrame(rows, "name string, colour int, seq string")
+    masks, seen = collections.Counter(), {}
+    for _, c, t in rows:
+        for x in slow([t], 13):
+            masks[x] |= 0 if c is None else 1 << c
+            seen[x] = seen.get(x, False) or c is not None
+    got = {r["kmer"]: r["mask"] for r in kmers.kmer_masks(df, 13).collect()}
+    assert got == {x: m if seen[x] else None for x, m in masks.items()}
+    names = lambda m: "-".join(str(c) for c in range(6) if m >> c & 1)
+    counts = {r["combination"]: r["n"] for r in kmers.kmer_colours(df, 13).collect()}
+    assert counts == collections.Counter(names(m) for m in masks.values())
+    flags = {r["name"]: [r[c] for c in "abcde"] for r in kmers.kmer_query(df.where("name is not null"), df, 13, 0.4, dict(zip("abcde", range(5)))).collect()}
+    for name, _, t in rows:
+        if name:
+            own = slow([t], 13)
+            share = lambda c: sum(n for x, n in own.items() if masks[x] >> c & 1) / sum(own.values()) >= 0.4
+            assert flags[name] == [bool(own) and share(c) for c in range(5)]
