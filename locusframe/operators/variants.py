@@ -106,10 +106,20 @@ def genotypes(df: DataFrame, call: str = "call") -> DataFrame:
     return df.select("*", clean.alias("genotype"), info["TYPE"].alias("var_type"), F.coalesce(info["LEN"].try_cast("long"), F.lit(-1)).cast("long").alias("length"))
 
 
+#: Rows that meet in one task of ``isec`` on average.
+MEET = 1 << 20
+
+
 def isec(a: DataFrame, b: DataFrame, on: Sequence[str] = ("chrom", "pos", "ref", "alt")) -> dict[str, DataFrame]:
-    """only_a, only_b, shared_a and shared_b by the key columns; shared rows come from the named side."""
+    """only_a, only_b, shared_a and shared_b by the key columns; shared rows come from the named side.
+
+    Both sides are dealt out once by their keys, into tasks of about MEET rows whatever the size, and all four
+    parts are joined there; the sides are counted for that.
+    """
     on = list(on)
-    keys_a, keys_b = a.select(*on), b.select(*on)
+    tasks = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(a.count() + b.count()) // MEET))
+    a, b = (df.repartition(tasks, *on) for df in (a, b))
+    keys_a, keys_b = (df.select(*on).hint("merge") for df in (a, b))
     return {
         "only_a": a.join(keys_b, on, "left_anti"),
         "only_b": b.join(keys_a, on, "left_anti"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from locusframe.operators import assemblies, distribution, lineage, overlap, reads, sweep  # noqa: E402
+from locusframe.operators import assemblies, distribution, lineage, overlap, reads, sweep, variants  # noqa: E402, variants
 from locusframe.plans import QUERIES  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -186,3 +186,14 @@ def test_bed_files_are_sorted(spark, tmp_path):
     writers.write_bed(spark.createDataFrame(rows, "chrom string, start_pos long, end_pos long").repartition(3), str(tmp_path / "x"))
     lines = [x.split("\t") for f in sorted((tmp_path / "x").glob("part-*")) for x in f.read_text().split("\n") if x and not x.startswith("#")]
     assert [(c, int(a), int(b)) for c, a, b in lines] == sorted(rows)
+
+
+def test_isec_tasks_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(variants, "MEET", 4)
+    side = lambda rows: spark.createDataFrame(rows, "chrom string, pos long")
+    a, b = [("c", i) for i in range(30)] + [("c", 1), (None, 1)], [("c", i) for i in range(20, 50)] + [(None, 1)]
+    parts = variants.isec(side(a), side(b), ["chrom", "pos"])
+    assert all(p.rdd.getNumPartitions() == 16 for p in parts.values())
+    got = {k: sorted(map(tuple, p.collect()), key=str) for k, p in parts.items()}
+    hit = [("c", i) for i in range(20, 30)]
+    assert got == {"only_a": sorted([x for x in a if x not in hit], key=str), "only_b": sorted([x for x in b if x not in hit], key=str), "shared_a": hit, "shared_b": hit}
