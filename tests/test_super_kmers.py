@@ -103,3 +103,24 @@ def test_colours_and_regions_with_full_places(spark, monkeypatch, full):
             own = slow([t], 13)
             share = lambda c: sum(n for x, n in own.items() if masks[x] >> c & 1) / sum(own.values()) >= 0.4
             assert flags[name] == [bool(own) and share(c) for c in range(5)]
+
+
+def test_regions_travel_packed(spark, monkeypatch):
+    """Super-k-mers of both sides of a query go out packed, many to a row, and groups that hold nothing asked for give nothing."""
+    monkeypatch.setattr(kmers, "GROUP", 50)
+    known = spark.createDataFrame([(i % 3, t) for i, t in enumerate(words(60))], "colour int, seq string").repartition(4)
+    texts = {1: words(60)[7], 2: "not there at all, none of it", 3: None, 4: words(60)[7] + " or something else"}
+    asked = spark.createDataFrame([(i, t) for i, t in texts.items()], "name long, seq string")
+    cut = kmers.super_kmers(known, 13).count()
+    packed = kmers._packed_pieces(known, 13, 5)
+    assert packed.count() <= 5 * int(spark.conf.get("spark.sql.shuffle.partitions")) < cut
+    assert packed.where("bucket = 3").count() > 0 and kmers._packed_pieces(known, 13, 5, [3]).where("bucket = 3").count() == 0
+    loads = {r["bucket"]: r["n"] for r in kmers._part_loads(known.select("seq"), 13, 5).groupBy("bucket").agg(F.sum("load").alias("n")).collect()}
+    assert sum(loads.values()) == sum(slow(words(60), 13).values())
+    query = kmers.kmer_query(asked, known, 13, 0.5, {"a": 0, "b": 1, "c": 2})
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and not any("piece" in line for line in plan.split("\n") if "Exchange" in line)
+    masks = [{x for i, t in enumerate(words(60)) if i % 3 == c for x in slow([t], 13)} for c in range(3)]
+    for r in query.collect():
+        own = slow([texts[r["name"]]], 13)
+        assert [r[c] for c in "abc"] == [bool(own) and sum(n for x, n in own.items() if x in masks[c]) / sum(own.values()) >= 0.5 for c in range(3)]
