@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.columns import base_count, strand_code
 from .distribution import running_in_order
@@ -280,6 +281,10 @@ def _window_sums(rows: DataFrame, key: Sequence[str], mid: str, name: str) -> Da
     return rows.groupBy(*key).agg(inside("left5", "right5").alias(f"f{name}"), inside("right5", "left5").alias(f"r{name}"))
 
 
+#: Blocks and components of a scaffold that one window and list hold; longer scaffolds are dealt into ranges.
+LISTED = 10_000
+
+
 def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = ("scaffold",)) -> DataFrame:
     """Confidence, strand and extent of every scaffold's alignments to a reference.
 
@@ -292,17 +297,116 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
     once: to the best block of a single contig, or to the midpoint without the most
     distant block. At least half of the scaffold must be aligned. Contigs in layout
     order (or reversed) give high, any other order medium; unused alignments are low.
-    Orders are compared by the ranks of blocks, dealt into ranges, so a scaffold may have any number.
+    Scaffolds of up to LISTED blocks and components are each placed by windows over one shuffle.
+    Of longer ones orders are compared by the ranks of blocks, dealt into ranges, so a scaffold may have any number.
     """
     key = list(key)
-    rows = aln.withColumns({"len": (F.col(END) - F.col(START)).cast("long"), "mid": (F.col(START) + F.floor((F.col(END) - F.col(START)) / 2)).cast("long")})
+    named = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
+    sizes = union_all([aln.select(*key), layout.select(*key)]).where(named).groupBy(*key).agg((F.count(F.lit(1)) > LISTED).alias("_long"))
+    some, every = sizes.agg(F.max("_long"), F.min("_long")).first()
+    if not some or every:
+        return _placed(aln, (_place_ranged if some else _place_listed)(aln, layout, key), key)
+    long_ones = written_once(sizes.where("_long").drop("_long"))
+    split = lambda df, how: df.join(F.broadcast(long_ones), key, how).select(*df.columns)  # at most one key for each LISTED rows
+    short = _placed(split(aln, "left_anti"), _place_listed(split(aln, "left_anti"), split(layout, "left_anti"), key), key)
+    return short.unionByName(_placed(split(aln, "left_semi"), _place_ranged(split(aln, "left_semi"), split(layout, "left_semi"), key), key))
+
+
+def _layout_facts(layout: DataFrame, key: Sequence[str], *more: Column) -> DataFrame:
+    """Per scaffold its weighted centre, the reach to both sides, with and without margins, and its components."""
     centre = F.col(START) + F.floor(F.col("length") / 2)
     plan = layout.groupBy(*key).agg(
         F.floor(F.sum(centre * F.col("length")) / F.sum("length")).alias("centre"), F.max("scaffold_length").alias("full"), F.sum("length").alias("nogap"),
-        F.count("*").alias("components"),
+        F.count("*").alias("components"), *more,
     )
     plan = plan.withColumns({"left": F.col("centre") - 1, "right": F.col("full") - F.col("centre")})
-    plan = plan.withColumns({"left5": F.floor(F.col("left") * 1.05), "right5": F.floor(F.col("right") * 1.05)})
+    return plan.withColumns({"left5": F.floor(F.col("left") * 1.05), "right5": F.floor(F.col("right") * 1.05)})
+
+
+def _measured(aln: DataFrame) -> DataFrame:
+    return aln.withColumns({"len": (F.col(END) - F.col(START)).cast("long"), "mid": (F.col(START) + F.floor((F.col(END) - F.col(START)) / 2)).cast("long")})
+
+
+def _swap(a: str, b: str) -> Column:
+    return F.when(F.col("reverse"), F.col(b)).otherwise(F.col(a))
+
+
+def _used() -> Column:
+    return F.coalesce((F.col(END) > F.col("centre_at") - _swap("left5", "right5")) & (F.col(START) < F.col("centre_at") + _swap("right5", "left5")), F.lit(False))
+
+
+def _verdict(key: Sequence[str], forward: Column, backward: Column) -> list[Column]:
+    """Confidence, strand and extent of a scaffold whose order agrees from either end or not, and its window."""
+    return [
+        *[F.col(k) for k in key], "centre_at", "reverse", "left5", "right5", F.when(F.col("bp") >= F.col("nogap") * 0.5, F.when(forward | backward, "high").otherwise("medium")).alias("_conf"),
+        F.when(forward, "+").when(backward, "-").when(F.col("plus") >= F.col("minus"), "+").otherwise("-").alias("_strand"),
+        F.least(F.col("lo"), F.col("centre_at") - _swap("left", "right")).alias("_lo"), F.greatest(F.col("hi"), F.col("centre_at") + _swap("right", "left")).alias("_hi"),
+    ]
+
+
+def _placed(aln: DataFrame, result: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The alignments with the verdict of their scaffold."""
+    placed = _used() & F.col("_conf").isNotNull()
+    return aln.join(result.hint("merge"), key, "left").select(
+        *[aln[c] if c in key else c for c in aln.columns], F.when(placed, F.col("_conf")).otherwise("low").alias("loc_confidence"), F.when(placed, F.col("_strand")).otherwise(".").alias("scaffold_strand"),
+        F.when(placed, F.col("_lo")).otherwise(-1).cast("long").alias("scaffold_start"), F.when(placed, F.col("_hi")).otherwise(-1).cast("long").alias("scaffold_end"),
+    )
+
+
+def _place_listed(aln: DataFrame, layout: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Verdicts of scaffolds whose rows one window holds: the alignments are shuffled by scaffold once."""
+    w, upto = W.partitionBy(*key), W.partitionBy(*key).orderBy("mid")
+    rows = _measured(aln).select(*key, "chrom", START, END, "contig", "order_number", "mapq", "strand", "len", "mid")
+    weighted = lambda kept: F.floor(F.sum(F.when(kept, F.col("mid") * F.col("len"))).over(w) / F.sum(F.when(kept, F.col("len"))).over(w))
+    # rows are sorted once, by scaffold and midpoint, which serves all windows
+    rows = rows.select("*", F.count("mid").over(upto).alias("cum_k"), F.sum("mid").over(upto).alias("cum_sum"))
+    rows = rows.select(
+        "*", weighted(F.lit(True)).alias("mid1"), F.count(F.lit(1)).over(w).alias("n"), F.sum("mid").over(w).alias("st"),
+        (F.min("contig").over(w) == F.max("contig").over(w)).alias("one_contig"), (F.min("chrom").over(w) == F.max("chrom").over(w)).alias("one_chrom"),
+        F.max_by("mid", F.struct(F.col("len") * F.col("mapq"), -F.col(START))).over(w).alias("best_mid"),
+    )
+    rows = rows.where("one_chrom").drop("one_chrom").join(_layout_facts(layout, key).hint("merge"), key)
+
+    def inside(mid: str, left: str, right: str) -> Column:
+        shared = F.least(F.col(mid) + F.col(right), F.col(END)) - F.greatest(F.col(mid) - F.col(left), F.col(START))
+        return F.coalesce(F.sum(F.when(shared > 0, shared)).over(w), F.lit(0))
+
+    # distance of each block to all others: blocks up to it, and those behind
+    far = F.when(F.col("n") >= 3, F.col("mid") * (2 * F.col("cum_k") - F.col("n")) + F.col("st") - 2 * F.col("cum_sum"))
+    rows = rows.withColumn("far", far).drop("cum_k", "cum_sum", "st")
+    place = F.struct("chrom", START, END, "contig")
+    rows = rows.select(
+        "*", inside("mid1", "left5", "right5").alias("f1"), inside("mid1", "right5", "left5").alias("r1"),
+        F.max("far").over(w).alias("top"), F.min("far").over(w).alias("low"), F.min(F.when(F.col("far").isNotNull(), place)).over(w).alias("least"),
+    )
+    rows = rows.withColumn("ok1", (F.col("f1") > 0) & (F.col("r1") > 0))
+    apart = ~F.col("ok1") & ~F.col("one_contig")
+    kept = apart & ((F.col("far") < F.col("top")) | ((F.col("low") == F.col("top")) & (place == F.col("least"))))
+    rows = rows.withColumn("mid2", F.when(~F.col("ok1"), F.when(F.col("one_contig"), F.col("best_mid")).otherwise(weighted(kept)))).drop("far", "top", "low", "least")
+    rows = rows.select("*", inside("mid2", "left5", "right5").alias("f2"), inside("mid2", "right5", "left5").alias("r2"))
+    rows = rows.withColumns({
+        "centre_at": F.when(F.col("ok1"), F.col("mid1")).when((F.col("f2") > 0) & (F.col("r2") > 0), F.col("mid2")),
+        "reverse": F.when(F.col("ok1"), F.col("r1") > F.col("f1")).otherwise(F.col("r2") > F.col("f2")),
+    })
+    facts = ["centre_at", "reverse", "left", "right", "left5", "right5", "nogap", "components"]
+    per_order = rows.where(_used()).groupBy(*key, "order_number").agg(
+        F.min(F.struct("chrom", START, END)).alias("at"), F.min(START).alias("lo"), F.max(END).alias("hi"), F.sum("len").alias("bp"),
+        F.sum(F.when(F.col("strand") == "+", 1).otherwise(0)).alias("plus"), F.sum(F.when(F.col("strand") == "-", 1).otherwise(0)).alias("minus"), *[F.max(c).alias(c) for c in facts],
+    )
+    result = per_order.groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.struct("at", "order_number"))).alias("seen"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bp").alias("bp"),
+        F.sum("plus").alias("plus"), F.sum("minus").alias("minus"), *[F.max(c).alias(c) for c in facts],
+    )
+    planned = layout.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col(START), F.col("order")))).alias("planned"))
+    result = result.join(planned.hint("merge"), key)
+    seen, planned = F.transform("seen", lambda x: x["order_number"].cast("long")), F.transform("planned", lambda x: x["order"].cast("long"))
+    known = F.forall(seen, lambda x: x.isNotNull())
+    return result.select(*_verdict(key, known & (seen == planned), known & (seen == F.reverse(planned))))
+
+
+def _place_ranged(aln: DataFrame, layout: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Verdicts of scaffolds of any length, each spread over the tasks."""
+    rows, plan = _measured(aln), _layout_facts(layout, key)
     weighted = F.floor(F.sum(F.col("mid") * F.col("len")) / F.sum("len"))
     seen = rows.groupBy(*key).agg(
         weighted.alias("mid1"), F.count(F.lit(1)).alias("n"), (F.min("contig") == F.max("contig")).alias("one_contig"), (F.min("chrom") == F.max("chrom")).alias("one_chrom"),
@@ -336,9 +440,7 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
         F.when(F.col("ok1"), F.col("r1") > F.col("f1")).otherwise(F.col("r2") > F.col("f2")).alias("reverse"),
     )
     found = written_once(found.join(facts.drop("mid1", "n", "one_contig", "one_chrom", "best_mid"), key))
-    swap = lambda a, b: F.when(F.col("reverse"), F.col(b)).otherwise(F.col(a))
-    used = (F.col(END) > F.col("centre_at") - swap("left5", "right5")) & (F.col(START) < F.col("centre_at") + swap("right5", "left5"))
-    marked = rows.join(found.select(*key, "centre_at", "reverse", "left5", "right5"), key, "left").withColumn("used", F.coalesce(used, F.lit(False)))
+    marked = rows.join(found.select(*key, "centre_at", "reverse", "left5", "right5"), key, "left").withColumn("used", _used())
     per_order = marked.where("used").groupBy(*key, "order_number").agg(
         F.min(F.struct("chrom", START, END)).alias("at"), F.min(START).alias("lo"), F.max(END).alias("hi"), F.sum("len").alias("bp"),
         F.sum(F.when(F.col("strand") == "+", 1).otherwise(0)).alias("plus"), F.sum(F.when(F.col("strand") == "-", 1).otherwise(0)).alias("minus"),
@@ -347,7 +449,7 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
     result = per_order.groupBy(*key).agg(
         F.count("*").alias("_seen"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bp").alias("bp"), F.sum("plus").alias("plus"), F.sum("minus").alias("minus"),
     )
-    result = result.join(found, key).where("bp >= nogap * 0.5")
+    result = result.join(found, key)
     # orders agree if every order has the same rank on both sides, from either end
     seen = running_in_order(per_order, key, ["chrom", START, END, "order_number"], "_one", "_rank")
     planned = running_in_order(layout.withColumn("_one", F.lit(1)), key, [START, "order"], "_one", "_place")
@@ -358,17 +460,7 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
     whole = F.col("_seen") == F.col("components")
     forward = F.coalesce(whole & (F.col("_up") == F.col("components")), F.lit(False))
     backward = F.coalesce(whole & (F.col("_down") == F.col("components")), F.lit(False))
-    result = result.select(
-        *key, F.when(forward | backward, "high").otherwise("medium").alias("_conf"),
-        F.when(forward, "+").when(backward, "-").when(F.col("plus") >= F.col("minus"), "+").otherwise("-").alias("_strand"),
-        F.least(F.col("lo"), F.col("centre_at") - swap("left", "right")).alias("_lo"), F.greatest(F.col("hi"), F.col("centre_at") + swap("right", "left")).alias("_hi"),
-    )
-    marked = marked.join(result, key, "left")
-    placed = F.col("used") & F.col("_conf").isNotNull()
-    return marked.select(
-        *aln.columns, F.when(placed, F.col("_conf")).otherwise("low").alias("loc_confidence"), F.when(placed, F.col("_strand")).otherwise(".").alias("scaffold_strand"),
-        F.when(placed, F.col("_lo")).otherwise(-1).cast("long").alias("scaffold_start"), F.when(placed, F.col("_hi")).otherwise(-1).cast("long").alias("scaffold_end"),
-    )
+    return result.select(*_verdict(key, forward, backward))
 
 
 def confidence_score(confidence: Column) -> Column:

@@ -188,6 +188,37 @@ def test_placement_of_long_scaffolds(spark):
     assert got == {("fwd", "high", "+"): n, ("rev", "high", "-"): n, ("swap", "medium", "+"): n}
 
 
+def test_placement_by_one_shuffle(spark, monkeypatch):
+    """Scaffolds placed by windows and those dealt into ranges get the same verdicts; nothing is written for the former."""
+    rnd = random.Random(11)
+    layout, aln = [], []
+    for k in range(60):
+        name, n = f"s{k}", rnd.randrange(1, 9)
+        for i in range(n):
+            layout.append((name, f"{name}_{i}", i + 1, i * 150, 100, n * 150))
+        order = list(range(n)) if k % 3 else list(range(n))[::-1]
+        if k % 5 == 0:
+            rnd.shuffle(order)
+        for i in range(n):
+            if rnd.random() < 0.9:
+                spot = 1000 * k + order[i] * 150 + (rnd.choice([90_000, 200_000, 7_000_000]) + i if rnd.random() < 0.15 else 0)
+                aln.append((name, f"{name}_{0 if k % 7 == 0 else i}", i + 1 + (k % 11 == 0), f"chr{1 + (k % 13 == 0) * (i % 2)}", spot, spot + rnd.randrange(3, 100), rnd.randrange(1, 60), rnd.choice("+-")))
+    layout += layout[5:8]
+    aln += aln[20:26] + [("none", "none0", 1, "chr1", 5, 9, 3, "+"), (None, "x", 1, "chr1", 5, 9, 3, "+")]
+    la = spark.createDataFrame(layout, "scaffold string, contig string, order int, start_pos long, length long, scaffold_length long")
+    al = spark.createDataFrame(aln, "scaffold string, contig string, order_number int, chrom string, start_pos long, end_pos long, mapq int, strand string")
+    written, once = [], scaffolds.written_once
+    monkeypatch.setattr(scaffolds, "written_once", lambda df: written.append(df.columns) or once(df))
+    got = {}
+    for most in (10_000, 9, 0):
+        monkeypatch.setattr(scaffolds, "LISTED", most)
+        got[most] = sorted(map(str, scaffolds.scaffold_placement(al, la).collect()))
+        if most == 10_000:
+            assert not written
+    assert len(got[0]) == len(aln) and got[0] == got[9] == got[10_000]
+    assert {c for c in ("high", "medium", "low") if any(f"'{c}'" in row for row in got[0])} == {"high", "medium", "low"}
+
+
 def test_farthest_block(spark):
     """The distance of each block to all others, by brute force, decides which block a moved midpoint leaves out."""
     rnd = random.Random(3)
