@@ -297,7 +297,7 @@ def scaffold_placement(aln: DataFrame, layout: DataFrame, key: Sequence[str] = (
     once: to the best block of a single contig, or to the midpoint without the most
     distant block. At least half of the scaffold must be aligned. Contigs in layout
     order (or reversed) give high, any other order medium; unused alignments are low.
-    Scaffolds of up to LISTED blocks and components are each placed by windows over one shuffle.
+    Scaffolds of up to LISTED blocks and components get their verdict by windows over one shuffle of the alignments.
     Of longer ones orders are compared by the ranks of blocks, dealt into ranges, so a scaffold may have any number.
     """
     key = list(key)
