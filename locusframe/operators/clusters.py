@@ -56,16 +56,16 @@ def _moved(vectors: DataFrame, columns: Sequence[str], centres: dict[int, np.nda
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[list(columns)].to_numpy(float)
+            x, many = batch[list(columns)].to_numpy(float), batch["_n"].to_numpy(float)
             if not len(x):
                 continue
             out = []
             for start, of in centres.items():
                 far = _squared(x, of)
                 near = far.argmin(axis=1)
-                n = np.bincount(near, minlength=len(of))
-                cost = np.bincount(near, weights=far.min(axis=1), minlength=len(of))
-                total = np.stack([np.bincount(near, weights=x[:, j], minlength=len(of)) for j in range(x.shape[1])], axis=1)
+                n = np.bincount(near, weights=many, minlength=len(of))
+                cost = np.bincount(near, weights=far.min(axis=1) * many, minlength=len(of))
+                total = np.stack([np.bincount(near, weights=x[:, j] * many, minlength=len(of)) for j in range(x.shape[1])], axis=1)
                 out += [(start, c, int(n[c]), float(cost[c]), *total[c].tolist()) for c in range(len(of)) if n[c]]
             yield pd.DataFrame(out, columns=["start", "cluster", "n", "cost", *sums])
 
@@ -88,6 +88,7 @@ def k_means_starts(vectors: DataFrame, columns: Sequence[str], k: int, starts: i
     that loses its rows keeps its centre. Without rows the list is empty.
     """
     vectors = vectors.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    vectors = vectors.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))  # equal rows move together
     vectors = written_once(vectors.withColumn("_id", F.xxhash64(*columns)))  # every step reads the rows again
     chosen: list[list] = [[] for _ in range(starts)]
     for i in range(k):

@@ -43,3 +43,11 @@ def written_once(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def is_stored(df: DataFrame) -> bool:
+    """Whether ``df`` only reads columns of a stored table and computes others from them row by row."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"

@@ -20,8 +20,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from . import cells
 from .lineage import written_once
-from .sweep import BLOCK, END, START, at_both_ends, exact, fractional, interval_events, own_shuffle, running_sums, state_edges
+from .sweep import BLOCK, END, START, at_both_ends, exact, fractional, interval_events, own_shuffle, running_sums, state_edges, whole
 
 # Width of the lowest bins; choose one near the typical length of the longer side.
 WIDTH = 1 << 14
@@ -253,16 +254,19 @@ def region_average(
     ``track`` is a depth track: its rows do not overlap. A fractional depth counts
     to ``digits`` digits and gives a fractional sum.
     """
-    events = _stacked(
-        [
-            _area_events(track, by, exact(track, value, digits) if fractional(track, value) else F.col(value).cast("long"), "slope", "moment"),
-            _area_events(track.where(F.col(value) != 0), by, F.lit(1).cast("long"), "one", "spot"),
-        ]
-    )
-    cols = ["slope", "moment", "one", "spot"]
-    out = at_both_ends(regions, events, by, cols, cols, block=block)
     size = (F.col(END) - F.col(START)).cast("long")
-    out = out.select(*regions.columns, size.alias("size"), _area("one", "spot").alias("covered"), (_area("slope", "moment", digits).cast("double") if fractional(track, value) else _area("slope", "moment")).alias("total"))
+    if whole(track, value):
+        amount = F.col(value).cast("long")
+        runs = track.select(*by, F.col(START).cast("long").alias("_s"), F.col(END).cast("long").alias("_e"), amount.alias("_total"), (amount != 0).cast("long").alias("_covered"))
+        out = cells.areas_between(regions, runs, by, ["_total", "_covered"], START, END, block)
+        out = out.select(*regions.columns, size.alias("size"), F.col("_covered").alias("covered"), F.col("_total").alias("total"))
+    else:
+        depth = _area_events(track, by, exact(track, value, digits) if fractional(track, value) else F.col(value).cast("long"), "slope", "moment")
+        events = _stacked([depth, _area_events(track.where(F.col(value) != 0), by, F.lit(1).cast("long"), "one", "spot")])
+        cols = ["slope", "moment", "one", "spot"]
+        out = at_both_ends(regions, events, by, cols, cols, block=block)
+        total = _area("slope", "moment", digits).cast("double") if fractional(track, value) else _area("slope", "moment")
+        out = out.select(*regions.columns, size.alias("size"), _area("one", "spot").alias("covered"), total.alias("total"))
     return out.withColumn("mean0", F.col("total") / F.col("size")).withColumn(
         "mean", F.coalesce(F.try_divide("total", "covered"), F.lit(0.0))
     )

@@ -16,6 +16,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from . import cells
+
 BLOCK = 1 << 18
 START, END = "start_pos", "end_pos"
 
@@ -49,6 +51,10 @@ def fractional(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
 
 
+def whole(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, T.IntegralType)
+
+
 def exact(df: DataFrame, c: str, digits: int = 6) -> Column:
     """A measure whose sums and differences are exact: whole numbers as they are, fractions as decimals of ``digits`` digits."""
     return F.col(c).cast(f"decimal({13 + digits},{digits})") if fractional(df, c) else F.col(c)
@@ -308,10 +314,14 @@ def make_windows(sizes: DataFrame, width: int) -> DataFrame:
 
 def depth_runs(df: DataFrame, by: Sequence[str] = ("chrom",), weight: str | None = None, block: int = BLOCK, digits: int = 6) -> DataFrame:
     """Maximal runs of equal non-zero depth, or of the summed ``weight``; fractional weights count to ``digits`` digits."""
-    w = None if weight is None else exact(df, weight, digits)
+    if weight is None or whole(df, weight):
+        step = F.lit(1) if weight is None else F.col(weight)
+        rows = df.select(*by, F.col(START).cast("long").alias("_s"), F.col(END).cast("long").alias("_e"), step.cast("long").alias("step"))
+        return cells.runs(rows, by, block).withColumnsRenamed({"pos": START, "next_pos": END})
+    w = exact(df, weight, digits)
     rows = sum_by_position(interval_events(df, by, w), by, ["step"]).where("step <> 0")
     run = running_sums(rows, by, ["step"], block=block)
-    depth = F.col("cum_step").cast("double") if weight is not None and fractional(df, weight) else F.col("cum_step")
+    depth = F.col("cum_step").cast("double") if fractional(df, weight) else F.col("cum_step")
     return run.where("cum_step <> 0").select(*by, F.col("pos").alias(START), F.col("next_pos").alias(END), depth.alias("depth"))
 
 
