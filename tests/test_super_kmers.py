@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from locusframe.operators import kmers
+from locusframe.operators import kmers, lineage
 
 STRANDS = str.maketrans("ACGTacgt", "TGCAtgca")
 
@@ -124,3 +124,42 @@ def test_regions_travel_packed(spark, monkeypatch):
     for r in query.collect():
         own = slow([texts[r["name"]]], 13)
         assert [r[c] for c in "abc"] == [bool(own) and sum(n for x, n in own.items() if x in masks[c]) / sum(own.values()) >= 0.5 for c in range(3)]
+
+
+@pytest.mark.parametrize(("rounds", "in_a_bucket"), [(1, 8), (3, 2)])
+def test_groups_share_buckets_and_take_turns(spark, monkeypatch, rounds, in_a_bucket):
+    """Many groups travel in few buckets, nothing is stored but sums of regions, and no shuffle of a round stays."""
+    for name, value in (("GROUP", 60), ("BUCKETS", 8), ("IN_A_BUCKET", in_a_bucket), ("ROUNDS", rounds), ("ROUND", 1)):
+        monkeypatch.setattr(kmers, name, value)
+    stored = []
+    monkeypatch.setattr(kmers, "written_once", lambda df: stored.append(df.columns) or lineage.written_once(df))
+    rows = [(f"r{i}" if i % 9 else None, i % 5 if i % 7 else None, t) for i, t in enumerate(words(50))]
+    df = spark.createDataFrame(rows, "name string, colour int, seq string")
+    masks = collections.Counter()
+    for _, c, t in rows:
+        for x in slow([t], 13):
+            masks[x] |= 0 if c is None else 1 << c
+    names = lambda m: "-".join(str(c) for c in range(6) if m >> c & 1)
+    assert {r["combination"]: r["n"] for r in kmers.kmer_colours(df, 13).collect()} == collections.Counter(names(m) for m in masks.values())
+    assert {r["kmer"]: r["n"] for r in kmers.kmer_count(df, 13).collect()} == slow([t for *_, t in rows], 13)
+    got = {(r["colour"], r["kmer"]): r["n"] for r in kmers.kmer_count(df, 13, by=["colour"]).collect()}
+    assert got == {(c, x): n for c in {c for _, c, _ in rows} for x, n in slow([t for _, d, t in rows if d == c], 13).items()}
+    assert not stored  # neither super-k-mers nor loads
+    flags = {r["name"]: [r[c] for c in "abcde"] for r in kmers.kmer_query(df.where("name is not null"), df, 13, 0.4, dict(zip("abcde", range(5)))).collect()}
+    for name, _, t in rows:
+        if name:
+            own = slow([t], 13)
+            share = lambda c: sum(n for x, n in own.items() if masks[x] >> c & 1) / sum(own.values()) >= 0.4
+            assert flags[name] == [bool(own) and share(c) for c in range(5)]
+    assert stored == [["name", "n", "_0", "_1", "_2", "_3", "_4"]] * (rounds if rounds > 1 else 0)
+
+
+def test_shuffles_behind_a_stored_table_are_dropped(spark):
+    import glob
+
+    folder = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folder for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+    before, had = files(), spark.conf.get(lineage.CLEANUP)
+    df = spark.range(1000).repartition(3, "id")
+    out = lineage.written_once(df)
+    assert files() <= before and out.count() == 1000 and spark.conf.get(lineage.CLEANUP) == had
