@@ -139,8 +139,12 @@ def genomic_sort(df: DataFrame, numeric: bool = False) -> DataFrame:
 def break_windows(windows: DataFrame, gaps: DataFrame, assembly: Sequence[str] = ASSEMBLY, min_breaks: int = 2) -> DataFrame:
     """Windows with the number of assemblies that have a gap in them, and whether that makes a break window."""
     key = ["chrom", START, END]
-    hits = overlap_join(windows.select(*key), gaps.select("chrom", START, END, *assembly), width=1 << 17)
-    per = hits.select(*key, *[F.col(f"{c}_b").alias(c) for c in assembly]).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("break_cov"))
+    # a gap counts where none before it of its assembly reaches into the window, so hits need not be made distinct
+    before = W.partitionBy(*assembly, "chrom").orderBy(START, END).rowsBetween(W.unboundedPreceding, -1)
+    first = gaps.select("chrom", START, END, F.max(END).over(before).alias("_reach"))
+    # windows are listed from few rows, so their size is underrated: they must not go through the driver
+    hits = overlap_join(windows.select(*key).distinct().hint("merge"), first, width=1 << 17).where(F.col("_reach_b").isNull() | (F.col("_reach_b") <= F.col(START)))
+    per = hits.groupBy(*key).agg(F.count(F.lit(1)).alias("break_cov")).hint("merge")
     out = windows.join(per, key, "left").fillna(0, ["break_cov"])
     return out.withColumn("is_break", F.col("break_cov") >= min_breaks)
 
