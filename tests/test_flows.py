@@ -368,7 +368,7 @@ def test_break_windows_count_assemblies_once_and_stay_off_the_driver(spark):
     gaps = [("chr1", a, a + rnd.randrange(1, 40), rnd.choice(["x", "y", None])) for a in (rnd.randrange(300) for _ in range(60))]
     gaps += gaps[:20]
     windows = [("chr1", a, a + n) for a, n in [*((i * 25, 25) for i in range(14)), (3, 200), (3, 200), (50, 1)]]
-    listed = spark.createDataFrame([("chr1", 0)], "chrom string, n int").select("chrom", F.explode(F.array(*[F.struct(F.lit(a).cast("long").alias("start_pos"), F.lit(b).cast("long").alias("end_pos")) for _, a, b in windows])).alias("w")).select("chrom", "w.*")
+    listed = spark.sql("SELECT 'chr1' AS chrom").select("chrom", F.explode(F.array(*[F.struct(F.lit(a).cast("long").alias("start_pos"), F.lit(b).cast("long").alias("end_pos")) for _, a, b in windows])).alias("w")).select("chrom", "w.*")
     df = spark.createDataFrame(gaps, "chrom string, start_pos long, end_pos long, asm string")
     out = assemblies.break_windows(listed, df, ["asm"])
     want = sorted((c, a, b, len({x for _, s, e, x in gaps if s < b and a < e})) for c, a, b in windows)
